@@ -98,8 +98,12 @@ def direction_angle(start_lon, start_lat, dest_lon, dest_lat) -> Column:
     north 269 for NYC points.
     """
     x = _f64(_f32(dest_lat) - _f32(start_lat))
-    y = _f64(_f32(dest_lon) - _f32(start_lon)) * F.cos(_f64(_f32(start_lat)))
-    return F.degrees(F.atan2(x, y)).cast("int") + F.lit(179)
+    cos_lat = F.cos(_f64(_f32(start_lat)))
+    y = _f64(_f32(dest_lon) - _f32(start_lon)) * cos_lat
+    # Spark's atan2 turns -0.0 into +0.0; IEEE atan2(+0, -0) is 180 degrees.  A
+    # zero-length move has y = +0 * cos, i.e. -0.0 whenever the cosine is negative.
+    neg_zero = (x == 0) & (y == 0) & (cos_lat < 0)
+    return F.when(neg_zero, F.lit(180 + 179)).otherwise(F.degrees(F.atan2(x, y)).cast("int") + F.lit(179))
 
 
 def direction_bucket(angle) -> Column:

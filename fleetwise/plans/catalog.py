@@ -79,3 +79,103 @@ QUALIFY row_number() OVER (PARTITION BY window_end_ms ORDER BY s DESC, driver_id
 def q_hourly_tips(spark, sf_dir):
     r = hourly_tips(A.fares(spark, sf_dir))
     return r.select(ms("window_end").alias("window_end_ms"), "driver_id", d("sum_tips").alias("sum_tips"))
+
+
+# --- step 1: geographic and small jobs --------------------------------------------
+
+from fleetwise.operators import geo_jobs, status  # noqa: E402
+
+
+def cell_sql(lon: str, lat: str) -> str:
+    return (f"(CAST(floor((CAST(74.05 AS DOUBLE) - CAST(abs({lon}) AS DOUBLE)) / CAST(0.0014 AS DOUBLE)) AS INTEGER)"
+            f" + CAST(floor((CAST(41.0 AS DOUBLE) - CAST({lat} AS DOUBLE)) / CAST(0.00125 AS DOUBLE)) AS INTEGER)"
+            f" * 250)")
+
+
+def center_lon_sql(c: str) -> str:
+    return (f"CAST(CAST(CAST(74.05 AS DOUBLE) - ({c} % 250) * CAST(0.0014 AS DOUBLE) - CAST(0.0007 AS DOUBLE)"
+            f" AS FLOAT) * CAST(-1.0 AS FLOAT) AS FLOAT)")
+
+
+def center_lat_sql(c: str) -> str:
+    return (f"CAST(CAST(41.0 AS DOUBLE) - (({c} - {c} % 250) // 250) * CAST(0.00125 AS DOUBLE)"
+            f" - CAST(0.000625 AS DOUBLE) AS FLOAT)")
+
+
+def dist_sql(lon1, lat1, lon2, lat2) -> str:
+    x = f"CAST(CAST({lat1} AS FLOAT) - CAST({lat2} AS FLOAT) AS DOUBLE)"
+    y = f"(CAST(CAST({lon1} AS FLOAT) - CAST({lon2} AS FLOAT) AS DOUBLE) * cos(CAST(CAST({lat2} AS FLOAT) AS DOUBLE)))"
+    return f"(CAST(110.25 AS DOUBLE) * sqrt({x}*{x} + {y}*{y}))"
+
+
+def angle_sql(lon1, lat1, lon2, lat2) -> str:
+    x = f"CAST(CAST({lat2} AS FLOAT) - CAST({lat1} AS FLOAT) AS DOUBLE)"
+    y = f"(CAST(CAST({lon2} AS FLOAT) - CAST({lon1} AS FLOAT) AS DOUBLE) * cos(CAST(CAST({lat1} AS FLOAT) AS DOUBLE)))"
+    return f"(CAST(trunc(degrees(atan2({x}, {y}))) AS INTEGER) + 179)"
+
+
+_EVENT_POINT_SQL = """SELECT *, CASE WHEN is_start THEN start_lon ELSE end_lon END AS lon,
+       CASE WHEN is_start THEN start_lat ELSE end_lat END AS lat FROM rides_v"""
+
+
+@register("q_cell_heatmap", with_views(f"""
+SELECT (event_ms // 3600000 + 1) * 3600000 AS window_end_ms, {cell_sql('lon', 'lat')} AS cell_id,
+       COUNT(*) AS n_events
+FROM ({_EVENT_POINT_SQL}) p WHERE {nyc_sql('lon', 'lat')} GROUP BY 1, 2""", "rides_v"))
+def q_cell_heatmap(spark, sf_dir):
+    h = geo_jobs.cell_heatmap(A.rides(spark, sf_dir))
+    return h.select(ms("window_end").alias("window_end_ms"), "cell_id", "n_events")
+
+
+@register("q_cell_centers", with_views(f"""
+SELECT cell_id, n_events, CAST({center_lon_sql('cell_id')} AS DOUBLE) AS center_lon,
+       CAST({center_lat_sql('cell_id')} AS DOUBLE) AS center_lat
+FROM (SELECT {cell_sql('lon', 'lat')} AS cell_id, COUNT(*) AS n_events
+      FROM ({_EVENT_POINT_SQL}) p WHERE {nyc_sql('lon', 'lat')} GROUP BY 1)""", "rides_v"))
+def q_cell_centers(spark, sf_dir):
+    c = geo_jobs.cell_totals_with_centers(geo_jobs.cell_heatmap(A.rides(spark, sf_dir)))
+    return c.select("cell_id", "n_events", d("center_lon").alias("center_lon"), d("center_lat").alias("center_lat"))
+
+
+@register("q_direction_histogram", with_views(f"""
+SELECT CAST(angle / 45 AS INTEGER) AS direction_bucket, COUNT(*) AS n_rides, MIN(angle) AS min_angle,
+       MAX(angle) AS max_angle, round(SUM(km), 4) AS total_km
+FROM (SELECT {angle_sql('start_lon', 'start_lat', 'end_lon', 'end_lat')} AS angle,
+             {dist_sql('start_lon', 'start_lat', 'end_lon', 'end_lat')} AS km
+      FROM rides_v WHERE is_start AND {nyc_sql('start_lon', 'start_lat')} AND {nyc_sql('end_lon', 'end_lat')})
+GROUP BY 1""".replace("CAST(angle / 45 AS INTEGER)", "CAST(trunc(angle / 45) AS INTEGER)"), "rides_v"))
+def q_direction_histogram(spark, sf_dir):
+    return geo_jobs.direction_histogram(A.rides(spark, sf_dir))
+
+
+@register("q_ride_duration", with_views("""
+SELECT driver_id, COUNT(*) AS n_rides, SUM(end_ms - start_ms) AS total_ms,
+       MIN(end_ms - start_ms) AS min_ms, MAX(end_ms - start_ms) AS max_ms
+FROM rides_v WHERE NOT is_start GROUP BY driver_id""", "rides_v"))
+def q_ride_duration(spark, sf_dir):
+    r = geo_jobs.ride_durations(A.rides(spark, sf_dir))
+    return r.select("driver_id", "n_rides", F.col("total_ms").cast("bigint").alias("total_ms"), "min_ms", "max_ms")
+
+
+STATUS_SQL = """SELECT ride_id, taxi_id, driver_id, is_start,
+  CAST(CASE WHEN is_start THEN start_lon ELSE end_lon END AS DOUBLE) AS longitude,
+  CAST(CASE WHEN is_start THEN start_lat ELSE end_lat END AS DOUBLE) AS latitude,
+  event_ms AS timestamp, CAST(passenger_cnt AS INTEGER) AS passenger_count"""
+
+
+def status_out(df: DataFrame) -> DataFrame:
+    return df.select("ride_id", "taxi_id", "driver_id", "is_start", d("longitude").alias("longitude"),
+                     d("latitude").alias("latitude"), "timestamp",
+                     F.col("passenger_count").cast("int").alias("passenger_count"))
+
+
+@register("q_ride_status", with_views(f"{STATUS_SQL} FROM rides_v", "rides_v"))
+def q_ride_status(spark, sf_dir):
+    return status_out(status.ride_status(A.rides(spark, sf_dir)))
+
+
+@register("q_latest_by_taxi", with_views(f"""{STATUS_SQL} FROM rides_v
+QUALIFY row_number() OVER (PARTITION BY taxi_id ORDER BY event_ms DESC, is_start ASC, ride_id DESC) = 1""",
+                                         "rides_v"))
+def q_latest_by_taxi(spark, sf_dir):
+    return status_out(status.ride_status(status.latest_by_taxi(A.rides(spark, sf_dir))))

@@ -179,3 +179,127 @@ QUALIFY row_number() OVER (PARTITION BY taxi_id ORDER BY event_ms DESC, is_start
                                          "rides_v"))
 def q_latest_by_taxi(spark, sf_dir):
     return status_out(status.ride_status(status.latest_by_taxi(A.rides(spark, sf_dir))))
+
+
+# --- step 2: ingest / export, JSON in and out, points ------------------------------
+
+from fleetwise.sinks import encode  # noqa: E402
+from fleetwise.sources import control, text  # noqa: E402
+from fleetwise.sources.tables import read_table  # noqa: E402
+from fleetwise.operators.tips import tips_per_driver_hour  # noqa: E402
+
+
+@register("q_ride_ingest", with_views(f"SELECT {RIDE_OUT_SQL} FROM rides_v", "rides_v"))
+def q_ride_ingest(spark, sf_dir):
+    """Ride log lines (exported from the ride view) parsed back, fail-fast."""
+    lines = text.format_ride_lines(A.rides(spark, sf_dir)).select("value")
+    return ride_out(text.parse_ride_lines(lines, mode="failfast"))
+
+
+def _ts_sql(ms_col: str) -> str:
+    return f"strftime(make_timestamp({ms_col} * 1000), '%Y-%m-%d %H:%M:%S')"
+
+
+@register("q_ride_export", with_views(f"""
+SELECT ride_id, concat_ws(',', CAST(ride_id AS VARCHAR), CASE WHEN is_start THEN 'START' ELSE 'END' END,
+  CASE WHEN is_start THEN {_ts_sql('start_ms')} ELSE {_ts_sql('end_ms')} END,
+  CASE WHEN is_start THEN {_ts_sql('end_ms')} ELSE {_ts_sql('start_ms')} END,
+  CAST(start_lon AS VARCHAR), CAST(start_lat AS VARCHAR), CAST(end_lon AS VARCHAR), CAST(end_lat AS VARCHAR),
+  CAST(passenger_cnt AS VARCHAR), CAST(taxi_id AS VARCHAR), CAST(driver_id AS VARCHAR)) AS value
+FROM rides_v""", "rides_v"))
+def q_ride_export(spark, sf_dir):
+    return text.format_ride_lines(A.rides(spark, sf_dir))
+
+
+FARE_OUT_SQL = """ride_id, taxi_id, driver_id, start_ms, payment_type, CAST(tip AS DOUBLE) AS tip,
+  CAST(tolls AS DOUBLE) AS tolls, CAST(total_fare AS DOUBLE) AS total_fare"""
+
+
+def fare_out(df: DataFrame) -> DataFrame:
+    return df.select("ride_id", "taxi_id", "driver_id", ms("start_time").alias("start_ms"), "payment_type",
+                     d("tip").alias("tip"), d("tolls").alias("tolls"), d("total_fare").alias("total_fare"))
+
+
+@register("q_fare_ingest", with_views(f"SELECT {FARE_OUT_SQL} FROM fares_v", "fares_v"))
+def q_fare_ingest(spark, sf_dir):
+    lines = text.format_fare_lines(A.fares(spark, sf_dir)).select("value")
+    return fare_out(text.parse_fare_lines(lines, mode="failfast"))
+
+
+CAR_OUT_SQL = """id, car_id, (epoch_us(date_trunc('second', event_time)) // 1000) AS event_ms,
+  CAST(longitude AS DOUBLE) AS longitude, CAST(latitude AS DOUBLE) AS latitude,
+  CAST(consumption AS DOUBLE) AS consumption, CAST(speed AS DOUBLE) AS speed,
+  CAST(throttle AS DOUBLE) AS throttle, CAST(engineload AS DOUBLE) AS engineload"""
+
+
+@register("q_car_ingest", with_views(f"SELECT {CAR_OUT_SQL} FROM car_v", "car_v"))
+def q_car_ingest(spark, sf_dir):
+    """Car log lines (23 fields, mixed separators) parsed back; the line
+    format keeps whole seconds."""
+    lines = text.format_car_lines(A.car_events(spark, sf_dir), filler="x").select("value")
+    lines = lines.select(F.regexp_replace("value", ",x,x,", ";x; x,").alias("value"))  # mixed separators
+    c = text.parse_car_lines(lines, mode="failfast")
+    return c.select("id", "car_id", ms("event_time").alias("event_ms"),
+                    *[d(n).alias(n) for n in ("longitude", "latitude", "consumption", "speed", "throttle",
+                                              "engineload")])
+
+
+def call_messages(spark, sf_dir) -> DataFrame:
+    """One control message per event: clicks and purchases are calls, views
+    lack a field, signups carry a mistyped field, errors are not JSON."""
+    e = read_table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    lon = F.lit(A.LON0) + ((k * A.P_START_LON) % 1000) * F.lit(A.DLON)
+    lat = F.lit(A.LAT0) + ((k * A.P_START_LAT) % 1000) * F.lit(A.DLAT)
+    full = F.to_json(F.struct(F.col("user_id").alias("userId"), F.unix_millis("ts").alias("timestamp"),
+                              lon.alias("longitude"), lat.alias("latitude")))
+    partial = F.to_json(F.struct(F.col("user_id").alias("userId"), F.unix_millis("ts").alias("timestamp"),
+                                 lon.alias("longitude")))
+    mistyped = F.concat(F.lit('{"userId":'), F.col("user_id").cast("string"), F.lit(',"timestamp":"t'),
+                        k.cast("string"), F.lit('","longitude":1.5,"latitude":2.5}'))
+    t = F.col("event_type")
+    msg = (F.when(t.isin("click", "purchase"), full).when(t == "view", partial)
+           .when(t == "signup", mistyped).otherwise(F.concat(F.lit("call "), k.cast("string"))))
+    return e.select(msg.alias("value"))
+
+
+@register("q_json_control", """
+SELECT user_id, (epoch_us(ts) // 1000) AS timestamp,
+  CAST(-74.10 AS DOUBLE) + (event_id*7919 % 1000)*CAST(0.0005 AS DOUBLE) AS longitude,
+  CAST(40.45 AS DOUBLE) + (event_id*104729 % 1000)*CAST(0.0006 AS DOUBLE) AS latitude
+FROM events WHERE event_type IN ('click', 'purchase')""")
+def q_json_control(spark, sf_dir):
+    return control.parse_calls(call_messages(spark, sf_dir))
+
+
+STATUS_WIRE = {"rideId": "ride_id", "taxiId": "taxi_id", "driverId": "driver_id", "isStart": "is_start",
+               "longitude": "longitude", "latitude": "latitude", "timestamp": "timestamp",
+               "passengerCount": "passenger_count"}
+
+
+@register("q_json_out", with_views("""
+SELECT CAST(taxi_id AS VARCHAR) AS key, CAST(to_json(struct_pack(rideId := ride_id, taxiId := taxi_id,
+  driverId := driver_id, isStart := is_start,
+  longitude := CAST(CAST(CASE WHEN is_start THEN start_lon ELSE end_lon END AS VARCHAR) AS DOUBLE),
+  latitude := CAST(CAST(CASE WHEN is_start THEN start_lat ELSE end_lat END AS VARCHAR) AS DOUBLE),
+  timestamp := event_ms, passengerCount := passenger_cnt)) AS VARCHAR) AS value
+FROM rides_v
+QUALIFY row_number() OVER (PARTITION BY taxi_id ORDER BY event_ms DESC, is_start ASC, ride_id DESC) = 1""",
+                                     "rides_v"))
+def q_json_out(spark, sf_dir):
+    """Latest status of every taxi as keyed JSON messages."""
+    st = status.ride_status(status.latest_by_taxi(A.rides(spark, sf_dir)))
+    return encode.json_records(st, STATUS_WIRE, key="taxi_id")
+
+
+@register("q_datapoints", with_views("""
+SELECT CAST(driver_id AS VARCHAR) AS key, window_end_ms AS time_ms, CAST(s AS DOUBLE) AS value,
+  'tips,key=' || CAST(driver_id AS VARCHAR) || ' value=' || CAST(s AS VARCHAR) || ' '
+    || CAST(window_end_ms * 1000000 AS VARCHAR) AS line
+FROM (SELECT (start_ms // 3600000 + 1) * 3600000 AS window_end_ms, driver_id,
+             SUM(CAST(tip AS DECIMAL(12,2))) AS s FROM fares_v GROUP BY 1, 2)""", "fares_v"))
+def q_datapoints(spark, sf_dir):
+    """Tips per driver and hour as keyed time-series points."""
+    t = tips_per_driver_hour(A.fares(spark, sf_dir)).withColumn("time_ms", ms("window_end"))
+    p = encode.datapoints(t, "tips", "time_ms", "sum_tips", key="driver_id")
+    return p.select("key", "time_ms", d("value").alias("value"), "line")

@@ -40,7 +40,7 @@ VIEWS: dict[str, str] = {
   FROM orders WHERE o_orderkey % 11 <> 0)""",
     "car_v": f"""car_v AS (
   SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS car_id, ts AS event_time,
-    epoch_ms(ts) AS event_ms,
+    (epoch_us(ts) // 1000) AS event_ms,
     {_lon('event_id', 7919)} AS longitude, {_lat('event_id', 104729)} AS latitude,
     CAST(value / CAST(10 AS DOUBLE) AS FLOAT) AS consumption,
     CAST(CASE WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) ELSE least(value, CAST(200 AS DOUBLE)) END AS FLOAT) AS speed,
@@ -48,23 +48,23 @@ VIEWS: dict[str, str] = {
     CAST(least(value, CAST(100 AS DOUBLE)) AS FLOAT) AS engineload
   FROM events)""",
     "trades_v": """trades_v AS (
-  SELECT epoch_ms(ts) AS trade_ms, ts AS trade_ts, user_id AS customer_id, CAST(event_id AS VARCHAR) AS trade_info
+  SELECT (epoch_us(ts) // 1000) AS trade_ms, ts AS trade_ts, user_id AS customer_id, CAST(event_id AS VARCHAR) AS trade_info
   FROM events WHERE event_type = 'purchase')""",
     "customers_v": """customers_v AS (
-  SELECT epoch_ms(ts) AS customer_ms, ts AS customer_ts, user_id AS customer_id,
+  SELECT (epoch_us(ts) // 1000) AS customer_ms, ts AS customer_ts, user_id AS customer_id,
          CAST(event_id AS VARCHAR) AS customer_info
   FROM events WHERE event_type = 'signup')""",
     "calls_v": """calls_v AS (
-  SELECT event_id AS call_id, user_id, epoch_ms(ts) AS timestamp,
+  SELECT event_id AS call_id, user_id, (epoch_us(ts) // 1000) AS timestamp,
     CAST(-74.10 AS DOUBLE) + (event_id*7919 % 1000)*CAST(0.0005 AS DOUBLE) AS longitude,
     CAST(40.45 AS DOUBLE) + (event_id*104729 % 1000)*CAST(0.0006 AS DOUBLE) AS latitude
   FROM events WHERE event_type = 'click')""",
     "timeline_v": """timeline_v AS (
-  SELECT event_id*2 AS seq, 'E' AS kind, epoch_ms(ts) AS time, user_id AS key,
+  SELECT event_id*2 AS seq, 'E' AS kind, (epoch_us(ts) // 1000) AS time, user_id AS key,
          CAST(CASE WHEN event_type = 'purchase' THEN 5 ELSE 4 END AS BIGINT) AS value
   FROM events
   UNION ALL
-  SELECT event_id*2 + 1, 'W', epoch_ms(ts), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM events)""",
+  SELECT event_id*2 + 1, 'W', (epoch_us(ts) // 1000), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM events)""",
 }
 
 # Views that other views are built on.

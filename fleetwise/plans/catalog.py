@@ -303,3 +303,129 @@ def q_datapoints(spark, sf_dir):
     t = tips_per_driver_hour(A.fares(spark, sf_dir)).withColumn("time_ms", ms("window_end"))
     p = encode.datapoints(t, "tips", "time_ms", "sum_tips", key="driver_id")
     return p.select("key", "time_ms", d("value").alias("value"), "line")
+
+
+# --- step 3: joins -------------------------------------------------------------------
+
+from fleetwise.operators import asof, nearest, ongoing, pairing  # noqa: E402
+
+PAIR_OUT_SQL = """r.ride_id, r.start_ms AS ride_start_ms, CAST(r.start_lon AS DOUBLE) AS ride_start_lon,
+  CAST(r.start_lat AS DOUBLE) AS ride_start_lat, CAST(r.passenger_cnt AS INTEGER) AS ride_passenger_cnt,
+  r.taxi_id AS ride_taxi_id, r.driver_id AS ride_driver_id, f.start_ms AS fare_start_ms,
+  f.payment_type AS fare_payment_type, CAST(f.tip AS DOUBLE) AS fare_tip, CAST(f.total_fare AS DOUBLE) AS fare_total"""
+
+
+def pair_out(df: DataFrame) -> DataFrame:
+    return df.select("ride_id", ms("ride_start_time").alias("ride_start_ms"),
+                     d("ride_start_lon").alias("ride_start_lon"), d("ride_start_lat").alias("ride_start_lat"),
+                     F.col("ride_passenger_cnt").cast("int").alias("ride_passenger_cnt"),
+                     "ride_taxi_id", "ride_driver_id", ms("fare_start_time").alias("fare_start_ms"),
+                     "fare_payment_type", d("fare_tip").alias("fare_tip"), d("fare_total_fare").alias("fare_total"))
+
+
+@register("q_rides_fares", with_views(f"""
+SELECT {PAIR_OUT_SQL} FROM rides_v r JOIN fares_v f ON r.ride_id = f.ride_id WHERE r.is_start""",
+                                      "rides_v", "fares_v"))
+def q_rides_fares(spark, sf_dir):
+    return pair_out(pairing.pair_rides_fares(A.rides(spark, sf_dir), A.fares(spark, sf_dir)))
+
+
+_EXP_R = "(SELECT * FROM rides_v WHERE is_start AND driver_id % 1000 <> 0)"
+
+
+@register("q_paired_rides", with_views(f"""
+SELECT {PAIR_OUT_SQL} FROM {_EXP_R} r JOIN fares_v f ON r.ride_id = f.ride_id AND r.start_ms = f.start_ms""",
+                                       "rides_v", "fares_v"))
+def q_paired_rides(spark, sf_dir):
+    return pair_out(pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir))[0])
+
+
+@register("q_solo_rides", with_views(f"""
+SELECT ride_id, start_ms AS ride_start_ms, taxi_id AS ride_taxi_id, driver_id AS ride_driver_id
+FROM {_EXP_R} r WHERE NOT EXISTS (SELECT 1 FROM fares_v f WHERE f.ride_id = r.ride_id AND f.start_ms = r.start_ms)""",
+                                     "rides_v", "fares_v"))
+def q_solo_rides(spark, sf_dir):
+    s = pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir))[1]
+    return s.select("ride_id", ms("ride_start_time").alias("ride_start_ms"), "ride_taxi_id", "ride_driver_id")
+
+
+@register("q_solo_fares", with_views(f"""
+SELECT ride_id, start_ms AS fare_start_ms, taxi_id AS fare_taxi_id, driver_id AS fare_driver_id,
+       CAST(tip AS DOUBLE) AS fare_tip
+FROM fares_v f WHERE NOT EXISTS (SELECT 1 FROM {_EXP_R} r WHERE f.ride_id = r.ride_id AND f.start_ms = r.start_ms)""",
+                                     "rides_v", "fares_v"))
+def q_solo_fares(spark, sf_dir):
+    s = pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir))[2]
+    return s.select("ride_id", ms("fare_start_time").alias("fare_start_ms"), "fare_taxi_id", "fare_driver_id",
+                    d("fare_tip").alias("fare_tip"))
+
+
+@register("q_trade_enrich", with_views("""
+SELECT t.trade_ms, t.customer_id, t.trade_info, c.customer_ms, c.customer_info
+FROM trades_v t LEFT JOIN customers_v c ON c.customer_id = t.customer_id AND c.customer_ts <= t.trade_ts
+QUALIFY row_number() OVER (PARTITION BY t.customer_id, t.trade_ts, t.trade_info
+                           ORDER BY c.customer_ts DESC NULLS LAST, c.customer_info DESC NULLS LAST) = 1""",
+                                       "trades_v", "customers_v"))
+def q_trade_enrich(spark, sf_dir):
+    e = asof.asof_join(A.trades(spark, sf_dir), A.customers(spark, sf_dir), "customer_id", "trade_time",
+                       "customer_time", ["customer_time", "customer_info"])
+    return e.select(ms("trade_time").alias("trade_ms"), "customer_id", "trade_info",
+                    ms("customer_time").alias("customer_ms"), "customer_info")
+
+
+def taxi_positions(rides: DataFrame) -> DataFrame:
+    """Latest END position of every taxi (the broadcast taxi state)."""
+    ends = rides.where(~F.col("is_start"))
+    last = status.latest_per_key(ends, "taxi_id", [F.col("event_time"), F.col("ride_id")])
+    return last.select("taxi_id", F.unix_millis("end_time").alias("timestamp"),
+                       F.col("end_lon").alias("longitude"), F.col("end_lat").alias("latitude"))
+
+
+@register("q_nearest_taxi", with_views(f"""
+, pos AS (SELECT taxi_id, end_ms AS taxi_timestamp, end_lon AS lon, end_lat AS lat FROM rides_v WHERE NOT is_start
+          QUALIFY row_number() OVER (PARTITION BY taxi_id ORDER BY end_ms DESC, ride_id DESC) = 1)
+SELECT c.call_id, c.user_id, c.timestamp, c.longitude, c.latitude, p.taxi_id, p.taxi_timestamp,
+       CAST(p.lon AS DOUBLE) AS taxi_longitude, CAST(p.lat AS DOUBLE) AS taxi_latitude,
+       round({dist_sql('c.longitude', 'c.latitude', 'p.lon', 'p.lat')}, 9) AS distance
+FROM calls_v c, pos p
+QUALIFY row_number() OVER (PARTITION BY c.call_id ORDER BY {dist_sql('c.longitude', 'c.latitude', 'p.lon', 'p.lat')},
+                           p.taxi_id) = 1""", "rides_v", "calls_v").replace("\n\n, pos", ",\npos").replace("\n, pos", ",\npos"))
+def q_nearest_taxi(spark, sf_dir):
+    pos = taxi_positions(A.rides(spark, sf_dir))
+    n = nearest.nearest_taxi(A.calls(spark, sf_dir), pos)
+    return n.select("call_id", "user_id", "timestamp", "longitude", "latitude", "taxi_id", "taxi_timestamp",
+                    d("taxi_longitude").alias("taxi_longitude"), d("taxi_latitude").alias("taxi_latitude"),
+                    F.round("distance", 9).alias("distance"))
+
+
+AT_MS = 1357300000000
+REQUESTS = [(5,), (30,), (60,)]
+
+OPEN_SQL = f"""SELECT s.ride_id, s.taxi_id, s.driver_id, s.start_ms, CAST(s.start_lon AS DOUBLE) AS start_lon,
+  CAST(s.start_lat AS DOUBLE) AS start_lat, CAST(s.passenger_cnt AS INTEGER) AS passenger_cnt
+FROM rides_v s WHERE s.is_start AND s.event_ms <= {AT_MS}
+  AND NOT EXISTS (SELECT 1 FROM rides_v e WHERE NOT e.is_start AND e.ride_id = s.ride_id AND e.event_ms <= {AT_MS})"""
+
+
+def open_out(df: DataFrame) -> DataFrame:
+    return df.select("ride_id", "taxi_id", "driver_id", ms("start_time").alias("start_ms"),
+                     d("start_lon").alias("start_lon"), d("start_lat").alias("start_lat"),
+                     F.col("passenger_cnt").cast("int").alias("passenger_cnt"))
+
+
+@register("q_open_rides", with_views(OPEN_SQL, "rides_v"))
+def q_open_rides(spark, sf_dir):
+    return open_out(ongoing.open_rides(A.rides(spark, sf_dir), AT_MS))
+
+
+@register("q_ongoing_rides", with_views(f"""
+SELECT {AT_MS} AS at_ms, r.during * 60000 AS during_ms, o.*
+FROM ({OPEN_SQL}) o, (VALUES {', '.join(f'({x[0]})' for x in REQUESTS)}) AS r(during)
+WHERE o.start_ms <= {AT_MS} - r.during * 60000""", "rides_v"))
+def q_ongoing_rides(spark, sf_dir):
+    req = spark.createDataFrame(REQUESTS, "during bigint")
+    o = ongoing.ongoing_for_requests(ongoing.open_rides(A.rides(spark, sf_dir), AT_MS), req, AT_MS)
+    return o.select(
+        "at_ms", "during_ms", "ride_id", "taxi_id", "driver_id", ms("start_time").alias("start_ms"),
+        d("start_lon").alias("start_lon"), d("start_lat").alias("start_lat"),
+        F.col("passenger_cnt").cast("int").alias("passenger_cnt"))

@@ -429,3 +429,82 @@ def q_ongoing_rides(spark, sf_dir):
         "at_ms", "during_ms", "ride_id", "taxi_id", "driver_id", ms("start_time").alias("start_ms"),
         d("start_lon").alias("start_lon"), d("start_lat").alias("start_lat"),
         F.col("passenger_cnt").cast("int").alias("passenger_cnt"))
+
+
+# --- step 4: segments and travel-time model ---------------------------------------
+
+from fleetwise.operators import segments, travel_time  # noqa: E402
+
+SEGMENT_GAP = "6 hours"
+SEGMENT_GAP_US = 6 * 3600 * 1_000_000
+_LABEL_SQL = """CASE CAST(trunc(CAST(e AS FLOAT) / CAST(2.5 AS FLOAT)) AS INTEGER) WHEN 0 THEN 'calm'
+  WHEN 1 THEN 'busy' ELSE 'crazy' END"""
+_SEG_STATS_SQL = f"""min(event_ms) AS start_ms, COUNT(*) AS length, CAST(trunc(max(speed)) AS INTEGER) AS max_speed,
+  stddev_pop(CAST(throttle AS DOUBLE)) AS e"""
+
+
+def segment_out(df: DataFrame, extra: list | None = None) -> DataFrame:
+    return df.select("car_id", ms("start_time").alias("start_ms"), "length", "max_speed",
+                     F.round("erraticness", 4).alias("erraticness"), "description", *(extra or []))
+
+
+@register("q_gap_segments", with_views(f"""
+SELECT car_id, start_ms, length, max_speed, round(e, 4) AS erraticness, {_LABEL_SQL} AS description FROM (
+  SELECT car_id, sid, {_SEG_STATS_SQL} FROM (
+    SELECT *, SUM(CASE WHEN prev IS NULL OR epoch_us(event_time) - epoch_us(prev) > {SEGMENT_GAP_US}
+                       THEN 1 ELSE 0 END)
+              OVER (PARTITION BY car_id ORDER BY event_time, id ROWS UNBOUNDED PRECEDING) AS sid
+    FROM (SELECT *, lag(event_time) OVER (PARTITION BY car_id ORDER BY event_time, id) AS prev FROM car_v))
+  GROUP BY car_id, sid)""", "car_v"))
+def q_gap_segments(spark, sf_dir):
+    return segment_out(segments.gap_segments(A.car_events(spark, sf_dir), SEGMENT_GAP))
+
+
+@register("q_stopped_segments", with_views(f"""
+SELECT car_id, start_ms, length, max_speed, round(e, 4) AS erraticness, {_LABEL_SQL} AS description,
+       stop_ms FROM (
+  SELECT car_id, prev_stop, {_SEG_STATS_SQL}, min(next_stop) // 1000 AS stop_ms FROM (
+    SELECT *,
+      max(CASE WHEN speed = 0 THEN epoch_us(event_time) END) OVER (PARTITION BY car_id ORDER BY event_time
+          RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_stop,
+      min(CASE WHEN speed = 0 THEN epoch_us(event_time) END) OVER (PARTITION BY car_id ORDER BY event_time
+          RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_stop
+    FROM car_v)
+  WHERE speed <> 0 AND next_stop IS NOT NULL AND (prev_stop IS NULL OR prev_stop <> epoch_us(event_time))
+  GROUP BY car_id, prev_stop)""", "car_v"))
+def q_stopped_segments(spark, sf_dir):
+    s = segments.stopped_segments(A.car_events(spark, sf_dir))
+    return segment_out(s, [ms("stop_time").alias("stop_ms")])
+
+
+_FEAT_SQL = f"""{angle_sql('start_lon', 'start_lat', 'end_lon', 'end_lat')} AS direction,
+  {dist_sql('start_lon', 'start_lat', 'end_lon', 'end_lat')} AS distance,
+  (end_ms - start_ms) / CAST(60000 AS DOUBLE) AS travel_min"""
+_MODEL_SQL = f"""SELECT CAST(trunc(direction / 45) AS INTEGER) AS bucket, COUNT(*) AS n,
+    SUM(distance * distance) AS sxx, SUM(distance * travel_min) AS sxy
+  FROM (SELECT {_FEAT_SQL} FROM rides_v
+        WHERE NOT is_start AND {nyc_sql('start_lon', 'start_lat')} AND {nyc_sql('end_lon', 'end_lat')})
+  GROUP BY 1"""
+
+
+@register("q_travel_time_model", with_views(f"""
+SELECT bucket, n, round(sxx, 4) AS sxx, round(sxy, 4) AS sxy,
+       round(CASE WHEN n >= 2 AND abs(sxx) >= 4.9e-323 THEN sxy / sxx END, 9) AS slope
+FROM ({_MODEL_SQL})""", "rides_v"))
+def q_travel_time_model(spark, sf_dir):
+    m = travel_time.train(A.rides(spark, sf_dir))
+    return m.select("bucket", "n", F.round("sxx", 4).alias("sxx"), F.round("sxy", 4).alias("sxy"),
+                    F.round("slope", 9).alias("slope"))
+
+
+@register("q_travel_time_predict", with_views(f"""
+SELECT r.ride_id, r.direction, round(r.distance, 9) AS distance,
+       COALESCE(CAST(trunc(m.slope * r.distance) AS INTEGER), -1) AS predicted_min
+FROM (SELECT ride_id, {_FEAT_SQL} FROM rides_v
+      WHERE is_start AND {nyc_sql('start_lon', 'start_lat')} AND {nyc_sql('end_lon', 'end_lat')}) r
+LEFT JOIN (SELECT bucket, CASE WHEN n >= 2 AND abs(sxx) >= 4.9e-323 THEN sxy / sxx END AS slope
+           FROM ({_MODEL_SQL})) m ON m.bucket = CAST(trunc(r.direction / 45) AS INTEGER)""", "rides_v"))
+def q_travel_time_predict(spark, sf_dir):
+    r = A.rides(spark, sf_dir)
+    p = travel_time.predict(r, travel_time.train(r))
+    return p.select("ride_id", "direction", F.round("distance", 9).alias("distance"), "predicted_min")

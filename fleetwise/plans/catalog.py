@@ -508,3 +508,60 @@ def q_travel_time_predict(spark, sf_dir):
     r = A.rides(spark, sf_dir)
     p = travel_time.predict(r, travel_time.train(r))
     return p.select("ride_id", "direction", F.round("distance", 9).alias("distance"), "predicted_min")
+
+
+# --- step 5: rules and control -----------------------------------------------------
+
+from fleetwise.operators import rules as rules_op, toggle  # noqa: E402
+
+# Rule table of the registered query: Spark SQL predicates over the latest
+# status of every taxi (snake_case columns, ``watermark`` in epoch ms).
+RULES = [
+    (1, "passenger_count >= 4 AND NOT is_start"),
+    (2, "timestamp <= watermark - 3600000"),
+    (3, "no_such_column > 1"),
+]
+# The same predicates in the oracle's SQL dialect (rule 3 is rejected).
+RULES_ORACLE = {1: "passenger_count >= 4 AND NOT is_start", 2: "timestamp <= watermark - 3600000"}
+
+
+def _latest_status(spark, sf_dir):
+    rides = A.rides(spark, sf_dir)
+    return rides, status.ride_status(status.latest_by_taxi(rides))
+
+
+@register("q_rules_engine", with_views(f"""
+, st AS ({STATUS_SQL}, (SELECT max(event_ms) - 1 FROM rides_v) AS watermark FROM rides_v
+         QUALIFY row_number() OVER (PARTITION BY taxi_id ORDER BY event_ms DESC, is_start ASC, ride_id DESC) = 1)
+""".strip() + "\n" + "\nUNION ALL\n".join(
+    f"SELECT CAST({i} AS BIGINT) AS rule_id, ride_id, taxi_id, driver_id, is_start, longitude, latitude, timestamp, "
+    f"passenger_count FROM st WHERE {c}" for i, c in RULES_ORACLE.items()), "rides_v").replace(",\n, st", ",\nst"))
+def q_rules_engine(spark, sf_dir):
+    rides, st = _latest_status(spark, sf_dir)
+    wm = rides.agg(F.max(F.unix_millis("event_time"))).first()[0] - 1  # ride-side watermark
+    rules = spark.createDataFrame(RULES, "rule_id bigint, condition string")
+    matches, _ = rules_op.evaluate_rules(st, rules, wm)
+    return matches.select("rule_id", *status_out(matches).columns).select(
+        "rule_id", "ride_id", "taxi_id", "driver_id", "is_start", d("longitude").alias("longitude"),
+        d("latitude").alias("latitude"), "timestamp", F.col("passenger_count").cast("int").alias("passenger_count"))
+
+
+def day_controls(spark, sf_dir) -> DataFrame:
+    """Control elements: the first event of every day (value = its id)."""
+    e = read_table(spark, sf_dir, "events")
+    first = e.groupBy(F.date_trunc("day", "ts").alias("day")).agg(
+        F.min_by(F.struct("ts", "event_id"), F.struct("ts", "event_id")).alias("f"))
+    return first.select(F.col("f.ts").alias("time"), F.col("f.event_id").alias("value"))
+
+
+@register("q_toggle_broadcast", """
+WITH c AS (SELECT ts AS ctime, event_id AS cvalue FROM events
+           QUALIFY row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY ts, event_id) = 1),
+k AS (SELECT user_id AS key, ts FROM events WHERE event_type = 'view')
+SELECT epoch_us(c.ctime) // 1000 AS control_ms, c.cvalue AS control_value, k.key
+FROM c JOIN k ON k.ts <= c.ctime GROUP BY c.ctime, c.cvalue, k.key HAVING COUNT(*) % 2 = 1""")
+def q_toggle_broadcast(spark, sf_dir):
+    keyed = read_table(spark, sf_dir, "events").where(F.col("event_type") == "view").select(
+        F.col("user_id").alias("key"), F.col("ts").alias("time"))
+    out = toggle.apply_controls(keyed, day_controls(spark, sf_dir))
+    return out.select(ms("control_time").alias("control_ms"), "control_value", "key")

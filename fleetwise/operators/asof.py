@@ -42,3 +42,30 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     s = carry_last(u, ["_k"], order, F.col("_r"), "_match", bucket)
     out = s.where(F.col("_side") == 1).select("_l.*", *[F.col("_match." + c).alias(c) for c in right_cols])
     return out
+
+
+def asof_numeric(left: DataFrame, right: DataFrame, keys: list[str], left_t: str, right_t: str,
+                 payload: list[str], bucket_width: float, strict: bool = False,
+                 forward: bool = False, out_prefix: str = "") -> DataFrame:
+    """Numeric as-of lookup: every left row gets ``payload`` columns of the right
+    row with the largest ``right_t <= left_t`` (``<`` when ``strict``) in the same
+    ``keys``; with ``forward`` the smallest ``right_t >= left_t`` (``>``) instead.
+    Ties between right rows on the order value go to the larger payload.
+    """
+    sign = -1 if forward else 1
+    lcols = left.columns
+    pl = F.struct(*[F.col(c) for c in payload])
+    ptype = right.select(pl.alias("p")).schema["p"].dataType
+    ltype = left.select(F.struct(*lcols).alias("s")).schema["s"].dataType
+    # right rows sort before left rows on equal values unless the match is strict
+    r_side, l_side = (1, 0) if strict else (0, 1)
+    l = left.select(*[F.col(k).alias("_k_" + k) for k in keys], (F.col(left_t) * sign).alias("_t"),
+                    F.lit(l_side).alias("_side"), F.struct(*lcols).alias("_l"), F.lit(None).cast(ptype).alias("_p"))
+    r = right.select(*[F.col(k).alias("_k_" + k) for k in keys], (F.col(right_t) * sign).alias("_t"),
+                     F.lit(r_side).alias("_side"), F.lit(None).cast(ltype).alias("_l"), pl.alias("_p"))
+    u = l.unionByName(r)
+    ks = ["_k_" + k for k in keys]
+    s = carry_last(u, ks, [F.col("_t"), F.col("_side"), F.col("_p")], F.col("_p"), "_m",
+                   F.floor(F.col("_t") / F.lit(bucket_width)))
+    return s.where(F.col("_side") == l_side).select(
+        "_l.*", *[F.col("_m." + c).alias(out_prefix + c) for c in payload])

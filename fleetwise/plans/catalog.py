@@ -565,3 +565,123 @@ def q_toggle_broadcast(spark, sf_dir):
         F.col("user_id").alias("key"), F.col("ts").alias("time"))
     out = toggle.apply_controls(keyed, day_controls(spark, sf_dir))
     return out.select(ms("control_time").alias("control_ms"), "control_value", "key")
+
+
+# --- step 6: route cells, early-firing windows -------------------------------------
+
+from fleetwise.operators import routes  # noqa: E402
+
+
+def _gx(lon):
+    return f"CAST(floor((CAST(74.05 AS DOUBLE) - CAST(abs({lon}) AS DOUBLE)) / CAST(0.0014 AS DOUBLE)) AS BIGINT)"
+
+
+def _gy(lat):
+    return f"CAST(floor((CAST(41.0 AS DOUBLE) - CAST({lat} AS DOUBLE)) / CAST(0.00125 AS DOUBLE)) AS BIGINT)"
+
+
+ROUTE_SQL = f"""WITH RECURSIVE {{views}},
+g AS (SELECT ride_id, {_gx('start_lon')} AS x1, {_gy('start_lat')} AS y1, {_gx('end_lon')} AS x2,
+             {_gy('end_lat')} AS y2
+      FROM rides_v WHERE is_start AND {nyc_sql('start_lon', 'start_lat')} AND {nyc_sql('end_lon', 'end_lat')}),
+o AS (SELECT ride_id, CASE WHEN x1 <= x2 THEN x1 ELSE x2 END AS sx, CASE WHEN x1 <= x2 THEN y1 ELSE y2 END AS sy,
+             CASE WHEN x1 <= x2 THEN x2 ELSE x1 END AS ex, CASE WHEN x1 <= x2 THEN y2 ELSE y1 END AS ey FROM g),
+walk(ride_id, sx, sy, ex, ey, slope, cx, cy) AS (
+  SELECT ride_id, sx, sy, ex, ey, (ey - sy) / ((ex - sx) + CAST(0.00000001 AS DOUBLE)), sx, sy FROM o
+  UNION ALL
+  SELECT ride_id, sx, sy, ex, ey, slope,
+    CASE WHEN slope > 0 THEN (CASE WHEN diag OR yp < cy THEN cx + 1 ELSE cx END)
+         ELSE (CASE WHEN yp > cy - CAST(diag AS BIGINT) THEN cx + CAST(diag AS BIGINT) + 1
+                    ELSE cx + CAST(diag AS BIGINT) END) END,
+    CASE WHEN slope > 0 THEN (CASE WHEN diag THEN cy + 1 WHEN yp < cy THEN cy ELSE cy + 1 END)
+         ELSE (CASE WHEN yp > cy - CAST(diag AS BIGINT) THEN cy - CAST(diag AS BIGINT)
+                    ELSE cy - CAST(diag AS BIGINT) - 1 END) END
+  FROM (SELECT *, yp > cy - CAST(0.05 AS DOUBLE) AND yp < cy + CAST(0.05 AS DOUBLE) AS diag
+        FROM (SELECT *, CASE WHEN slope > 0 THEN (cx - sx + CAST(0.5 AS DOUBLE)) * slope + sy - CAST(0.5 AS DOUBLE)
+                             ELSE (cx - sx + CAST(0.5 AS DOUBLE)) * slope + sy + CAST(0.5 AS DOUBLE) END AS yp
+              FROM walk WHERE cx < ex OR cy <> ey) a) b)
+SELECT CAST(cx + cy * 250 AS INTEGER) AS cell_id, COUNT(*) AS n_passes FROM walk GROUP BY 1"""
+
+
+def _route_oracle() -> str:
+    from fleetwise.plans.oracle_views import VIEWS
+    return ROUTE_SQL.replace("{views}", VIEWS["rides_v"])
+
+
+@register("q_route_cells", _route_oracle())
+def q_route_cells(spark, sf_dir):
+    return routes.route_traffic(A.rides(spark, sf_dir))
+
+
+from fleetwise.operators import early  # noqa: E402
+
+EARLY_SIZE_MS = 6 * 3_600_000     # tumbling window of the early-tumbling query
+EARLY_GAP_MS = 6 * 3_600_000      # session gap of the early-session query
+FINISH = 5
+
+_TL_SQL = """t AS (SELECT *, max(CASE WHEN kind = 'W' THEN time END)
+                    OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wm FROM timeline_v),
+levels AS (SELECT wm AS lvl, min(seq) AS gseq FROM t WHERE kind = 'W' GROUP BY wm)"""
+
+
+@register("q_early_tumbling", with_views(f"""
+WITH {_TL_SQL},
+e AS (SELECT *, (time // {EARLY_SIZE_MS}) * {EARLY_SIZE_MS} AS ws,
+             (time // {EARLY_SIZE_MS}) * {EARLY_SIZE_MS} + {EARLY_SIZE_MS} AS window_end
+      FROM t WHERE kind = 'E'),
+ok AS (SELECT * FROM e WHERE wm IS NULL OR window_end - 1 > wm),
+fin AS (SELECT key, window_end, SUM(value) AS total FROM ok GROUP BY key, window_end)
+SELECT key, window_end, COALESCE(wm, -9223372036854775808) AS fired_at,
+       SUM(value) OVER (PARTITION BY key, ws ORDER BY seq ROWS UNBOUNDED PRECEDING) AS total, false AS is_final
+FROM ok QUALIFY (time // 1000) % 2 = 0
+UNION ALL
+SELECT key, window_end, fired_at, total, window_end <= fired_at AS is_final FROM (
+  SELECT key, window_end, total,
+         COALESCE((SELECT min(lvl) FROM levels WHERE lvl >= window_end - 1), 9223372036854775807) AS fired_at
+  FROM fin)""", "timeline_v"))
+def q_early_tumbling(spark, sf_dir):
+    r = early.early_tumbling(A.element_timeline(spark, sf_dir), EARLY_SIZE_MS)
+    return r.select("key", "window_end", "fired_at", F.col("total").cast("bigint").alias("total"), "is_final")
+
+
+@register("q_early_session", with_views(f"""
+WITH {_TL_SQL},
+e0 AS (SELECT * FROM t WHERE kind = 'E' AND (wm IS NULL OR time + {EARLY_GAP_MS} - 1 > wm)),
+e AS (SELECT *, max(CASE WHEN prev IS NULL OR time - prev > {EARLY_GAP_MS} THEN time END)
+                OVER (PARTITION BY key ORDER BY time, seq ROWS UNBOUNDED PRECEDING) AS sid
+      FROM (SELECT *, lag(time) OVER (PARTITION BY key ORDER BY time, seq) AS prev FROM e0)),
+checks AS (SELECT key, sid, greatest(time, COALESCE(wm + 1, time)) AS thr FROM e WHERE value = {FINISH}
+           UNION ALL SELECT key, sid, max(time) + {EARLY_GAP_MS} - 1 FROM e GROUP BY key, sid),
+looked AS (SELECT key, sid, (SELECT min(lvl) FROM levels WHERE lvl >= thr) AS lvl FROM checks),
+fired AS (SELECT key, sid, COALESCE(l.gseq, 9223372036854775807) AS g,
+                 min(COALESCE(k.lvl, 9223372036854775807)) AS fired_at
+          FROM looked k LEFT JOIN levels l ON l.lvl = k.lvl GROUP BY 1, 2, 3),
+counted AS (SELECT f.key, f.sid, f.g, f.fired_at, COUNT(*) AS n, max(e.time) AS tmax,
+                   string_agg(CAST(e.value AS VARCHAR), ',' ORDER BY (e.value = {FINISH}), e.seq) AS vals
+            FROM fired f JOIN e ON e.key = f.key AND e.sid = f.sid AND e.seq < f.g GROUP BY 1, 2, 3, 4)
+SELECT key, tmax + {EARLY_GAP_MS} AS window_end, fired_at, n, vals AS "values",
+       tmax + {EARLY_GAP_MS} <= fired_at AS is_final
+FROM counted
+QUALIFY n > COALESCE(lag(n) OVER (PARTITION BY key, sid ORDER BY g), 0)""", "timeline_v"))
+def q_early_session(spark, sf_dir):
+    r = early.early_session(A.element_timeline(spark, sf_dir), EARLY_GAP_MS, FINISH)
+    return r.select("key", "window_end", "fired_at", "n", F.array_join("values", ",").alias("values"), "is_final")
+
+
+@register("q_finish_ordered_list", with_views(f"""
+WITH e AS (SELECT *, max(CASE WHEN prev IS NULL OR time - prev > {EARLY_GAP_MS} THEN time END)
+                OVER (PARTITION BY key ORDER BY time, seq ROWS UNBOUNDED PRECEDING) AS sid
+      FROM (SELECT *, lag(time) OVER (PARTITION BY key ORDER BY time, seq) AS prev
+            FROM timeline_v WHERE kind = 'E'))
+SELECT key, sid AS session_start, max(time) + {EARLY_GAP_MS} AS session_end, COUNT(*) AS n,
+       string_agg(CAST(value AS VARCHAR), ',' ORDER BY (value = {FINISH}), seq) AS "values"
+FROM e GROUP BY key, sid""", "timeline_v"))
+def q_finish_ordered_list(spark, sf_dir):
+    """Finish-ordered list per key and session (gap 6 h): the aggregate alone,
+    over whole sessions."""
+    e = A.element_timeline(spark, sf_dir).where(F.col("kind") == "E")
+    s = early.sessions(e, EARLY_GAP_MS, 3_600_000.0)
+    g = s.groupBy("key", "sid").agg(F.max("time").alias("tmax"), F.count(F.lit(1)).alias("n"),
+                                    early.finish_ordered(F.collect_list(F.struct("seq", "value"))).alias("v"))
+    return g.select("key", F.col("sid").alias("session_start"), (F.col("tmax") + EARLY_GAP_MS).alias("session_end"),
+                    "n", F.array_join("v", ",").alias("values"))

@@ -37,60 +37,73 @@ def _tokens(value: Column, sep: str) -> Column:
     return F.split(F.regexp_replace(value, f"({sep})+$", ""), sep)
 
 
-def _num(tok: Column, typ: str, empty_zero: bool) -> tuple[Column, Column]:
-    """(value, ok) for a numeric token; empty -> 0 when allowed."""
+def _num(tok: Column, typ: str, empty_zero: bool) -> Column:
+    """Numeric token; empty -> 0 when allowed; null when unparsable."""
     parsed = tok.try_cast(typ)
     if empty_zero:
-        v = F.when(F.length(tok) == 0, F.lit(0).cast(typ)).otherwise(parsed)
-    else:
-        v = parsed
-    return v, v.isNotNull()
+        return F.when(F.length(tok) == 0, F.lit(0).cast(typ)).otherwise(parsed)
+    return parsed
 
 
 def _time(tok: Column, fmt: str) -> Column:
     return F.try_to_timestamp(tok, F.lit(fmt))
 
 
-def _finish(df: DataFrame, valid: str, out_cols: list[str], mode: str, what: str):
+def _finish(df: DataFrame, n_fields: int, required: list[str], out_cols: list[str], mode: str, what: str):
+    """Validity from the parsed columns, then the mode's handling of invalid lines.
+
+    Rows are selected by a generator over a one-element array (``inline`` of
+    ``array(struct)`` when valid, nothing otherwise) rather than a filter: a
+    filter on parsed columns would be pushed below the parsing projection and
+    repeat every field's parse in the predicate.
+    """
+    valid = F.size("_tok") == n_fields
+    for c in required:
+        valid = valid & F.col(c).isNotNull()
+    df = df.withColumn("_valid", F.coalesce(valid, F.lit(False)))
+    row = F.array(F.struct(*[F.col(c) for c in out_cols]))
     if mode == "failfast":
-        checked = df.withColumn("_chk", F.when(~F.col(valid), F.raise_error(
-            F.concat(F.lit(f"Invalid {what} record: "), F.col("value")))))
-        return checked.where(F.col("_chk").isNull() | F.col(valid)).select(*out_cols)
+        bad = F.raise_error(F.concat(F.lit(f"Invalid {what} record: "), F.col("value")))
+        return df.select(F.inline(F.when(F.col("_valid"), row).otherwise(bad)))
+    good = df.select(F.inline(F.when(F.col("_valid"), row)))
     if mode == "drop":
-        return df.where(F.col(valid)).select(*out_cols)
+        return good
     if mode == "split":
-        return df.where(F.col(valid)).select(*out_cols), df.where(~F.col(valid)).select("value")
+        return good, df.select(F.inline(F.when(~F.col("_valid"), F.array(F.struct("value")))))
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def _with_tokens(lines: DataFrame, sep: str) -> DataFrame:
+    # The token array is its own projection, so each field refers to one
+    # computed array instead of repeating the split in every field expression
+    # (which would also overflow the generated method size).
+    return lines.select("value", _tokens(F.col("value"), sep).alias("_tok"))
+
+
+RIDE_COLS = ["ride_id", "is_start", "start_time", "end_time", "start_lon", "start_lat", "end_lon", "end_lat",
+             "passenger_cnt", "taxi_id", "driver_id", "event_time"]
+
+
 def parse_ride_lines(lines: DataFrame, mode: str = "failfast"):
-    t = _tokens(F.col("value"), ",")
-    tok = [F.get(t, i) for i in range(RIDE_FIELDS)]
+    b = _with_tokens(lines, ",")
+    tok = [F.get(F.col("_tok"), i) for i in range(RIDE_FIELDS)]
     kind = tok[1]
-    is_start = F.when(kind == "START", F.lit(True)).when(kind == "END", F.lit(False))
-    t2, t3 = _time(tok[2], RIDE_TIME_FMT), _time(tok[3], RIDE_TIME_FMT)
-    ride_id, ok0 = _num(tok[0], "bigint", False)
-    slon, ok4 = _num(tok[4], "float", True)
-    slat, ok5 = _num(tok[5], "float", True)
-    elon, ok6 = _num(tok[6], "float", True)
-    elat, ok7 = _num(tok[7], "float", True)
-    pcnt, ok8 = _num(tok[8], "smallint", False)
-    taxi, ok9 = _num(tok[9], "bigint", False)
-    drv, ok10 = _num(tok[10], "bigint", False)
-    valid = ((F.size(t) == RIDE_FIELDS) & ok0 & is_start.isNotNull() & t2.isNotNull() & t3.isNotNull()
-             & ok4 & ok5 & ok6 & ok7 & ok8 & ok9 & ok10)
-    df = lines.select(
-        "value",
-        ride_id.alias("ride_id"), is_start.alias("is_start"),
-        F.when(is_start, t2).otherwise(t3).alias("start_time"),
-        F.when(is_start, t3).otherwise(t2).alias("end_time"),
-        slon.alias("start_lon"), slat.alias("start_lat"), elon.alias("end_lon"), elat.alias("end_lat"),
-        pcnt.alias("passenger_cnt"), taxi.alias("taxi_id"), drv.alias("driver_id"),
-        F.coalesce(valid, F.lit(False)).alias("_valid"),
-    ).withColumn("event_time", F.when(F.col("is_start"), F.col("start_time")).otherwise(F.col("end_time")))
-    cols = ["ride_id", "is_start", "start_time", "end_time", "start_lon", "start_lat", "end_lon", "end_lat",
-            "passenger_cnt", "taxi_id", "driver_id", "event_time"]
-    return _finish(df, "_valid", cols, mode, "ride")
+    b = b.select(
+        "value", "_tok",
+        _num(tok[0], "bigint", False).alias("ride_id"),
+        F.when(kind == "START", F.lit(True)).when(kind == "END", F.lit(False)).alias("is_start"),
+        _time(tok[2], RIDE_TIME_FMT).alias("_t2"), _time(tok[3], RIDE_TIME_FMT).alias("_t3"),
+        _num(tok[4], "float", True).alias("start_lon"), _num(tok[5], "float", True).alias("start_lat"),
+        _num(tok[6], "float", True).alias("end_lon"), _num(tok[7], "float", True).alias("end_lat"),
+        _num(tok[8], "smallint", False).alias("passenger_cnt"),
+        _num(tok[9], "bigint", False).alias("taxi_id"), _num(tok[10], "bigint", False).alias("driver_id"))
+    s = F.col("is_start")
+    b = (b.withColumn("start_time", F.when(s, F.col("_t2")).otherwise(F.col("_t3")))
+         .withColumn("end_time", F.when(s, F.col("_t3")).otherwise(F.col("_t2")))
+         .withColumn("event_time", F.col("_t2")))
+    req = ["ride_id", "is_start", "_t2", "_t3", "start_lon", "start_lat", "end_lon", "end_lat", "passenger_cnt",
+           "taxi_id", "driver_id"]
+    return _finish(b, RIDE_FIELDS, req, RIDE_COLS, mode, "ride")
 
 
 def format_ride_lines(rides: DataFrame) -> DataFrame:
@@ -107,25 +120,22 @@ def format_ride_lines(rides: DataFrame) -> DataFrame:
     return rides.select("ride_id", line.alias("value"))
 
 
+FARE_COLS = ["ride_id", "taxi_id", "driver_id", "start_time", "payment_type", "tip", "tolls", "total_fare",
+             "event_time"]
+
+
 def parse_fare_lines(lines: DataFrame, mode: str = "failfast"):
-    t = _tokens(F.col("value"), ",")
-    tok = [F.get(t, i) for i in range(FARE_FIELDS)]
-    ride_id, ok0 = _num(tok[0], "bigint", False)
-    taxi, ok1 = _num(tok[1], "bigint", False)
-    drv, ok2 = _num(tok[2], "bigint", False)
-    st = _time(tok[3], RIDE_TIME_FMT)
-    tip, ok5 = _num(tok[5], "float", True)
-    tolls, ok6 = _num(tok[6], "float", True)
-    total, ok7 = _num(tok[7], "float", True)
-    valid = (F.size(t) == FARE_FIELDS) & ok0 & ok1 & ok2 & st.isNotNull() & ok5 & ok6 & ok7
-    df = lines.select(
-        "value", ride_id.alias("ride_id"), taxi.alias("taxi_id"), drv.alias("driver_id"),
-        st.alias("start_time"), tok[4].alias("payment_type"), tip.alias("tip"), tolls.alias("tolls"),
-        total.alias("total_fare"), F.coalesce(valid, F.lit(False)).alias("_valid"),
+    b = _with_tokens(lines, ",")
+    tok = [F.get(F.col("_tok"), i) for i in range(FARE_FIELDS)]
+    b = b.select(
+        "value", "_tok",
+        _num(tok[0], "bigint", False).alias("ride_id"), _num(tok[1], "bigint", False).alias("taxi_id"),
+        _num(tok[2], "bigint", False).alias("driver_id"), _time(tok[3], RIDE_TIME_FMT).alias("start_time"),
+        tok[4].alias("payment_type"), _num(tok[5], "float", True).alias("tip"),
+        _num(tok[6], "float", True).alias("tolls"), _num(tok[7], "float", True).alias("total_fare"),
     ).withColumn("event_time", F.col("start_time"))
-    cols = ["ride_id", "taxi_id", "driver_id", "start_time", "payment_type", "tip", "tolls", "total_fare",
-            "event_time"]
-    return _finish(df, "_valid", cols, mode, "fare")
+    req = ["ride_id", "taxi_id", "driver_id", "start_time", "tip", "tolls", "total_fare"]
+    return _finish(b, FARE_FIELDS, req, FARE_COLS, mode, "fare")
 
 
 def format_fare_lines(fares: DataFrame) -> DataFrame:
@@ -142,21 +152,18 @@ CAR_POS = {"car_id": 0, "id": 1, "consumption": 7, "speed": 9, "throttle": 12, "
            "longitude": 20, "latitude": 21, "time": 22}
 
 
-def parse_car_lines(lines: DataFrame, mode: str = "failfast"):
-    t = _tokens(F.col("value"), CAR_SEPARATOR)
-    tok = lambda name: F.get(t, CAR_POS[name])
-    et = _time(tok("time"), CAR_TIME_FMT)
-    nums = {n: _num(tok(n), "float", True) for n in ("longitude", "latitude", "consumption", "speed",
-                                                      "throttle", "engineload")}
-    valid = (F.size(t) == CAR_FIELDS) & et.isNotNull()
-    for _, ok in nums.values():
-        valid = valid & ok
-    df = lines.select("value", tok("id").alias("id"), tok("car_id").alias("car_id"), et.alias("event_time"),
-                      *[v.alias(n) for n, (v, _) in nums.items()],
-                      F.coalesce(valid, F.lit(False)).alias("_valid"))
-    cols = ["id", "car_id", "event_time", "longitude", "latitude", "consumption", "speed", "throttle",
+CAR_COLS = ["id", "car_id", "event_time", "longitude", "latitude", "consumption", "speed", "throttle",
             "engineload"]
-    return _finish(df, "_valid", cols, mode, "car event")
+CAR_NUMS = ("longitude", "latitude", "consumption", "speed", "throttle", "engineload")
+
+
+def parse_car_lines(lines: DataFrame, mode: str = "failfast"):
+    b = _with_tokens(lines, CAR_SEPARATOR)
+    tok = lambda name: F.get(F.col("_tok"), CAR_POS[name])
+    b = b.select("value", "_tok", tok("id").alias("id"), tok("car_id").alias("car_id"),
+                 _time(tok("time"), CAR_TIME_FMT).alias("event_time"),
+                 *[_num(tok(n), "float", True).alias(n) for n in CAR_NUMS])
+    return _finish(b, CAR_FIELDS, ["event_time", *CAR_NUMS], CAR_COLS, mode, "car event")
 
 
 def format_car_lines(cars: DataFrame, filler: str = "") -> DataFrame:

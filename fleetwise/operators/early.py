@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from fleetwise.operators.asof import asof_numeric
 from fleetwise.operators.scan import carry_last, running_agg
+from fleetwise.session import checkpoint_dir
 
 LONG_MIN = -9223372036854775808
 LONG_MAX = 9223372036854775807
@@ -101,12 +102,18 @@ def sessions(elements: DataFrame, gap_ms: int, time_bucket: float) -> DataFrame:
 
 def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, seq_bucket: int = 1 << 20,
                   time_bucket: float = 3_600_000.0) -> DataFrame:
-    """Rows ``key, window_end, fired_at, n, values (list), is_final``."""
-    tl = with_watermark(timeline, seq_bucket)
+    """Rows ``key, window_end, fired_at, n, values (list), is_final``.
+
+    The watermarked timeline and the sessionised elements feed several
+    branches; each is written once to the shared checkpoint folder instead of
+    being recomputed per branch (this also cuts the lineage for recovery).
+    """
+    checkpoint_dir(timeline.sparkSession)
+    tl = with_watermark(timeline, seq_bucket).checkpoint(eager=True)
     levels = watermark_levels(tl)
     e = tl.where((F.col("kind") == "E")
                  & (F.col("wm").isNull() | (F.col("time") + F.lit(gap_ms) - 1 > F.col("wm"))))
-    e = sessions(e, gap_ms, time_bucket)
+    e = sessions(e, gap_ms, time_bucket).checkpoint(eager=True)
     # firing checks: finish elements and session ends
     fin_checks = e.where(F.col("value") == finish).select(
         "key", "sid", F.greatest(F.col("time"), F.coalesce(F.col("wm") + 1, F.col("time"))).alias("thr"))

@@ -36,6 +36,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
+    if "spark.checkpoint.dir" not in conf and master.startswith("local"):
+        # local runs only: a scratch folder stands in for the cluster's shared one
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="fleetwise-ckpt-")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -46,12 +49,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (tests, local runs) a scratch folder is
-    created and recorded in the session, so later calls agree.
+    The folder already registered with the context wins; then the session
+    setting.  Only when neither exists (tests, local runs) a scratch folder is
+    created and registered with the context.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="fleetwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc._jsc.sc().getCheckpointDir().get()

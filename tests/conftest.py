@@ -13,9 +13,8 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     from fleetwise.session import build_session
     s = build_session(master="local[4]", shuffle_partitions=8, app_name="fleetwise-tests",
-                      extra={"spark.driver.memory": "4g"})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fleetwise-test-ckpt-"))
+                      extra={"spark.driver.memory": "4g",
+                                                    "spark.checkpoint.dir": tempfile.mkdtemp(prefix="fleetwise-test-")})
     yield s
 
 

@@ -136,7 +136,7 @@ def register_sql_functions(spark) -> None:
                           * CAST(-1.0 AS FLOAT) AS FLOAT),
               'lat', CAST({LAT_NORTH}D - CAST((cell - cell % {GRID_X}) / {GRID_X} AS INT) * {DELTA_LAT}D
                           - {DELTA_LAT / 2}D AS FLOAT))""",
-        """CREATE OR REPLACE TEMPORARY FUNCTION time_diff(first TIMESTAMP, second TIMESTAMP) RETURNS BIGINT
+        """CREATE OR REPLACE TEMPORARY FUNCTION time_diff_ms(first TIMESTAMP, second TIMESTAMP) RETURNS BIGINT
             RETURN unix_millis(second) - unix_millis(first)""",
     ]
     for s in stmts:

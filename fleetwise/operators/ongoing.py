@@ -3,8 +3,9 @@
 State of a ride: a START opens it, an END of the same ride closes it.  As of
 time ``at`` a ride is open when its START happened at or before ``at`` and no
 END of it happened at or before ``at`` (an END that arrives before its START
-also closes the ride here).  This is an anti-join on ``ride_id`` - both sides
-are hash-partitioned on the ride id, no per-key state is gathered.
+also closes the ride here).  One scan and one partially aggregated group-by
+on ``ride_id``: each task keeps at most one START candidate and one "closed"
+flag per ride before the shuffle.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ ONGOING_COLS = ["ride_id", "taxi_id", "driver_id", "start_time", "start_lon", "s
 def open_rides(rides: DataFrame, at_ms: int) -> DataFrame:
     """Ride summaries (id, taxi, driver, start time/point, passengers) open at ``at_ms``."""
     at = F.timestamp_millis(F.lit(at_ms))
-    starts = rides.where(F.col("is_start") & (F.col("event_time") <= at))
-    ends = rides.where(~F.col("is_start") & (F.col("event_time") <= at)).select("ride_id")
-    return starts.join(ends, "ride_id", "left_anti").select(*ONGOING_COLS)
+    r = rides.where(F.col("event_time") <= at)
+    g = r.groupBy("ride_id").agg(
+        F.max_by(F.struct(*ONGOING_COLS), F.when(F.col("is_start"), F.col("event_time"))).alias("s"),
+        F.max(F.when(~F.col("is_start"), F.lit(1))).alias("closed"))
+    return g.where(F.col("s").isNotNull() & F.col("closed").isNull()).select("s.*")
 
 
 def ongoing_for_requests(open_: DataFrame, requests: DataFrame, at_ms: int) -> DataFrame:

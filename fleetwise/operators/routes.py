@@ -1,10 +1,11 @@
 """Route traffic: the grid cells a straight path crosses, counted per cell.
 
-The cell walk is a small data-dependent loop per row.  It runs as an
-Arrow-batched pandas UDF in which numpy advances *all* rows of a batch one
-step at a time, so the Python cost is per step of the longest path in the
-batch, not per row.  Spark partitions the rows, explodes the cell lists and
-counts per cell with a partially aggregated group-by.
+The cell walk is a small data-dependent loop per row.  It runs on Arrow
+batches in which numpy advances *all* live rows of a batch one step at a time
+(finished rows leave the working set), so the Python cost is per step of the
+longest path in the batch, not per row.  ``route_traffic`` reduces each batch
+to (cell, count) pairs inside the task and Spark sums them per cell;
+``route_cells`` is the per-row Column form (an array of cell ids).
 
 Walk rule (``strict=False`` keeps the domain's behaviour): endpoints are
 ordered by x, slope = dy / (dx + 1e-8); from the start cell step while
@@ -36,23 +37,22 @@ def _grid(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x.astype(np.int64), y.astype(np.int64)
 
 
-def walk_cells(lon1, lat1, lon2, lat2, strict: bool = False) -> list[np.ndarray]:
-    """Cell ids along each path (vectorised over rows)."""
-    lon1, lat1, lon2, lat2 = (np.asarray(a, dtype=np.float64) for a in (lon1, lat1, lon2, lat2))
-    n = len(lon1)
-    x1, y1 = _grid(lon1, lat1)
-    x2, y2 = _grid(lon2, lat2)
-    swap = x1 > x2
-    sx, sy = np.where(swap, x2, x1), np.where(swap, y2, y1)
-    ex, ey = np.where(swap, x1, x2), np.where(swap, y1, y2)
+def _walk(sx, sy, ex, ey, strict: bool):
+    """Yield (row index array, cell id array) per step; rows leave the working
+    set as soon as they reach their end cell."""
     slope = (ey - sy) / ((ex - sx) + 0.00000001)
+    pos = slope > 0
     cx, cy = sx.copy(), sy.copy()
-    steps = [cx + cy * geo.GRID_X]
+    idx = np.arange(len(sx))
+    yield idx, cx + cy * geo.GRID_X
     limit = 4 * int(np.max(np.abs(ex - sx) + np.abs(ey - sy), initial=0)) + 16
-    active = (cx < ex) | (cy != ey)
+    live = (cx < ex) | (cy != ey)
     it = 0
-    pos = slope > 0
-    while active.any():
+    while True:
+        if not live.all():
+            idx, sx, sy, ex, ey, slope, pos, cx, cy = (a[live] for a in (idx, sx, sy, ex, ey, slope, pos, cx, cy))
+        if len(idx) == 0:
+            return
         it += 1
         if it > limit:
             raise RuntimeError("route walk did not reach its end cell")
@@ -70,17 +70,43 @@ def walk_cells(lon1, lat1, lon2, lat2, strict: bool = False) -> list[np.ndarray]
         else:
             nx = np.where(yp > dy, dx + 1, dx)
             ny = np.where(yp > dy, dy, dy - 1)
-        new_x = np.where(pos, px, nx)
-        new_y = np.where(pos, py, ny)
-        cx = np.where(active, new_x, cx)
-        cy = np.where(active, new_y, cy)
-        steps.append(np.where(active, cx + cy * geo.GRID_X, -1))
-        active = active & ((cx < ex) | (cy != ey))
-    grid = np.stack(steps, axis=1) if n else np.zeros((0, 1), dtype=np.int64)
-    out = []
-    for row in grid:
-        out.append(row[: np.searchsorted(row == -1, True) if (row == -1).any() else len(row)].astype(np.int32))
-    return out
+        cx = np.where(pos, px, nx)
+        cy = np.where(pos, py, ny)
+        yield idx, cx + cy * geo.GRID_X
+        live = (cx < ex) | (cy != ey)
+
+
+def _endpoints(lon1, lat1, lon2, lat2):
+    lon1, lat1, lon2, lat2 = (np.asarray(a, dtype=np.float64) for a in (lon1, lat1, lon2, lat2))
+    x1, y1 = _grid(lon1, lat1)
+    x2, y2 = _grid(lon2, lat2)
+    swap = x1 > x2
+    return (np.where(swap, x2, x1), np.where(swap, y2, y1), np.where(swap, x1, x2), np.where(swap, y1, y2))
+
+
+def walk_cells(lon1, lat1, lon2, lat2, strict: bool = False) -> list[np.ndarray]:
+    """Cell ids along each path (vectorised over rows)."""
+    n = len(lon1)
+    idx_parts, cell_parts = [], []
+    for idx, cells in _walk(*_endpoints(lon1, lat1, lon2, lat2), strict):
+        idx_parts.append(idx)
+        cell_parts.append(cells)
+    if n == 0:
+        return []
+    idx = np.concatenate(idx_parts)
+    cells = np.concatenate(cell_parts).astype(np.int32)
+    order = np.argsort(idx, kind="stable")  # steps were appended in walk order
+    counts = np.bincount(idx, minlength=n)
+    return np.split(cells[order], np.cumsum(counts)[:-1])
+
+
+def cell_counts(lon1, lat1, lon2, lat2, strict: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct cell ids, number of paths crossing each) for a batch of paths."""
+    if len(lon1) == 0:
+        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+    cells = np.concatenate([c for _, c in _walk(*_endpoints(lon1, lat1, lon2, lat2), strict)])
+    u, c = np.unique(cells, return_counts=True)
+    return u.astype(np.int32), c.astype(np.int64)
 
 
 def _cells_udf(strict: bool):
@@ -98,7 +124,24 @@ def route_cells(lon1, lat1, lon2, lat2, strict: bool = False) -> Column:
 
 
 def route_traffic(rides: DataFrame, strict: bool = False) -> DataFrame:
-    """START rides inside NYC: number of ride paths crossing each cell."""
+    """START rides inside NYC: number of ride paths crossing each cell.
+
+    Each Arrow batch is walked in numpy and reduced to (cell, count) pairs in
+    the task (map-side combine), so only distinct cells per batch reach the
+    shuffle; Spark sums them per cell.  The walk is CPU-bound, so a scan with
+    fewer partitions than cores is spread round-robin first.
+    """
     s = rides.where(F.col("is_start") & geo.in_nyc("start_lon", "start_lat") & geo.in_nyc("end_lon", "end_lat"))
-    cells = s.select(F.explode(route_cells("start_lon", "start_lat", "end_lon", "end_lat", strict)).alias("cell_id"))
-    return cells.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_passes"))
+    s = s.select(*[F.col(c).cast("float").alias(c) for c in ("start_lon", "start_lat", "end_lon", "end_lat")])
+    cores = s.sparkSession.sparkContext.defaultParallelism
+    if s.rdd.getNumPartitions() < cores:
+        s = s.repartition(cores)
+
+    def per_batch(batches):
+        for pdf in batches:
+            u, c = cell_counts(pdf["start_lon"].to_numpy(), pdf["start_lat"].to_numpy(),
+                               pdf["end_lon"].to_numpy(), pdf["end_lat"].to_numpy(), strict)
+            yield pd.DataFrame({"cell_id": u, "n": c})
+
+    partial = s.mapInPandas(per_batch, "cell_id int, n long")
+    return partial.groupBy("cell_id").agg(F.sum("n").alias("n_passes"))

@@ -40,9 +40,23 @@ LONG_MIN = -9223372036854775808
 LONG_MAX = 9223372036854775807
 
 
-def with_watermark(timeline: DataFrame, seq_bucket: int) -> DataFrame:
+TARGET_BUCKETS = 4096
+
+
+def seq_bucket_width(timeline: DataFrame, target: int = TARGET_BUCKETS) -> int:
+    """Width of the arrival-order buckets of the global scans: about ``target``
+    buckets over the sequence range, so the per-bucket windows spread over the
+    cluster and the bucket-level scan stays small."""
+    lo, hi = timeline.agg(F.min("seq"), F.max("seq")).first()
+    if lo is None:
+        return 1
+    return max(1, -(-(hi - lo + 1) // target))
+
+
+def with_watermark(timeline: DataFrame, seq_bucket: int | None = None) -> DataFrame:
     """Add ``wm``: the watermark in force at each row (inclusive of a W row's own
     value; for an element it is the max over the earlier W rows)."""
+    seq_bucket = seq_bucket or seq_bucket_width(timeline)
     wv = F.when(F.col("kind") == "W", F.col("time"))
     return running_agg(timeline, [], [F.col("seq")], wv, "wm", F.floor(F.col("seq") / F.lit(seq_bucket)),
                        fn="max")
@@ -61,9 +75,10 @@ def _fire_lookup(df: DataFrame, thr: str, levels: DataFrame, time_bucket: float)
             .withColumnRenamed("gseq", "g").drop("lvl"))
 
 
-def early_tumbling(timeline: DataFrame, size_ms: int, seq_bucket: int = 1 << 20,
+def early_tumbling(timeline: DataFrame, size_ms: int, seq_bucket: int | None = None,
                    time_bucket: float = 3_600_000.0) -> DataFrame:
     """Rows ``key, window_end, fired_at, total, is_final``."""
+    seq_bucket = seq_bucket or seq_bucket_width(timeline)
     tl = with_watermark(timeline, seq_bucket)
     levels = watermark_levels(tl)
     e = tl.where(F.col("kind") == "E")
@@ -100,7 +115,7 @@ def sessions(elements: DataFrame, gap_ms: int, time_bucket: float) -> DataFrame:
     return e.drop("_prev")
 
 
-def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, seq_bucket: int = 1 << 20,
+def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, seq_bucket: int | None = None,
                   time_bucket: float = 3_600_000.0) -> DataFrame:
     """Rows ``key, window_end, fired_at, n, values (list), is_final``.
 
@@ -109,6 +124,7 @@ def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, seq_bucket:
     being recomputed per branch (this also cuts the lineage for recovery).
     """
     checkpoint_dir(timeline.sparkSession)
+    seq_bucket = seq_bucket or seq_bucket_width(timeline)
     tl = with_watermark(timeline, seq_bucket).checkpoint(eager=True)
     levels = watermark_levels(tl)
     e = tl.where((F.col("kind") == "E")

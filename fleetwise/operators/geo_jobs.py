@@ -39,7 +39,7 @@ def direction_histogram(rides: DataFrame) -> DataFrame:
                  geo.euclidean_distance("start_lon", "start_lat", "end_lon", "end_lat").alias("km"))
     return (s.groupBy(geo.direction_bucket("angle").alias("direction_bucket"))
             .agg(F.count(F.lit(1)).alias("n_rides"), F.min("angle").alias("min_angle"),
-                 F.max("angle").alias("max_angle"), F.round(F.sum("km"), 4).alias("total_km")))
+                 F.max("angle").alias("max_angle"), F.sum("km").alias("total_km")))
 
 
 def ride_durations(rides: DataFrame) -> DataFrame:

@@ -37,6 +37,17 @@ def d(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
+def rnd(c, k: int) -> Column:
+    """Round to ``k`` decimals through DECIMAL and back: engines that agree to
+    ``k`` places then return the identical double (plain ``round`` on a double
+    may differ in the last bit between engines)."""
+    return (F.col(c) if isinstance(c, str) else c).cast(f"decimal(38,{k})").cast("double")
+
+
+def rnd_sql(expr: str, k: int) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(38,{k})) AS DOUBLE)"
+
+
 RIDE_OUT_SQL = """ride_id, is_start, start_ms, end_ms,
   CAST(start_lon AS DOUBLE) AS start_lon, CAST(start_lat AS DOUBLE) AS start_lat,
   CAST(end_lon AS DOUBLE) AS end_lon, CAST(end_lat AS DOUBLE) AS end_lat,
@@ -139,13 +150,14 @@ def q_cell_centers(spark, sf_dir):
 
 @register("q_direction_histogram", with_views(f"""
 SELECT CAST(angle / 45 AS INTEGER) AS direction_bucket, COUNT(*) AS n_rides, MIN(angle) AS min_angle,
-       MAX(angle) AS max_angle, round(SUM(km), 4) AS total_km
+       MAX(angle) AS max_angle, CAST(CAST(SUM(km) AS DECIMAL(38,4)) AS DOUBLE) AS total_km
 FROM (SELECT {angle_sql('start_lon', 'start_lat', 'end_lon', 'end_lat')} AS angle,
              {dist_sql('start_lon', 'start_lat', 'end_lon', 'end_lat')} AS km
       FROM rides_v WHERE is_start AND {nyc_sql('start_lon', 'start_lat')} AND {nyc_sql('end_lon', 'end_lat')})
 GROUP BY 1""".replace("CAST(angle / 45 AS INTEGER)", "CAST(trunc(angle / 45) AS INTEGER)"), "rides_v"))
 def q_direction_histogram(spark, sf_dir):
-    return geo_jobs.direction_histogram(A.rides(spark, sf_dir))
+    h = geo_jobs.direction_histogram(A.rides(spark, sf_dir))
+    return h.select("direction_bucket", "n_rides", "min_angle", "max_angle", rnd("total_km", 4).alias("total_km"))
 
 
 @register("q_ride_duration", with_views("""
@@ -386,7 +398,7 @@ def taxi_positions(rides: DataFrame) -> DataFrame:
           QUALIFY row_number() OVER (PARTITION BY taxi_id ORDER BY end_ms DESC, ride_id DESC) = 1)
 SELECT c.call_id, c.user_id, c.timestamp, c.longitude, c.latitude, p.taxi_id, p.taxi_timestamp,
        CAST(p.lon AS DOUBLE) AS taxi_longitude, CAST(p.lat AS DOUBLE) AS taxi_latitude,
-       round({dist_sql('c.longitude', 'c.latitude', 'p.lon', 'p.lat')}, 9) AS distance
+       CAST(CAST({dist_sql('c.longitude', 'c.latitude', 'p.lon', 'p.lat')} AS DECIMAL(38,9)) AS DOUBLE) AS distance
 FROM calls_v c, pos p
 QUALIFY row_number() OVER (PARTITION BY c.call_id ORDER BY {dist_sql('c.longitude', 'c.latitude', 'p.lon', 'p.lat')},
                            p.taxi_id) = 1""", "rides_v", "calls_v").replace("\n\n, pos", ",\npos").replace("\n, pos", ",\npos"))
@@ -395,7 +407,7 @@ def q_nearest_taxi(spark, sf_dir):
     n = nearest.nearest_taxi(A.calls(spark, sf_dir), pos)
     return n.select("call_id", "user_id", "timestamp", "longitude", "latitude", "taxi_id", "taxi_timestamp",
                     d("taxi_longitude").alias("taxi_longitude"), d("taxi_latitude").alias("taxi_latitude"),
-                    F.round("distance", 9).alias("distance"))
+                    rnd("distance", 9).alias("distance"))
 
 
 AT_MS = 1357300000000
@@ -445,11 +457,11 @@ _SEG_STATS_SQL = f"""min(event_ms) AS start_ms, COUNT(*) AS length, CAST(trunc(m
 
 def segment_out(df: DataFrame, extra: list | None = None) -> DataFrame:
     return df.select("car_id", ms("start_time").alias("start_ms"), "length", "max_speed",
-                     F.round("erraticness", 4).alias("erraticness"), "description", *(extra or []))
+                     rnd("erraticness", 4).alias("erraticness"), "description", *(extra or []))
 
 
 @register("q_gap_segments", with_views(f"""
-SELECT car_id, start_ms, length, max_speed, round(e, 4) AS erraticness, {_LABEL_SQL} AS description FROM (
+SELECT car_id, start_ms, length, max_speed, CAST(CAST(e AS DECIMAL(38,4)) AS DOUBLE) AS erraticness, {_LABEL_SQL} AS description FROM (
   SELECT car_id, sid, {_SEG_STATS_SQL} FROM (
     SELECT *, SUM(CASE WHEN prev IS NULL OR epoch_us(event_time) - epoch_us(prev) > {SEGMENT_GAP_US}
                        THEN 1 ELSE 0 END)
@@ -461,7 +473,7 @@ def q_gap_segments(spark, sf_dir):
 
 
 @register("q_stopped_segments", with_views(f"""
-SELECT car_id, start_ms, length, max_speed, round(e, 4) AS erraticness, {_LABEL_SQL} AS description,
+SELECT car_id, start_ms, length, max_speed, CAST(CAST(e AS DECIMAL(38,4)) AS DOUBLE) AS erraticness, {_LABEL_SQL} AS description,
        stop_ms FROM (
   SELECT car_id, prev_stop, {_SEG_STATS_SQL}, min(next_stop) // 1000 AS stop_ms FROM (
     SELECT *,
@@ -488,17 +500,17 @@ _MODEL_SQL = f"""SELECT CAST(trunc(direction / 45) AS INTEGER) AS bucket, COUNT(
 
 
 @register("q_travel_time_model", with_views(f"""
-SELECT bucket, n, round(sxx, 4) AS sxx, round(sxy, 4) AS sxy,
-       round(CASE WHEN n >= 2 AND abs(sxx) >= 4.9e-323 THEN sxy / sxx END, 9) AS slope
+SELECT bucket, n, CAST(CAST(sxx AS DECIMAL(38,4)) AS DOUBLE) AS sxx, CAST(CAST(sxy AS DECIMAL(38,4)) AS DOUBLE) AS sxy,
+       CAST(CAST(CASE WHEN n >= 2 AND abs(sxx) >= 4.9e-323 THEN sxy / sxx END AS DECIMAL(38,9)) AS DOUBLE) AS slope
 FROM ({_MODEL_SQL})""", "rides_v"))
 def q_travel_time_model(spark, sf_dir):
     m = travel_time.train(A.rides(spark, sf_dir))
-    return m.select("bucket", "n", F.round("sxx", 4).alias("sxx"), F.round("sxy", 4).alias("sxy"),
-                    F.round("slope", 9).alias("slope"))
+    return m.select("bucket", "n", rnd("sxx", 4).alias("sxx"), rnd("sxy", 4).alias("sxy"),
+                    rnd("slope", 9).alias("slope"))
 
 
 @register("q_travel_time_predict", with_views(f"""
-SELECT r.ride_id, r.direction, round(r.distance, 9) AS distance,
+SELECT r.ride_id, r.direction, CAST(CAST(r.distance AS DECIMAL(38,9)) AS DOUBLE) AS distance,
        COALESCE(CAST(trunc(m.slope * r.distance) AS INTEGER), -1) AS predicted_min
 FROM (SELECT ride_id, {_FEAT_SQL} FROM rides_v
       WHERE is_start AND {nyc_sql('start_lon', 'start_lat')} AND {nyc_sql('end_lon', 'end_lat')}) r
@@ -507,7 +519,7 @@ LEFT JOIN (SELECT bucket, CASE WHEN n >= 2 AND abs(sxx) >= 4.9e-323 THEN sxy / s
 def q_travel_time_predict(spark, sf_dir):
     r = A.rides(spark, sf_dir)
     p = travel_time.predict(r, travel_time.train(r))
-    return p.select("ride_id", "direction", F.round("distance", 9).alias("distance"), "predicted_min")
+    return p.select("ride_id", "direction", rnd("distance", 9).alias("distance"), "predicted_min")
 
 
 # --- step 5: rules and control -----------------------------------------------------

@@ -141,3 +141,70 @@ def early_tumbling_stream(elements: DataFrame, size_ms: int, delay: str = "0 sec
     """``elements(seq, time (ms), key, value, event_time)`` -> early/final rows."""
     e = elements.withWatermark("event_time", delay)
     return e.groupBy("key").transformWithState(EarlyTumblingProcessor(size_ms), EARLY_OUT, "Append", "EventTime")
+
+
+ENRICH_OUT = "trade_ms bigint, customer_id bigint, trade_info string, customer_ms bigint, customer_info string"
+
+
+class AsOfEnrichProcessor(StatefulProcessor):
+    """Trade enriched with the customer record valid at the trade's time.
+
+    Keyed by customer id.  Trades wait in list state until the watermark (the
+    minimum over the trade and customer inputs) passes their time; then every
+    customer record at or before the trade time has arrived and the latest of
+    them is attached (null when there is none).  Customer records older than
+    the latest one at or before the watermark are dropped from state.
+    Input rows: ``customer_id, side ('trade'|'customer'), ms, info``.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.trades = handle.getListState("trades", "ms bigint, info string")
+        self.customers = handle.getListState("customers", "ms bigint, info string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in rows:
+            if r.side == "trade":
+                self.trades.appendValue((r.ms, r.info))
+                self.handle.registerTimer(r.ms)
+            else:
+                self.customers.appendValue((r.ms, r.info))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        cust = sorted(self.customers.get()) if self.customers.exists() else []
+        waiting = list(self.trades.get()) if self.trades.exists() else []
+        due = [x for x in waiting if x[0] <= t]
+        rest = [x for x in waiting if x[0] > t]
+        for ms, info in sorted(due):
+            best = None
+            for c in cust:
+                if c[0] <= ms:
+                    best = c
+            yield Row(trade_ms=ms, customer_id=key[0], trade_info=info,
+                      customer_ms=best[0] if best else None, customer_info=best[1] if best else None)
+        self.trades.clear()
+        if rest:
+            self.trades.put(rest)
+        keep_from = max([i for i, c in enumerate(cust) if c[0] <= t], default=0)
+        self.customers.clear()
+        if cust[keep_from:]:
+            self.customers.put(cust[keep_from:])
+
+    def close(self) -> None:
+        pass
+
+
+def enrich_trades_stream(trades: DataFrame, customers: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """``trades(trade_time, customer_id, trade_info)`` and ``customers(customer_time,
+    customer_id, customer_info)`` streams -> enriched trades.  Each input has
+    its own watermark; the operator uses their minimum."""
+    t = trades.withWatermark("trade_time", delay).select(
+        "customer_id", F.lit("trade").alias("side"), F.unix_millis("trade_time").alias("ms"),
+        F.col("trade_info").alias("info"), F.col("trade_time").alias("event_time"))
+    c = customers.withWatermark("customer_time", delay).select(
+        "customer_id", F.lit("customer").alias("side"), F.unix_millis("customer_time").alias("ms"),
+        F.col("customer_info").alias("info"), F.col("customer_time").alias("event_time"))
+    return t.unionByName(c).groupBy("customer_id").transformWithState(
+        AsOfEnrichProcessor(), ENRICH_OUT, "Append", "EventTime")

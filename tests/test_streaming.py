@@ -105,3 +105,31 @@ def test_early_tumbling_processor_golden(spark):
     got = sorted((r.is_final, r.total, r.window_end) for r in out.collect() if r.key == 0)
     # content of the firings of the golden: early 5 and 4, final 5 and 6
     assert got == [(False, 4, 6000), (False, 5, 3000), (True, 5, 3000), (True, 6, 6000)]
+
+
+def test_asof_enrich_processor_fixture(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+    base = 1_600_000_000_000
+    big = 3_000_000_000_000
+    tfiles = [[1000, 1200, 1500], [1700, 1800, 2000], [big - base]]
+    cfiles = [[0, 500], [1500], [1600, 2100], [big - base]]
+
+    def write(batches, kind):
+        d = tempfile.mkdtemp(prefix=kind)
+        for i, b in enumerate(batches):
+            df = spark.createDataFrame([(base + t, 0, f"{kind[0]}{t}") for t in b], "ms bigint, id bigint, info string")
+            df.coalesce(1).write.parquet(f"{d}/f{i:02d}")
+        return d
+    td, cd = write(tfiles, "trade"), write(cfiles, "cust")
+    ts = spark.readStream.schema("ms bigint, id bigint, info string").option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(td) \
+        .select(F.timestamp_millis("ms").alias("trade_time"), F.col("id").alias("customer_id"),
+                F.col("info").alias("trade_info"))
+    cs = spark.readStream.schema("ms bigint, id bigint, info string").option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(cd) \
+        .select(F.timestamp_millis("ms").alias("customer_time"), F.col("id").alias("customer_id"),
+                F.col("info").alias("customer_info"))
+    out = _run(spark, processors.enrich_trades_stream(ts, cs), "enrich")
+    got = {r.trade_ms - base: (r.customer_ms - base if r.customer_ms else None) for r in out.collect()
+           if r.trade_ms < big}
+    assert got == {1000: 500, 1200: 500, 1500: 1500, 1700: 1600, 1800: 1600, 2000: 1600}

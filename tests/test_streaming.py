@@ -133,3 +133,31 @@ def test_asof_enrich_processor_fixture(spark):
     got = {r.trade_ms - base: (r.customer_ms - base if r.customer_ms else None) for r in out.collect()
            if r.trade_ms < big}
     assert got == {1000: 500, 1200: 500, 1500: 1500, 1700: 1600, 1800: 1600, 2000: 1600}
+
+
+def test_nearest_taxi_runner(spark):
+    from fleetwise.operators.nearest import nearest_taxi
+    from fleetwise.plans.catalog import taxi_positions
+    from fleetwise.streaming.runners import NearestTaxiRunner
+    rides, calls = A.rides(spark, SF_DIR), A.calls(spark, SF_DIR)
+    ride_cols = rides.select("ride_id", "is_start", "end_time", "end_lon", "end_lat", "taxi_id")
+    tagged_r = ride_cols.select(F.lit("ride").alias("kind"), "*", *[F.lit(None).cast(t).alias(c) for c, t in
+                                [("call_id", "bigint"), ("user_id", "bigint"), ("call_ms", "bigint"),
+                                 ("longitude", "double"), ("latitude", "double")]])
+    tagged_c = calls.select(F.lit("call").alias("kind"), *[F.lit(None).cast(f.dataType).alias(f.name)
+                                                          for f in ride_cols.schema.fields],
+                            "call_id", "user_id", F.col("timestamp").alias("call_ms"), "longitude", "latitude")
+    src = tempfile.mkdtemp()
+    tagged_r.where("ride_id % 2 = 0").coalesce(1).write.parquet(f"{src}/f0")
+    tagged_r.where("ride_id % 2 = 1").coalesce(1).write.parquet(f"{src}/f1")
+    tagged_c.coalesce(1).write.parquet(f"{src}/f2")
+    s = spark.readStream.schema(tagged_r.schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(src)
+    out = tempfile.mkdtemp()
+    runner = NearestTaxiRunner(spark, out, state_path=tempfile.mkdtemp(), max_age_ms=None)
+    q = (s.writeStream.foreachBatch(runner).option("checkpointLocation", tempfile.mkdtemp())
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = {(r.call_id, r.taxi_id) for r in spark.read.parquet(out).collect()}
+    exp = {(r.call_id, r.taxi_id) for r in nearest_taxi(calls, taxi_positions(rides)).collect()}
+    assert got == exp and len(got) == calls.count()

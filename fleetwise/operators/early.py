@@ -137,19 +137,20 @@ def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, seq_bucket:
     checks = _fire_lookup(fin_checks.unionByName(end_checks), "thr", levels, time_bucket)
     checks = checks.withColumn("g", F.coalesce(F.col("g"), F.lit(LONG_MAX)))
     checks = checks.groupBy("key", "sid", "g").agg(F.min("fired_at").alias("fired_at"))
-    # elements arrived before each check: running count and max time by arrival, looked up as of g
-    sb = F.floor(F.col("seq") / F.lit(seq_bucket))
-    e2 = running_agg(e, ["key", "sid"], [F.col("seq")], F.lit(1), "n", sb, fn="count")
-    e2 = running_agg(e2, ["key", "sid"], [F.col("seq")], F.col("time"), "tmax", sb, fn="max")
-    c = asof_numeric(checks, e2, ["key", "sid"], "g", "seq", ["n", "tmax"], float(seq_bucket), strict=True)
-    c = c.where(F.col("n").isNotNull())
+    # A firing covers the session's elements that arrived before it (seq < g).
+    # The session list is the output anyway; count and latest time are read
+    # from the filtered list, so the work is bounded by the output size.
+    lists = e.groupBy("key", "sid").agg(F.collect_list(F.struct("seq", "time", "value")).alias("_els"))
+    c = checks.join(lists, ["key", "sid"])
+    c = c.select("key", "sid", "g", "fired_at", F.filter("_els", lambda x: x["seq"] < F.col("g")).alias("_c"))
+    c = c.withColumn("n", F.size("_c")).where(F.col("n") > 0)
     # emit only when the count grew since the session's previous check
-    c = carry_last(c, ["key", "sid"], [F.col("g")], F.col("n"), "_prev_n", F.floor(F.col("g") / F.lit(seq_bucket)),
-                   inclusive=False)
+    c = carry_last(c, ["key", "sid"], [F.col("g")], F.col("n"), "_prev_n",
+                   F.floor(F.col("g") / F.lit(seq_bucket)), inclusive=False)
     fired = c.where(F.col("_prev_n").isNull() | (F.col("n") > F.col("_prev_n")))
-    lists = e.groupBy("key", "sid").agg(F.collect_list(F.struct("seq", "value")).alias("_els"))
-    out = fired.join(lists, ["key", "sid"])
-    content = F.filter(F.col("_els"), lambda x: x["seq"] < F.col("g"))
-    out = out.select("key", (F.col("tmax") + F.lit(gap_ms)).alias("window_end"), "fired_at", "n",
-                     finish_ordered(content, finish).alias("values"))
+    out = fired.select("key", (F.array_max(F.transform("_c", lambda x: x["time"])) + F.lit(gap_ms)).alias("window_end"),
+                       "fired_at", "n",
+                       finish_ordered(F.transform("_c", lambda x: F.struct(x["seq"].alias("seq"),
+                                                                          x["value"].alias("value"))),
+                                      finish).alias("values"))
     return out.withColumn("is_final", F.col("window_end") <= F.col("fired_at"))

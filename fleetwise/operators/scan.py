@@ -49,24 +49,41 @@ def carry_last(df: DataFrame, keys: list[str], order: list, value: Column, out:
 _AGG = {"sum": (F.sum, F.sum), "max": (F.max, F.max), "min": (F.min, F.min), "count": (F.count, F.sum)}
 
 
-def running_agg(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column,
-                fn: str = "sum", inclusive: bool = True) -> DataFrame:
-    """Add ``out`` = running ``fn`` (sum, max, min, count) of ``value`` over rows
-    at or before each row (strictly before when not ``inclusive``)."""
-    local_fn, merge_fn = _AGG[fn]
-    b = _bucketed(df, bucket).withColumn("_val", value)
+def running_aggs(df: DataFrame, keys: list[str], order: list, specs: list[tuple[Column, str, str]],
+                 bucket: Column, inclusive: bool = True) -> DataFrame:
+    """Several running aggregates over the same keys and order in one pass:
+    ``specs`` is a list of (value, output column, fn) with fn one of sum, max,
+    min, count.  Each output covers rows at or before the row (strictly
+    before when not ``inclusive``)."""
+    b = _bucketed(df, bucket)
+    for i, (value, _, _) in enumerate(specs):
+        b = b.withColumn(f"_val{i}", value)
     end = 0 if inclusive else -1
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    b = b.withColumn("_loc", local_fn("_val").over(w_in))
-    summary = b.groupBy(*keys, "_bkt").agg(local_fn("_val").alias("_btot"))
+    for i, (_, _, fn) in enumerate(specs):
+        b = b.withColumn(f"_loc{i}", _AGG[fn][0](f"_val{i}").over(w_in))
+    summary = b.groupBy(*keys, "_bkt").agg(*[_AGG[fn][0](f"_val{i}").alias(f"_btot{i}")
+                                              for i, (_, _, fn) in enumerate(specs)])
     w_b = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, "_bkt", merge_fn("_btot").over(w_b).alias("_carry"))
+    carry = summary.select(*keys, "_bkt", *[_AGG[fn][1](f"_btot{i}").over(w_b).alias(f"_carry{i}")
+                                            for i, (_, _, fn) in enumerate(specs)])
     j = b.join(carry, on=[*keys, "_bkt"], how="left")
-    if fn in ("sum", "count"):
-        res = F.coalesce("_loc", F.lit(0)) + F.coalesce("_carry", F.lit(0))
-        if fn == "count":
-            res = res.cast("bigint")
-    else:
-        pick = F.greatest if fn == "max" else F.least
-        res = pick("_loc", "_carry")  # greatest/least skip nulls
-    return j.withColumn(out, res).drop("_bkt", "_val", "_loc", "_carry")
+    drops = ["_bkt"]
+    for i, (_, out, fn) in enumerate(specs):
+        loc, car = F.col(f"_loc{i}"), F.col(f"_carry{i}")
+        if fn in ("sum", "count"):
+            res = F.coalesce(loc, F.lit(0)) + F.coalesce(car, F.lit(0))
+            if fn == "count":
+                res = res.cast("bigint")
+        else:
+            res = (F.greatest if fn == "max" else F.least)(loc, car)  # greatest/least skip nulls
+        j = j.withColumn(out, res)
+        drops += [f"_val{i}", f"_loc{i}", f"_carry{i}"]
+    return j.drop(*drops)
+
+
+def running_agg(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column,
+                fn: str = "sum", inclusive: bool = True) -> DataFrame:
+    """Add ``out`` = running ``fn`` (sum, max, min, count) of ``value`` over rows
+    at or before each row (strictly before when not ``inclusive``)."""
+    return running_aggs(df, keys, order, [(value, out, fn)], bucket, inclusive)

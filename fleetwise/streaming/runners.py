@@ -15,12 +15,113 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetwise.operators.nearest import nearest_taxi
-from fleetwise.operators.status import latest_per_key
+from fleetwise.operators.ongoing import ONGOING_COLS
+from fleetwise.operators.rules import evaluate_rules
+from fleetwise.operators.status import latest_per_key, ride_status
 from fleetwise.session import checkpoint_dir
+from fleetwise.sources.control import parse_requests, parse_rules
 
 POS_SCHEMA = "taxi_id bigint, timestamp bigint, longitude float, latitude float"
 
 
+class VersionedTable:
+    """A keyed state table stored as one parquet version per batch id."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def previous(self, batch_id: int) -> DataFrame:
+        try:
+            st = self.spark.read.parquet(self.path)
+        except Exception:  # noqa: BLE001 - no version written yet
+            return self.spark.createDataFrame([], self.schema)
+        prev = st.where(F.col("batch") < batch_id).agg(F.max("batch")).first()[0]
+        if prev is None:
+            return self.spark.createDataFrame([], self.schema)
+        return st.where(F.col("batch") == prev).drop("batch")
+
+    def write(self, df: DataFrame, batch_id: int) -> DataFrame:
+        p = posixpath.join(self.path, f"batch={batch_id}")
+        df.write.mode("overwrite").parquet(p)
+        return self.spark.read.parquet(p)
+
+
+def _ride_rows(batch: DataFrame) -> DataFrame:
+    return batch.where(F.col("kind") == "ride").select(
+        "ride_id", "is_start", "start_time", "end_time", "start_lon", "start_lat", "end_lon", "end_lat",
+        "passenger_cnt", "taxi_id", "driver_id", "event_time")
+
+
+class OngoingRidesRunner:
+    """Open-ride state per ride id, and ``{"during": minutes}`` requests.
+
+    Input: a tagged stream of ride events (``kind='ride'``, ride columns) and
+    requests (``kind='request'``, JSON text in ``value``).  A START opens a
+    ride and its END closes it; events are ordered by event time (START first
+    on ties), so an END that arrives before its START still closes the ride,
+    as in the batch form.  Each request is answered
+    against the state after the batch, at the ride-side watermark (latest ride
+    event time - 1 ms): rides open since at least ``during`` minutes.
+    """
+
+    STATE = ("ride_id bigint, is_start boolean, start_time timestamp, end_time timestamp, start_lon float, "
+             "start_lat float, end_lon float, end_lat float, passenger_cnt smallint, taxi_id bigint, "
+             "driver_id bigint, event_time timestamp")
+
+    def __init__(self, spark: SparkSession, out_path: str, state_path: str | None = None):
+        self.spark = spark
+        self.out_path = out_path
+        base = state_path or posixpath.join(checkpoint_dir(spark), "open_rides")
+        self.table = VersionedTable(spark, posixpath.join(base, "state"), self.STATE)
+        self.marks = VersionedTable(spark, posixpath.join(base, "watermark"), "wm bigint")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rides = _ride_rows(batch)
+        last = latest_per_key(self.table.previous(batch_id).unionByName(rides), "ride_id",
+                              [F.col("event_time"), ~F.col("is_start")])
+        state = self.table.write(last.where(F.col("is_start")), batch_id)
+        wm = self.marks.previous(batch_id).unionByName(
+            rides.select((F.unix_millis(F.max("event_time")) - 1).alias("wm")).where(F.col("wm").isNotNull()))
+        wm = self.marks.write(wm.agg(F.max("wm").alias("wm")).where(F.col("wm").isNotNull()), batch_id).first()
+        reqs = parse_requests(batch.where(F.col("kind") == "request").select("value"))
+        if wm is None or reqs.isEmpty():
+            return
+        at = wm["wm"]
+        req = F.broadcast(reqs.select((F.col("during") * F.lit(60000)).alias("during_ms")))
+        ans = state.join(req, F.unix_millis("start_time") <= F.lit(at) - F.col("during_ms"))
+        ans.select(F.lit(at).alias("at_ms"), "during_ms", *ONGOING_COLS).write.mode("overwrite") \
+           .parquet(posixpath.join(self.out_path, f"batch={batch_id}"))
+
+
+class RulesRunner:
+    """Latest ride event per taxi, and ``{"condition": "..."}`` rule messages.
+
+    Each batch merges its ride events into the per-taxi state, then evaluates
+    the batch's rules against it with the ride-side watermark; matches go to
+    ``out_path/matches/batch=<id>``, refused rules to ``out_path/rejects/batch=<id>``.
+    """
+
+    def __init__(self, spark: SparkSession, out_path: str, state_path: str | None = None):
+        self.spark = spark
+        self.out_path = out_path
+        base = state_path or posixpath.join(checkpoint_dir(spark), "latest_rides")
+        self.table = VersionedTable(spark, posixpath.join(base, "state"), OngoingRidesRunner.STATE)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rides = _ride_rows(batch)
+        last = latest_per_key(self.table.previous(batch_id).unionByName(rides), "taxi_id",
+                              [F.col("event_time"), ~F.col("is_start"), F.col("ride_id")])
+        state = self.table.write(last, batch_id)
+        rules = parse_rules(batch.where(F.col("kind") == "rule").select("value"))
+        if rules.isEmpty():
+            return
+        wm = state.agg(F.max(F.unix_millis("event_time"))).first()[0] - 1
+        numbered = rules.select(F.monotonically_increasing_id().alias("rule_id"), "condition")
+        matches, rejects = evaluate_rules(ride_status(state), numbered, wm)
+        matches.write.mode("overwrite").parquet(posixpath.join(self.out_path, "matches", f"batch={batch_id}"))
+        rejects.write.mode("overwrite").parquet(posixpath.join(self.out_path, "rejects", f"batch={batch_id}"))
+
+
 class NearestTaxiRunner:
     """Tagged input stream: ride events (``kind='ride'``) and calls
     (``kind='call'``).  Per batch: merge END rides into the position table,
@@ -32,31 +133,21 @@ class NearestTaxiRunner:
                  max_age_ms: int | None = 3_600_000):
         self.spark = spark
         self.out_path = out_path
-        self.state_path = state_path or posixpath.join(checkpoint_dir(spark), "taxi_positions")
+        self.table = VersionedTable(spark, state_path or posixpath.join(checkpoint_dir(spark), "taxi_positions"),
+                                    POS_SCHEMA)
         self.max_age_ms = max_age_ms
 
-    def _previous(self, batch_id: int) -> DataFrame:
-        try:
-            st = self.spark.read.parquet(self.state_path)
-        except Exception:  # noqa: BLE001 - no version written yet
-            return self.spark.createDataFrame([], POS_SCHEMA)
-        prev = st.where(F.col("batch") < batch_id).agg(F.max("batch")).first()[0]
-        if prev is None:
-            return self.spark.createDataFrame([], POS_SCHEMA)
-        return st.where(F.col("batch") == prev).drop("batch")
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rides = batch.where((F.col("kind") == "ride") & ~F.col("is_start"))
         new_pos = rides.select("taxi_id", F.unix_millis("end_time").alias("timestamp"),
                                F.col("end_lon").alias("longitude"), F.col("end_lat").alias("latitude"))
-        merged = latest_per_key(self._previous(batch_id).unionByName(new_pos), "taxi_id",
+        merged = latest_per_key(self.table.previous(batch_id).unionByName(new_pos), "taxi_id",
                                 [F.col("timestamp"), F.col("longitude"), F.col("latitude")])
         if self.max_age_ms is not None:
             newest = merged.agg(F.max("timestamp")).first()[0]
             if newest is not None:
                 merged = merged.where(F.col("timestamp") >= F.lit(newest - self.max_age_ms))
-        (merged.write.mode("overwrite").parquet(posixpath.join(self.state_path, f"batch={batch_id}")))
-        pos = self.spark.read.parquet(posixpath.join(self.state_path, f"batch={batch_id}"))
+        pos = self.table.write(merged, batch_id)
         calls = batch.where(F.col("kind") == "call").select("call_id", "user_id", F.col("call_ms").alias("timestamp"),
                                                             "longitude", "latitude")
         if calls.isEmpty():

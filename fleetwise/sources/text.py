@@ -174,3 +174,41 @@ def format_car_lines(cars: DataFrame, filler: str = "") -> DataFrame:
         src[CAR_POS[n]] = F.col(n).cast("string")
     fields = [src.get(i, F.lit(filler)) for i in range(CAR_FIELDS)]
     return cars.select("id", F.concat_ws(",", *fields).alias("value"))
+
+
+def _read_lines(spark, path: str, streaming: bool, max_files: int | None):
+    if streaming:
+        r = spark.readStream.format("text")
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        return r.load(path)
+    return spark.read.text(path)
+
+
+def read_ride_log(spark, path: str, mode: str = "failfast", streaming: bool = False,
+                  max_files_per_trigger: int | None = None):
+    """Ride log files (plain or gzip text, one record per line) as ride records.
+
+    A gzip file cannot be split, so each file is read by one task; at scale the
+    log is many files, which the reader spreads over the cluster.  As a stream
+    the file source's offset log makes the read restartable (the checkpoint
+    location of the query records which files were processed).
+    """
+    return parse_ride_lines(_read_lines(spark, path, streaming, max_files_per_trigger), mode)
+
+
+def read_fare_log(spark, path: str, mode: str = "failfast", streaming: bool = False,
+                  max_files_per_trigger: int | None = None):
+    """Fare log files as fare records (see :func:`read_ride_log`)."""
+    return parse_fare_lines(_read_lines(spark, path, streaming, max_files_per_trigger), mode)
+
+
+def read_car_log(spark, path: str, mode: str = "failfast", streaming: bool = False,
+                 max_files_per_trigger: int | None = None):
+    """Connected-car log files as car events (see :func:`read_ride_log`)."""
+    return parse_car_lines(_read_lines(spark, path, streaming, max_files_per_trigger), mode)
+
+
+def write_log(lines, path: str, compression: str = "gzip") -> None:
+    """Write a ``value`` column as text log files."""
+    lines.select("value").write.mode("overwrite").option("compression", compression).text(path)

@@ -112,3 +112,19 @@ def test_ride_line_roundtrip(spark):
     back = text.parse_ride_lines(text.format_ride_lines(r).select("value"))
     assert back.exceptAll(r.select(*back.columns)).count() == 0
     assert r.count() == back.count()
+
+
+def test_gzip_logs_roundtrip_batch_and_stream(spark):
+    import tempfile
+    from conftest import SF_DIR
+    from fleetwise.sources import adapters as A
+    fares = A.fares(spark, SF_DIR)
+    d = tempfile.mkdtemp()
+    text.write_log(text.format_fare_lines(fares).repartition(3), f"{d}/fares")
+    back = text.read_fare_log(spark, f"{d}/fares")
+    assert back.count() == fares.count() and back.exceptAll(fares.select(*back.columns)).count() == 0
+    s = text.read_fare_log(spark, f"{d}/fares", streaming=True, max_files_per_trigger=1)
+    q = (s.writeStream.format("memory").queryName("fare_log").option("checkpointLocation", tempfile.mkdtemp())
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert spark.table("fare_log").count() == fares.count()

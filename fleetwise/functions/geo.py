@@ -39,6 +39,20 @@ def _f64(x) -> Column:
     return _c(x).cast("double")
 
 
+INT_MAX, INT_MIN = 2147483647, -2147483648
+
+
+def java_int(x) -> Column:
+    """Double -> int the way a Java ``(int)`` narrowing does: truncation toward
+    zero, NaN -> 0, saturation at the int range.  (A plain cast fails on NaN
+    or overflow under ANSI mode.)"""
+    c = _f64(x)
+    return (F.when(F.isnan(c), F.lit(0))
+            .when(c >= F.lit(float(INT_MAX)), F.lit(INT_MAX))
+            .when(c <= F.lit(float(INT_MIN)), F.lit(INT_MIN))
+            .otherwise(c.cast("int")))
+
+
 def in_nyc(lon, lat) -> Column:
     """True when the point lies in the NYC box, bounds inclusive.
 
@@ -53,11 +67,11 @@ def in_nyc(lon, lat) -> Column:
 
 
 def grid_x(lon) -> Column:
-    return F.floor((F.lit(abs(LON_WEST)) - _f64(F.abs(_f32(lon)))) / F.lit(DELTA_LON)).cast("int")
+    return java_int(F.floor((F.lit(abs(LON_WEST)) - _f64(F.abs(_f32(lon)))) / F.lit(DELTA_LON)))
 
 
 def grid_y(lat) -> Column:
-    return F.floor((F.lit(LAT_NORTH) - _f64(_f32(lat))) / F.lit(DELTA_LAT)).cast("int")
+    return java_int(F.floor((F.lit(LAT_NORTH) - _f64(_f32(lat))) / F.lit(DELTA_LAT)))
 
 
 def cell_id(lon, lat) -> Column:
@@ -103,7 +117,7 @@ def direction_angle(start_lon, start_lat, dest_lon, dest_lat) -> Column:
     # Spark's atan2 turns -0.0 into +0.0; IEEE atan2(+0, -0) is 180 degrees.  A
     # zero-length move has y = +0 * cos, i.e. -0.0 whenever the cosine is negative.
     neg_zero = (x == 0) & (y == 0) & (cos_lat < 0)
-    return F.when(neg_zero, F.lit(180 + 179)).otherwise(F.degrees(F.atan2(x, y)).cast("int") + F.lit(179))
+    return F.when(neg_zero, F.lit(180 + 179)).otherwise(java_int(F.degrees(F.atan2(x, y))) + F.lit(179))
 
 
 def direction_bucket(angle) -> Column:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetwise.functions.geo import java_int
 from fleetwise.operators.scan import carry_last
 
 DAY_US = 86_400_000_000
@@ -29,13 +30,13 @@ LABELS = ("calm", "busy", "crazy")
 
 
 def erraticness_label(erraticness: Column) -> Column:
-    q = (erraticness.cast("float") / F.lit(LABEL_STEP)).cast("int")
+    q = java_int(erraticness.cast("float") / F.lit(LABEL_STEP))
     return F.when(q == 0, F.lit(LABELS[0])).when(q == 1, F.lit(LABELS[1])).otherwise(F.lit(LABELS[2]))
 
 
 def _stats():
     return [F.min("event_time").alias("start_time"), F.count(F.lit(1)).alias("length"),
-            F.max("speed").cast("int").alias("max_speed"),
+            java_int(F.max("speed")).alias("max_speed"),
             F.stddev_pop(F.col("throttle").cast("double")).alias("erraticness")]
 
 

@@ -45,5 +45,5 @@ def predict(rides: DataFrame, model: DataFrame) -> DataFrame:
     f = ride_features(rides.where(F.col("is_start") & geo.in_nyc("start_lon", "start_lat")
                                   & geo.in_nyc("end_lon", "end_lat")))
     j = f.join(F.broadcast(model.select("bucket", "slope")), "bucket", "left")
-    pred = F.coalesce((F.col("slope") * F.col("distance")).cast("int"), F.lit(-1))
+    pred = F.when(F.col("slope").isNull(), F.lit(-1)).otherwise(geo.java_int(F.col("slope") * F.col("distance")))
     return j.withColumn("predicted_min", pred)

@@ -66,3 +66,12 @@ def test_sql_functions(spark):
                   f"time_diff_ms(TIMESTAMP'2013-01-01 00:00:00', TIMESTAMP'2013-01-01 00:00:01.5') AS d").first()
     assert r.c == 49789 and r.n is False and r.d == 1500
     assert math.isclose(r.p.lon, -73.9946976, abs_tol=1e-6)
+
+
+def test_java_narrowing_under_ansi(spark):
+    # NaN -> 0 and saturation, as a Java (int) cast; a plain cast fails under ANSI mode
+    nan = F.lit(float("nan"))
+    r = _one(spark, geo.direction_angle(nan, F.lit(40.7), F.lit(-73.9), F.lit(40.8)).alias("a"),
+             geo.java_int(F.lit(1e12)).alias("big"), geo.java_int(F.lit(-2.9)).alias("neg"),
+             geo.cell_id(nan, F.lit(40.7)).alias("c"))
+    assert (r.a, r.big, r.neg, r.c) == (179, 2147483647, -2, 59750)

@@ -2,7 +2,8 @@
 
 Taxi positions and calls are placed on a square grid of ``w`` degrees; a call
 is joined (equi-join on the cell) with the taxis of its own cell and the 8
-neighbours.  Any taxi outside those 9 cells is at least ``w`` degrees away in
+neighbours.  The first width gives a few taxis per cell over the taxis'
+bounding box, so the candidate count per call stays small as the fleet grows.  Any taxi outside those 9 cells is at least ``w`` degrees away in
 latitude or in longitude, so its distance is at least
 ``110.25 * w * min(1, cmin)``, where ``cmin`` is the smallest |cos(lat)| over
 all taxis (the distance scales longitude by cos of the taxi's latitude).  A
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from fleetwise.functions.geo import DEG_LEN, euclidean_distance
 from fleetwise.session import checkpoint_dir
 
-DEFAULT_LEVELS = (0.01, 0.16, 2.56)
 # float32 differences may shave a few ulps off a cell width.
 _MARGIN = 1 - 1e-6
+LEVEL_FACTOR = 16
+TAXIS_PER_CELL = 4
 
 
 def _cells(lon, lat, w):
@@ -35,21 +37,43 @@ def _cells(lon, lat, w):
     return F.floor(lat / F.lit(w)), F.floor(lon / F.lit(w))
 
 
-def nearest_taxi(calls: DataFrame, taxis: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
+def grid_levels(n: int, lat_span: float, lon_span: float) -> list[float]:
+    """Cell widths: the first gives about ``TAXIS_PER_CELL`` taxis per cell over
+    the taxis' bounding box, each next one is ``LEVEL_FACTOR`` times wider, up
+    to a width that spans every valid latitude."""
+    area = max(lat_span, 1e-3) * max(lon_span, 1e-3)
+    w = max(1e-4, (TAXIS_PER_CELL * area / max(n, 1)) ** 0.5)
+    out = []
+    while w < 180:
+        out.append(w)
+        w *= LEVEL_FACTOR
+    return out
+
+
+def nearest_taxi(calls: DataFrame, taxis: DataFrame, levels=None) -> DataFrame:
     """``calls(call_id, longitude, latitude, ...)`` x ``taxis(taxi_id, longitude,
     latitude, ...)`` -> one row per call that has a nearest taxi: the call's
     columns, ``taxi_*`` columns and ``distance``.  Ties go to the lowest taxi id.
     """
-    cmin = taxis.agg(F.min(F.abs(F.cos(F.col("latitude").cast("float").cast("double"))))).first()[0]
-    if cmin is None:  # no taxi at all
+    lat32 = F.col("latitude").cast("float").cast("double")
+    lon32 = F.col("longitude").cast("float").cast("double")
+    st = taxis.agg(F.min(F.abs(F.cos(lat32))).alias("cmin"), F.count(F.lit(1)).alias("n"),
+                   F.min(lat32).alias("la0"), F.max(lat32).alias("la1"),
+                   F.min(lon32).alias("lo0"), F.max(lon32).alias("lo1")).first()
+    if st["cmin"] is None:  # no taxi with a usable position
         return _empty(calls, taxis)
-    scale = min(1.0, float(cmin))
+    scale = min(1.0, float(st["cmin"]))
+    if levels is None:
+        levels = grid_levels(st["n"], st["la1"] - st["la0"], st["lo1"] - st["lo0"])
     checkpoint_dir(calls.sparkSession)
     t = taxis.select(*[F.col(c).alias("taxi_" + c) for c in taxis.columns if c != "taxi_id"], "taxi_id")
     call_cols = calls.columns
     pending = calls
+    n_pending = calls.count()
     answered = []
     for w in list(levels) + [None]:
+        if n_pending == 0:
+            break
         if w is None:
             cand = _join_all(pending, t)
         else:
@@ -69,14 +93,16 @@ def nearest_taxi(calls: DataFrame, taxis: DataFrame, levels=DEFAULT_LEVELS) -> D
         if w is None:
             answered.append(best)
             break
-        # Each level is materialised in the shared checkpoint folder, so the
+        # Settled calls are materialised in the shared checkpoint folder, so the
         # next level does not re-run this one (and survives executor loss).
         bound = DEG_LEN * w * scale * _MARGIN
         settled = best.where(F.col("_b.distance") < F.lit(bound)).checkpoint(eager=True)
         answered.append(settled)
-        pending = pending.join(settled.select("call_id"), "call_id", "left_anti").checkpoint(eager=True)
-        if pending.isEmpty():
+        n_settled = settled.count()
+        if n_settled == n_pending:
             break
+        pending = pending.join(settled.select("call_id"), "call_id", "left_anti").checkpoint(eager=True)
+        n_pending -= n_settled
     res = answered[0]
     for a in answered[1:]:
         res = res.unionByName(a)

@@ -201,10 +201,18 @@ from fleetwise.sources.tables import read_table  # noqa: E402
 from fleetwise.operators.tips import tips_per_driver_hour  # noqa: E402
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Parsing is CPU-bound: when the source yields fewer partitions than
+    cores (a small single-split file), spread the rows round-robin first.  Log
+    sources of real size have many splits and are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @register("q_ride_ingest", with_views(f"SELECT {RIDE_OUT_SQL} FROM rides_v", "rides_v"))
 def q_ride_ingest(spark, sf_dir):
     """Ride log lines (exported from the ride view) parsed back, fail-fast."""
-    lines = text.format_ride_lines(A.rides(spark, sf_dir)).select("value")
+    lines = spread(text.format_ride_lines(A.rides(spark, sf_dir)).select("value"))
     return ride_out(text.parse_ride_lines(lines, mode="failfast"))
 
 
@@ -234,7 +242,7 @@ def fare_out(df: DataFrame) -> DataFrame:
 
 @register("q_fare_ingest", with_views(f"SELECT {FARE_OUT_SQL} FROM fares_v", "fares_v"))
 def q_fare_ingest(spark, sf_dir):
-    lines = text.format_fare_lines(A.fares(spark, sf_dir)).select("value")
+    lines = spread(text.format_fare_lines(A.fares(spark, sf_dir)).select("value"))
     return fare_out(text.parse_fare_lines(lines, mode="failfast"))
 
 
@@ -248,7 +256,7 @@ CAR_OUT_SQL = """id, car_id, (epoch_us(date_trunc('second', event_time)) // 1000
 def q_car_ingest(spark, sf_dir):
     """Car log lines (23 fields, mixed separators) parsed back; the line
     format keeps whole seconds."""
-    lines = text.format_car_lines(A.car_events(spark, sf_dir), filler="x").select("value")
+    lines = spread(text.format_car_lines(A.car_events(spark, sf_dir), filler="x").select("value"))
     lines = lines.select(F.regexp_replace("value", ",x,x,", ";x; x,").alias("value"))  # mixed separators
     c = text.parse_car_lines(lines, mode="failfast")
     return c.select("id", "car_id", ms("event_time").alias("event_ms"),
@@ -281,7 +289,7 @@ SELECT user_id, (epoch_us(ts) // 1000) AS timestamp,
   CAST(40.45 AS DOUBLE) + (event_id*104729 % 1000)*CAST(0.0006 AS DOUBLE) AS latitude
 FROM events WHERE event_type IN ('click', 'purchase')""")
 def q_json_control(spark, sf_dir):
-    return control.parse_calls(call_messages(spark, sf_dir))
+    return control.parse_calls(spread(call_messages(spark, sf_dir)))
 
 
 STATUS_WIRE = {"rideId": "ride_id", "taxiId": "taxi_id", "driverId": "driver_id", "isStart": "is_start",

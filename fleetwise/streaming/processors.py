@@ -208,3 +208,91 @@ def enrich_trades_stream(trades: DataFrame, customers: DataFrame, delay: str = "
         F.col("customer_info").alias("info"), F.col("customer_time").alias("event_time"))
     return t.unionByName(c).groupBy("customer_id").transformWithState(
         AsOfEnrichProcessor(), ENRICH_OUT, "Append", "EventTime")
+
+
+SESSION_OUT = "key bigint, window_end bigint, fired_at bigint, n bigint, values array<bigint>, is_final boolean"
+
+
+class EarlySessionProcessor(StatefulProcessor):
+    """Session windows (gap ``gap_ms``) with early results on finish elements.
+
+    State per key: the open sessions (start -> end, element count, count at
+    the last firing check) and their elements.  An element opens a window
+    [t, t + gap) that absorbs every open session it touches; a finish element
+    sets a timer at its own time, every session end sets one at end - 1.  A
+    timer checks the session containing it and fires (emits the session's
+    finish-ordered list) only if elements arrived since the last check; the
+    end timer also closes the session.  Elements whose own window is already
+    behind the watermark are dropped.  Input rows: ``seq, time, key, value``.
+    """
+
+    def __init__(self, gap_ms: int, finish: int = 5):
+        self.gap, self.finish = gap_ms, finish
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sessions = handle.getMapState("sessions", "start bigint", "end bigint, n bigint, last bigint")
+        self.elems = handle.getListState("elems", "seq bigint, time bigint, value bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        sess = {k[0]: list(v) for k, v in self.sessions.iterator()} if self.sessions.exists() else {}
+        added = []
+        for r in sorted(rows, key=lambda x: x.seq):
+            if r.time + self.gap - 1 <= wm:
+                continue
+            start, end, n, last = r.time, r.time + self.gap, 1, 0
+            for s0 in [s for s, v in sess.items() if s <= end and v[0] >= start]:
+                e0, n0, l0 = sess.pop(s0)
+                self.handle.deleteTimer(e0 - 1)
+                start, end, n, last = min(start, s0), max(end, e0), n + n0, last + l0
+            sess[start] = [end, n, last]
+            self.handle.registerTimer(end - 1)
+            if r.value == self.finish:
+                self.handle.registerTimer(r.time)
+            added.append((r.seq, r.time, r.value))
+        if added:
+            self.sessions.clear()
+            for s, v in sess.items():
+                self.sessions.updateValue((s,), tuple(v))
+            self.elems.appendList(added)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        wm = timerValues.getCurrentWatermarkInMs()
+        if not self.sessions.exists():
+            return
+        sess = {k[0]: list(v) for k, v in self.sessions.iterator()}
+        hit = [s for s, v in sess.items() if s <= t <= v[0] - 1]
+        if not hit:
+            return
+        start = hit[0]
+        end, n, last = sess[start]
+        elems = list(self.elems.get()) if self.elems.exists() else []
+        mine = sorted(e for e in elems if start <= e[1] < end)
+        if n > last:
+            vals = [e[2] for e in mine]
+            ordered = [v for v in vals if v != self.finish] + [v for v in vals if v == self.finish]
+            yield Row(key=key[0], window_end=end, fired_at=wm, n=n, values=ordered, is_final=end <= wm)
+        if t == end - 1:
+            del sess[start]
+            self.elems.clear()
+            rest = [e for e in elems if not (start <= e[1] < end)]
+            if rest:
+                self.elems.put(rest)
+        else:
+            sess[start] = [end, n, n]
+        self.sessions.clear()
+        for s, v in sess.items():
+            self.sessions.updateValue((s,), tuple(v))
+
+    def close(self) -> None:
+        pass
+
+
+def early_session_stream(elements: DataFrame, gap_ms: int, finish: int = 5, delay: str = "0 seconds") -> DataFrame:
+    """``elements(seq, time (ms), key, value, event_time)`` -> early/final session firings."""
+    e = elements.withWatermark("event_time", delay)
+    return e.groupBy("key").transformWithState(EarlySessionProcessor(gap_ms, finish), SESSION_OUT, "Append",
+                                               "EventTime")

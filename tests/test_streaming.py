@@ -219,3 +219,33 @@ def test_rules_runner(spark):
                           spark.createDataFrame([(1, "passenger_count >= 4")], "rule_id bigint, condition string"), wm)
     assert got == sorted(x.ride_id for x in m.collect())
     assert spark.read.parquet(f"{out}/rejects").count() == 1
+
+
+def _element_batches(spark, batches):
+    src = tempfile.mkdtemp()
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, "seq bigint, time bigint, key bigint, value bigint") \
+             .withColumn("event_time", F.timestamp_millis("time")).coalesce(1).write.parquet(f"{src}/b{i:02d}")
+    return spark.readStream.schema("seq bigint, time bigint, key bigint, value bigint, event_time timestamp") \
+        .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+
+
+C_B1 = [(1, 1000, 0, 1), (2, 2000, 0, 4), (3, 3000, 0, 4), (4, 4000, 0, 4)]
+SENT = [(99, 100000, 9, 1)]
+
+
+def test_early_session_processor_case1(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+    # the reference's intermediate watermark W(6500) is a batch of its own (another key at 6500)
+    s = _element_batches(spark, [C_B1, [(5, 6000, 0, 5)], [(6, 6500, 7, 1)], [(7, 7000, 0, 4)], SENT])
+    out = _run(spark, processors.early_session_stream(s, 5000), "sess1")
+    got = sorted((r.window_end, r.values, r.is_final) for r in out.collect() if r.key == 0)
+    assert got == [(11000, [1, 4, 4, 4, 5], False), (12000, [1, 4, 4, 4, 4, 5], True)]
+
+
+def test_early_session_processor_case2(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+    s = _element_batches(spark, [C_B1, [(5, 6000, 0, 5)], [(7, 7000, 0, 4)], SENT])
+    out = _run(spark, processors.early_session_stream(s, 5000), "sess2")
+    got = sorted((r.window_end, r.values, r.is_final) for r in out.collect() if r.key == 0)
+    assert got == [(12000, [1, 4, 4, 4, 4, 5], False)]

@@ -21,8 +21,15 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, oracle: str | None = None):
+    """Register a query.  The domain is UTC: the session time zone is pinned
+    before the plan is built (time zones are bound when a frame is analysed),
+    so a caller's session in another zone gets the same results."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwise.operators.asof import asof_numeric
-from fleetwise.operators.scan import carry_last, running_agg
+from fleetwise.operators.scan import carry_last, running_agg, running_aggs
 from fleetwise.session import checkpoint_dir
 
 LONG_MIN = -9223372036854775808
@@ -105,6 +105,29 @@ def finish_ordered(values_by_seq, finish: int = 5):
     return F.concat(F.filter(vals, lambda v: v != F.lit(finish)), F.filter(vals, lambda v: v == F.lit(finish)))
 
 
+def finish_ordered_rows(elements: DataFrame, gap_ms: int, finish: int = 5, time_bucket: float = 3_600_000.0,
+                        seq_bucket: int | None = None) -> DataFrame:
+    """The finish-ordered list of every session in row form: ``key,
+    session_start, session_end, position, value`` (position 1-based).
+
+    Regular values take positions 1.. in arrival order, finish values follow.
+    Positions come from running counts (skew-safe scans) and one per-session
+    total; no session is gathered into a single row or task.
+    """
+    seq_bucket = seq_bucket or seq_bucket_width(elements)
+    e = sessions(elements, gap_ms, time_bucket)
+    fin = F.col("value") == F.lit(finish)
+    e = running_aggs(e, ["key", "sid"], [F.col("seq")],
+                     [(F.when(~fin, F.lit(1)), "_r", "count"), (F.when(fin, F.lit(1)), "_f", "count")],
+                     F.floor(F.col("seq") / F.lit(seq_bucket)))
+    tot = e.groupBy("key", "sid").agg(F.sum(F.when(~fin, 1).otherwise(0)).alias("_nreg"),
+                                      F.max("time").alias("_tmax"))
+    e = e.join(tot, ["key", "sid"])
+    pos = F.when(fin, F.col("_nreg") + F.col("_f")).otherwise(F.col("_r"))
+    return e.select("key", F.col("sid").alias("session_start"), (F.col("_tmax") + F.lit(gap_ms)).alias("session_end"),
+                    pos.alias("position"), "value")
+
+
 def sessions(elements: DataFrame, gap_ms: int, time_bucket: float) -> DataFrame:
     """Add ``sid`` (session start time) per key: a new session starts when the
     time since the key's previous element is more than ``gap_ms``."""

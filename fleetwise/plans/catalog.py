@@ -700,15 +700,13 @@ WITH e AS (SELECT *, max(CASE WHEN prev IS NULL OR time - prev > {EARLY_GAP_MS}
                 OVER (PARTITION BY key ORDER BY time, seq ROWS UNBOUNDED PRECEDING) AS sid
       FROM (SELECT *, lag(time) OVER (PARTITION BY key ORDER BY time, seq) AS prev
             FROM timeline_v WHERE kind = 'E'))
-SELECT key, sid AS session_start, max(time) + {EARLY_GAP_MS} AS session_end, COUNT(*) AS n,
-       string_agg(CAST(value AS VARCHAR), ',' ORDER BY (value = {FINISH}), seq) AS "values"
-FROM e GROUP BY key, sid""", "timeline_v"))
+SELECT key, sid AS session_start, max(time) OVER (PARTITION BY key, sid) + {EARLY_GAP_MS} AS session_end,
+       row_number() OVER (PARTITION BY key, sid ORDER BY (value = {FINISH}), seq) AS position, value
+FROM e""", "timeline_v"))
 def q_finish_ordered_list(spark, sf_dir):
-    """Finish-ordered list per key and session (gap 6 h): the aggregate alone,
-    over whole sessions."""
+    """Finish-ordered list per key and session (gap 6 h) over whole sessions,
+    one row per list position."""
     e = A.element_timeline(spark, sf_dir).where(F.col("kind") == "E")
-    s = early.sessions(e, EARLY_GAP_MS, 3_600_000.0)
-    g = s.groupBy("key", "sid").agg(F.max("time").alias("tmax"), F.count(F.lit(1)).alias("n"),
-                                    early.finish_ordered(F.collect_list(F.struct("seq", "value"))).alias("v"))
-    return g.select("key", F.col("sid").alias("session_start"), (F.col("tmax") + EARLY_GAP_MS).alias("session_end"),
-                    "n", F.array_join("v", ",").alias("values"))
+    r = early.finish_ordered_rows(e, EARLY_GAP_MS, FINISH)
+    return r.select("key", "session_start", "session_end", F.col("position").cast("bigint").alias("position"),
+                    "value")

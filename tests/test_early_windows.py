@@ -56,3 +56,17 @@ def test_finish_ordered_list_with_disorder(spark):
     final = {r["key"]: r["values"] for r in out.collect() if r["fired_at"] == LONG_MAX}
     assert final[0] == [1, 4, 4, 4, 2, 4, 4, 4, 5]
     assert final[1] == [1]
+
+
+def test_finish_ordered_rows_disorder_fixture(spark):
+    from fleetwise.operators.early import finish_ordered_rows
+    pts = [(1552319238044, 0, 1), (1552319550448, 0, 4), (1552319851529, 0, 4), (1552320152653, 0, 4),
+           (1552320237880, 0, 2), (1552320538612, 0, 4), (1552320839585, 0, 4), (1552320994646, 0, 5),
+           (1552320945515, 0, 4), (1552321005515, 1, 1)]
+    els = spark.createDataFrame([(i, t, k, v) for i, (t, k, v) in enumerate(pts)],
+                                "seq bigint, time bigint, key bigint, value bigint")
+    rows = finish_ordered_rows(els, 3_600_000).collect()
+    lists = {}
+    for r in sorted(rows, key=lambda r: (r.key, r.position)):
+        lists.setdefault(r.key, []).append(r.value)
+    assert lists == {0: [1, 4, 4, 4, 2, 4, 4, 4, 5], 1: [1]}

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MAX_REQUESTS = 1000  # control messages per evaluation; each is tested against every open ride
 ONGOING_COLS = ["ride_id", "taxi_id", "driver_id", "start_time", "start_lon", "start_lat", "passenger_cnt"]
 
 
@@ -36,7 +37,7 @@ def ongoing_for_requests(open_: DataFrame, requests: DataFrame, at_ms: int) -> D
     each request with a range condition.
     """
     n = requests.count()
-    if n > 10000:
+    if n > MAX_REQUESTS:
         raise ValueError(f"{n} requests in one evaluation; control input is expected to be small")
     req = F.broadcast(requests.select((F.col("during") * F.lit(60000)).alias("during_ms")))
     start_ms = F.unix_millis(F.col("start_time"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetwise.operators.scan import carry_last, running_agg
 
-MAX_CONTROLS = 100_000
+MAX_CONTROLS = 10_000
 DAY_US = 86_400_000_000
 
 

@@ -44,3 +44,10 @@ def write_points(points: DataFrame, path: str, name: str, checkpoint: str | None
                 .option("checkpointLocation", _ckpt(points, name, checkpoint)).start())
     points.select("line").write.mode("overwrite").text(path)
     return None
+
+
+def console_sink(df: DataFrame, name: str, output_mode: str = "append", checkpoint: str | None = None,
+                 truncate: bool = False):
+    """Print each micro-batch (the reference's test-mode output)."""
+    return (df.writeStream.format("console").option("truncate", str(truncate).lower())
+            .option("checkpointLocation", _ckpt(df, name, checkpoint)).outputMode(output_mode).start())

@@ -19,7 +19,7 @@ DAY_MS = 86_400_000
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-              right_cols: list[str], bucket_ms: int = DAY_MS, right_order: list[str] | None = None) -> DataFrame:
+              right_cols: list[str], bucket_ms: int | None = None, right_order: list[str] | None = None) -> DataFrame:
     """Left rows with ``right_cols`` of the matching right row (null when none).
 
     Times are timestamps.  ``right_order`` breaks ties between right rows with
@@ -38,14 +38,14 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
                      r_struct.alias("_r"), *[F.col(c).alias("_o_" + c) for c in right_order])
     u = l.unionByName(r)
     order = [F.col("_t"), F.col("_side")] + [F.col("_o_" + c) for c in right_order]
-    bucket = F.floor(F.col("_t") / F.lit(bucket_ms * 1000))
+    bucket = F.floor(F.col("_t") / F.lit(bucket_ms * 1000)) if bucket_ms else None
     s = carry_last(u, ["_k"], order, F.col("_r"), "_match", bucket)
     out = s.where(F.col("_side") == 1).select("_l.*", *[F.col("_match." + c).alias(c) for c in right_cols])
     return out
 
 
 def asof_numeric(left: DataFrame, right: DataFrame, keys: list[str], left_t: str, right_t: str,
-                 payload: list[str], bucket_width: float, strict: bool = False,
+                 payload: list[str], bucket_width: float | None = None, strict: bool = False,
                  forward: bool = False, out_prefix: str = "") -> DataFrame:
     """Numeric as-of lookup: every left row gets ``payload`` columns of the right
     row with the largest ``right_t <= left_t`` (``<`` when ``strict``) in the same
@@ -65,7 +65,7 @@ def asof_numeric(left: DataFrame, right: DataFrame, keys: list[str], left_t: str
                      F.lit(r_side).alias("_side"), F.lit(None).cast(ltype).alias("_l"), pl.alias("_p"))
     u = l.unionByName(r)
     ks = ["_k_" + k for k in keys]
-    s = carry_last(u, ks, [F.col("_t"), F.col("_side"), F.col("_p")], F.col("_p"), "_m",
-                   F.floor(F.col("_t") / F.lit(bucket_width)))
+    bucket = F.floor(F.col("_t") / F.lit(bucket_width)) if bucket_width else None
+    s = carry_last(u, ks, [F.col("_t"), F.col("_side"), F.col("_p")], F.col("_p"), "_m", bucket)
     return s.where(F.col("_side") == l_side).select(
         "_l.*", *[F.col("_m." + c).alias(out_prefix + c) for c in payload])

@@ -40,26 +40,12 @@ LONG_MIN = -9223372036854775808
 LONG_MAX = 9223372036854775807
 
 
-TARGET_BUCKETS = 4096
-
-
-def seq_bucket_width(timeline: DataFrame, target: int = TARGET_BUCKETS) -> int:
-    """Width of the arrival-order buckets of the global scans: about ``target``
-    buckets over the sequence range, so the per-bucket windows spread over the
-    cluster and the bucket-level scan stays small."""
-    lo, hi = timeline.agg(F.min("seq"), F.max("seq")).first()
-    if lo is None:
-        return 1
-    return max(1, -(-(hi - lo + 1) // target))
-
-
-def with_watermark(timeline: DataFrame, seq_bucket: int | None = None) -> DataFrame:
+def with_watermark(timeline: DataFrame) -> DataFrame:
     """Add ``wm``: the watermark in force at each row (inclusive of a W row's own
-    value; for an element it is the max over the earlier W rows)."""
-    seq_bucket = seq_bucket or seq_bucket_width(timeline)
+    value; for an element it is the max over the earlier W rows).  A global
+    running max, bucketed by arrival order when the timeline is large."""
     wv = F.when(F.col("kind") == "W", F.col("time"))
-    return running_agg(timeline, [], [F.col("seq")], wv, "wm", F.floor(F.col("seq") / F.lit(seq_bucket)),
-                       fn="max")
+    return running_agg(timeline, [], [F.col("seq")], wv, "wm", fn="max")
 
 
 def watermark_levels(tl: DataFrame) -> DataFrame:
@@ -67,32 +53,29 @@ def watermark_levels(tl: DataFrame) -> DataFrame:
     return tl.where(F.col("kind") == "W").groupBy(F.col("wm").alias("lvl")).agg(F.min("seq").alias("gseq"))
 
 
-def _fire_lookup(df: DataFrame, thr: str, levels: DataFrame, time_bucket: float) -> DataFrame:
+def _fire_lookup(df: DataFrame, thr: str, levels: DataFrame) -> DataFrame:
     """Add ``fired_at`` (first watermark >= thr, MAX at end of input) and ``g``
     (arrival index of that watermark, null = end of input)."""
-    j = asof_numeric(df, levels, [], thr, "lvl", ["lvl", "gseq"], time_bucket, forward=True)
+    j = asof_numeric(df, levels, [], thr, "lvl", ["lvl", "gseq"], forward=True)
     return (j.withColumn("fired_at", F.coalesce(F.col("lvl"), F.lit(LONG_MAX)))
             .withColumnRenamed("gseq", "g").drop("lvl"))
 
 
-def early_tumbling(timeline: DataFrame, size_ms: int, seq_bucket: int | None = None,
-                   time_bucket: float = 3_600_000.0) -> DataFrame:
+def early_tumbling(timeline: DataFrame, size_ms: int) -> DataFrame:
     """Rows ``key, window_end, fired_at, total, is_final``."""
-    seq_bucket = seq_bucket or seq_bucket_width(timeline)
-    tl = with_watermark(timeline, seq_bucket)
+    tl = with_watermark(timeline)
     levels = watermark_levels(tl)
     e = tl.where(F.col("kind") == "E")
     e = e.withColumn("ws", F.floor(F.col("time") / F.lit(size_ms)).cast("bigint") * F.lit(size_ms)) \
          .withColumn("window_end", F.col("ws") + F.lit(size_ms))
     e = e.where(F.col("wm").isNull() | (F.col("window_end") - 1 > F.col("wm")))
-    run = running_agg(e, ["key", "ws"], [F.col("seq")], F.col("value"), "total",
-                      F.floor(F.col("seq") / F.lit(seq_bucket)))
+    run = running_agg(e, ["key", "ws"], [F.col("seq")], F.col("value"), "total")
     even = F.floor(F.col("time") / F.lit(1000)) % 2 == 0
     early = run.where(even).select("key", "window_end", F.coalesce("wm", F.lit(LONG_MIN)).alias("fired_at"),
                                    "total", F.lit(False).alias("is_final"))
     fin = e.groupBy("key", "window_end").agg(F.sum("value").alias("total")) \
            .withColumn("thr", F.col("window_end") - 1)
-    fin = _fire_lookup(fin, "thr", levels, time_bucket)
+    fin = _fire_lookup(fin, "thr", levels)
     fin = fin.select("key", "window_end", "fired_at", "total",
                      (F.col("window_end") <= F.col("fired_at")).alias("is_final"))
     return early.unionByName(fin)
@@ -105,8 +88,7 @@ def finish_ordered(values_by_seq, finish: int = 5):
     return F.concat(F.filter(vals, lambda v: v != F.lit(finish)), F.filter(vals, lambda v: v == F.lit(finish)))
 
 
-def finish_ordered_rows(elements: DataFrame, gap_ms: int, finish: int = 5, time_bucket: float = 3_600_000.0,
-                        seq_bucket: int | None = None) -> DataFrame:
+def finish_ordered_rows(elements: DataFrame, gap_ms: int, finish: int = 5) -> DataFrame:
     """The finish-ordered list of every session in row form: ``key,
     session_start, session_end, position, value`` (position 1-based).
 
@@ -114,12 +96,10 @@ def finish_ordered_rows(elements: DataFrame, gap_ms: int, finish: int = 5, time_
     Positions come from running counts (skew-safe scans) and one per-session
     total; no session is gathered into a single row or task.
     """
-    seq_bucket = seq_bucket or seq_bucket_width(elements)
-    e = sessions(elements, gap_ms, time_bucket)
+    e = sessions(elements, gap_ms)
     fin = F.col("value") == F.lit(finish)
     e = running_aggs(e, ["key", "sid"], [F.col("seq")],
-                     [(F.when(~fin, F.lit(1)), "_r", "count"), (F.when(fin, F.lit(1)), "_f", "count")],
-                     F.floor(F.col("seq") / F.lit(seq_bucket)))
+                     [(F.when(~fin, F.lit(1)), "_r", "count"), (F.when(fin, F.lit(1)), "_f", "count")])
     tot = e.groupBy("key", "sid").agg(F.sum(F.when(~fin, 1).otherwise(0)).alias("_nreg"),
                                       F.max("time").alias("_tmax"))
     e = e.join(tot, ["key", "sid"])
@@ -128,52 +108,73 @@ def finish_ordered_rows(elements: DataFrame, gap_ms: int, finish: int = 5, time_
                     pos.alias("position"), "value")
 
 
-def sessions(elements: DataFrame, gap_ms: int, time_bucket: float) -> DataFrame:
+def sessions(elements: DataFrame, gap_ms: int) -> DataFrame:
     """Add ``sid`` (session start time) per key: a new session starts when the
     time since the key's previous element is more than ``gap_ms``."""
-    b = F.floor(F.col("time") / F.lit(time_bucket))
-    e = carry_last(elements, ["key"], [F.col("time"), F.col("seq")], F.col("time"), "_prev", b, inclusive=False)
+    e = carry_last(elements, ["key"], [F.col("time"), F.col("seq")], F.col("time"), "_prev", inclusive=False)
     new = F.when(F.col("_prev").isNull() | (F.col("time") - F.col("_prev") > F.lit(gap_ms)), F.col("time"))
-    e = carry_last(e, ["key"], [F.col("time"), F.col("seq")], new, "sid", b)
+    e = carry_last(e, ["key"], [F.col("time"), F.col("seq")], new, "sid")
     return e.drop("_prev")
 
 
-def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, seq_bucket: int | None = None,
-                  time_bucket: float = 3_600_000.0) -> DataFrame:
-    """Rows ``key, window_end, fired_at, n, values (list), is_final``.
+def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, lists: bool = True) -> DataFrame:
+    """Firings of early-result session windows.
 
-    The watermarked timeline and the sessionised elements feed several
+    ``lists=True``: rows ``key, window_end, fired_at, n, values (list), is_final``.
+    ``lists=False``: the same firings in row form, one row per list position
+    (``... , position, value``), built without gathering any session: a
+    firing's list is a prefix of its session's order, so each firing explodes
+    ``1..n_regular`` and ``1..n_finish`` and equi-joins the elements on
+    (key, session, rank).  Output rows equal the list lengths exactly.
+
+    The watermarked timeline and the ranked session elements feed several
     branches; each is written once to the shared checkpoint folder instead of
     being recomputed per branch (this also cuts the lineage for recovery).
     """
     checkpoint_dir(timeline.sparkSession)
-    seq_bucket = seq_bucket or seq_bucket_width(timeline)
-    tl = with_watermark(timeline, seq_bucket).checkpoint(eager=True)
+    tl = with_watermark(timeline).checkpoint(eager=True)
     levels = watermark_levels(tl)
     e = tl.where((F.col("kind") == "E")
                  & (F.col("wm").isNull() | (F.col("time") + F.lit(gap_ms) - 1 > F.col("wm"))))
-    e = sessions(e, gap_ms, time_bucket).checkpoint(eager=True)
+    e = sessions(e, gap_ms)
+    fin = F.col("value") == F.lit(finish)
+    # running counts of regular and finish elements and latest time, by arrival within the session
+    e = running_aggs(e, ["key", "sid"], [F.col("seq")],
+                     [(F.when(~fin, F.lit(1)), "_r", "count"), (F.when(fin, F.lit(1)), "_f", "count"),
+                      (F.col("time"), "_tmax", "max")]).checkpoint(eager=True)
     # firing checks: finish elements and session ends
-    fin_checks = e.where(F.col("value") == finish).select(
+    fin_checks = e.where(fin).select(
         "key", "sid", F.greatest(F.col("time"), F.coalesce(F.col("wm") + 1, F.col("time"))).alias("thr"))
     end_checks = e.groupBy("key", "sid").agg((F.max("time") + F.lit(gap_ms) - 1).alias("thr"))
-    checks = _fire_lookup(fin_checks.unionByName(end_checks), "thr", levels, time_bucket)
+    checks = _fire_lookup(fin_checks.unionByName(end_checks), "thr", levels)
     checks = checks.withColumn("g", F.coalesce(F.col("g"), F.lit(LONG_MAX)))
     checks = checks.groupBy("key", "sid", "g").agg(F.min("fired_at").alias("fired_at"))
-    # A firing covers the session's elements that arrived before it (seq < g).
-    # The session list is the output anyway; count and latest time are read
-    # from the filtered list, so the work is bounded by the output size.
-    lists = e.groupBy("key", "sid").agg(F.collect_list(F.struct("seq", "time", "value")).alias("_els"))
-    c = checks.join(lists, ["key", "sid"])
-    c = c.select("key", "sid", "g", "fired_at", F.filter("_els", lambda x: x["seq"] < F.col("g")).alias("_c"))
-    c = c.withColumn("n", F.size("_c")).where(F.col("n") > 0)
+    # what had arrived before each check (seq < g): counts as of the last earlier element
+    c = asof_numeric(checks, e, ["key", "sid"], "g", "seq", ["_r", "_f", "_tmax"], strict=True)
+    c = c.where(F.col("_r").isNotNull()).withColumn("n", F.col("_r") + F.col("_f"))
     # emit only when the count grew since the session's previous check
-    c = carry_last(c, ["key", "sid"], [F.col("g")], F.col("n"), "_prev_n",
-                   F.floor(F.col("g") / F.lit(seq_bucket)), inclusive=False)
-    fired = c.where(F.col("_prev_n").isNull() | (F.col("n") > F.col("_prev_n")))
-    out = fired.select("key", (F.array_max(F.transform("_c", lambda x: x["time"])) + F.lit(gap_ms)).alias("window_end"),
-                       "fired_at", "n",
-                       finish_ordered(F.transform("_c", lambda x: F.struct(x["seq"].alias("seq"),
-                                                                          x["value"].alias("value"))),
-                                      finish).alias("values"))
-    return out.withColumn("is_final", F.col("window_end") <= F.col("fired_at"))
+    c = carry_last(c, ["key", "sid"], [F.col("g")], F.col("n"), "_prev_n", inclusive=False)
+    fired = c.where(F.col("_prev_n").isNull() | (F.col("n") > F.col("_prev_n"))).select(
+        "key", "sid", "g", (F.col("_tmax") + F.lit(gap_ms)).alias("window_end"), "fired_at", "n",
+        F.col("_r").alias("_nr"), F.col("_f").alias("_nf"))
+    fired = fired.withColumn("is_final", F.col("window_end") <= F.col("fired_at"))
+    firing = ["key", "sid", "g", "window_end", "fired_at", "n", "is_final"]
+
+    # one entry per list position: regular ranks 1..nr at positions 1..nr, finish
+    # ranks 1..nf at positions nr+1..nr+nf; one equi-join fetches the values
+    def entries(count_col, kind, offset):
+        return F.when(F.col(count_col) > 0, F.transform(
+            F.sequence(F.lit(1), F.col(count_col)),
+            lambda r: F.struct(F.lit(kind).alias("k"), r.alias("rank"), (r + offset).alias("pos"))))
+    pos = F.explode(F.concat(F.coalesce(entries("_nr", "R", F.lit(0)), F.array()),
+                             F.coalesce(entries("_nf", "F", F.col("_nr")), F.array())))
+    ranks = fired.select(*firing, pos.alias("_p")).select(
+        *firing, F.col("_p.k").alias("_k"), F.col("_p.rank").alias("_rank"), F.col("_p.pos").alias("position"))
+    els = e.select("key", "sid", F.when(fin, F.lit("F")).otherwise(F.lit("R")).alias("_k"),
+                   F.when(fin, F.col("_f")).otherwise(F.col("_r")).alias("_rank"), "value")
+    rows = ranks.join(els, ["key", "sid", "_k", "_rank"]).select(*firing, "position", "value")
+    if not lists:
+        return rows.drop("sid", "g")
+    out = rows.groupBy(*firing).agg(F.sort_array(F.collect_list(F.struct("position", "value"))).alias("_v"))
+    return out.select("key", "window_end", "fired_at", "n", F.transform("_v", lambda x: x["value"]).alias("values"),
+                      "is_final")

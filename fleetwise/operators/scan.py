@@ -13,6 +13,13 @@ levels:
 
 With no key the same code gives a global scan that is still spread over
 buckets instead of a single partition.
+
+Bucket widths are chosen per key from a small statistics aggregate (count,
+first and last ordering value of each key): a key with more than
+``TARGET_ROWS`` rows is cut into buckets of about ``TARGET_ROWS`` rows, a
+smaller key stays in one bucket.  When no key exceeds the target, the scan is a
+plain window and steps 2-3 are skipped.  An explicit ``bucket`` column
+overrides the adaptive choice.
 """
 
 from __future__ import annotations
@@ -21,20 +28,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
-    return df.withColumn("_bkt", bucket)
-
-
-def carry_last(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column,
-               inclusive: bool = True) -> DataFrame:
+TARGET_ROWS = 1 << 20
+
+
+def _bucketed(df: DataFrame, keys: list[str], order: list, bucket: Column | None,
+              target: int) -> tuple[DataFrame, bool]:
+    """(frame with ``_bkt``, whether a single bucket per key suffices)."""
+    if bucket is not None:
+        return df.withColumn("_bkt", bucket), False
+    o = order[0]
+    if not keys:
+        o0, o1, n = df.agg(F.min(o), F.max(o), F.count(F.lit(1))).first()
+        if not n or n <= target:
+            return df.withColumn("_bkt", F.lit(0)), True
+        width = (float(o1) - float(o0) + 1.0) * target / n
+        return df.withColumn("_bkt", F.floor((o - F.lit(o0)) / F.lit(width))), False
+    stats = df.groupBy(*keys).agg(F.min(o).alias("_o0"), F.max(o).alias("_o1"), F.count(F.lit(1)).alias("_on"))
+    biggest = stats.agg(F.max("_on")).first()[0]
+    if not biggest or biggest <= target:
+        return df.withColumn("_bkt", F.lit(0)), True
+    st = stats.select(*[F.col(k).alias("_s_" + k) for k in keys], "_o0", "_o1", "_on")
+    cond = None
+    for k in keys:
+        e = df[k].eqNullSafe(st["_s_" + k])
+        cond = e if cond is None else cond & e
+    j = df.join(st, cond, "left")
+    width = (F.col("_o1") - F.col("_o0") + 1).cast("double") * F.lit(float(target)) / F.col("_on")
+    bkt = F.when(F.col("_on") <= target, F.lit(0)).otherwise(F.floor((o - F.col("_o0")) / width))
+    return j.withColumn("_bkt", bkt).drop("_o0", "_o1", "_on", *["_s_" + k for k in keys]), False
+
+
+def carry_last(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column | None = None,
+               inclusive: bool = True, target: int = TARGET_ROWS) -> DataFrame:
     """Add ``out`` = last non-null ``value`` at or before each row (``inclusive``)
     or strictly before it, in ``order`` within ``keys``.
 
-    ``bucket`` must be non-decreasing in ``order`` (e.g. the day of the first
-    ordering column).
+    The first ordering column must be numeric (buckets are ranges of it); an
+    explicit ``bucket`` must be non-decreasing in ``order``.
     """
-    b = _bucketed(df, bucket).withColumn("_val", value)
+    b, single = _bucketed(df, keys, order, bucket, target)
+    b = b.withColumn("_val", value)
     end = 0 if inclusive else -1
+    if single:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        return b.withColumn(out, F.last("_val", ignorenulls=True).over(w)).drop("_bkt", "_val")
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     b = b.withColumn("_loc", F.last("_val", ignorenulls=True).over(w_in))
     ordkey = F.struct(*order)
@@ -50,15 +87,23 @@ _AGG = {"sum": (F.sum, F.sum), "max": (F.max, F.max), "min": (F.min, F.min), "co
 
 
 def running_aggs(df: DataFrame, keys: list[str], order: list, specs: list[tuple[Column, str, str]],
-                 bucket: Column, inclusive: bool = True) -> DataFrame:
+                 bucket: Column | None = None, inclusive: bool = True, target: int = TARGET_ROWS) -> DataFrame:
     """Several running aggregates over the same keys and order in one pass:
     ``specs`` is a list of (value, output column, fn) with fn one of sum, max,
     min, count.  Each output covers rows at or before the row (strictly
     before when not ``inclusive``)."""
-    b = _bucketed(df, bucket)
+    b, single = _bucketed(df, keys, order, bucket, target)
     for i, (value, _, _) in enumerate(specs):
         b = b.withColumn(f"_val{i}", value)
     end = 0 if inclusive else -1
+    if single:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        for i, (_, out, fn) in enumerate(specs):
+            res = _AGG[fn][0](f"_val{i}").over(w)
+            if fn == "sum":
+                res = F.coalesce(res, F.lit(0))
+            b = b.withColumn(out, res)
+        return b.drop("_bkt", *[f"_val{i}" for i in range(len(specs))])
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     for i, (_, _, fn) in enumerate(specs):
         b = b.withColumn(f"_loc{i}", _AGG[fn][0](f"_val{i}").over(w_in))
@@ -82,8 +127,8 @@ def running_aggs(df: DataFrame, keys: list[str], order: list, specs: list[tuple[
     return j.drop(*drops)
 
 
-def running_agg(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column,
-                fn: str = "sum", inclusive: bool = True) -> DataFrame:
+def running_agg(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column | None = None,
+                fn: str = "sum", inclusive: bool = True, target: int = TARGET_ROWS) -> DataFrame:
     """Add ``out`` = running ``fn`` (sum, max, min, count) of ``value`` over rows
     at or before each row (strictly before when not ``inclusive``)."""
-    return running_aggs(df, keys, order, [(value, out, fn)], bucket, inclusive)
+    return running_aggs(df, keys, order, [(value, out, fn)], bucket, inclusive, target)

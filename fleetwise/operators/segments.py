@@ -46,17 +46,17 @@ def gap_segments(cars: DataFrame, gap: str = "15 seconds") -> DataFrame:
     return g.withColumn("description", erraticness_label(F.col("erraticness")))
 
 
-def stopped_segments(cars: DataFrame, bucket_us: int = DAY_US) -> DataFrame:
+def stopped_segments(cars: DataFrame, bucket_us: int | None = None) -> DataFrame:
     t = F.unix_micros("event_time")
     stop = F.col("speed") == 0
     c = cars.withColumn("_t", t).withColumn("_stop", stop.cast("int"))
     stop_t = F.when(F.col("_stop") == 1, F.col("_t"))
     # last stop at or before each event (stops sort first on equal times)
     c = carry_last(c, ["car_id"], [F.col("_t"), -F.col("_stop")], stop_t, "_prev_stop",
-                   F.floor(F.col("_t") / F.lit(bucket_us)))
+                   F.floor(F.col("_t") / F.lit(bucket_us)) if bucket_us else None)
     # next stop at or after each event, scanning the timeline backwards
     c = carry_last(c, ["car_id"], [-F.col("_t"), -F.col("_stop")], stop_t, "_next_stop",
-                   F.floor(-F.col("_t") / F.lit(bucket_us)))
+                   F.floor(-F.col("_t") / F.lit(bucket_us)) if bucket_us else None)
     kept = c.where((F.col("_stop") == 0) & F.col("_next_stop").isNotNull()
                    & (F.col("_prev_stop").isNull() | (F.col("_prev_stop") != F.col("_t"))))
     g = kept.groupBy("car_id", "_prev_stop").agg(*_stats(), F.first("_next_stop").alias("_ns"))

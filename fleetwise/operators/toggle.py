@@ -21,14 +21,15 @@ MAX_CONTROLS = 10_000
 DAY_US = 86_400_000_000
 
 
-def toggle_intervals(keyed: DataFrame, key: str = "key", time: str = "time", bucket_us: int = DAY_US) -> DataFrame:
+def toggle_intervals(keyed: DataFrame, key: str = "key", time: str = "time", bucket_us: int | None = None) -> DataFrame:
     """(key, on_from, on_until) in epoch micros; ``on_until`` null = open end."""
     per_t = keyed.groupBy(F.col(key).alias("key"), F.unix_micros(F.col(time)).alias("t")).agg(
         F.count(F.lit(1)).alias("n"))
-    run = running_agg(per_t, ["key"], [F.col("t")], F.col("n"), "cnt", F.floor(F.col("t") / F.lit(bucket_us)))
+    run = running_agg(per_t, ["key"], [F.col("t")], F.col("n"), "cnt",
+                      F.floor(F.col("t") / F.lit(bucket_us)) if bucket_us else None)
     # next element time of the key: the last time seen scanning backwards, exclusive
     run = carry_last(run, ["key"], [-F.col("t")], F.col("t"), "on_until",
-                     F.floor(-F.col("t") / F.lit(bucket_us)), inclusive=False)
+                     F.floor(-F.col("t") / F.lit(bucket_us)) if bucket_us else None, inclusive=False)
     return run.where(F.col("cnt") % 2 == 1).select("key", F.col("t").alias("on_from"), "on_until")
 
 

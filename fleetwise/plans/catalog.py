@@ -683,16 +683,18 @@ looked AS (SELECT key, sid, (SELECT min(lvl) FROM levels WHERE lvl >= thr) AS lv
 fired AS (SELECT key, sid, COALESCE(l.gseq, 9223372036854775807) AS g,
                  min(COALESCE(k.lvl, 9223372036854775807)) AS fired_at
           FROM looked k LEFT JOIN levels l ON l.lvl = k.lvl GROUP BY 1, 2, 3),
-counted AS (SELECT f.key, f.sid, f.g, f.fired_at, COUNT(*) AS n, max(e.time) AS tmax,
-                   string_agg(CAST(e.value AS VARCHAR), ',' ORDER BY (e.value = {FINISH}), e.seq) AS vals
-            FROM fired f JOIN e ON e.key = f.key AND e.sid = f.sid AND e.seq < f.g GROUP BY 1, 2, 3, 4)
-SELECT key, tmax + {EARLY_GAP_MS} AS window_end, fired_at, n, vals AS "values",
-       tmax + {EARLY_GAP_MS} <= fired_at AS is_final
-FROM counted
-QUALIFY n > COALESCE(lag(n) OVER (PARTITION BY key, sid ORDER BY g), 0)""", "timeline_v"))
+counted AS (SELECT f.key, f.sid, f.g, f.fired_at, COUNT(*) AS n, max(e.time) AS tmax
+            FROM fired f JOIN e ON e.key = f.key AND e.sid = f.sid AND e.seq < f.g GROUP BY 1, 2, 3, 4),
+emitted AS (SELECT * FROM counted QUALIFY n > COALESCE(lag(n) OVER (PARTITION BY key, sid ORDER BY g), 0))
+SELECT m.key, m.tmax + {EARLY_GAP_MS} AS window_end, m.fired_at, m.n, m.tmax + {EARLY_GAP_MS} <= m.fired_at AS is_final,
+       row_number() OVER (PARTITION BY m.key, m.sid, m.g ORDER BY (e.value = {FINISH}), e.seq) AS position, e.value
+FROM emitted m JOIN e ON e.key = m.key AND e.sid = m.sid AND e.seq < m.g""", "timeline_v"))
 def q_early_session(spark, sf_dir):
-    r = early.early_session(A.element_timeline(spark, sf_dir), EARLY_GAP_MS, FINISH)
-    return r.select("key", "window_end", "fired_at", "n", F.array_join("values", ",").alias("values"), "is_final")
+    """Early-result session windows; each firing's finish-ordered list in row
+    form (one row per position)."""
+    r = early.early_session(A.element_timeline(spark, sf_dir), EARLY_GAP_MS, FINISH, lists=False)
+    return r.select("key", "window_end", "fired_at", "n", "is_final",
+                    F.col("position").cast("bigint").alias("position"), "value")
 
 
 @register("q_finish_ordered_list", with_views(f"""

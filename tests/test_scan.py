@@ -46,3 +46,22 @@ def test_running_agg_matches_window(spark, rows, width, fn, inclusive):
     g = {r.id: r.out for r in got.collect()}
     e = {r.id: r.out for r in exp.collect()}
     assert g == e
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_st, target=st.integers(1, 8), inclusive=st.booleans(), keyed=st.booleans())
+def test_adaptive_buckets_match_window(spark, rows, target, inclusive, keyed):
+    """Per-key bucket widths from key statistics (tiny target: the hot key is
+    cut into many buckets, small keys stay whole); also the global scan."""
+    df = _df(spark, rows)
+    keys = ["k"] if keyed else []
+    order = [F.col("t"), F.col("id")]
+    got = carry_last(df, keys, order, F.col("v"), "last", inclusive=inclusive, target=target)
+    got = running_agg(got, keys, order, F.col("v"), "tot", fn="sum", inclusive=inclusive, target=target)
+    end = 0 if inclusive else -1
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    exp = df.withColumn("last", F.last("v", ignorenulls=True).over(w)) \
+            .withColumn("tot", F.coalesce(F.sum("v").over(w), F.lit(0)))
+    g = {r.id: (r["last"], r.tot) for r in got.collect()}
+    e = {r.id: (r["last"], r.tot) for r in exp.collect()}
+    assert g == e

@@ -30,9 +30,12 @@ def latest_per_key(df: DataFrame, key: str, order: list) -> DataFrame:
     third of all rows costs one row per task in the exchange, never a
     gathered group.
     """
-    cols = [c for c in df.columns]
+    cols = [c for c in df.columns if c != key]
     best = F.max_by(F.struct(*cols), F.struct(*order))
-    return df.groupBy(key).agg(best.alias("r")).select("r.*")
+    # The grouping column itself is kept (not the struct's copy), so the result
+    # is known to be hash-partitioned by ``key`` and a following join or
+    # aggregation on it needs no new shuffle.
+    return df.groupBy(key).agg(best.alias("r")).select(key, "r.*")
 
 
 def latest_by_taxi(rides: DataFrame) -> DataFrame:

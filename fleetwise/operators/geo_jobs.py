@@ -25,9 +25,11 @@ def cell_heatmap(rides: DataFrame, window: str = "1 hour") -> DataFrame:
             .select(F.col("w.end").alias("window_end"), "cell_id", "n_events"))
 
 
-def cell_totals_with_centers(heatmap: DataFrame) -> DataFrame:
-    """Total events per cell with the cell's centre coordinates."""
-    return (heatmap.groupBy("cell_id").agg(F.sum("n_events").alias("n_events"))
+def cell_totals_with_centers(rides: DataFrame) -> DataFrame:
+    """Total events per cell (NYC points) with the cell's centre coordinates;
+    one partially aggregated group-by on the cell."""
+    p = event_point(rides).where(geo.in_nyc("lon", "lat"))
+    return (p.groupBy(geo.cell_id("lon", "lat").alias("cell_id")).agg(F.count(F.lit(1)).alias("n_events"))
             .withColumn("center_lon", geo.cell_center_lon("cell_id"))
             .withColumn("center_lat", geo.cell_center_lat("cell_id")))
 

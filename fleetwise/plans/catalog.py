@@ -151,7 +151,7 @@ SELECT cell_id, n_events, CAST({center_lon_sql('cell_id')} AS DOUBLE) AS center_
 FROM (SELECT {cell_sql('lon', 'lat')} AS cell_id, COUNT(*) AS n_events
       FROM ({_EVENT_POINT_SQL}) p WHERE {nyc_sql('lon', 'lat')} GROUP BY 1)""", "rides_v"))
 def q_cell_centers(spark, sf_dir):
-    c = geo_jobs.cell_totals_with_centers(geo_jobs.cell_heatmap(A.rides(spark, sf_dir)))
+    c = geo_jobs.cell_totals_with_centers(A.rides(spark, sf_dir))
     return c.select("cell_id", "n_events", d("center_lon").alias("center_lon"), d("center_lat").alias("center_lat"))
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from fleetwise.operators.scan import carry_last
 
-DAY_MS = 86_400_000
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,

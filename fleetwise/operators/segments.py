@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from fleetwise.functions.geo import java_int
 from fleetwise.operators.scan import carry_last
 
-DAY_US = 86_400_000_000
 
 # Fixed label rule: int(erraticness / 2.5) -> 0 "calm", 1 "busy", otherwise "crazy".
 LABEL_STEP = 2.5

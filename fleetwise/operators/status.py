@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATUS_COLS = ["ride_id", "taxi_id", "driver_id", "is_start", "longitude", "latitude", "timestamp",
-               "passenger_count"]
-
-
 def ride_status(rides: DataFrame) -> DataFrame:
     """Ride event -> status: location and time come from the start for START
     events and from the end for END events."""

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from fleetwise.operators.scan import carry_last, running_agg
 
 MAX_CONTROLS = 10_000
-DAY_US = 86_400_000_000
 
 
 def toggle_intervals(keyed: DataFrame, key: str = "key", time: str = "time", bucket_us: int | None = None) -> DataFrame:

@@ -168,7 +168,7 @@ def q_direction_histogram(spark, sf_dir):
 
 
 @register("q_ride_duration", with_views("""
-SELECT driver_id, COUNT(*) AS n_rides, SUM(end_ms - start_ms) AS total_ms,
+SELECT driver_id, COUNT(*) AS n_rides, CAST(SUM(end_ms - start_ms) AS BIGINT) AS total_ms,
        MIN(end_ms - start_ms) AS min_ms, MAX(end_ms - start_ms) AS max_ms
 FROM rides_v WHERE NOT is_start GROUP BY driver_id""", "rides_v"))
 def q_ride_duration(spark, sf_dir):
@@ -446,7 +446,7 @@ def q_open_rides(spark, sf_dir):
 
 
 @register("q_ongoing_rides", with_views(f"""
-SELECT {AT_MS} AS at_ms, r.during * 60000 AS during_ms, o.*
+SELECT {AT_MS} AS at_ms, CAST(r.during * 60000 AS BIGINT) AS during_ms, o.*
 FROM ({OPEN_SQL}) o, (VALUES {', '.join(f'({x[0]})' for x in REQUESTS)}) AS r(during)
 WHERE o.start_ms <= {AT_MS} - r.during * 60000""", "rides_v"))
 def q_ongoing_rides(spark, sf_dir):
@@ -657,9 +657,10 @@ e AS (SELECT *, (time // {EARLY_SIZE_MS}) * {EARLY_SIZE_MS} AS ws,
              (time // {EARLY_SIZE_MS}) * {EARLY_SIZE_MS} + {EARLY_SIZE_MS} AS window_end
       FROM t WHERE kind = 'E'),
 ok AS (SELECT * FROM e WHERE wm IS NULL OR window_end - 1 > wm),
-fin AS (SELECT key, window_end, SUM(value) AS total FROM ok GROUP BY key, window_end)
+fin AS (SELECT key, window_end, CAST(SUM(value) AS BIGINT) AS total FROM ok GROUP BY key, window_end)
 SELECT key, window_end, COALESCE(wm, -9223372036854775808) AS fired_at,
-       SUM(value) OVER (PARTITION BY key, ws ORDER BY seq ROWS UNBOUNDED PRECEDING) AS total, false AS is_final
+       CAST(SUM(value) OVER (PARTITION BY key, ws ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total,
+       false AS is_final
 FROM ok QUALIFY (time // 1000) % 2 = 0
 UNION ALL
 SELECT key, window_end, fired_at, total, window_end <= fired_at AS is_final FROM (

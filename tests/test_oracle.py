@@ -21,6 +21,10 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else float(f"{v:.9g}")
@@ -43,6 +47,9 @@ def test_query_matches_oracle(spark, con, name):
     srows = [tuple(r) for r in df.collect()]
     rel = con.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    assert s_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
     drows = rel.fetchall()
     assert len(srows) == len(drows)
     assert _rows(df.columns, srows) == _rows(rel.columns, drows)

@@ -22,7 +22,8 @@ def open_rides(rides: DataFrame, at_ms: int) -> DataFrame:
     at = F.timestamp_millis(F.lit(at_ms))
     r = rides.where(F.col("event_time") <= at)
     g = r.groupBy("ride_id").agg(
-        F.max_by(F.struct(*ONGOING_COLS), F.when(F.col("is_start"), F.col("event_time"))).alias("s"),
+        F.max_by(F.struct(*ONGOING_COLS),
+                 F.when(F.col("is_start"), F.struct("event_time", *ONGOING_COLS))).alias("s"),
         F.max(F.when(~F.col("is_start"), F.lit(1))).alias("closed"))
     return g.where(F.col("s").isNotNull() & F.col("closed").isNull()).select("s.*")
 

@@ -22,7 +22,9 @@ FARE_PAIR_COLS = ["ride_id", "taxi_id", "driver_id", "start_time", "payment_type
 
 
 def _one_per_ride(df: DataFrame, cols: list[str]) -> DataFrame:
-    return latest_per_key(df.select(*cols), "ride_id", [F.col("event_time")])
+    # latest by event time; the whole row breaks ties so the pick is deterministic
+    rest = [c for c in cols if c not in ("ride_id", "event_time")]
+    return latest_per_key(df.select(*cols), "ride_id", [F.col("event_time"), F.struct(*rest)])
 
 
 def _prefixed(df: DataFrame, prefix: str, keep: str = "ride_id") -> DataFrame:
@@ -50,9 +52,7 @@ def expiring_pairs(rides: DataFrame, fares: DataFrame, driver_modulus: int = 100
     r = rides.where(F.col("is_start") & (F.col("driver_id") % driver_modulus != 0))
     r = _prefixed(_one_per_ride(r, RIDE_PAIR_COLS), "ride_")
     f = _prefixed(_one_per_ride(fares, FARE_PAIR_COLS), "fare_")
-    cond = r["ride_id"] == f["ride_id"]
     dt = F.abs(F.unix_millis(r["ride_event_time"]) - F.unix_millis(f["fare_event_time"]))
-    cond = cond & (dt <= F.lit(tolerance_ms))
     j = r.join(f.withColumnRenamed("ride_id", "fare_ride_id"),
                (r["ride_id"] == F.col("fare_ride_id")) & (dt <= F.lit(tolerance_ms)), "full_outer")
     paired = j.where(F.col("ride_id").isNotNull() & F.col("fare_ride_id").isNotNull()).drop("fare_ride_id")

@@ -128,3 +128,18 @@ def test_gzip_logs_roundtrip_batch_and_stream(spark):
          .trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert spark.table("fare_log").count() == fares.count()
+
+
+def test_points_and_json_encoders(spark):
+    import tempfile
+    from fleetwise.sinks import encode, writers
+    df = spark.createDataFrame([("a b,c", 1_600_000_000_000, 1.5), ("k", 1_600_000_001_000, 2.0)],
+                               "k string, t bigint, v double")
+    p = encode.datapoints(df, "tips", "t", "v", key="k")
+    lines = sorted(r.line for r in p.collect())
+    assert lines == [r"tips,key=a\ b\,c value=1.5 1600000000000000000", "tips,key=k value=2.0 1600000001000000000"]
+    d = tempfile.mkdtemp()
+    writers.write_points(p, f"{d}/points", "pts")
+    assert sorted(r.value for r in spark.read.text(f"{d}/points").collect()) == lines
+    j = encode.json_records(df.select("k", "v"), {"key": "k", "value": "v"}, key="k")
+    assert sorted(r.value for r in j.collect()) == ['{"key":"a b,c","value":1.5}', '{"key":"k","value":2.0}']

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from fleetwise.functions import geo
+from fleetwise.session import spread_if_narrow
 
 
 def _grid(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +134,7 @@ def route_traffic(rides: DataFrame, strict: bool = False) -> DataFrame:
     """
     s = rides.where(F.col("is_start") & geo.in_nyc("start_lon", "start_lat") & geo.in_nyc("end_lon", "end_lat"))
     s = s.select(*[F.col(c).cast("float").alias(c) for c in ("start_lon", "start_lat", "end_lon", "end_lat")])
-    cores = s.sparkSession.sparkContext.defaultParallelism
-    if s.rdd.getNumPartitions() < cores:
-        s = s.repartition(cores)
+    s = spread_if_narrow(s)
 
     def per_batch(batches):
         for pdf in batches:

@@ -209,11 +209,9 @@ from fleetwise.operators.tips import tips_per_driver_hour  # noqa: E402
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Parsing is CPU-bound: when the source yields fewer partitions than
-    cores (a small single-split file), spread the rows round-robin first.  Log
-    sources of real size have many splits and are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Parsing is CPU-bound: spread a single-split source over the cores."""
+    from fleetwise.session import spread_if_narrow
+    return spread_if_narrow(df)
 
 
 @register("q_ride_ingest", with_views(f"SELECT {RIDE_OUT_SQL} FROM rides_v", "rides_v"))

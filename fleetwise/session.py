@@ -46,15 +46,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     The folder already registered with the context wins; then the session
     setting.  Only when neither exists (tests, local runs) a scratch folder is
-    created and registered with the context.
+    created and registered with the context.  Without a local context (a
+    remote session) the server's own setting applies and the setting is
+    returned as read.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+        current = sc._jsc.sc().getCheckpointDir()
+    except Exception:  # noqa: BLE001 - remote session: no local context
+        return spark.conf.get("spark.checkpoint.dir", None)
     if current.isDefined():
         return current.get()
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -62,3 +67,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="fleetwise-ckpt-")
     sc.setCheckpointDir(d)
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def spread_if_narrow(df):
+    """Round-robin ``df`` over the cores when its source yields fewer
+    partitions than there are cores (a small single-split file); CPU-heavy
+    per-row work (parsing, the route walk) then uses every core.  Sources of
+    real size have many splits and are returned unchanged, as is everything
+    when the session has no local context to ask."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote session
+        return df
+    return df.repartition(cores) if parts < cores else df

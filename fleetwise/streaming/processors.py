@@ -20,6 +20,40 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+
+class _Slack:
+    """Event-time bookkeeping for window processors.
+
+    Spark drops input rows whose event time is behind the operator watermark;
+    a window processor must still see an element whose *window* is open.  The
+    query therefore runs Spark's watermark ``slack`` behind (slack = the
+    window span) and the processor adds it back: ``wm`` is the domain
+    watermark, timers are set ``slack`` earlier and read back shifted.  The
+    processor applies the exact lateness rule itself.
+    """
+
+    slack = 0
+
+    def wm(self, timerValues: TimerValues) -> int:
+        w = timerValues.getCurrentWatermarkInMs()
+        return w + self.slack if w > 0 else w  # 0 / -1: no watermark yet
+
+    def set_timer(self, t: int) -> None:
+        self.handle.registerTimer(t - self.slack)
+
+    def drop_timer(self, t: int) -> None:
+        self.handle.deleteTimer(t - self.slack)
+
+    def fired(self, info: ExpiredTimerInfo) -> int:
+        return info.getExpiryTimeInMs() + self.slack
+
+
+def _delay_ms(delay: str) -> int:
+    n, unit = delay.split()
+    scale = {"millisecond": 1, "milliseconds": 1, "second": 1000, "seconds": 1000, "minute": 60000,
+             "minutes": 60000, "hour": 3600000, "hours": 3600000}[unit]
+    return int(float(n) * scale)
+
 PAIR_OUT = "ride_id bigint, kind string, ride_ms bigint, fare_ms bigint, driver_id bigint, tip float"
 _RIDE_STATE = StructType([StructField("ms", LongType()), StructField("driver_id", LongType())])
 _FARE_STATE = "ms bigint, driver_id bigint, tip float"
@@ -95,7 +129,7 @@ def pair_with_expiry(rides: DataFrame, fares: DataFrame, delay: str = "0 seconds
 EARLY_OUT = "key bigint, window_end bigint, fired_at bigint, total bigint, is_final boolean"
 
 
-class EarlyTumblingProcessor(StatefulProcessor):
+class EarlyTumblingProcessor(_Slack, StatefulProcessor):
     """Tumbling windows with early firing on elements whose second is even.
 
     State: map window start -> running sum.  A late element (window end - 1 at
@@ -105,13 +139,14 @@ class EarlyTumblingProcessor(StatefulProcessor):
 
     def __init__(self, size_ms: int):
         self.size = size_ms
+        self.slack = size_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.sums = handle.getMapState("sums", "ws bigint", "total bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
+        wm = self.wm(timerValues)
         for r in sorted(rows, key=lambda x: x.seq):
             ws = (r.time // self.size) * self.size
             end = ws + self.size
@@ -120,14 +155,14 @@ class EarlyTumblingProcessor(StatefulProcessor):
             cur = self.sums.getValue((ws,))
             total = (cur[0] if cur else 0) + r.value
             self.sums.updateValue((ws,), (total,))
-            self.handle.registerTimer(end - 1)
+            self.set_timer(end - 1)
             if (r.time // 1000) % 2 == 0:
                 yield Row(key=key[0], window_end=end, fired_at=wm, total=total, is_final=False)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        end = expiredTimerInfo.getExpiryTimeInMs() + 1
+        end = self.fired(expiredTimerInfo) + 1
         ws = end - self.size
-        wm = timerValues.getCurrentWatermarkInMs()
+        wm = self.wm(timerValues)
         cur = self.sums.getValue((ws,))
         if cur is not None:
             self.sums.removeKey((ws,))
@@ -139,7 +174,7 @@ class EarlyTumblingProcessor(StatefulProcessor):
 
 def early_tumbling_stream(elements: DataFrame, size_ms: int, delay: str = "0 seconds") -> DataFrame:
     """``elements(seq, time (ms), key, value, event_time)`` -> early/final rows."""
-    e = elements.withWatermark("event_time", delay)
+    e = elements.withWatermark("event_time", f"{_delay_ms(delay) + size_ms} milliseconds")
     return e.groupBy("key").transformWithState(EarlyTumblingProcessor(size_ms), EARLY_OUT, "Append", "EventTime")
 
 
@@ -213,7 +248,7 @@ def enrich_trades_stream(trades: DataFrame, customers: DataFrame, delay: str = "
 SESSION_OUT = "key bigint, window_end bigint, fired_at bigint, n bigint, values array<bigint>, is_final boolean"
 
 
-class EarlySessionProcessor(StatefulProcessor):
+class EarlySessionProcessor(_Slack, StatefulProcessor):
     """Session windows (gap ``gap_ms``) with early results on finish elements.
 
     State per key: the open sessions (start -> end, element count, count at
@@ -228,6 +263,7 @@ class EarlySessionProcessor(StatefulProcessor):
 
     def __init__(self, gap_ms: int, finish: int = 5):
         self.gap, self.finish = gap_ms, finish
+        self.slack = gap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -235,21 +271,27 @@ class EarlySessionProcessor(StatefulProcessor):
         self.elems = handle.getListState("elems", "seq bigint, time bigint, value bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
+        wm = self.wm(timerValues)
         sess = {k[0]: list(v) for k, v in self.sessions.iterator()} if self.sessions.exists() else {}
         added = []
         for r in sorted(rows, key=lambda x: x.seq):
             if r.time + self.gap - 1 <= wm:
                 continue
             start, end, n, last = r.time, r.time + self.gap, 1, 0
+            old_ends = []
             for s0 in [s for s, v in sess.items() if s <= end and v[0] >= start]:
                 e0, n0, l0 = sess.pop(s0)
-                self.handle.deleteTimer(e0 - 1)
+                old_ends.append(e0)
                 start, end, n, last = min(start, s0), max(end, e0), n + n0, last + l0
+            # end timers of absorbed sessions go, unless one is the merged session's end
+            for e0 in old_ends:
+                if e0 != end:
+                    self.drop_timer(e0 - 1)
             sess[start] = [end, n, last]
-            self.handle.registerTimer(end - 1)
+            if end not in old_ends:
+                self.set_timer(end - 1)
             if r.value == self.finish:
-                self.handle.registerTimer(r.time)
+                self.set_timer(r.time)
             added.append((r.seq, r.time, r.value))
         if added:
             self.sessions.clear()
@@ -259,8 +301,8 @@ class EarlySessionProcessor(StatefulProcessor):
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        wm = timerValues.getCurrentWatermarkInMs()
+        t = self.fired(expiredTimerInfo)
+        wm = self.wm(timerValues)
         if not self.sessions.exists():
             return
         sess = {k[0]: list(v) for k, v in self.sessions.iterator()}
@@ -293,6 +335,6 @@ class EarlySessionProcessor(StatefulProcessor):
 
 def early_session_stream(elements: DataFrame, gap_ms: int, finish: int = 5, delay: str = "0 seconds") -> DataFrame:
     """``elements(seq, time (ms), key, value, event_time)`` -> early/final session firings."""
-    e = elements.withWatermark("event_time", delay)
+    e = elements.withWatermark("event_time", f"{_delay_ms(delay) + gap_ms} milliseconds")
     return e.groupBy("key").transformWithState(EarlySessionProcessor(gap_ms, finish), SESSION_OUT, "Append",
                                                "EventTime")

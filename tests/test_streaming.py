@@ -13,6 +13,9 @@ from fleetwise.sources import adapters as A
 from fleetwise.streaming import jobs, processors
 
 SENTINEL_MS = 4_000_000_000_000
+# Scripted times are shifted away from epoch 0 (Spark's initial watermark); the base
+# is a multiple of 3 s and 5 s with an even second, so windows and parities keep.
+BASE_T = 1_599_999_990_000
 
 
 def _split_files(df, path, col, n):
@@ -96,13 +99,14 @@ def test_early_tumbling_processor_golden(spark):
     src = tempfile.mkdtemp()
     files = []
     for i, b in enumerate(batches):
-        df = spark.createDataFrame([(s, t * 1000, k, v) for s, t, k, v in b], "seq bigint, time bigint, key bigint, "
-                                   "value bigint").withColumn("event_time", F.timestamp_millis("time"))
+        df = spark.createDataFrame([(s, BASE_T + t * 1000, k, v) for s, t, k, v in b],
+                                   "seq bigint, time bigint, key bigint, value bigint") \
+                  .withColumn("event_time", F.timestamp_millis("time"))
         df.coalesce(1).write.parquet(f"{src}/b{i}")
         files.append(f"{src}/b{i}")
     s = _stream_of(spark, files, "seq bigint, time bigint, key bigint, value bigint, event_time timestamp")
     out = _run(spark, processors.early_tumbling_stream(s, 3000), "early3")
-    got = sorted((r.is_final, r.total, r.window_end) for r in out.collect() if r.key == 0)
+    got = sorted((r.is_final, r.total, r.window_end - BASE_T) for r in out.collect() if r.key == 0)
     # content of the firings of the golden: early 5 and 4, final 5 and 6
     assert got == [(False, 4, 6000), (False, 5, 3000), (True, 5, 3000), (True, 6, 6000)]
 
@@ -221,10 +225,10 @@ def test_rules_runner(spark):
     assert spark.read.parquet(f"{out}/rejects").count() == 1
 
 
-def _element_batches(spark, batches):
+def _element_batches(spark, batches, base=0):
     src = tempfile.mkdtemp()
     for i, b in enumerate(batches):
-        spark.createDataFrame(b, "seq bigint, time bigint, key bigint, value bigint") \
+        spark.createDataFrame([(q, t + base, k, v) for q, t, k, v in b], "seq bigint, time bigint, key bigint, value bigint") \
              .withColumn("event_time", F.timestamp_millis("time")).coalesce(1).write.parquet(f"{src}/b{i:02d}")
     return spark.readStream.schema("seq bigint, time bigint, key bigint, value bigint, event_time timestamp") \
         .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
@@ -237,17 +241,17 @@ SENT = [(99, 100000, 9, 1)]
 def test_early_session_processor_case1(spark):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
     # the reference's intermediate watermark W(6500) is a batch of its own (another key at 6500)
-    s = _element_batches(spark, [C_B1, [(5, 6000, 0, 5)], [(6, 6500, 7, 1)], [(7, 7000, 0, 4)], SENT])
+    s = _element_batches(spark, [C_B1, [(5, 6000, 0, 5)], [(6, 6500, 7, 1)], [(7, 7000, 0, 4)], SENT], BASE_T)
     out = _run(spark, processors.early_session_stream(s, 5000), "sess1")
-    got = sorted((r.window_end, r.values, r.is_final) for r in out.collect() if r.key == 0)
+    got = sorted((r.window_end - BASE_T, r.values, r.is_final) for r in out.collect() if r.key == 0)
     assert got == [(11000, [1, 4, 4, 4, 5], False), (12000, [1, 4, 4, 4, 4, 5], True)]
 
 
 def test_early_session_processor_case2(spark):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
-    s = _element_batches(spark, [C_B1, [(5, 6000, 0, 5)], [(7, 7000, 0, 4)], SENT])
+    s = _element_batches(spark, [C_B1, [(5, 6000, 0, 5)], [(7, 7000, 0, 4)], SENT], BASE_T)
     out = _run(spark, processors.early_session_stream(s, 5000), "sess2")
-    got = sorted((r.window_end, r.values, r.is_final) for r in out.collect() if r.key == 0)
+    got = sorted((r.window_end - BASE_T, r.values, r.is_final) for r in out.collect() if r.key == 0)
     assert got == [(12000, [1, 4, 4, 4, 4, 5], False)]
 
 
@@ -287,3 +291,33 @@ def test_hourly_tips_stream_out_of_order_within_delay(spark):
     got = {(r.window_end, r.driver_id, float(r.sum_tips)) for r in out.collect()}
     exp = {(r.window_end, r.driver_id, float(r.sum_tips)) for r in hourly_tips(fares).collect()}
     assert got == exp
+
+
+def test_early_session_processor_disorder_equals_batch(spark):
+    """Demo D (gap 1 h, a 4 arriving after the finish code): one element per
+    micro-batch, each followed by its watermark; the firings' contents and
+    early/final labels equal the batch form's on the same timeline."""
+    from conftest import timeline
+    from fleetwise.operators.early import early_session
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+    pts = [(1552319238044, 0, 1), (1552319550448, 0, 4), (1552319851529, 0, 4), (1552320152653, 0, 4),
+           (1552320237880, 0, 2), (1552320538612, 0, 4), (1552320839585, 0, 4), (1552320994646, 0, 5),
+           (1552320945515, 0, 4), (1552321005515, 1, 1), (1552400000000, 9, 1)]
+    # after each element a batch of another key at the running maximum time: timers
+    # reached by the element's watermark fire before the next element arrives,
+    # as with the per-element watermarks of the batch timeline
+    batches, mx = [], 0
+    for i, (t, k, v) in enumerate(pts):
+        mx = max(mx, t)
+        batches += [[(2 * i, t, k, v)], [(2 * i + 1, mx, 8, 1)]]
+    s = _element_batches(spark, batches)
+    out = _run(spark, processors.early_session_stream(s, 3_600_000), "sessD")
+    got = sorted((r.key, r.window_end, r.values, r.is_final) for r in out.collect() if r.key not in (8, 9))
+    script, wm = [], None
+    for t, k, v in pts:
+        script.append(("E", t, k, v))
+        wm = t if wm is None else max(wm, t)
+        script.append(("W", wm))
+    b = early_session(timeline(spark, script), 3_600_000)
+    exp = sorted((r.key, r.window_end, r.values, r.is_final) for r in b.collect() if r.key != 9)
+    assert got == exp

@@ -5,16 +5,17 @@ it, ...).  Every control element is emitted once for each key whose flag is
 set at the control's event time, i.e. keys with an odd number of elements at
 or before that time.
 
-The per-key element counts become "flag on" intervals [t, next t) with the
-skew-safe running count; the control elements (a small control input, size
-checked) are broadcast and matched to the intervals that contain their time.
+Control elements are a small, counted control input.  ``apply_controls``
+needs no range join: see its docstring.  ``toggle_intervals`` gives the
+"flag on" intervals per key for other uses.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetwise.operators.asof import asof_numeric
 from fleetwise.operators.scan import carry_last, running_agg
 
 MAX_CONTROLS = 10_000
@@ -35,13 +36,34 @@ def toggle_intervals(keyed: DataFrame, key: str = "key", time: str = "time", buc
 def apply_controls(keyed: DataFrame, controls: DataFrame, key: str = "key", time: str = "time",
                    control_time: str = "time", control_value: str = "value") -> DataFrame:
     """(control_time, control_value, key) for each control and each key whose
-    flag is set at the control's time."""
+    flag is set at the control's time.
+
+    Output-sensitive and join-free apart from equi-joins: controls are
+    numbered in time order; every element gets the number of the first
+    control at or after it (a global as-of scan); counts per (key, control
+    epoch) and their running sum give each key's flag per epoch; every
+    stretch of epochs with the flag set is exploded into exactly the output
+    rows, which are equi-joined to the control values.
+    """
     n = controls.count()
     if n > MAX_CONTROLS:
         raise ValueError(f"{n} control elements in one evaluation (limit {MAX_CONTROLS})")
-    iv = toggle_intervals(keyed, key, time)
-    c = F.broadcast(controls.select(F.unix_micros(F.col(control_time)).alias("_ct"),
-                                    F.col(control_time).alias("control_time"),
-                                    F.col(control_value).alias("control_value")))
-    cond = (F.col("on_from") <= F.col("_ct")) & (F.col("on_until").isNull() | (F.col("_ct") < F.col("on_until")))
-    return iv.join(c, cond, "inner").select("control_time", "control_value", "key")
+    if n == 0:
+        return keyed.sparkSession.createDataFrame([], "control_time timestamp, control_value bigint, key bigint")
+    ctl = controls.select(F.unix_micros(F.col(control_time)).alias("_ct"), F.col(control_time).alias("control_time"),
+                          F.col(control_value).alias("control_value"))
+    # number controls 0..n-1 in time order (a small table: a plain window is fine)
+    ctl = ctl.withColumn("_i", F.row_number().over(Window.orderBy("_ct", "control_value")) - 1)
+    el = keyed.select(F.col(key).alias("key"), F.unix_micros(F.col(time)).alias("_t"))
+    # an element counts for the first control at or after it (n: after the last control)
+    ep = asof_numeric(el, ctl.select("_ct", "_i"), [], "_t", "_ct", ["_i"], forward=True)
+    ep = ep.select("key", F.coalesce(F.col("_i"), F.lit(n)).alias("_i"))
+    per = ep.groupBy("key", "_i").agg(F.count(F.lit(1)).alias("_n"))
+    per = running_agg(per, ["key"], [F.col("_i")], F.col("_n"), "_cnt")
+    per = carry_last(per, ["key"], [-F.col("_i")], F.col("_i"), "_next", inclusive=False)
+    on = per.where(F.col("_cnt") % 2 == 1)
+    first = F.col("_i")
+    last = F.coalesce(F.col("_next"), F.lit(n)) - 1
+    rows = on.select("key", F.explode(F.when(last >= first, F.sequence(first, last))).alias("_i"))
+    return rows.join(ctl.select("_i", "control_time", "control_value"), "_i").select(
+        "control_time", "control_value", "key")

@@ -143,3 +143,18 @@ def test_points_and_json_encoders(spark):
     assert sorted(r.value for r in spark.read.text(f"{d}/points").collect()) == lines
     j = encode.json_records(df.select("k", "v"), {"key": "k", "value": "v"}, key="k")
     assert sorted(r.value for r in j.collect()) == ['{"key":"a b,c","value":1.5}', '{"key":"k","value":2.0}']
+
+
+def test_toggle_matches_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    base = 1_600_000_000_000
+    els = [(rnd.choice([0, 0, 0, 1, 2, 3]), base + rnd.randint(0, 60) * 1000) for _ in range(80)]
+    ctl = sorted({base + rnd.randint(-5, 65) * 1000 for _ in range(12)})
+    keyed = spark.createDataFrame(els, "key bigint, ms bigint").select("key", F.timestamp_millis("ms").alias("time"))
+    controls = spark.createDataFrame([(t, i) for i, t in enumerate(ctl)], "ms bigint, value bigint") \
+                    .select(F.timestamp_millis("ms").alias("time"), "value")
+    got = sorted((r.control_value, r.key) for r in toggle.apply_controls(keyed, controls).collect())
+    exp = sorted((i, k) for i, t in enumerate(ctl) for k in {k for k, _ in els}
+                 if sum(1 for kk, tt in els if kk == k and tt <= t) % 2 == 1)
+    assert got == exp

@@ -59,7 +59,7 @@ _RIDE_STATE = StructType([StructField("ms", LongType()), StructField("driver_id"
 _FARE_STATE = "ms bigint, driver_id bigint, tip float"
 
 
-class PairingProcessor(StatefulProcessor):
+class PairingProcessor(_Slack, StatefulProcessor):
     """Ride/fare pairing with expiry, keyed by ride id.
 
     A row waits in its side's slot (a newer row of the same side overwrites
@@ -67,8 +67,15 @@ class PairingProcessor(StatefulProcessor):
     watermark passes the row's own event time - then it is emitted as a solo
     ride or solo fare.  Input rows: ``ride_id, side ('ride'|'fare'), ms,
     driver_id, tip``.
+
+    ``late_ms`` keeps rows that arrive up to that much behind the watermark
+    (Spark would drop them): such a row still pairs with a waiting partner or
+    expires as solo at the next watermark step.
     """
 
+    def __init__(self, late_ms: int = 0):
+        self.slack = late_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.ride = handle.getValueState("ride", _RIDE_STATE)
@@ -84,7 +91,7 @@ class PairingProcessor(StatefulProcessor):
                     yield Row(ride_id=rid, kind="pair", ride_ms=r.ms, fare_ms=f[0], driver_id=r.driver_id, tip=f[2])
                 else:
                     self.ride.update((r.ms, r.driver_id))
-                    self.handle.registerTimer(r.ms)
+                    self.set_timer(r.ms)
             else:
                 if self.ride.exists():
                     rd = self.ride.get()
@@ -92,7 +99,7 @@ class PairingProcessor(StatefulProcessor):
                     yield Row(ride_id=rid, kind="pair", ride_ms=rd[0], fare_ms=r.ms, driver_id=rd[1], tip=r.tip)
                 else:
                     self.fare.update((r.ms, r.driver_id, r.tip))
-                    self.handle.registerTimer(r.ms)
+                    self.set_timer(r.ms)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         rid = key[0]
@@ -120,10 +127,10 @@ def pairing_input(rides: DataFrame, fares: DataFrame, driver_modulus: int = 1000
     return r.unionByName(f)
 
 
-def pair_with_expiry(rides: DataFrame, fares: DataFrame, delay: str = "0 seconds") -> DataFrame:
+def pair_with_expiry(rides: DataFrame, fares: DataFrame, delay: str = "0 seconds", late_ms: int = 0) -> DataFrame:
     """Streaming J2: pairs, solo rides and solo fares in one output (``kind``)."""
-    u = pairing_input(rides, fares).withWatermark("event_time", delay)
-    return u.groupBy("ride_id").transformWithState(PairingProcessor(), PAIR_OUT, "Append", "EventTime")
+    u = pairing_input(rides, fares).withWatermark("event_time", f"{_delay_ms(delay) + late_ms} milliseconds")
+    return u.groupBy("ride_id").transformWithState(PairingProcessor(late_ms), PAIR_OUT, "Append", "EventTime")
 
 
 EARLY_OUT = "key bigint, window_end bigint, fired_at bigint, total bigint, is_final boolean"

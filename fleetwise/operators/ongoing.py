@@ -10,10 +10,12 @@ flag per ride before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_REQUESTS = 1000  # control messages per evaluation; each is tested against every open ride
+from fleetwise.operators.asof import asof_numeric
+
+BROADCAST_REQUESTS = 64  # above this many requests the join avoids the rides x requests comparison
 ONGOING_COLS = ["ride_id", "taxi_id", "driver_id", "start_time", "start_lon", "start_lat", "passenger_cnt"]
 
 
@@ -28,19 +30,28 @@ def open_rides(rides: DataFrame, at_ms: int) -> DataFrame:
     return g.where(F.col("s").isNotNull() & F.col("closed").isNull()).select("s.*")
 
 
-def ongoing_for_requests(open_: DataFrame, requests: DataFrame, at_ms: int) -> DataFrame:
+def ongoing_for_requests(open_: DataFrame, requests: DataFrame, at_ms: int,
+                         broadcast_limit: int = BROADCAST_REQUESTS) -> DataFrame:
     """For every request ``during`` (minutes), the rides open for at least that
     long at ``at_ms``: ``start <= at - during``.  Output: ``at``, ``during``
     (ms) and the ride summary.
 
-    Requests are control messages, a handful per evaluation; the request side
-    is broadcast (its size is checked) and every open ride is tested against
-    each request with a range condition.
+    Requests are control messages, usually a handful.  Up to
+    ``broadcast_limit`` of them (counted first) are broadcast and every open
+    ride is tested against each.  Beyond that the cost would grow with rides x
+    requests, so requests are numbered by duration and each ride finds, with a
+    global as-of scan on its age, the longest request it satisfies; the
+    requests it satisfies are exactly those numbered up to that one, exploded
+    into output rows and equi-joined to the request table.
     """
-    n = requests.count()
-    if n > MAX_REQUESTS:
-        raise ValueError(f"{n} requests in one evaluation; control input is expected to be small")
-    req = F.broadcast(requests.select((F.col("during") * F.lit(60000)).alias("during_ms")))
     start_ms = F.unix_millis(F.col("start_time"))
-    j = open_.join(req, start_ms <= F.lit(at_ms) - F.col("during_ms"), "inner")
-    return j.select(F.lit(at_ms).alias("at_ms"), "during_ms", *open_.columns)
+    req = requests.select((F.col("during") * F.lit(60000)).alias("during_ms"))
+    n = req.count()
+    if n <= broadcast_limit:
+        j = open_.join(F.broadcast(req), start_ms <= F.lit(at_ms) - F.col("during_ms"), "inner")
+        return j.select(F.lit(at_ms).alias("at_ms"), "during_ms", *open_.columns)
+    numbered = req.withColumn("_j", F.row_number().over(Window.orderBy("during_ms")) - 1)
+    rides = open_.withColumn("_age", F.lit(at_ms) - start_ms)
+    m = asof_numeric(rides, numbered.select("during_ms", "_j"), [], "_age", "during_ms", ["_j"])
+    rows = m.where(F.col("_j").isNotNull()).select(*open_.columns, F.explode(F.sequence(F.lit(0), F.col("_j"))).alias("_j"))
+    return rows.join(numbered, "_j").select(F.lit(at_ms).alias("at_ms"), "during_ms", *open_.columns)

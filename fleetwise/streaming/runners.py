@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetwise.operators.nearest import nearest_taxi
-from fleetwise.operators.ongoing import ONGOING_COLS
+from fleetwise.operators.ongoing import ONGOING_COLS, ongoing_for_requests
 from fleetwise.operators.rules import evaluate_rules
 from fleetwise.operators.status import latest_per_key, ride_status
 from fleetwise.session import checkpoint_dir
@@ -86,11 +86,8 @@ class OngoingRidesRunner:
         reqs = parse_requests(batch.where(F.col("kind") == "request").select("value"))
         if wm is None or reqs.isEmpty():
             return
-        at = wm["wm"]
-        req = F.broadcast(reqs.select((F.col("during") * F.lit(60000)).alias("during_ms")))
-        ans = state.join(req, F.unix_millis("start_time") <= F.lit(at) - F.col("during_ms"))
-        ans.select(F.lit(at).alias("at_ms"), "during_ms", *ONGOING_COLS).write.mode("overwrite") \
-           .parquet(posixpath.join(self.out_path, f"batch={batch_id}"))
+        ans = ongoing_for_requests(state.select(*ONGOING_COLS), reqs, wm["wm"])
+        ans.write.mode("overwrite").parquet(posixpath.join(self.out_path, f"batch={batch_id}"))
 
 
 class RulesRunner:

@@ -158,3 +158,17 @@ def test_toggle_matches_brute_force(spark):
     exp = sorted((i, k) for i, t in enumerate(ctl) for k in {k for k, _ in els}
                  if sum(1 for kk, tt in els if kk == k and tt <= t) % 2 == 1)
     assert got == exp
+
+
+def test_ongoing_requests_paths_agree(spark):
+    """The broadcast range join and the as-of path give the same rows, with
+    duplicate and unmatched request durations."""
+    from conftest import SF_DIR
+    from fleetwise.operators import ongoing
+    from fleetwise.sources import adapters as A
+    at = 1357300000000
+    op = ongoing.open_rides(A.rides(spark, SF_DIR), at)
+    reqs = spark.createDataFrame([(d,) for d in [5, 30, 30, 60, 240, 100000] * 12], "during bigint")
+    a = ongoing.ongoing_for_requests(op, reqs, at, broadcast_limit=1000)
+    b = ongoing.ongoing_for_requests(op, reqs, at, broadcast_limit=0)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -13,7 +13,9 @@ frame and does not affect the others.
 
 from __future__ import annotations
 
+import logging
 import re
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame
@@ -29,6 +31,22 @@ _DENY_RE = re.compile(r"\b(" + "|".join(DENIED_FUNCTIONS) + r")\s*\(", re.IGNORE
 _SUBQUERY_RE = re.compile(r"\b(select|from)\b", re.IGNORECASE)
 
 
+@contextmanager
+def _quiet_analysis_errors():
+    """PySpark logs the query context of every analysis error it raises; a
+    refused rule is an expected outcome (reported in the rejects frame), so
+    those loggers are muted while a rule is probed."""
+    loggers = [logging.getLogger(n) for n in ("SQLQueryContextLogger", "DataFrameQueryContextLogger")]
+    saved = [lg.disabled for lg in loggers]
+    for lg in loggers:
+        lg.disabled = True
+    try:
+        yield
+    finally:
+        for lg, d in zip(loggers, saved):
+            lg.disabled = d
+
+
 def check_rule(state: DataFrame, condition: str) -> str | None:
     """None if the rule is usable on ``state``, else the reason."""
     if condition is None or not condition.strip():
@@ -38,7 +56,8 @@ def check_rule(state: DataFrame, condition: str) -> str | None:
     if _SUBQUERY_RE.search(condition):
         return "subqueries are not allowed"
     try:
-        dt = state.select(F.expr(condition).alias("r")).schema["r"].dataType
+        with _quiet_analysis_errors():
+            dt = state.select(F.expr(condition).alias("r")).schema["r"].dataType
     except (AnalysisException, ParseException) as ex:
         return f"invalid: {type(ex).__name__}"
     except Exception as ex:  # noqa: BLE001 - any analysis failure rejects the rule

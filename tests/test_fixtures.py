@@ -172,3 +172,38 @@ def test_ongoing_requests_paths_agree(spark):
     a = ongoing.ongoing_for_requests(op, reqs, at, broadcast_limit=1000)
     b = ongoing.ongoing_for_requests(op, reqs, at, broadcast_limit=0)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_nearest_taxi_exact_against_brute_force(spark):
+    """Dense taxis in NYC plus far and NaN positions; calls near and far (the
+    far ones are settled only at coarse levels or the final catch-all)."""
+    import numpy as np
+    from fleetwise.operators import nearest
+    rng = np.random.default_rng(3)
+    tx = [(i, float(-74.0 + rng.random() * 0.3), float(40.6 + rng.random() * 0.3)) for i in range(60)]
+    tx += [(60, -70.0, 42.0), (61, float("nan"), 40.7), (62, -73.9, 10.0)]
+    calls = [(j, float(-74.0 + rng.random() * 0.3), float(40.6 + rng.random() * 0.3)) for j in range(40)]
+    calls += [(40, -73.95, 40.75), (41, -71.0, 41.5), (42, -120.0, 35.0), (43, -73.9, 11.0)]
+    taxis = spark.createDataFrame(tx, "taxi_id bigint, longitude double, latitude double")
+    cdf = spark.createDataFrame(calls, "call_id bigint, longitude double, latitude double")
+    got = {r.call_id: r.taxi_id for r in nearest.nearest_taxi(cdf, taxis).collect()}
+
+    def dist(lon1, lat1, lon2, lat2):
+        x = np.float64(np.float32(lat1) - np.float32(lat2))
+        y = np.float64(np.float32(lon1) - np.float32(lon2)) * np.cos(np.float64(np.float32(lat2)))
+        return 110.25 * np.sqrt(x * x + y * y)
+    exp = {}
+    for cid, lo, la in calls:
+        ds = [(dist(lo, la, tlo, tla), tid) for tid, tlo, tla in tx if not np.isnan(dist(lo, la, tlo, tla))]
+        exp[cid] = min(ds)[1]
+    assert got == exp
+
+
+def test_checkpoint_dir_is_read_not_replaced(spark):
+    """The configured folder (set at session build, as a cluster would) is
+    the one jobs checkpoint into."""
+    from fleetwise.session import checkpoint_dir
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    got = checkpoint_dir(spark)
+    # Spark places each application's checkpoints in a subfolder of the configured one
+    assert configured and got.split(":", 1)[-1].startswith(configured.rstrip("/"))

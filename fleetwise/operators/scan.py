@@ -32,8 +32,9 @@ TARGET_ROWS = 1 << 20
 
 
 def _bucketed(df: DataFrame, keys: list[str], order: list, bucket: Column | None,
-              target: int) -> tuple[DataFrame, bool]:
+              target: int | None) -> tuple[DataFrame, bool]:
     """(frame with ``_bkt``, whether a single bucket per key suffices)."""
+    target = target or TARGET_ROWS  # read at call time
     if bucket is not None:
         return df.withColumn("_bkt", bucket), False
     o = order[0]
@@ -59,7 +60,7 @@ def _bucketed(df: DataFrame, keys: list[str], order: list, bucket: Column | None
 
 
 def carry_last(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column | None = None,
-               inclusive: bool = True, target: int = TARGET_ROWS) -> DataFrame:
+               inclusive: bool = True, target: int | None = None) -> DataFrame:
     """Add ``out`` = last non-null ``value`` at or before each row (``inclusive``)
     or strictly before it, in ``order`` within ``keys``.
 
@@ -87,7 +88,7 @@ _AGG = {"sum": (F.sum, F.sum), "max": (F.max, F.max), "min": (F.min, F.min), "co
 
 
 def running_aggs(df: DataFrame, keys: list[str], order: list, specs: list[tuple[Column, str, str]],
-                 bucket: Column | None = None, inclusive: bool = True, target: int = TARGET_ROWS) -> DataFrame:
+                 bucket: Column | None = None, inclusive: bool = True, target: int | None = None) -> DataFrame:
     """Several running aggregates over the same keys and order in one pass:
     ``specs`` is a list of (value, output column, fn) with fn one of sum, max,
     min, count.  Each output covers rows at or before the row (strictly
@@ -128,7 +129,7 @@ def running_aggs(df: DataFrame, keys: list[str], order: list, specs: list[tuple[
 
 
 def running_agg(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column | None = None,
-                fn: str = "sum", inclusive: bool = True, target: int = TARGET_ROWS) -> DataFrame:
+                fn: str = "sum", inclusive: bool = True, target: int | None = None) -> DataFrame:
     """Add ``out`` = running ``fn`` (sum, max, min, count) of ``value`` over rows
     at or before each row (strictly before when not ``inclusive``)."""
     return running_aggs(df, keys, order, [(value, out, fn)], bucket, inclusive, target)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwise.operators.asof import asof_numeric
-from fleetwise.operators.scan import carry_last, running_agg, running_aggs
+from fleetwise.operators.scan import carry_last, running_agg, running_aggs, sessionize
 from fleetwise.session import checkpoint_dir
 
 LONG_MIN = -9223372036854775808
@@ -111,10 +111,7 @@ def finish_ordered_rows(elements: DataFrame, gap_ms: int, finish: int = 5) -> Da
 def sessions(elements: DataFrame, gap_ms: int) -> DataFrame:
     """Add ``sid`` (session start time) per key: a new session starts when the
     time since the key's previous element is more than ``gap_ms``."""
-    e = carry_last(elements, ["key"], [F.col("time"), F.col("seq")], F.col("time"), "_prev", inclusive=False)
-    new = F.when(F.col("_prev").isNull() | (F.col("time") - F.col("_prev") > F.lit(gap_ms)), F.col("time"))
-    e = carry_last(e, ["key"], [F.col("time"), F.col("seq")], new, "sid")
-    return e.drop("_prev")
+    return sessionize(elements, ["key"], F.col("time"), [F.col("seq")], gap_ms)
 
 
 def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, lists: bool = True) -> DataFrame:

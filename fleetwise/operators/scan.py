@@ -133,3 +133,17 @@ def running_agg(df: DataFrame, keys: list[str], order: list, value: Column, out:
     """Add ``out`` = running ``fn`` (sum, max, min, count) of ``value`` over rows
     at or before each row (strictly before when not ``inclusive``)."""
     return running_aggs(df, keys, order, [(value, out, fn)], bucket, inclusive, target)
+
+
+def sessionize(df: DataFrame, keys: list[str], time: Column, tiebreak: list, gap, out: str = "sid") -> DataFrame:
+    """Add ``out`` = start of each row's session per key: a session ends when
+    more than ``gap`` (in the units of ``time``, numeric) passes without a row;
+    a pause of exactly ``gap`` stays in the session.  Two carry scans (the
+    previous time, then the latest session start), so a key with a third of
+    the rows is split over buckets instead of being merged in one task."""
+    order = [F.col("_st"), *tiebreak]
+    e = df.withColumn("_st", time)
+    e = carry_last(e, keys, order, F.col("_st"), "_prev", inclusive=False)
+    new = F.when(F.col("_prev").isNull() | (F.col("_st") - F.col("_prev") > F.lit(gap)), F.col("_st"))
+    e = carry_last(e, keys, order, new, out)
+    return e.drop("_prev", "_st")

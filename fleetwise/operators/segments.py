@@ -1,9 +1,8 @@
 """Drive segments of connected cars.
 
 * Gap segments: a car's events split where more than ``gap`` passes without
-  data (an exactly-``gap`` pause stays in the segment).  Built on
-  ``session_window``; partial sessions are merged inside each input partition
-  before the shuffle, so a car with most of the events sends few rows.
+  data (an exactly-``gap`` pause stays in the segment); sessions from the
+  skew-safe scans, statistics per (car, session).
 * Stopped segments: the events of a car between two stops (speed 0), closed
   by the later stop.  Each event looks up the last stop at or before it and
   the next stop after it with the skew-safe scan; events that share their
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwise.functions.geo import java_int
-from fleetwise.operators.scan import carry_last
+from fleetwise.operators.scan import carry_last, sessionize
 
 
 # Fixed label rule: int(erraticness / 2.5) -> 0 "calm", 1 "busy", otherwise "crazy".
@@ -39,9 +38,26 @@ def _stats():
             F.stddev_pop(F.col("throttle").cast("double")).alias("erraticness")]
 
 
-def gap_segments(cars: DataFrame, gap: str = "15 seconds") -> DataFrame:
-    g = (cars.groupBy("car_id", F.session_window("event_time", gap).alias("s")).agg(*_stats())
-         .drop("s"))
+_UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def _duration_us(gap) -> int:
+    """'15 seconds' / '6 hours' / milliseconds as a number -> microseconds."""
+    if isinstance(gap, (int, float)):
+        return int(gap * 1000)
+    n, unit = gap.split()
+    return int(float(n) * _UNIT_US[unit.rstrip("s")])
+
+
+def gap_segments(cars: DataFrame, gap="15 seconds") -> DataFrame:
+    """Segments split where more than ``gap`` passes without an event.
+
+    Sessions come from the skew-safe scans (a car with most of the events is
+    split over buckets); the statistics are then a partially aggregated
+    group-by on (car, session), which spreads even one car's sessions."""
+    s = sessionize(cars, ["car_id"], F.unix_micros("event_time"), [F.col("id")], _duration_us(gap))
+    g = s.groupBy("car_id", "sid").agg(*_stats()).drop("sid")
     return g.withColumn("description", erraticness_label(F.col("erraticness")))
 
 

@@ -11,7 +11,7 @@ from fleetwise.operators import scan
 from fleetwise.sources.tables import TABLES
 from test_oracle import _rows
 
-SCAN_QUERIES = ["q_trade_enrich", "q_stopped_segments", "q_toggle_broadcast", "q_early_tumbling",
+SCAN_QUERIES = ["q_trade_enrich", "q_gap_segments", "q_stopped_segments", "q_toggle_broadcast", "q_early_tumbling",
                 "q_early_session", "q_finish_ordered_list"]
 
 

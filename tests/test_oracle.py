@@ -7,10 +7,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_DIR
+from fleetwise.plans import catalog
 from fleetwise.sources.tables import TABLES
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetwise.llm import token_files
+from fleetwise.llm import mixing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +30,39 @@ def query(fn):
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, read back: start, length and crc32 of each document's ids."""
     return token_files.encode_and_read_back(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+
+
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix with weights 5, 2, 1 at 150% of all words takes of each document."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op10_mix_sources"] = r"""
+WITH d AS (SELECT doc_id, source IS NULL AS no_source, coalesce(source, '') AS source_name,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    md5(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(md5(text), ''))) AS key FROM documents),
+z AS (SELECT no_source, source_name, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY no_source, source_name),
+s AS (SELECT *, (CASE (row_number() OVER (ORDER BY no_source, source_name) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END)::DOUBLE AS weight
+    FROM z),
+l AS (SELECT *, 2.0::DOUBLE * source_size AS lim,
+    sum(2.0::DOUBLE * source_size) OVER w AS lims, sum(weight) OVER w AS ws,
+    sum(weight) OVER () AS all_w, 1.5::DOUBLE * (sum(source_size) OVER ()) AS total
+    FROM s WINDOW w AS (ORDER BY 2.0::DOUBLE * source_size / weight, no_source, source_name ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, lim * (all_w - ws + weight) <= (total - lims + lim) * weight AS capped FROM l),
+o AS (SELECT any_value(total) - coalesce(sum(lim) FILTER (capped), 0) AS rest,
+    any_value(all_w) - coalesce(sum(weight) FILTER (capped), 0) AS open_w FROM c),
+t AS (SELECT no_source, source_name, source_size,
+    CASE WHEN capped THEN lim ELSE weight * (rest / open_w) END AS target FROM c, o),
+b AS (SELECT d.*, source_size, target,
+    CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS epochs,
+    sum(size) OVER (PARTITION BY no_source, source_name ORDER BY key RANGE UNBOUNDED PRECEDING) AS upto,
+    sum(size) OVER (PARTITION BY no_source, source_name, key) AS same,
+    count(*) OVER (PARTITION BY no_source, source_name, key) AS n
+    FROM d JOIN t USING (no_source, source_name)),
+r AS (SELECT *, CAST(floor(target) AS BIGINT) - epochs * source_size AS rest FROM b)
+SELECT doc_id, size, source_size, target,
+    CAST(epochs * size + CASE WHEN upto <= rest THEN size WHEN upto - same <= rest THEN (rest - upto + same) // n ELSE 0 END AS BIGINT) AS taken
+FROM r
+"""

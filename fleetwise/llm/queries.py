@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetwise.llm import mixing, token_files
+from fleetwise.llm import mixing, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,10 @@ SELECT doc_id, size, source_size, target,
     CAST(epochs * size + CASE WHEN upto <= rest THEN size WHEN upto - same <= rest THEN (rest - upto + same) // n ELSE 0 END AS BIGINT) AS taken
 FROM r
 """
+
+
+@query
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint (3-word shingles) and component (links at 3 bits or fewer) of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_in_shingle=3, distance=3)
+    return found.select("doc_id", simhash.hex_digits(found["fp"]).alias("fingerprint"), "component_id")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetwise.llm import mixing, simhash, token_files
+from fleetwise.llm import mixing, simhash, token_files, toxicity
+from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +75,20 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint (3-word shingles) and component (links at 3 bits or fewer) of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_in_shingle=3, distance=3)
     return found.select("doc_id", simhash.hex_digits(found["fp"]).alias("fingerprint"), "component_id")
+
+
+TOXIC_FROM = 0.7
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Trained on the labels whose id has crc32 mod 3 other than 1."""
+    return toxicity.fit(docs, labels.where(crc_mod(F.col("doc_id"), 3) != 1))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))

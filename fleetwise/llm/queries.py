@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import mixing, simhash, token_files, toxicity
+from fleetwise.llm import hash_forest, language, mixing, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,19 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
                          (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(crc_mod(F.col("doc_id"), 4) != 2))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for every vec_id divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hash_forest.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)

@@ -21,8 +21,6 @@ repeated documents are scored alike; an empty table gives no row.
 from __future__ import annotations
 
 import pickle
-import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,86 +30,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwise.llm.common import stored
+from fleetwise.llm.subwords import BagScorer, Numbered, gram_rows, words
 
-BUCKETS, DIM = 1 << 17, 8
+BITS, DIM = 17, 8
+BUCKETS = 1 << BITS
 GRAMS = (3, 4, 5)
 TRAIN_DOCS = 4000
-EPOCHS, BATCH, RATE = 8, 128, 0.05
-MEMO = 500_000  # words remembered in one task before it starts anew
-_WORDS = re.compile(r"[^\W_]+(?:[^\w\s]+[^\W_]+)*")
-
-
-def words(text: str | None) -> list[str]:
-    """Lower-case words; signs inside a word stay, those around it go."""
-    return _WORDS.findall(text.lower()) if text else []
-
-
-def gram_rows(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(row of the embedding table, number of the word) for every n-gram of
-    the marked words <word>, and for each whole word."""
-    code = np.frombuffer("".join(f"<{w}>" for w in some).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    size = np.fromiter(map(len, some), np.int64, len(some)) + 2
-    of = np.repeat(np.arange(len(some)), size)
-    ends = np.cumsum(size)
-    left = np.repeat(ends, size) - np.arange(len(code))  # characters to the end of the word
-    step = np.uint64(0x9E3779B97F4A7C15)
-    hashed, rows, at = np.zeros(len(code), np.uint64), [], []
-    mixed = (code + np.uint64(1)) * step
-    for n in range(1, max(GRAMS) + 1):
-        # hash of the n characters from each place
-        shifted = np.zeros_like(mixed)
-        shifted[:len(mixed) - n + 1] = mixed[n - 1:]
-        hashed = (hashed ^ shifted) * step
-        hashed ^= hashed >> np.uint64(29)
-        if n in GRAMS:
-            ok = left >= n
-            rows.append((hashed[ok] * step >> np.uint64(64 - 17)).astype(np.int64))
-            at.append(of[ok])
-    whole = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in some], np.int64)
-    return np.concatenate([*rows, whole]), np.concatenate([*at, np.arange(len(some))])
-
-
-class _Words(dict):
-    """Numbers words in the order they come; ``new`` has those not yet looked at."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
-        return n
+STEPS, BATCH, RATE = 400, 128, 0.1
 
 
 class Model:
-    """Embedding table, softmax weights (of class 1 against 0; a scalar if the
-    table already holds their product) and bias."""
+    """Rows of the embedding table times the softmax weights (class 1 against
+    0): the softmax reads a mean, so it can be taken row by row.  And a bias."""
 
-    def __init__(self, table: np.ndarray, weight: np.ndarray, bias: float):
-        self.rows = (table @ weight if np.ndim(weight) else table).astype(np.float64)  # the softmax of a mean is linear in the rows
-        self.bias = float(bias)
-        self.forget()
-
-    def forget(self) -> None:
-        self.seen, self.logit = _Words(), np.zeros(0)
-
-    def word_logits(self, some: list[str]) -> np.ndarray:
-        row, at = gram_rows(some)
-        return np.bincount(at, self.rows[row], len(some)) / np.bincount(at, minlength=len(some))
+    def __init__(self, rows: np.ndarray, bias: float):
+        self.rows, self.bias = rows.astype(np.float64), float(bias)
+        self.bag = BagScorer(self.rows[:, None], GRAMS, BITS)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if len(self.seen) > MEMO:
-            self.forget()
-        look = self.seen.__getitem__
-        bags = []
-        for t in texts:
-            bag = words(t)
-            bags.append(np.fromiter(map(look, bag), np.int64, len(bag)))
-        if self.seen.new:
-            self.logit = np.concatenate([self.logit, self.word_logits(self.seen.new)])
-            self.seen.new = []
-        z = np.array([self.logit[b].mean() if len(b) else 0.0 for b in bags]) + self.bias
+        z = self.bag(texts)[0][:, 0] + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -119,33 +56,37 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 1) -> Model:
     """Joint training of embeddings and softmax."""
     y_all = np.asarray(toxic, np.float64)
     if len(y_all) == 0 or y_all.min() == y_all.max():
-        return Model(np.zeros((BUCKETS, DIM)), np.zeros(DIM), 40.0 if len(y_all) and y_all[0] else -40.0)
+        return Model(np.zeros(BUCKETS), 40.0 if len(y_all) and y_all[0] else -40.0)
     rng = np.random.default_rng(seed)
-    number = _Words()
+    number = Numbered()
     docs = []
     for t in texts:
         bag = Counter(words(t))
         docs.append((np.fromiter(map(number.__getitem__, bag), np.int64, len(bag)),
                      np.fromiter(bag.values(), np.float64, len(bag)) / max(1, bag.total())))
-    gram, word_of = gram_rows(number.new)
+    gram, word_of = gram_rows(number.new, GRAMS, BITS)
     order = np.argsort(word_of, kind="stable")
     gram, size = gram[order].astype(np.int32), np.bincount(word_of, minlength=len(number))
     begin = np.cumsum(size) - size
     table = rng.standard_normal((BUCKETS, DIM)) * 0.1
     weight, bias = rng.standard_normal(DIM) * 0.5, 0.0
-    moments = [(np.zeros_like(table), np.zeros_like(table)), (np.zeros(DIM), np.zeros(DIM)), (np.zeros(1), np.zeros(1))]
+    moments = [(np.zeros_like(table), np.zeros(1)), (np.zeros(DIM), np.zeros(1)), (np.zeros(1), np.zeros(1))]
 
     def adam(which: int, g: np.ndarray, rate: float) -> np.ndarray:
         m, v = moments[which]
         m += 0.1 * (g - m)
-        v += 0.01 * (g * g - v)
-        return rate * m / (np.sqrt(v) + 1e-8)
+        v += 0.01 * ((g * g).mean() - v)
+        return rate * m / (np.sqrt(v) + 1e-12)
 
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    # the rarer class weighs more, half way to an even balance
+    weigh = np.where(y_all > 0, (0.5 / y_all.mean()) ** 0.5, (0.5 / (1 - y_all.mean())) ** 0.5)
+    done, epochs = 0, -(-STEPS * BATCH // len(docs))
+    for _ in range(epochs):
         shuffled = rng.permutation(len(docs))
         for s in range(0, len(shuffled), BATCH):
             some = shuffled[s:s + BATCH]
+            rate = RATE * max(0.02, 1 - done / STEPS)
+            done += 1
             at = np.concatenate([docs[i][0] for i in some])
             if not len(at):
                 continue
@@ -157,13 +98,13 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 1) -> Model:
             g_row = gram[np.repeat(begin[at] - ends + n, n) + np.arange(ends[-1])]
             g_share, g_doc = np.repeat(share / n, n), np.repeat(row, n)
             z = np.bincount(g_doc, (table @ weight)[g_row] * g_share, len(some)) + bias
-            loss = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y_all[some]) / len(some)
+            loss = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y_all[some]) * weigh[some] / len(some)
             per_row = np.bincount(g_row, g_share * loss[g_doc], BUCKETS)
             d_table, d_weight = per_row[:, None] * weight, table.T @ per_row
             table -= adam(0, d_table, rate)
             weight -= adam(1, d_weight, rate)
             bias -= adam(2, np.array([loss.sum()]), rate)[0]
-    return Model(table, weight, bias)
+    return Model(table @ weight, bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
@@ -192,16 +133,16 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
 
     (data,) = rows.repartition(1).mapInPandas(run, "model binary").collect()
     rows_, bias = pickle.loads(bytes(data["model"]))
-    return Model(rows_, np.ones(()), bias)
+    return Model(rows_, bias)
 
 
 def score_column(model: Model):
     """A function text column -> score column (0 to 1)."""
-    weights, bias = model.rows, model.bias
+    rows, bias = model.rows, model.bias
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = Model(weights, np.ones(()), bias)
+        own = Model(rows, bias)
         for batch in texts:
             some = batch.tolist()
             yield pd.Series(np.concatenate([own.scores(some[i:i + 512]) for i in range(0, len(some), 512)])

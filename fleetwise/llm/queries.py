@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import hash_forest, language, mixing, simhash, token_files, toxicity
+from fleetwise.llm import hash_forest, language, mixing, repeats, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors found for every vec_id divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return hash_forest.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without byte strings of 200 that also start elsewhere."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

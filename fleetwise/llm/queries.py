@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import hash_forest, language, mixing, repeats, simhash, token_files, toxicity
+from fleetwise.llm import decontamination, hash_forest, language, mixing, repeats, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,29 @@ def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of every document without byte strings of 200 that also start elsewhere."""
     return repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op1_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that overlap, with the tokens that agree in the best window."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op1_benchmark_overlaps"] = r"""
+WITH d AS (SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
+dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8),
+bp AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS p FROM b WHERE len(w) >= 8),
+ds AS (SELECT doc_id, p, unnest([concat_ws(' ', 'a', w[p], w[p+1], w[p+3], w[p+6], w[p+7]),
+    concat_ws(' ', 'b', w[p], w[p+1], w[p+4], w[p+6], w[p+7])]) AS s FROM dp),
+bs AS (SELECT item_id, p, unnest([concat_ws(' ', 'a', w[p], w[p+1], w[p+3], w[p+6], w[p+7]),
+    concat_ws(' ', 'b', w[p], w[p+1], w[p+4], w[p+6], w[p+7])]) AS s FROM bp),
+h AS (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS shift FROM ds JOIN bs USING (s)),
+m AS (SELECT h.doc_id, h.item_id, shift, least(len(b.w), 13) AS win, len(b.w) AS n,
+    list_transform(range(1, len(b.w) + 1), lambda j: CASE WHEN j + shift >= 1 AND d.w[greatest(j + shift, 1)] = b.w[j] THEN 1 ELSE 0 END) AS same
+    FROM h JOIN d ON d.doc_id = h.doc_id JOIN b ON b.item_id = h.item_id),
+x AS (SELECT doc_id, item_id, win,
+    list_max(list_transform(range(1, n - win + 2), lambda j: list_sum(same[j:j + win - 1]))) AS matched FROM m)
+SELECT doc_id, item_id, CAST(max(matched) AS BIGINT) AS matched, CAST(max(win) AS BIGINT) AS "window"
+FROM x WHERE matched >= 0.8 * win GROUP BY doc_id, item_id
+"""

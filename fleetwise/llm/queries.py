@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import decontamination, hash_forest, language, mixing, repeats, simhash, token_files, toxicity
+from fleetwise.llm import decontamination, hash_forest, language, lm_scoring, mixing, repeats, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,11 @@ x AS (SELECT doc_id, item_id, win,
 SELECT doc_id, item_id, CAST(max(matched) AS BIGINT) AS matched, CAST(max(win) AS BIGINT) AS "window"
 FROM x WHERE matched >= 0.8 * win GROUP BY doc_id, item_id
 """
+
+
+@query
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document; the target is what labels call of quality 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.score(docs, *lm_scoring.models(docs, good))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import decontamination, hash_forest, language, lm_scoring, mixing, repeats, simhash, token_files, toxicity
+from fleetwise.llm import decontamination, hash_forest, language, line_dedup, lm_scoring, mixing, repeats, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,31 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return lm_scoring.score(docs, *lm_scoring.models(docs, good))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, number of matching classes and fate of every line that has a token."""
+    found = line_dedup.matched_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "line_no", "n_links", "removed")
+
+
+ORACLES["op7_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no, string_split(text, chr(10)) AS parts
+    FROM documents WHERE text <> ''),
+t AS (SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, list_sort(list_distinct(list_filter(
+    regexp_split_to_array(lower(parts[line_no + 1]), '[^\p{L}\p{N}]+'), lambda w: w <> ''))) AS w FROM l),
+c AS (SELECT w, len(w) AS n, min(struct_pack(doc_id, line_no)) AS first FROM t WHERE len(w) > 0 GROUP BY w),
+k AS (SELECT *, row_number() OVER () AS id FROM c),
+u AS (SELECT id, n, unnest(w) AS tok FROM k),
+f AS (SELECT tok, count(*) AS freq FROM u GROUP BY tok),
+r AS (SELECT u.*, row_number() OVER (PARTITION BY id ORDER BY freq, u.tok) AS place FROM u JOIN f ON f.tok = u.tok),
+p AS (SELECT * FROM r WHERE place <= n - ceil(0.8 * n - 1e-9) + 1),
+q AS (SELECT DISTINCT x.id AS a, y.id AS b FROM p x JOIN p y ON x.tok = y.tok AND x.id <> y.id AND x.n >= 0.8 * y.n - 1e-9 AND y.n >= 0.8 * x.n - 1e-9),
+j AS (SELECT q.a, q.b, y.first AS other FROM q JOIN k x ON x.id = q.a JOIN k y ON y.id = q.b
+    WHERE len(list_intersect(x.w, y.w)) >= 0.8 * (x.n + y.n - len(list_intersect(x.w, y.w))) - 1e-9),
+g AS (SELECT a, count(*) AS n_links, min(other) AS other FROM j GROUP BY a)
+SELECT t.doc_id, t.line_no, coalesce(n_links, 0) AS n_links,
+    (least(k.first, coalesce(g.other, k.first)) < struct_pack(doc_id := t.doc_id, line_no := t.line_no)) AS removed
+FROM t JOIN k ON k.w = t.w LEFT JOIN g ON g.a = k.id
+"""

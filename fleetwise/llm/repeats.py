@@ -47,7 +47,7 @@ LENGTH = 200
 GRAM = 48
 GROUP = 256
 CHUNK = 1 << 22  # starts worked on at a time in a very long text
-BATCH = 1 << 14  # contexts sorted together
+BATCH = 1 << 11  # contexts sorted together; bounds the memory of a task
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POS = np.uint64((1 << 24) - 1)
 
@@ -290,13 +290,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "lo": pa.array(place[row] - after + 1, pa.int64()), "hi": pa.array(place[row] - first, pa.int64())})
 
     for batch in batches:
-        held.extend(zip(*(c.to_pylist() for c in batch.columns)))
-        while len(held) > BATCH:
-            cut = BATCH  # at the end of a group, which has at most GROUP rows
-            while cut > 0 and held[cut - 1][0] == held[cut][0]:
-                cut -= 1
-            yield settle(held[:cut])
-            held = held[cut:]
+        for at in range(0, batch.num_rows, BATCH):
+            held.extend(zip(*(c.to_pylist() for c in batch.slice(at, BATCH).columns)))
+            while len(held) > BATCH:
+                cut = BATCH  # at the end of a group, which has at most GROUP rows
+                while cut > 0 and held[cut - 1][0] == held[cut][0]:
+                    cut -= 1
+                yield settle(held[:cut])
+                held = held[cut:]
     if held:
         yield settle(held)
 

@@ -125,5 +125,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = stored(_verified(_named(docs), items.groupBy("item").agg(F.first("tokens").alias("tokens")))
                    .select(F.col("t").alias("_leak_t"), F.col("u").alias("_leak_u")).distinct(), "leaks")
     raw = docs["text"].cast("binary")
-    return docs.join(found, (F.xxhash64(raw) == F.col("_leak_t")) & (F.coalesce(F.crc32(raw), F.lit(0)) == F.col("_leak_u")),
+    return docs.join(found, (F.xxhash64(raw) == found["_leak_t"]) & (F.coalesce(F.crc32(raw), F.lit(0)) == found["_leak_u"]),
                      "left_anti")

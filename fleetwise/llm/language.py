@@ -156,15 +156,14 @@ def train(texts: list[str], langs: list[str]) -> Model:
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """Train on ``docs`` (doc_id, text, lang), at most ``train_docs`` of them."""
-    known = docs.where(docs["lang"].isNotNull() & docs["doc_id"].isNotNull()).select(
-        docs["doc_id"].cast("long").alias("_id"), docs["lang"].alias("_lang"))
+    texts = docs.select(docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("_text"), docs["lang"].alias("_lang")).where(
+        "_id is not null and _lang is not null")
+    known = texts.select("_id", "_lang")
     n = known.agg(F.countDistinct("_lang")).first()[0]
     first = F.row_number().over(W.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id"))
     chosen = known.withColumn("_nth", first).where(F.col("_nth") <= max(1, train_docs // max(1, n))).select("_id").distinct()
     # at most train_docs ids: small enough to broadcast, and their texts for one task
-    rows = (docs.where(docs["lang"].isNotNull()).join(F.broadcast(stored(chosen, "language-sample")),
-                                                      docs["doc_id"].cast("long") == F.col("_id"))
-            .select("_id", docs["text"].alias("_text"), docs["lang"].alias("_lang")))
+    rows = texts.join(F.broadcast(stored(chosen, "language-sample")), "_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [b for b in batches if len(b)]

@@ -159,7 +159,7 @@ def deduplicated(docs: DataFrame, words_in_shingle: int = 3, distance: int = 3)
     found = near_duplicates(docs, words_in_shingle, distance)
     stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct()
     nth = free_name(docs.columns, "_nth")
-    rows = docs.join(stay, docs["doc_id"].cast("long") == F.col("_stay"), "left_semi")
+    rows = docs.join(stay, docs["doc_id"].cast("long") == stay["_stay"], "left_semi")
     one = rows.withColumn(nth, F.row_number().over(W.partitionBy(rows["doc_id"]).orderBy(rows["text"]))).where(
         F.col(nth) == 1).drop(nth)
     return one.unionByName(docs.where(docs["doc_id"].isNull()))

@@ -119,8 +119,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
     for toxic in (0, 1):
         some = known.where(F.col("_toxic") == toxic).orderBy(F.xxhash64("_id"), "_id").limit(train_docs)
         chosen = some if chosen is None else chosen.union(some)
-    rows = docs.join(F.broadcast(stored(chosen, "toxic-sample")), docs["doc_id"].cast("long") == F.col("_id")).select(
-        F.col("_id"), F.col("_toxic"), docs["text"].alias("_text"))
+    texts = docs.select(docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("_text"))
+    rows = texts.join(F.broadcast(stored(chosen, "toxic-sample")), "_id").select("_id", "_toxic", "_text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [b for b in batches if len(b)]

@@ -21,8 +21,8 @@ noise, as in the tables at hand) no hash narrows the search much: 0.9 recall
 takes about half of all vectors, and the cost is that of a search in blocks.
 On clustered vectors a far smaller ``share`` does.
 
-Equal vectors are one class: the k + 1 smallest ids of a class stand for all
-of it, and the queries of a class are answered once.
+Equal vectors are one class, named by its 64-bit hash: the k + 1 smallest ids
+of a class stand for all of it, and the queries of a class are answered once.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do null ids; a vector of another length than
@@ -99,7 +99,7 @@ def _search(k: int, share: float, center: np.ndarray):
         is_query = group["is_query"].to_numpy()
         vectors = group["vector"].map(lambda v: np.asarray(v, np.float64))
         size = vectors.map(len).to_numpy()
-        ids = group["class"].to_numpy()
+        ids, least = group["class"].to_numpy(), group["least"].to_numpy()
         out = []
         for dim in np.unique(size[is_query]):
             qs, rows = np.flatnonzero(is_query & (size == dim)), np.flatnonzero(~is_query & (size == dim))
@@ -107,10 +107,10 @@ def _search(k: int, share: float, center: np.ndarray):
                 continue
             x = np.stack(vectors.iloc[rows].to_list())
             q = np.stack(vectors.iloc[qs].to_list())
-            norms, row_ids = np.linalg.norm(x, axis=1), ids[rows]
+            norms, row_ids, row_least = np.linalg.norm(x, axis=1), ids[rows], least[rows]
             for i, at in enumerate(Forest(x, center).candidates(q, share)):
                 cos = (x[at] @ q[i]) / (norms[at] * np.linalg.norm(q[i]))
-                best = np.lexsort((row_ids[at], -np.round(cos, 12)))[:k + 1]
+                best = np.lexsort((row_least[at], -np.round(cos, 12)))[:k + 1]
                 out.append((np.full(len(best), ids[qs[i]]), row_ids[at][best], cos[best]))
         if not out:
             return pd.DataFrame({"qclass": pd.Series([], dtype="int64"), "vclass": pd.Series([], dtype="int64"),
@@ -131,11 +131,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, share: float = SHA
     # the k + 1 smallest ids of each different vector; the row_number limit is applied before the shuffle too
     of = W.partitionBy("hash", "vector").orderBy("id")
     named = stored(rows.select("id", "hash", "vector").withColumn("nth", F.dense_rank().over(of)).where(F.col("nth") <= k + 1)
-                   .groupBy("hash", "vector").agg(F.sort_array(F.collect_set("id")).alias("ids"), F.min("id").alias("class")),
-                   "vectors")
-    asked = stored(rows.where("is_query").select("id", "hash", "vector").distinct(), "queries")
-    asked = asked.join(named.select("hash", "vector", "class"), ["hash", "vector"]).select("id", "class")
-    wanted = asked.select("class").distinct().join(named, "class").select("class", "vector")
+                   .groupBy("hash", "vector").agg(F.sort_array(F.collect_set("id")).alias("ids"), F.min("id").alias("least"))
+                   .withColumnRenamed("hash", "class"), "vectors")
+    asked = stored(rows.where("is_query").select("id", F.col("hash").alias("class")).distinct(), "queries")
+    wanted = asked.select("class").distinct().join(named, "class").select("class", "least", "vector")
 
     n, m = named.count(), wanted.count()
     blocks, parts = max(1, -(-n // BLOCK)), max(1, -(-m // QUERIES))
@@ -147,10 +146,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, share: float = SHA
 
     hashed = F.xxhash64(F.col("class"), F.lit(1))
     index = named.select(F.pmod(hashed, F.lit(blocks)).alias("block"),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), "class", "vector",
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), "class", "least", "vector",
                          F.lit(False).alias("is_query"))
     ask = wanted.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-                        F.pmod(hashed, F.lit(parts)).alias("part"), "class", "vector", F.lit(True).alias("is_query"))
+                        F.pmod(hashed, F.lit(parts)).alias("part"), "class", "least", "vector", F.lit(True).alias("is_query"))
     found = index.unionByName(ask).groupBy("block", "part").applyInPandas(
         _search(k, share, center), "qclass long, vclass long, score double")
     # per query class the best k + 1 ids, classes spread out to their ids

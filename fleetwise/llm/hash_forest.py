@@ -138,7 +138,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, share: float = SHA
 
     n, m = named.count(), wanted.count()
     blocks, parts = max(1, -(-n // BLOCK)), max(1, -(-m // QUERIES))
-    sample = named.orderBy("hash").limit(SAMPLE).select("vector").toPandas()["vector"].map(lambda x: np.asarray(x, np.float64))
+    sample = named.orderBy("class").limit(SAMPLE).select("vector").toPandas()["vector"].map(lambda x: np.asarray(x, np.float64))
     center = np.zeros(0)
     if len(sample):
         dim = sample.map(len).mode().iloc[0]

@@ -20,8 +20,10 @@ neighbours, and the bytes they span are its *context*.
    logarithmic in the length.  The common prefixes of neighbours in the two
    orders, checked byte by byte against hash collisions, say which contexts
    agree in o bytes to the left and LENGTH - o to the right.
-4. An anchor with more than ``GROUP`` classes is not gathered: its windows are
-   spread by their 128-bit hash over all tasks and counted there, exactly.
+4. An anchor with more than ``GROUP`` classes is not gathered: stripes of
+   ``STRIPE`` neighbouring windows are spread over all tasks by the 128-bit
+   hash of their bytes; equal ones repeat as a whole, and single windows are
+   hashed only where different stripes share their middle.
 
 Texts are named by two hashes, so equal documents share their answer, and only
 texts with a repeated anchor are read again.
@@ -46,6 +48,7 @@ from fleetwise.llm.common import stored
 LENGTH = 200
 GRAM = 48
 GROUP = 256
+STRIPE = 8
 CHUNK = 1 << 22  # starts worked on at a time in a very long text
 BATCH = 1 << 11  # contexts sorted together; bounds the memory of a task
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -315,14 +318,37 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "context": pa.array([raw[x["lo"]:x["hi"] + LENGTH] for x in asked], pa.binary())})
 
 
+def _stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts -> a row for every ``STRIPE`` neighbouring windows: the hash
+    of the bytes they span (f1, f2), the hash of the bytes that all windows of
+    the stripe's place have in common (c1, c2), their starts and their bytes."""
+    import xxhash
+    for batch in batches:
+        for i in range(batch.num_rows):
+            _, t, u, place, lo, hi, context = (c[i].as_py() for c in batch.columns)
+            rows = []
+            for k in range((place - hi) // STRIPE, (place - lo) // STRIPE + 1):
+                first = place - min(place - lo, k * STRIPE + STRIPE - 1) - lo
+                last = place - max(place - hi, k * STRIPE) - lo
+                span = context[first:last + LENGTH]
+                core = context[place - lo - k * STRIPE:place - lo - k * STRIPE - STRIPE + 1 + LENGTH]
+                rows.append((xxhash.xxh3_128_digest(span, place - lo - first), xxhash.xxh3_128_digest(core, k), first + lo, last + lo, span))
+            f, c = (np.frombuffer(b"".join(r[j] for r in rows), "<i8").reshape(-1, 2) for j in (0, 1))
+            n = len(rows)
+            yield pa.RecordBatch.from_pydict({
+                "f1": f[:, 0], "f2": f[:, 1], "c1": c[:, 0], "c2": c[:, 1], "t": np.full(n, t), "u": np.full(n, u),
+                "lo": np.array([r[2] for r in rows]), "hi": np.array([r[3] for r in rows]),
+                "span": pa.array([r[4] for r in rows], pa.binary())})
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts -> a row w1, w2, t, u, s for each window."""
+    """Rows t, u, lo, hi, span -> a row w1, w2, t, u, s for each window."""
     import xxhash
     for batch in batches:
         for i in range(batch.num_rows):
-            _, t, u, _, lo, hi, context = (c[i].as_py() for c in batch.columns)
+            t, u, lo, hi, span = (c[i].as_py() for c in batch.columns)
             n = hi - lo + 1
-            h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(context[k:k + LENGTH]) for k in range(n)), "<i8").reshape(n, 2)
+            h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(span[k:k + LENGTH]) for k in range(n)), "<i8").reshape(n, 2)
             yield pa.RecordBatch.from_pydict({"w1": h[:, 0], "w2": h[:, 1], "t": np.full(n, t), "u": np.full(n, u),
                                               "s": np.arange(lo, hi + 1)})
 
@@ -386,10 +412,25 @@ def repeated_starts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sorted_ = of(False).select("a", "t", "u", "place", "lo", "context").repartition(n, "a").sortWithinPartitions("a")
     compared = sorted_.mapInArrow(_compare, "t long, u long, lo long, hi long")
-    windows = stored(of(True).mapInArrow(_windows, "w1 long, w2 long, t long, u long, s long"), "windows")
+    return texts, whole.union(compared).union(_spread(of(True)))
+
+
+def _spread(contexts: DataFrame) -> DataFrame:
+    """Repeated starts (t, u, lo, hi) of contexts whose anchor has too many
+    classes to be gathered.  Equal stripes are classes again; windows are
+    taken one by one only where unequal stripes have their middle in common."""
+    stripes = stored(contexts.mapInArrow(
+        _stripes, "f1 long, f2 long, c1 long, c2 long, t long, u long, lo long, hi long, span binary"), "stripes")
+    classes = stored(stripes.groupBy("f1", "f2").agg(
+        F.count(F.lit(1)).alias("n"), F.min("c1").alias("c1"), F.min("c2").alias("c2"),
+        F.min(F.struct("t", "u", "lo", "hi", "span")).alias("first")), "stripe-classes")
+    whole = stripes.join(classes.where("n > 1").select("f1", "f2"), ["f1", "f2"], "left_semi").select("t", "u", "lo", "hi")
+    several = classes.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("c1", "c2")
+    windows = stored(classes.join(several, ["c1", "c2"], "left_semi").select("first.*").mapInArrow(
+        _windows, "w1 long, w2 long, t long, u long, s long"), "windows")
     more = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-    spread = windows.join(more, ["w1", "w2"], "left_semi").select("t", "u", F.col("s").alias("lo"), F.col("s").alias("hi"))
-    return texts, whole.union(compared).union(spread)
+    single = windows.join(more, ["w1", "w2"], "left_semi").select("t", "u", F.col("s").alias("lo"), F.col("s").alias("hi"))
+    return whole.union(single)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

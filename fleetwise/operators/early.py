@@ -144,7 +144,9 @@ def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, lists: bool
         "key", "sid", F.greatest(F.col("time"), F.coalesce(F.col("wm") + 1, F.col("time"))).alias("thr"))
     end_checks = e.groupBy("key", "sid").agg((F.max("time") + F.lit(gap_ms) - 1).alias("thr"))
     checks = _fire_lookup(fin_checks.unionByName(end_checks), "thr", levels)
-    checks = checks.withColumn("g", F.coalesce(F.col("g"), F.lit(LONG_MAX)))
+    # fired by the end of input: one position after the last
+    after = (tl.agg(F.max("seq")).first()[0] or 0) + 1
+    checks = checks.withColumn("g", F.coalesce(F.col("g"), F.lit(after).cast("bigint")))
     checks = checks.groupBy("key", "sid", "g").agg(F.min("fired_at").alias("fired_at"))
     # what had arrived before each check (seq < g): counts as of the last earlier element
     c = asof_numeric(checks, e, ["key", "sid"], "g", "seq", ["_r", "_f", "_tmax"], strict=True)

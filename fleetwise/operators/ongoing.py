@@ -45,7 +45,8 @@ def ongoing_for_requests(open_: DataFrame, requests: DataFrame, at_ms: int,
     into output rows and equi-joined to the request table.
     """
     start_ms = F.unix_millis(F.col("start_time"))
-    req = requests.select((F.col("during") * F.lit(60000)).alias("during_ms"))
+    # a null duration asks for nothing
+    req = requests.where(F.col("during").isNotNull()).select((F.col("during") * F.lit(60000)).alias("during_ms"))
     n = req.count()
     if n <= broadcast_limit:
         j = open_.join(F.broadcast(req), start_ms <= F.lit(at_ms) - F.col("during_ms"), "inner")

@@ -35,6 +35,8 @@ def _grid(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lat32 = lat.astype(np.float32)
     x = np.floor((abs(geo.LON_WEST) - np.abs(lon32).astype(np.float64)) / geo.DELTA_LON)
     y = np.floor((geo.LAT_NORTH - lat32.astype(np.float64)) / geo.DELTA_LAT)
+    # a cast to an integer takes NaN to 0 and stops at the 32-bit limits
+    x, y = (np.clip(np.nan_to_num(v, nan=0.0), -2.0 ** 31, 2.0 ** 31 - 1) for v in (x, y))
     return x.astype(np.int64), y.astype(np.int64)
 
 

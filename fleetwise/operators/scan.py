@@ -14,12 +14,12 @@ levels:
 With no key the same code gives a global scan that is still spread over
 buckets instead of a single partition.
 
-Bucket widths are chosen per key from a small statistics aggregate (count,
-first and last ordering value of each key): a key with more than
-``TARGET_ROWS`` rows is cut into buckets of about ``TARGET_ROWS`` rows, a
-smaller key stays in one bucket.  When no key exceeds the target, the scan is a
-plain window and steps 2-3 are skipped.  An explicit ``bucket`` column
-overrides the adaptive choice.
+Buckets are chosen from the number of rows of each key: a key with more than
+``TARGET_ROWS`` rows is cut at quantiles of its ordering values, so that a
+burst is spread too; a smaller key stays in one bucket.  When no key exceeds
+the target, the scan is a plain window and steps 2-3 are skipped; rows are the
+same either way, null keys and null ordering values included.  An explicit
+``bucket`` column overrides the adaptive choice.
 """
 
 from __future__ import annotations
@@ -31,6 +31,30 @@ from pyspark.sql import functions as F
 TARGET_ROWS = 1 << 20
 
 
+CUTS = 64  # quantile ranges per large key, each cut evenly where it holds more than a bucket
+
+
+def _same_keys(a: DataFrame, b: DataFrame, names: dict[str, str]) -> Column:
+    """Null-safe equality of columns of ``a`` and ``b``: a null key is a key."""
+    cond = F.lit(True)
+    for x, y in names.items():
+        cond = cond & a[x].eqNullSafe(b[y])
+    return cond
+
+
+def _bucket_of(o: Column, cuts: Column, n: Column, target: int) -> Column:
+    """Bucket number of ordering value ``o`` from the quantiles ``cuts`` of a
+    key with ``n`` rows: the quantile range, then equal parts of it, so that
+    bursts and far outliers share no bucket.  Nulls come first, as in a sort."""
+    parts = F.ceil(n / F.lit(float(target * CUTS)))
+    v = o.cast("double")
+    q = F.size(F.filter(cuts, lambda c: c <= v))
+    low, high = F.get(cuts, q - 1), F.get(cuts, q)
+    part = F.when(high > low, F.floor((v - low) / (high - low) * parts)).otherwise(F.lit(0))
+    part = F.greatest(F.lit(0), F.least(F.coalesce(part, F.lit(0)), parts - 1))
+    return F.when(o.isNull(), F.lit(-1)).otherwise(q * parts + part).cast("bigint")
+
+
 def _bucketed(df: DataFrame, keys: list[str], order: list, bucket: Column | None,
               target: int | None) -> tuple[DataFrame, bool]:
     """(frame with ``_bkt``, whether a single bucket per key suffices)."""
@@ -38,25 +62,31 @@ def _bucketed(df: DataFrame, keys: list[str], order: list, bucket: Column | None
     if bucket is not None:
         return df.withColumn("_bkt", bucket), False
     o = order[0]
-    if not keys:
-        o0, o1, n = df.agg(F.min(o), F.max(o), F.count(F.lit(1))).first()
-        if not n or n <= target:
-            return df.withColumn("_bkt", F.lit(0)), True
-        width = (float(o1) - float(o0) + 1.0) * target / n
-        return df.withColumn("_bkt", F.floor((o - F.lit(o0)) / F.lit(width))), False
-    stats = df.groupBy(*keys).agg(F.min(o).alias("_o0"), F.max(o).alias("_o1"), F.count(F.lit(1)).alias("_on"))
-    biggest = stats.agg(F.max("_on")).first()[0]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_on"))
+    biggest = counts.agg(F.max("_on")).first()[0]
     if not biggest or biggest <= target:
         return df.withColumn("_bkt", F.lit(0)), True
-    st = stats.select(*[F.col(k).alias("_s_" + k) for k in keys], "_o0", "_o1", "_on")
-    cond = None
-    for k in keys:
-        e = df[k].eqNullSafe(st["_s_" + k])
-        cond = e if cond is None else cond & e
-    j = df.join(st, cond, "left")
-    width = (F.col("_o1") - F.col("_o0") + 1).cast("double") * F.lit(float(target)) / F.col("_on")
-    bkt = F.when(F.col("_on") <= target, F.lit(0)).otherwise(F.floor((o - F.col("_o0")) / width))
-    return j.withColumn("_bkt", bkt).drop("_o0", "_o1", "_on", *["_s_" + k for k in keys]), False
+    # large keys only: at most rows / target of them, so the statistics are small enough to broadcast
+    large = counts.where(F.col("_on") > target).select(*[F.col(k).alias("_s_" + k) for k in keys])
+    some = df.join(F.broadcast(large), _same_keys(df, large, {k: "_s_" + k for k in keys}), "left_semi") if keys else df
+    shares = [i / CUTS for i in range(CUTS + 1)]
+    st = some.groupBy(*keys).agg(F.percentile_approx(o.cast("double"), shares, 1000).alias("_cuts"),
+                                 F.count(F.lit(1)).alias("_on"))
+    st = st.select(*[F.col(k).alias("_s_" + k) for k in keys], "_cuts", "_on")
+    if keys:
+        j = df.join(F.broadcast(st), _same_keys(df, st, {k: "_s_" + k for k in keys}), "left")
+    else:
+        cuts, n = st.first()
+        j = df.withColumns({"_cuts": F.lit(cuts) if cuts else F.lit(None).cast("array<double>"), "_on": F.lit(n)})
+    bkt = F.when(F.col("_on").isNull(), F.lit(0)).otherwise(_bucket_of(o, F.col("_cuts"), F.col("_on"), target))
+    return j.withColumn("_bkt", bkt).drop("_cuts", "_on", *["_s_" + k for k in keys]), False
+
+
+def _with_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``carry`` for their (key, bucket)."""
+    names = {k: f"_c_{k}" for k in [*keys, "_bkt"]}
+    c = carry.withColumnsRenamed(names)
+    return rows.join(c, _same_keys(rows, c, names), "left").drop(*names.values())
 
 
 def carry_last(df: DataFrame, keys: list[str], order: list, value: Column, out: str, bucket: Column | None = None,
@@ -80,7 +110,7 @@ def carry_last(df: DataFrame, keys: list[str], order: list, value: Column, out:
                .agg(F.max_by(F.col("_val"), F.when(F.col("_val").isNotNull(), ordkey)).alias("_blast")))
     w_b = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*keys, "_bkt", F.last("_blast", ignorenulls=True).over(w_b).alias("_carry"))
-    j = b.join(carry, on=[*keys, "_bkt"], how="left")
+    j = _with_carry(b, carry, keys)
     return j.withColumn(out, F.coalesce("_loc", "_carry")).drop("_bkt", "_val", "_loc", "_carry")
 
 
@@ -113,7 +143,7 @@ def running_aggs(df: DataFrame, keys: list[str], order: list, specs: list[tuple[
     w_b = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*keys, "_bkt", *[_AGG[fn][1](f"_btot{i}").over(w_b).alias(f"_carry{i}")
                                             for i, (_, _, fn) in enumerate(specs)])
-    j = b.join(carry, on=[*keys, "_bkt"], how="left")
+    j = _with_carry(b, carry, keys)
     drops = ["_bkt"]
     for i, (_, out, fn) in enumerate(specs):
         loc, car = F.col(f"_loc{i}"), F.col(f"_carry{i}")

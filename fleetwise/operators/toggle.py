@@ -5,21 +5,19 @@ it, ...).  Every control element is emitted once for each key whose flag is
 set at the control's event time, i.e. keys with an odd number of elements at
 or before that time.
 
-Control elements are a small, counted control input.  ``apply_controls``
-needs no range join: see its docstring.  ``toggle_intervals`` gives the
+Control elements may be any number.  ``apply_controls`` needs no range
+join: see its docstring.  ``toggle_intervals`` gives the
 "flag on" intervals per key for other uses.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwise.operators.asof import asof_numeric
 from fleetwise.operators.scan import carry_last, running_agg
 
-MAX_CONTROLS = 10_000
-
 
 def toggle_intervals(keyed: DataFrame, key: str = "key", time: str = "time", bucket_us: int | None = None) -> DataFrame:
     """(key, on_from, on_until) in epoch micros; ``on_until`` null = open end."""
@@ -46,14 +44,12 @@ def apply_controls(keyed: DataFrame, controls: DataFrame, key: str = "key", time
     rows, which are equi-joined to the control values.
     """
     n = controls.count()
-    if n > MAX_CONTROLS:
-        raise ValueError(f"{n} control elements in one evaluation (limit {MAX_CONTROLS})")
     if n == 0:
         return keyed.sparkSession.createDataFrame([], "control_time timestamp, control_value bigint, key bigint")
     ctl = controls.select(F.unix_micros(F.col(control_time)).alias("_ct"), F.col(control_time).alias("control_time"),
                           F.col(control_value).alias("control_value"))
-    # number controls 0..n-1 in time order (a small table: a plain window is fine)
-    ctl = ctl.withColumn("_i", F.row_number().over(Window.orderBy("_ct", "control_value")) - 1)
+    # number controls 0..n-1 in time order, with the scan that spreads a long list
+    ctl = running_agg(ctl, [], [F.col("_ct"), F.col("control_value")], F.lit(1), "_i", fn="count").withColumn("_i", F.col("_i") - 1)
     el = keyed.select(F.col(key).alias("key"), F.unix_micros(F.col(time)).alias("_t"))
     # an element counts for the first control at or after it (n: after the last control)
     ep = asof_numeric(el, ctl.select("_ct", "_i"), [], "_t", "_ct", ["_i"], forward=True)

@@ -359,28 +359,28 @@ _EXP_R = "(SELECT * FROM rides_v WHERE is_start AND driver_id % 1000 <> 0)"
 
 
 @register("q_paired_rides", with_views(f"""
-SELECT {PAIR_OUT_SQL} FROM {_EXP_R} r JOIN fares_v f ON r.ride_id = f.ride_id AND r.start_ms = f.start_ms""",
-                                       "rides_v", "fares_v"))
+SELECT {PAIR_OUT_SQL} FROM {_EXP_R} r JOIN fares_some_v f ON r.ride_id = f.ride_id AND r.start_ms = f.start_ms""",
+                                       "rides_v", "fares_v", "fares_some_v"))
 def q_paired_rides(spark, sf_dir):
-    return pair_out(pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir))[0])
+    return pair_out(pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir, some_missing=True))[0])
 
 
 @register("q_solo_rides", with_views(f"""
 SELECT ride_id, start_ms AS ride_start_ms, taxi_id AS ride_taxi_id, driver_id AS ride_driver_id
-FROM {_EXP_R} r WHERE NOT EXISTS (SELECT 1 FROM fares_v f WHERE f.ride_id = r.ride_id AND f.start_ms = r.start_ms)""",
-                                     "rides_v", "fares_v"))
+FROM {_EXP_R} r WHERE NOT EXISTS (SELECT 1 FROM fares_some_v f WHERE f.ride_id = r.ride_id AND f.start_ms = r.start_ms)""",
+                                     "rides_v", "fares_v", "fares_some_v"))
 def q_solo_rides(spark, sf_dir):
-    s = pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir))[1]
+    s = pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir, some_missing=True))[1]
     return s.select("ride_id", ms("ride_start_time").alias("ride_start_ms"), "ride_taxi_id", "ride_driver_id")
 
 
 @register("q_solo_fares", with_views(f"""
 SELECT ride_id, start_ms AS fare_start_ms, taxi_id AS fare_taxi_id, driver_id AS fare_driver_id,
        CAST(tip AS DOUBLE) AS fare_tip
-FROM fares_v f WHERE NOT EXISTS (SELECT 1 FROM {_EXP_R} r WHERE f.ride_id = r.ride_id AND f.start_ms = r.start_ms)""",
-                                     "rides_v", "fares_v"))
+FROM fares_some_v f WHERE NOT EXISTS (SELECT 1 FROM {_EXP_R} r WHERE f.ride_id = r.ride_id AND f.start_ms = r.start_ms)""",
+                                     "rides_v", "fares_v", "fares_some_v"))
 def q_solo_fares(spark, sf_dir):
-    s = pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir))[2]
+    s = pairing.expiring_pairs(A.rides(spark, sf_dir), A.fares(spark, sf_dir, some_missing=True))[2]
     return s.select("ride_id", ms("fare_start_time").alias("fare_start_ms"), "fare_taxi_id", "fare_driver_id",
                     d("fare_tip").alias("fare_tip"))
 

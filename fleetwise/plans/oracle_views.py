@@ -37,15 +37,16 @@ VIEWS: dict[str, str] = {
     CAST((o_orderkey*13 % 2000)/CAST(100 AS DOUBLE) AS FLOAT) AS tip,
     CAST(CASE WHEN o_orderkey % 4 = 0 THEN CAST(5.76 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS FLOAT) AS tolls,
     CAST(o_totalprice / CAST(10000 AS DOUBLE) AS FLOAT) AS total_fare
-  FROM orders WHERE o_orderkey % 11 <> 0)""",
+  FROM orders)""",
+    "fares_some_v": """fares_some_v AS (SELECT * FROM fares_v WHERE ride_id % 11 <> 0)""",
     "car_v": f"""car_v AS (
   SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS car_id, ts AS event_time,
     (epoch_us(ts) // 1000) AS event_ms,
     {_lon('event_id', 7919)} AS longitude, {_lat('event_id', 104729)} AS latitude,
     CAST(value / CAST(10 AS DOUBLE) AS FLOAT) AS consumption,
-    CAST(CASE WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) ELSE least(value, CAST(200 AS DOUBLE)) END AS FLOAT) AS speed,
+    CAST(CASE WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) ELSE value END AS FLOAT) AS speed,
     CAST(json_extract_string(props, '$.k') AS FLOAT) AS throttle,
-    CAST(least(value, CAST(100 AS DOUBLE)) AS FLOAT) AS engineload
+    CAST(value AS FLOAT) AS engineload
   FROM events)""",
     "trades_v": """trades_v AS (
   SELECT (epoch_us(ts) // 1000) AS trade_ms, ts AS trade_ts, user_id AS customer_id, CAST(event_id AS VARCHAR) AS trade_info

@@ -50,8 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     The folder already registered with the context wins; then the session
-    setting.  Only when neither exists (tests, local runs) a scratch folder is
-    created and registered with the context.  Without a local context (a
+    setting.  When neither exists, a local run gets a scratch folder,
+    registered with the context, and a cluster run fails: a folder of the
+    driver's machine would be lost on the executors.  Without a local context (a
     remote session) the server's own setting applies and the setting is
     returned as read.
     """
@@ -64,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return current.get()
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fleetwise-ckpt-")
     sc.setCheckpointDir(d)
     return sc._jsc.sc().getCheckpointDir().get()

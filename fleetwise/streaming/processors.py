@@ -117,9 +117,24 @@ class PairingProcessor(_Slack, StatefulProcessor):
         pass
 
 
-def pairing_input(rides: DataFrame, fares: DataFrame, driver_modulus: int = 1000) -> DataFrame:
-    """Tagged union of START rides (driver filter applied) and fares."""
-    r = rides.where(F.col("is_start") & (F.col("driver_id") % driver_modulus != 0)).select(
+class PairByIdProcessor(PairingProcessor):
+    """Ride/fare pairing on the ride id alone, however far apart in time: a
+    row waits in its slot until the other side comes (no timers, no solos)."""
+
+    def set_timer(self, t: int) -> None:
+        pass
+
+
+def pair_rides_fares(rides: DataFrame, fares: DataFrame) -> DataFrame:
+    """Streaming J1: one pair per ride id, whatever the order and delay."""
+    u = pairing_input(rides, fares, driver_modulus=None)
+    return u.groupBy("ride_id").transformWithState(PairByIdProcessor(), PAIR_OUT, "Append", "None")
+
+
+def pairing_input(rides: DataFrame, fares: DataFrame, driver_modulus: int | None = 1000) -> DataFrame:
+    """Tagged union of START rides (driver filter applied, if any) and fares."""
+    kept = F.lit(True) if driver_modulus is None else F.col("driver_id") % driver_modulus != 0
+    r = rides.where(F.col("is_start") & kept).select(
         "ride_id", F.lit("ride").alias("side"), F.unix_millis("event_time").alias("ms"), "driver_id",
         F.lit(None).cast("float").alias("tip"), "event_time")
     f = fares.select("ride_id", F.lit("fare").alias("side"), F.unix_millis("event_time").alias("ms"), "driver_id",

@@ -54,45 +54,72 @@ DIGEST = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 # ---------------------------------------------------------------- blocks
 
+_BITS_16 = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)  # bit length of 0 .. 65,535
+
+
 def _bit_length(v: np.ndarray) -> np.ndarray:
     """Bits that each unsigned 32-bit value needs (0 for 0)."""
-    return np.where(v == 0, 0, np.frexp(v.astype(np.float64))[1]).astype(np.int64)
+    high = v >> np.uint32(16)
+    out = _BITS_16[v & np.uint32(0xFFFF)]
+    return np.where(high > 0, _BITS_16[high] + np.uint8(16), out) if high.any() else out
 
 
 def pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     """(block starts, block area) of an array of ids."""
     n = len(ids)
     nb = -(-n // BLOCK)
+    if not nb:
+        return np.zeros(1, "<u8"), b""
     v = np.zeros(nb * BLOCK, np.uint32)
     v[:n] = ids
-    if n and n < len(v):
+    if n < len(v):
         v[n:] = v[n - 1]
     v = v.reshape(nb, BLOCK)
-    low = v.min(axis=1) if nb else np.zeros(0, np.uint32)
+    low = v.min(axis=1)
     v = v - low[:, None]
     bits = _bit_length(v)
     at = min(BLOCK - 1, -(-BLOCK * PERCENTILE // 100) - 1)
-    width = np.sort(bits, axis=1)[:, at] if nb else np.zeros(0, np.int64)
-    packed: list[bytes] = [b""] * nb
-    for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
-        packed_rows = _pack(v[rows], int(w))
-        for i, r in enumerate(rows):
-            packed[r] = packed_rows[i].tobytes()
-    patched = bits > width[:, None]
-    n_patched = patched.sum(axis=1)
+    width = np.partition(bits, at, axis=1)[:, at].astype(np.int64)
+    patched = bits > width[:, None].astype(np.uint8)
     at_row, at_col = np.nonzero(patched)
+    n_patched = patched.sum(axis=1)
+    nth = np.arange(len(at_row)) - np.repeat(np.cumsum(n_patched) - n_patched, n_patched)
     high = (v[at_row, at_col].astype(np.uint64) >> width[at_row].astype(np.uint64)).astype("<u4")
-    ends = np.cumsum(n_patched)
-    out, starts, pos = [], np.zeros(nb + 1, "<u8"), 0
-    for r in range(nb):
-        s, e = ends[r] - n_patched[r], ends[r]
-        block = (struct.pack("<IBH", low[r], width[r], n_patched[r]) + packed[r]
-                 + at_col[s:e].astype("<u2").tobytes() + high[s:e].tobytes())
-        out.append(block)
-        pos += len(block)
-        starts[r + 1] = pos
-    return starts, b"".join(out)
+    words = _word_bytes(width)
+    starts = np.zeros(nb + 1, "<u8")
+    np.cumsum(_HEADER + words + 6 * n_patched, out=starts[1:])
+    begin = starts[:nb].astype(np.int64)
+    area = np.zeros(int(starts[-1]), np.uint8)
+    _put(area, begin, low.astype("<u4"))
+    area[begin + 4] = width
+    _put(area, begin + 5, n_patched.astype("<u2"))
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        _put(area, begin[rows] + _HEADER, _pack(v[rows], int(w)))
+    after = begin + _HEADER + words
+    _put(area, after[at_row] + 2 * nth, at_col.astype("<u2"))
+    _put(area, (after + 2 * n_patched)[at_row] + 4 * nth, high)
+    return starts, area.tobytes()
+
+
+_HEADER = 7  # bytes of minimum, width and number of exceptions
+
+
+def _word_bytes(width: np.ndarray) -> np.ndarray:
+    """Bytes of a block's packed words."""
+    return -(-BLOCK * width // 64) * 8
+
+
+def _put(area: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """Write row i of ``values`` at byte ``at[i]``."""
+    if len(at) and values.size:
+        raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(at), -1)
+        area[at[:, None] + np.arange(raw.shape[1])] = raw
+
+
+def _take(area: np.ndarray, at: np.ndarray, size: int, kind: str) -> np.ndarray:
+    """``size`` bytes from each place ``at``, as rows of ``kind``."""
+    return np.ascontiguousarray(area[at[:, None] + np.arange(size)]).view(kind)
 
 
 def _pack(v: np.ndarray, w: int) -> np.ndarray:
@@ -112,21 +139,22 @@ def unpack_blocks(starts: np.ndarray, area: bytes, n: int) -> np.ndarray:
     """The ids that ``pack_blocks`` wrote."""
     nb = len(starts) - 1
     out = np.zeros((nb, BLOCK), np.uint32)
-    heads = [struct.unpack_from("<IBH", area, int(s)) for s in starts[:nb]]
-    low = np.array([h[0] for h in heads], np.uint32)
-    width = np.array([h[1] for h in heads], np.int64)
+    if not nb:
+        return out.reshape(-1)
+    data, begin = np.frombuffer(area, np.uint8), starts[:nb].astype(np.int64)
+    low, width = _take(data, begin, 4, "<u4")[:, 0], data[begin + 4].astype(np.int64)
+    n_patched, words = _take(data, begin + 5, 2, "<u2")[:, 0].astype(np.int64), _word_bytes(width)
     for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
-        size = -(-BLOCK * int(w) // 64) * 8
         if w:
-            words = np.frombuffer(b"".join(area[int(starts[r]) + 7:int(starts[r]) + 7 + size] for r in rows), "<u8")
-            out[rows] = _unpack(words.reshape(len(rows), -1), int(w))
-    for r, (_, w, k) in enumerate(heads):
-        if k:
-            at = int(starts[r]) + 7 + -(-BLOCK * w // 64) * 8
-            cols = np.frombuffer(area, "<u2", k, at)
-            high = np.frombuffer(area, "<u4", k, at + 2 * k)
-            out[r, cols] |= (high.astype(np.uint64) << np.uint64(w)).astype(np.uint32)
+            rows = np.flatnonzero(width == w)
+            out[rows] = _unpack(_take(data, begin[rows] + _HEADER, int(words[rows[0]]), "<u8"), int(w))
+    at_row = np.repeat(np.arange(nb), n_patched)
+    if len(at_row):
+        nth = np.arange(len(at_row)) - np.repeat(np.cumsum(n_patched) - n_patched, n_patched)
+        after = (begin + _HEADER + words)[at_row]
+        cols = _take(data, after + 2 * nth, 2, "<u2")[:, 0]
+        high = _take(data, after + 2 * n_patched[at_row] + 4 * nth, 4, "<u4")[:, 0]
+        out[at_row, cols] |= (high.astype(np.uint64) << width[at_row].astype(np.uint64)).astype(np.uint32)
     out += low[:, None]
     return out.reshape(-1)[:n]
 

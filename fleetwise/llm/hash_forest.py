@@ -6,7 +6,8 @@ with random directions (fixed by ``seed``; centred on the mean of at most
 strings; the vectors that share a prefix lie side by side in it.  A query
 descends in all trees to its longest matches and then ascends in all of them
 at the same time, one prefix length after the other, until the ranges passed
-hold ``share`` times the block's vectors (repeats over trees counted).  Those
+hold ``share`` times the block's vectors (repeats over trees counted), and
+so many that k + 1 of them differ.  Those
 candidates are compared by their exact cosine.
 
 The index is cut into blocks of about ``BLOCK`` different vectors by a hash,
@@ -69,10 +70,11 @@ class Forest:
         place = np.int64(1) << np.arange(BITS - 1, -1, -1)
         return np.stack([(unit @ p > 0) @ place for p in self.planes])
 
-    def candidates(self, queries: np.ndarray, share: float) -> Iterator[np.ndarray]:
-        """For each query the rows passed when all trees have ascended far enough."""
+    def candidates(self, queries: np.ndarray, share: float, least: int) -> Iterator[np.ndarray]:
+        """For each query the rows passed when all trees have ascended far
+        enough; ``least`` different ones, if the block has them."""
         strings = self.strings(queries)
-        need = min(share * self.n, TREES * self.n)
+        need = min(max(share * self.n, TREES * least), TREES * self.n)
         low = np.zeros((TREES, len(queries)), np.int64)
         high = np.full((TREES, len(queries)), self.n)
         open_ = np.arange(len(queries))
@@ -108,7 +110,7 @@ def _search(k: int, share: float, center: np.ndarray):
             x = np.stack(vectors.iloc[rows].to_list())
             q = np.stack(vectors.iloc[qs].to_list())
             norms, row_ids, row_least = np.linalg.norm(x, axis=1), ids[rows], least[rows]
-            for i, at in enumerate(Forest(x, center).candidates(q, share)):
+            for i, at in enumerate(Forest(x, center).candidates(q, share, k + 1)):
                 cos = (x[at] @ q[i]) / (norms[at] * np.linalg.norm(q[i]))
                 best = np.lexsort((row_least[at], -np.round(cos, 12)))[:k + 1]
                 out.append((np.full(len(best), ids[qs[i]]), row_ids[at][best], cos[best]))

@@ -52,7 +52,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def train(texts: list[str | None], toxic: list[int], seed: int = 1) -> Model:
+def train(texts: list[str | None], toxic: list[int], seed: int = 1, steps: int = STEPS) -> Model:
     """Joint training of embeddings and softmax."""
     y_all = np.asarray(toxic, np.float64)
     if len(y_all) == 0 or y_all.min() == y_all.max():
@@ -80,12 +80,12 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 1) -> Model:
 
     # the rarer class weighs more, half way to an even balance
     weigh = np.where(y_all > 0, (0.5 / y_all.mean()) ** 0.5, (0.5 / (1 - y_all.mean())) ** 0.5)
-    done, epochs = 0, -(-STEPS * BATCH // len(docs))
+    done, epochs = 0, -(-steps * BATCH // len(docs))
     for _ in range(epochs):
         shuffled = rng.permutation(len(docs))
         for s in range(0, len(shuffled), BATCH):
             some = shuffled[s:s + BATCH]
-            rate = RATE * max(0.02, 1 - done / STEPS)
+            rate = RATE * max(0.02, 1 - done / steps)
             done += 1
             at = np.concatenate([docs[i][0] for i in some])
             if not len(at):
@@ -107,12 +107,13 @@ def train(texts: list[str | None], toxic: list[int], seed: int = 1) -> Model:
     return Model(table @ weight, bias)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, steps: int | None = None) -> Model:
     """Train on the texts of ``docs`` (doc_id, text) whose ids ``labels``
     (doc_id, toxic) has, at most ``train_docs`` of either class.
 
     The chosen ids are at most 2 * ``train_docs`` rows, which bounds both the
     broadcast of the join and the one task that trains."""
+    steps = steps or STEPS
     known = (labels.where("toxic is not null and doc_id is not null")
              .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic")))
     chosen = None
@@ -126,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
         got = [b for b in batches if len(b)]
         if got:
             all_rows = pd.concat(got).fillna({"_text": ""}).sort_values(["_id", "_text"]).drop_duplicates("_id")
-            model = train(all_rows["_text"].tolist(), all_rows["_toxic"].tolist())
+            model = train(all_rows["_text"].tolist(), all_rows["_toxic"].tolist(), steps=steps)
         else:
             model = train([], [])
         yield pd.DataFrame({"model": [pickle.dumps((model.rows, model.bias))]})

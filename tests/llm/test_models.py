@@ -70,23 +70,28 @@ def test_language_cases(spark):
     assert language.train(["the"], ["en"]).predict(["le"])[0] == ["en"]
 
 
-def test_lm_scores_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "WORDS", 5)
-    monkeypatch.setattr(lm_scoring, "CLASSES", 4)
-    monkeypatch.setattr(lm_scoring, "SYMBOLS", 10)
+def test_rare_words_fall_into_classes():
+    known = lm_scoring.Symbols({b"a": 1})([None, "a b A", "b"])
+    assert known[0].tolist() == [0, 0]
+    rare = 1 + lm_scoring.WORDS + zlib.crc32(b"b") % lm_scoring.CLASSES
+    assert known[1].tolist() == [0, 1, rare, 1, 0] and known[2].tolist() == [0, rare, 0]
+
+
+def test_lm_scores_against_brute_force(spark):
     rows = [(1, "a b a c d"), (2, "A b  b\n"), (3, None), (4, ""), (5, "e f g h a"), (None, "a b"), (2, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     target = spark.createDataFrame([(2,), (2,), (5,), (77,), (None,)], "doc_id long")
     words, t_loss, b_loss = lm_scoring.models(docs, target)
     counts = Counter(w for _, t in rows for w in (t or "").lower().split())
-    top = sorted(counts, key=lambda w: (-counts[w], w))[:5]
-    symbol = lambda w: top.index(w) + 1 if w in top else 6 + zlib.crc32(w.encode()) % 4
+    top = sorted(counts, key=lambda w: (-counts[w], w))
+    symbol = lambda w: top.index(w) + 1
+    size = lm_scoring.SYMBOLS
     seq = lambda t: [0, *map(symbol, (t or "").lower().split()), 0]
 
     def loss(texts):
         pairs = Counter(p for t in texts for p in zip(seq(t), seq(t)[1:]))
         n = sum(pairs.values())
-        uni = [(sum(c for (_, w), c in pairs.items() if w == s) + 1) / (n + 10) for s in range(10)]
+        uni = [(sum(c for (_, w), c in pairs.items() if w == s) + 1) / (n + size) for s in range(len(top) + 1)]
         from_ = Counter()
         for (v, _), c in pairs.items():
             from_[v] += c
@@ -100,4 +105,4 @@ def test_lm_scores_against_brute_force(spark, monkeypatch):
         assert r.target_loss == pytest.approx(w[2], abs=1e-5) and r.background_loss == pytest.approx(w[3], abs=1e-5)
         assert r.score == pytest.approx(w[2] - w[3], abs=1e-5)
     assert lm_scoring.score(docs.limit(0), words, t_loss, b_loss).count() == 0
-    assert (lm_scoring.models(docs, target.limit(0))[1] == np.float32(math.log(10))).all()
+    assert np.allclose(lm_scoring.models(docs, target.limit(0))[1], math.log(size))

@@ -173,8 +173,10 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
         model = train(rows["_text"].tolist(), rows["_lang"].tolist())
         yield pd.DataFrame({"model": [pickle.dumps((model.families, model.pairs, model.table, model.bias))]})
 
-    (data,) = rows.repartition(1).mapInPandas(run, "model binary").collect()
-    return Model(*pickle.loads(bytes(data["model"])))
+    trained = rows.repartition(1).mapInPandas(run, "model binary").collect()
+    if not trained:  # nothing to learn from: the optimizer leaves the task out
+        return train([], [])
+    return Model(*pickle.loads(bytes(trained[0]["model"])))
 
 
 def predict_column(model: Model):

@@ -132,9 +132,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, steps:
             model = train([], [])
         yield pd.DataFrame({"model": [pickle.dumps((model.rows, model.bias))]})
 
-    (data,) = rows.repartition(1).mapInPandas(run, "model binary").collect()
-    rows_, bias = pickle.loads(bytes(data["model"]))
-    return Model(rows_, bias)
+    trained = rows.repartition(1).mapInPandas(run, "model binary").collect()
+    if not trained:  # nothing to learn from: the optimizer leaves the task out
+        return train([], [])
+    return Model(*pickle.loads(bytes(trained[0]["model"])))
 
 
 def score_column(model: Model):

@@ -23,7 +23,7 @@ def test_toxicity_learns_and_shares_subwords():
             words[5] = words[17] = str(rng.choice(bad))
         texts.append(" ".join(words))
         toxic.append(int(i % 4 == 0))
-    model = toxicity.train(texts[:400], toxic[:400])
+    model = toxicity.train(texts[:400], toxic[:400], steps=300)
     scores = model.scores(texts[400:])
     assert (np.round(scores) == toxic[400:]).mean() > 0.97
     spelt = " ".join(rng.choice(plain, 20).tolist())

@@ -139,7 +139,7 @@ def train(texts: list[str], langs: list[str]) -> Model:
     for lang in sorted(set(langs)):
         families.setdefault(family_of(lang), []).append(lang)
     lang, x = np.array(langs, object), features(texts)
-    scale = float(np.sqrt((x ** 2).sum(axis=1).mean())) or 1.0
+    scale = (float(np.sqrt((x ** 2).sum(axis=1).mean())) if len(x) else 0.0) or 1.0
     x /= scale
     kin = np.array([family_of(v) for v in langs], object)
     pairs, w, bias = [], [], []

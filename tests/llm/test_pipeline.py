@@ -21,8 +21,9 @@ def test_stages_on_edge_rows(spark, monkeypatch, tmp_path):
             got.count()
 
 
-def test_pipeline_is_its_stages(spark, tmp_path):
+def test_pipeline_is_its_stages(spark, monkeypatch):
     """Toxic documents go, one of each group stays, benchmark passages go, and the files hold the mix."""
+    monkeypatch.setattr(toxicity, "STEPS", 20)
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     held = {r.doc_id for r in docs.collect()}

@@ -148,7 +148,7 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document; the target is what labels call of quality 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_scoring.score(docs, *lm_scoring.models(docs, good))
+    return lm_scoring.scored(docs, good)
 
 
 @query

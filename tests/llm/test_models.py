@@ -106,3 +106,30 @@ def test_lm_scores_against_brute_force(spark):
         assert r.score == pytest.approx(w[2] - w[3], abs=1e-5)
     assert lm_scoring.score(docs.limit(0), words, t_loss, b_loss).count() == 0
     assert np.allclose(lm_scoring.models(docs, target.limit(0))[1], math.log(size))
+
+
+def test_lm_rare_words_are_symbols_of_their_own(spark, monkeypatch):
+    """Words beyond the most frequent ones tell target from background, in any number of blocks."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 50)
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 4000)
+    rows = [(i, " ".join(f"w{i % 2}x{(7 * i + j) % 4000}" for j in range(40))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    target = spark.createDataFrame([(i,) for i in range(0, 400, 4)], "doc_id long")
+    uni, pairs, n = [Counter(), Counter()], [Counter(), Counter()], [0, 0]
+    seqs = {d: ["", *t.split(), ""] for d, t in rows}
+    for d, s in seqs.items():
+        for m in (0, 1):
+            if m or d % 4 == 0:
+                uni[m].update(s[1:])
+                pairs[m].update(zip(s, s[1:]))
+                n[m] += len(s) - 1
+    size = len(uni[1])
+    assert size > lm_scoring.SYMBOLS
+    prob = lambda m, v, w: (pairs[m][v, w] + 50 * (uni[m][w] + 1) / (n[m] + size)) / (uni[m][v] + 50)
+    for found in (lm_scoring.score(docs, *lm_scoring.models(docs, target)), lm_scoring.scored(docs, target)):
+        got = {r.doc_id: r for r in found.collect()}
+        assert len(got) == len(rows)
+        for d, s in seqs.items():
+            want = [np.mean([-math.log(prob(m, v, w)) for v, w in zip(s, s[1:])]) for m in (0, 1)]
+            assert (got[d].target_loss, got[d].background_loss) == pytest.approx(tuple(want), abs=1e-9)
+    assert lm_scoring.scored(docs.limit(0), target).count() == 0

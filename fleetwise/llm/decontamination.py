@@ -4,7 +4,11 @@ Texts and benchmark items become lower-case tokens (runs of letters and
 digits).  A *spaced seed* hashes the tokens at the places a fixed mask selects
 and ignores those between, so a substituted token spoils few seeds: with a
 span of 8 and 5 selected places, either mask of ``MASKS`` hits every window of
-13 tokens that has up to two substitutions.
+13 tokens that has up to two substitutions, and 12 tokens alike.  A shorter
+item is the window itself: its places are dealt into groups, and for every
+choice of as many groups as it may have substitutions there is a mask that
+leaves them out (up to 4 tokens, which must all agree, one mask takes all).
+The documents get the seeds of those lengths only that some item has.
 
 Seeds of all documents are joined to the seeds of the items.  A hit names a
 document, an item and a diagonal (difference of places); around it the tokens
@@ -18,8 +22,8 @@ most ``BROADCAST_SEEDS`` different seeds (counted), else by shuffle.  A seed
 that many documents share costs a row for each, and only those that some item
 has go on; the texts with hits are then read again.
 
-Defined cases: null or empty texts and items have no token; items below the
-masks' span (8 tokens) are too short to tell and take no part; documents with
+Defined cases: null or empty texts and items have no token; items of any
+length from 1 token take part; documents with
 equal texts share their answer, also under a null doc_id; items with equal
 tokens are reported under each of their ids; repeated rows are reported once
 for an id; empty tables give no row.
@@ -27,6 +31,8 @@ for an id; empty tables give no row.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,26 +52,57 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(tokens: Column, size: Column) -> Column:
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Places of an item of ``n`` tokens, so that some mask is free of any substitutions the rule accepts."""
+    spoilt = next(k for k in range(n, -1, -1) if n - k >= SIMILARITY * n)
+    least = min(len(MASKS[0]), n - spoilt)
+    for groups in range(spoilt + 1, n + 1):
+        masks = [tuple(i for i in range(n) if i * groups // n not in out) for out in combinations(range(groups), spoilt)]
+        if min(map(len, masks)) >= least:
+            return masks
+    raise AssertionError("one place in each group always does")
+
+
+def _from_first(mask: tuple[int, ...]) -> tuple[int, ...]:
+    return tuple(i - mask[0] for i in mask)
+
+
+SHORT = {n: short_masks(n) for n in range(1, WINDOW - 1)}
+NUMBERS = {m: k for k, m in enumerate(dict.fromkeys([*MASKS, *(_from_first(m) for of in SHORT.values() for m in of)]))}
+
+
+def _seed(tokens: Column, mask: tuple[int, ...], at: Column) -> Column:
+    return F.xxhash64(F.lit(NUMBERS[mask]), *[tokens[at + o] for o in mask])
+
+
+def _seeds(tokens: Column, size: Column, masks: list[tuple[int, ...]], span: int) -> Column:
     """The seeds of all places, mask after mask; fewer tokens than a span give none."""
-    places = F.when(size >= SPAN, F.sequence(F.lit(0), size - SPAN)).otherwise(F.array().cast("array<int>"))
+    places = F.when(size >= span, F.sequence(F.lit(0), size - span)).otherwise(F.array().cast("array<int>"))
 
-    def under(number: int):
-        return lambda i: F.xxhash64(F.lit(number), *[tokens[i + o] for o in MASKS[number]])
+    def under(mask: tuple[int, ...]):
+        return lambda i: _seed(tokens, mask, i)
 
-    return F.concat(*[F.transform(places, under(k)) for k in range(len(MASKS))])
+    return F.concat(*[F.transform(places, under(m)) for m in masks])
 
 
-def _seed_rows(rows: DataFrame, *keep: str) -> DataFrame:
-    """``rows`` (keep.., tokens) -> keep.., seed, place."""
+def _seed_rows(rows: DataFrame, *keep: str, masks: list[tuple[int, ...]] = MASKS) -> DataFrame:
+    """``rows`` (keep.., tokens) -> keep.., seed, place; the masks have one span."""
+    span = masks[0][-1] + 1
     # the outer form keeps the optimizer from working out the arrays a second time in an inferred filter
     sized = rows.withColumn("size", F.size("tokens"))
-    found = sized.select(*keep, F.greatest(F.col("size") - SPAN + 1, F.lit(1)).alias("places"),
-                         _seeds(F.col("tokens"), F.col("size")).alias("seeds"))
+    found = sized.select(*keep, F.greatest(F.col("size") - span + 1, F.lit(1)).alias("places"),
+                         _seeds(F.col("tokens"), F.col("size"), masks, span).alias("seeds"))
     return found.select(*keep, "places", F.posexplode_outer("seeds").alias("at", "seed")).select(
         *keep, "seed", (F.col("at") % F.col("places")).alias("place"))
 
 
+def _short_seed_rows(items: DataFrame, n: int) -> DataFrame:
+    """The seeds of the items of ``n`` tokens: item, seed, place."""
+    seeds = F.array(*[F.struct(_seed(F.col("tokens"), _from_first(m), F.lit(m[0])).alias("seed"), F.lit(m[0]).alias("place"))
+                      for m in SHORT[n]])
+    return items.where(F.size("tokens") == n).select("item", F.explode(seeds).alias("s")).select("item", "s.seed", "s.place")
+
+
 def _named(docs: DataFrame) -> DataFrame:
     """doc_id, text and the two hashes that name the text."""
     raw = docs["text"].cast("binary")
@@ -75,11 +112,20 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, items: DataFrame) -> DataFrame:
     """t, u, item, matched, window: the best window of each item in each text."""
-    seeds = stored(_seed_rows(items, "item").where("seed is not null"), "item-seeds")
+    lengths = sorted(r["n"] for r in items.select(F.size("tokens").alias("n")).where(F.col("n").isin(*SHORT)).distinct().collect())
+    found = _seed_rows(items.where(~F.size("tokens").isin(*SHORT)), "item").where("seed is not null")
+    for n in lengths:
+        found = found.union(_short_seed_rows(items, n))
+    seeds = stored(found, "item-seeds")
     distinct = seeds.select("seed").distinct()
     few = distinct.count() <= BROADCAST_SEEDS
     texts = docs.select("t", "u", token_hashes(F.col("text")).alias("tokens"))
     rows = _seed_rows(texts, "t", "u")
+    short: dict[int, dict] = {}
+    for mask in dict.fromkeys(_from_first(m) for n in lengths for m in SHORT[n]):
+        short.setdefault(mask[-1], {})[mask] = None
+    for masks in short.values():
+        rows = rows.union(_seed_rows(texts, "t", "u", masks=list(masks)))
     hits = rows.join(F.broadcast(distinct) if few else distinct, "seed", "left_semi")
     diagonals = stored(hits.join(seeds.withColumnRenamed("place", "item_place"), "seed")
                        .select("t", "u", "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct(), "hits")
@@ -103,7 +149,7 @@ def _verified(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def _items(benchmark: DataFrame) -> DataFrame:
     tokens = benchmark.select(benchmark["item_id"].alias("item_id"), token_hashes(benchmark["text"]).alias("tokens"))
-    return tokens.where(F.size("tokens") >= SPAN).withColumn("item", F.xxhash64("tokens"))
+    return tokens.where(F.size("tokens") >= 1).withColumn("item", F.xxhash64("tokens"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

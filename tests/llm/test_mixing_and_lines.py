@@ -99,3 +99,30 @@ def test_every_place_of_two_substitutions_is_hit():
     from itertools import combinations
     for a, b in combinations(range(D.WINDOW), 2):
         assert any(all(s + o not in (a, b) for o in D.MASKS[0]) for s in range(D.WINDOW - D.SPAN + 1))
+
+
+def test_items_of_any_length_against_all_diagonals(spark):
+    """Every diagonal of every document and item, without seeds."""
+    import random
+    random.seed(3)
+    items = [[f"i{n}p{j}" for j in range(n)] for n in range(1, 15)] + [["a", "b", "a", "b", "a"], ["c"] * 8]
+    texts = []
+    for item in items:
+        n = len(item)
+        for spoilt in (0, 1, 2, 3):
+            for _ in range(4) if spoilt > 1 else range(n if spoilt else 1):
+                at = {_} if spoilt == 1 else set(random.sample(range(n), min(n, spoilt)))
+                texts.append(["x"] * random.randint(0, 2) + ["y" if j in at else w for j, w in enumerate(item)] + ["z"] * random.randint(0, 2))
+        texts += [item[1:], item[:-1], item[2:]]
+    texts += [[random.choice("abc") for _ in range(9)] for _ in range(30)]
+
+    def best(text, item):
+        window = min(len(item), D.WINDOW)
+        same = [[0 <= j + s < len(text) and text[j + s] == w for j, w in enumerate(item)] for s in range(-len(item), len(text))]
+        return max((sum(x[i:i + window]) for x in same for i in range(len(item) - window + 1)), default=0), window
+
+    want = {(d, i): best(t, b) for d, t in enumerate(texts) for i, b in enumerate(items)}
+    want = {k: (m, w) for k, (m, w) in want.items() if m >= D.SIMILARITY * w}
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(b)) for i, b in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id): (r.matched, r.window) for r in D.contaminated(docs, benchmark).collect()} == want

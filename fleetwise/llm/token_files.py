@@ -229,13 +229,17 @@ class Encoder:
     single blank or line end between two other characters, and then merges
     inside each piece.  So a text is cut there, each different chunk is
     encoded once by the library and the ids are strung together.  Texts with
-    other white space are encoded whole.
+    other white space, or with an added token such as <|endoftext|>, are
+    encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        # chunks come from texts without added tokens: there is none to look for
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.line_end = self._ids(["\n"])[0][0]
         self._forget()
 
@@ -245,8 +249,8 @@ class Encoder:
         self.used = 0
         self.first, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)  # of each chunk therein
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], plain: bool = True) -> list[list[int]]:
+        return [e.ids for e in (self.plain if plain else self.tok).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self) -> None:
         """Encode the new chunks.
@@ -281,8 +285,8 @@ class Encoder:
         if len(self.memo) > MEMO:
             self._forget()
         out: list = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not t or _uneven(t)]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+        whole = [i for i, t in enumerate(texts) if not t or _uneven(t) or any(a in t for a in self.added)]
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole], plain=False)):
             out[i] = np.array([*ids, end_id], np.uint32)
         even = [i for i in range(len(texts)) if out[i] is None]
         look = self.memo.__getitem__

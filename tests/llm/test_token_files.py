@@ -52,3 +52,14 @@ def test_files(spark, monkeypatch):
     digest = {(r.doc_id, r.start): r.ids_crc32 for r in T.token_digest(spark, path).collect()}
     assert digest == {(r.doc_id, r.start): zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got}
     assert T.encode_and_read_back(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_added_tokens_are_the_library_s():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path())
+    random.seed(2)
+    signs = [*"ab's ,\n\té1", " ", " word", "<|endoftext|>", "<|endoftext|>", "<|end", "oftext|>"]
+    texts = ["end of text <|endoftext|> next", "<|endoftext|>"]
+    texts += ["".join(random.choice(signs) for _ in range(random.randint(0, 20))) for _ in range(3000)]
+    want = [e.ids + [2] for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert 50256 in want[0] and [x.tolist() for x in T.Encoder(tokenizer_path()).encode(texts, 2)] == want

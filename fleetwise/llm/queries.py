@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import decontamination, hash_forest, language, line_dedup, lm_scoring, mixing, repeats, simhash, token_files, toxicity
+from fleetwise.llm import decontamination, hash_forest, language, line_dedup, lm_scoring, mixing, repeats, secret_scan, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,42 @@ SELECT t.doc_id, t.line_no, coalesce(n_links, 0) AS n_links,
     (least(k.first, coalesce(g.other, k.first)) < struct_pack(doc_id := t.doc_id, line_no := t.line_no)) AS removed
 FROM t JOIN k ON k.w = t.w LEFT JOIN g ON g.a = k.id
 """
+
+
+@query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and places of the secrets in every document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secret_scan.BASE]
+    return found.select(
+        "doc_id", *[F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(secret_scan.joined(F.filter("secrets", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("secrets")).alias("spans"))
+
+
+def _secrets_sql() -> str:
+    """Matches of each rule by RE2; a match starts after all that lies between and in the matches before it."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    each = " UNION ALL ".join(
+        f"""SELECT r, {i} AS k, {quoted(rule.kind)} AS kind, {rule.least} AS least, {quoted('^' + rule.head if rule.head else '^')} AS head,
+        regexp_extract_all(text, {quoted(rule.pattern)}) AS m, regexp_split_to_array(text, {quoted(rule.pattern)}) AS g
+        FROM d WHERE regexp_matches(text, {quoted(rule.pattern)})""" for i, rule in enumerate(secret_scan.RULES))
+    span = "kind || ':' || start || ':' || stop, ',' ORDER BY start, k"
+    n = ", ".join(f"coalesce(count(*) FILTER (kind = '{r.kind}'), 0) AS n_{r.kind}" for r in secret_scan.BASE)
+    base = ", ".join(quoted(r.kind) for r in secret_scan.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+a AS ({each}),
+u AS (SELECT r, k, kind, least, head, m, g, unnest(range(1, len(m) + 1)) AS i FROM a),
+s AS (SELECT r, k, kind, least, m[i] AS found, length(regexp_extract(m[i], head)) AS front,
+    CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+    FROM u),
+f AS (SELECT r, k, kind, start, start + length(found) AS stop FROM s WHERE length(found) - front >= least),
+z AS (SELECT r, {n}, string_agg({span}) FILTER (kind IN ({base})) AS base, string_agg({span}) AS spans FROM f GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN z ON z.r = d.r
+"""
+
+
+ORACLES["op11_secret_scan"] = _secrets_sql()

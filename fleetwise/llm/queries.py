@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetwise.llm import decontamination, hash_forest, language, line_dedup, lm_scoring, mixing, repeats, secret_scan, simhash, token_files, toxicity
@@ -184,8 +184,12 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers and places of the secrets in every document."""
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [r.kind for r in secret_scan.BASE]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *[F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base],
+        "doc_id", *[number(k) for k in base],
         F.sha2(secret_scan.joined(F.filter("secrets", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         secret_scan.joined(F.col("secrets")).alias("spans"))
 

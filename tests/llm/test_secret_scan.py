@@ -1,9 +1,12 @@
+import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from fleetwise.llm import queries as Q
 from fleetwise.llm import secret_scan as S
 from fleetwise.llm.automaton import compile_dfa, parse
 
@@ -82,3 +85,18 @@ def test_rows_texts_and_columns(spark):
     assert S.scan(docs.limit(0)).count() == 0
     own = S.scan(docs.drop("Secrets"), [S.Rule("x", "x+", least=4)]).where("doc_id = 3").first()
     assert [tuple(s) for s in own.secrets] == [("x", 0, 20000)]
+
+
+def test_query_digests(spark, tmp_path):
+    rows = [(1, None), (2, 'token = "0123456789abcdef01234567" ghp_' + "z" * 40), (3, "AKIA" + "A" * 16 + " 0123456789abcdef01234567")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in Q.QUERIES["op11_secret_scan"](spark, str(tmp_path)).collect()}
+    assert [(r.n_assign, r.n_access, r.n_hex) for r in map(got.get, (1, 2, 3))] == [(0, 0, 0), (1, 0, 1), (0, 1, 1)]
+    assert got[1].base_sha256 == hashlib.sha256(b"").hexdigest() and got[1].spans == ""
+    assert got[2].spans == "assign:0:33,hex:9:33,github:35:79"
+    assert got[2].base_sha256 == hashlib.sha256(b"assign:0:33,hex:9:33").hexdigest()
+    assert got[3].spans == "access:0:20,hex:21:45"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    rel = con.sql(Q.ORACLES["op11_secret_scan"])
+    assert {tuple(got[r[0]]) for r in rel.fetchall()} == {tuple(r) for r in got.values()}

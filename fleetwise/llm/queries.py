@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import decontamination, hash_forest, language, line_dedup, lm_scoring, mixing, repeats, secret_scan, simhash, token_files, toxicity
+from fleetwise.llm import decontamination, hard_negatives, hash_forest, language, line_dedup, lm_scoring, mixing, repeats, secret_scan, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +220,27 @@ FROM d LEFT JOIN z ON z.r = d.r
 
 
 ORACLES["op11_secret_scan"] = _secrets_sql()
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vec_id divisible by 100 and its 5 best rows of the same label."""
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS own, CAST(list_inner_product(a.c, b.c) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 AND len(a.c) = len(b.c)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.own AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5
+"""

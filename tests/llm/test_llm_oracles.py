@@ -10,7 +10,7 @@ from fleetwise.llm import queries as Q
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
     df = Q.QUERIES[name](spark, SF_DIR)
     rel = con.sql(Q.ORACLES[name])

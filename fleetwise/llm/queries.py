@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwise.llm import decontamination, hard_negatives, hash_forest, language, line_dedup, lm_scoring, mixing, repeats, secret_scan, simhash, token_files, toxicity
+from fleetwise.llm import decontamination, hard_negatives, hash_forest, language, lexical_search, line_dedup, lm_scoring, mixing, repeats, secret_scan, simhash, token_files, toxicity
 from fleetwise.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,3 +244,28 @@ SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.own AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5
 """
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH fold AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, up, low), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents, fold WHERE text IS NOT NULL),
+i AS (SELECT row_number() OVER () AS q, * FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+b AS (SELECT q, unnest(regexp_extract_all(translate(text, up, low), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i, fold WHERE text IS NOT NULL),
+s AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+v AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d),
+t AS (SELECT r, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM v GROUP BY r, doc_id, n, term),
+g AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight
+    FROM (SELECT term, CAST(count(*) AS BIGINT) AS df FROM t GROUP BY term), s),
+c AS (SELECT q, term, CAST(count(*) AS BIGINT) AS times FROM b GROUP BY q, term),
+x AS (SELECT q, r, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * big_n) // big_l))))) AS BIGINT) AS score
+    FROM c JOIN t USING (term) JOIN g USING (term), s GROUP BY q, r, doc_id)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score
+FROM x JOIN i USING (q) WHERE score > 0 WINDOW best AS (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) QUALIFY row_number() OVER best <= 20
+"""

@@ -82,14 +82,19 @@ def _fingerprint_batches(words_in_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = simhash(b.column(1).to_pylist(), words_in_shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), b.column(2)], ["doc_id", "fp", "text_hash"])
     return run
 
 
+def _with_hash(docs: DataFrame, words_in_shingle: int) -> DataFrame:
+    """doc_id, fp and a hash of the text."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"])).mapInArrow(
+        _fingerprint_batches(words_in_shingle), "doc_id long, fp long, text_hash long")
+
+
 def fingerprints(docs: DataFrame, words_in_shingle: int = 3) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed 64-bit number."""
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(
-        _fingerprint_batches(words_in_shingle), "doc_id long, fp long")
+    return _with_hash(docs, words_in_shingle).drop("text_hash")
 
 
 def _segment(fp: Column, k: int) -> Column:
@@ -141,27 +146,36 @@ def _through_points(near: DataFrame, distance: int) -> DataFrame:
     return around.join(first, "point").where("fp <> a").select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b"))
 
 
+def _rooted(fps: DataFrame, distance: int) -> DataFrame:
+    """fp, least (smallest doc_id with it) and root (what all fingerprints of a component share)."""
+    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    found = components(linked(classes.select("fp"), distance)).toDF("fp", "root")
+    return classes.join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, words_in_shingle: int = 3, distance: int = 3) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable over links)."""
     fps = stored(fingerprints(docs, words_in_shingle), "fingerprints")
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    found = components(linked(classes.select("fp"), distance)).toDF("fp", "root")
-    rooted = classes.join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(fps, distance)
     label = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stored(rooted.join(label, "root").select("fp", "component_id"), "labels")
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, words_in_shingle: int = 3, distance: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id is the
-    component's, and of several rows with that id the one with the least text.
-    Rows with a null doc_id stay."""
-    found = near_duplicates(docs, words_in_shingle, distance)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct()
-    nth = free_name(docs.columns, "_nth")
-    rows = docs.join(stay, docs["doc_id"].cast("long") == stay["_stay"], "left_semi")
-    one = rows.withColumn(nth, F.row_number().over(W.partitionBy(rows["doc_id"]).orderBy(rows["text"]))).where(
-        F.col(nth) == 1).drop(nth)
+    """``docs`` with one document of each component: of its smallest id, and of
+    several texts under that id the one with the least hash.  An id that has
+    texts in several components keeps one in each.  Rows with a null doc_id stay."""
+    fps = stored(_with_hash(docs, words_in_shingle).where("doc_id is not null"), "fingerprints")
+    rooted = stored(_rooted(fps, distance).select("fp", "root"), "roots")
+    # min() before the shuffle: a component of any size is one row from each task
+    stay = (fps.join(rooted, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+            .select(F.col("k.doc_id").alias("_stay"), F.col("k.text_hash").alias("_hash")).distinct())
+    text_hash, nth = free_name(docs.columns, "_text_hash"), free_name(docs.columns, "_nth")
+    known = docs.where(docs["doc_id"].isNotNull()).withColumn(text_hash, F.xxhash64(docs["text"]))
+    rows = known.join(stay, (known["doc_id"].cast("long") == stay["_stay"]) & (known[text_hash] == stay["_hash"]), "left_semi")
+    one = rows.withColumn(nth, F.row_number().over(W.partitionBy("doc_id", text_hash).orderBy("text"))).where(
+        F.col(nth) == 1).drop(nth, text_hash)
     return one.unionByName(docs.where(docs["doc_id"].isNull()))
 
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from fleetwise.llm import simhash as S
@@ -65,3 +66,11 @@ def test_one_document_of_each_group_stays(spark):
     assert got.columns == docs.columns
     assert sorted((r.doc_id for r in got.collect()), key=str) == [1, 7, 8, None]
     assert S.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_an_id_with_texts_of_several_groups_loses_none(spark):
+    far = " ".join(f"v{i}" for i in range(40))
+    rows = [(3, "b A"), (3, far), (7, "b A"), (3, "b A"), (9, far + " "), (11, "b  a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumn("root", F.lit(1))
+    got = S.deduplicated(docs).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(3, "b A"), (3, far)])

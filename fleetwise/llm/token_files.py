@@ -44,10 +44,8 @@ from fleetwise.llm.common import scratch
 BLOCK = 128
 SEGMENT_IDS = 1 << 18
 PERCENTILE = 90
-MEMO_BYTES = 64 << 20  # of chunks remembered in one Python worker
-ENCODE_BYTES = 1 << 18  # characters of texts encoded at a time
+MEMO_BYTES = 256 << 20  # of chunks remembered in one Python worker: less memory means more encoding
 _ENTRY = 120  # bytes of a remembered chunk besides its own and its ids'
-_AT_ONCE = 2_000  # chunks encoded at a time
 _HEAD = struct.Struct("<4sIII")
 
 SEGMENTS = "part int, seg int, start_in_part long, n_ids long, n_docs int, payload binary"
@@ -222,13 +220,15 @@ class Encoder:
     other white space, or with an added token such as <|endoftext|>, are
     encoded whole.
 
-    Chunks are remembered in two halves of ``MEMO_BYTES`` / 2 each, the younger
+    Chunks are remembered in two halves of ``memo_bytes`` / 2 each, the younger
     filled by what is looked up; when it is full it becomes the older one, and
-    what was not looked up since is forgotten.
+    what was not looked up since is forgotten.  The texts taken on at once
+    (``batch_size`` characters) and the chunks encoded at once follow that size.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         from tokenizers import Tokenizer
+        self.memo_bytes, self.batch_size, self.at_once = memo_bytes, max(1 << 12, memo_bytes >> 8), max(100, memo_bytes >> 14)
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.line_end = self._ids(["\n"])[0][0]
@@ -258,8 +258,8 @@ class Encoder:
                 self.held += _ENTRY + len(k) + len(known)
         for front in ("\n", ""):
             keys = [k for k in new if (k[:1] == "\n") == bool(front)]
-            for at in range(0, len(keys), _AT_ONCE):
-                some = keys[at:at + _AT_ONCE]
+            for at in range(0, len(keys), self.at_once):
+                some = keys[at:at + self.at_once]
                 ids = np.array(self._ids(["".join(some) if front else "\n " + "\n ".join(some)])[0], "<u4")
                 cuts = np.flatnonzero(ids == self.line_end)
                 if len(cuts) != len(some):
@@ -283,7 +283,7 @@ class Encoder:
             if out[i] is None:
                 # every chunk begins at a blank, or with its line end; one is put in front of the text
                 even[i] = ("\n" + texts[i]).replace("\n", " \n").split(" ")[1:]
-        if 2 * self.held > MEMO_BYTES:
+        if 2 * self.held > self.memo_bytes:
             self.older, self.memo, self.held = self.memo, {}, 0
         self._learn(list(set().union(*even.values()).difference(self.memo)))
         look = self.memo.__getitem__
@@ -293,21 +293,23 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memo_bytes: int = MEMO_BYTES) -> Encoder:
+    """One encoder for each Python worker, file and size."""
+    key = path, memo_bytes
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(path, memo_bytes)
+    return _ENCODERS[key]
 
 
-def _segments(path: str, end_id: int):
+def _segments(path: str, end_id: int, memo_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        enc = encoder(path)
+        enc = encoder(path, memo_bytes)
         docs: list = []
         ids: list[np.ndarray] = []
         held, done, seg = 0, 0, 0
@@ -320,12 +322,12 @@ def _segments(path: str, end_id: int):
                 "payload": pa.array([pack_segment(docs, ids)], pa.binary())})
 
         def texts_of(batch):
-            """The batch's rows, some ``ENCODE_BYTES`` at a time."""
+            """The batch's rows, some ``batch_size`` characters at a time."""
             some, size = [], 0
             for d, t in zip(batch.column(0), batch.column(1)):
                 some.append((d.as_py(), t.as_py() or ""))
                 size += len(some[-1][1])
-                if size >= ENCODE_BYTES:
+                if size >= enc.batch_size:
                     yield some
                     some, size = [], 0
             if some:
@@ -346,7 +348,7 @@ def _segments(path: str, end_id: int):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
-                 partitions: int | None = None) -> None:
+                 partitions: int | None = None, memo_bytes: int = MEMO_BYTES) -> None:
     """Encode ``docs`` (doc_id, text) and write the token files to ``path``."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -354,7 +356,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(n, "doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
-    ordered.mapInArrow(_segments(tokenizer_path, end_id), SEGMENTS).write.parquet(path)
+    ordered.mapInArrow(_segments(tokenizer_path, end_id, memo_bytes), SEGMENTS).write.parquet(path)
 
 
 def with_start(spark: SparkSession, path: str) -> DataFrame:
@@ -402,8 +404,8 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     return with_start(spark, path).mapInArrow(_documents(True), DIGEST)
 
 
-def encode_and_read_back(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
+def encode_and_read_back(docs: DataFrame, tokenizer_path: str, end_id: int = 2, memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """Write ``docs`` below the shared folder and return the digest read from there."""
     path = scratch(docs.sparkSession, "tokens")
-    write_tokens(docs, path, tokenizer_path, end_id)
+    write_tokens(docs, path, tokenizer_path, end_id, memo_bytes=memo_bytes)
     return token_digest(docs.sparkSession, path)

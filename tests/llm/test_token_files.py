@@ -63,3 +63,15 @@ def test_added_tokens_are_the_library_s():
     texts += ["".join(random.choice(signs) for _ in range(random.randint(0, 20))) for _ in range(3000)]
     want = [e.ids + [2] for e in tok.encode_batch(texts, add_special_tokens=False)]
     assert 50256 in want[0] and [x.tolist() for x in T.Encoder(tokenizer_path()).encode(texts, 2)] == want
+
+
+def test_forgetting_changes_no_id():
+    """A memory far too small for the texts, over many batches: the ids are the library's, and the memory stays bounded."""
+    from tokenizers import Tokenizer
+    tok, enc = Tokenizer.from_file(tokenizer_path()), T.Encoder(tokenizer_path(), memo_bytes=1 << 16)
+    random.seed(3)
+    words = ["".join(random.choices("abcdeé,.", k=random.randrange(1, 9))) for _ in range(2000)]
+    for _ in range(40):
+        texts = [" ".join(random.choices(words, k=40)).replace("a ", "a\n") for _ in range(20)]
+        assert [x.tolist() for x in enc.encode(texts, 2)] == [e.ids + [2] for e in tok.encode_batch(texts, add_special_tokens=False)]
+        assert len(enc.memo) + len(enc.older) < 2 * (1 << 16) / T._ENTRY + 2 * 800

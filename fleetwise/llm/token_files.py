@@ -44,7 +44,7 @@ from fleetwise.llm.common import scratch
 BLOCK = 128
 SEGMENT_IDS = 1 << 18
 PERCENTILE = 90
-MEMO_BYTES = 256 << 20  # of chunks remembered in one Python worker: less memory means more encoding
+MEMO_BYTES = 192 << 20  # of chunks remembered in one Python worker: less memory means more encoding
 _ENTRY = 120  # bytes of a remembered chunk besides its own and its ids'
 _HEAD = struct.Struct("<4sIII")
 
@@ -228,7 +228,7 @@ class Encoder:
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         from tokenizers import Tokenizer
-        self.memo_bytes, self.batch_size, self.at_once = memo_bytes, max(1 << 12, memo_bytes >> 8), max(100, memo_bytes >> 14)
+        self.memo_bytes, self.batch_size, self.at_once = memo_bytes, max(1 << 12, memo_bytes >> 8), max(100, memo_bytes // 10_000)
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.line_end = self._ids(["\n"])[0][0]
@@ -237,8 +237,9 @@ class Encoder:
         self.held = 0
 
     def _ids(self, texts: list[str], plain: bool = True) -> list[list[int]]:
-        # chunks come from texts without added tokens: there is none to look for
-        self.tok.encode_special_tokens = plain
+        # most texts hold no added token: there is none to look for.  Switching costs a millisecond
+        if self.tok.encode_special_tokens != plain:
+            self.tok.encode_special_tokens = plain
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> None:
@@ -274,9 +275,12 @@ class Encoder:
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text with ``end_id`` appended."""
         out: list = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not t or _uneven(t) or any(a in t for a in self.added)]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole], plain=False)):
-            out[i] = np.array([*ids, end_id], np.uint32)
+        added = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        uneven = [i for i, t in enumerate(texts) if not t or _uneven(t)]
+        for whole, plain in ((uneven, True), (added, False)):
+            if whole:
+                for i, ids in zip(whole, self._ids([texts[i] for i in whole], plain)):
+                    out[i] = np.array([*ids, end_id], np.uint32)
         last = np.array([end_id], "<u4").tobytes()
         even = {}
         for i in range(len(texts)):

@@ -1,121 +1,158 @@
-"""Nearest taxi for each call, exact, without forming all call x taxi pairs.
-
-Taxi positions and calls are placed on a square grid of ``w`` degrees; a call
-is joined (equi-join on the cell) with the taxis of its own cell and the 8
-neighbours.  The first width gives a few taxis per cell over the taxis'
-bounding box, so the candidate count per call stays small as the fleet grows.  Any taxi outside those 9 cells is at least ``w`` degrees away in
-latitude or in longitude, so its distance is at least
-``110.25 * w * min(1, cmin)``, where ``cmin`` is the smallest |cos(lat)| over
-all taxis (the distance scales longitude by cos of the taxi's latitude).  A
-call whose best candidate is strictly closer than that bound is settled.  The
-other calls go to the next level with a 16 times wider grid, and the last
-level puts every taxi in one cell, so every call is answered exactly.
-
-Dense areas are settled at the fine level with few candidates per call;
-sparse areas widen only for the calls that need it.  The taxi side of each
-level is joined by shuffle or broadcast as adaptive execution decides from
-its measured size; a hot cell is split by AQE's skew-join handling.
+"""Nearest taxi for each call, exact, by a spatial tree over the taxis.
+
+The tree is a quadtree on Z-order prefixes, four cells by four at a step.  A
+cell is split while it holds more than ``TAXIS_PER_LEAF`` positions, so crowded
+areas get small cells and empty ones none; a taxi far from all others is a cell
+of its own and widens no other.  Every node holds the bounds of the positions
+below it (not of its cell) and the least and greatest |cos(latitude)| of them,
+by which the distance scales their longitude difference.  So its distance
+bounds hold for its own band of latitudes: a taxi where the cosine vanishes
+weakens the bound of its own small cells only.
+
+Calls descend the tree together, one equi-join with the next level's nodes a
+step: from the (at most ``TOP_NODES``) uppermost nodes, which are literals of
+the plan, through every node whose least possible distance is not beyond the
+least of the greatest possible ones seen for the call, down to the taxis.  A
+call meets a few nodes a level, whatever the fleet's size or shape; there is
+no pass over all pairs and no key that all rows share.  Levels of few nodes
+are broadcast by their measured size, the others shuffled.
+
+Taxis at equal positions are one (the lowest id answers).  Rows that repeat a
+call id are calls of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwise.functions.geo import DEG_LEN, euclidean_distance
-from fleetwise.session import checkpoint_dir
-
-# float32 differences may shave a few ulps off a cell width.
-_MARGIN = 1 - 1e-6
-LEVEL_FACTOR = 16
-TAXIS_PER_CELL = 4
-
-
-def _cells(lon, lat, w):
-    # Cells of the single-precision coordinates the distance is computed from.
-    lon, lat = lon.cast("float").cast("double"), lat.cast("float").cast("double")
-    return F.floor(lat / F.lit(w)), F.floor(lon / F.lit(w))
-
-
-def grid_levels(n: int, lat_span: float, lon_span: float) -> list[float]:
-    """Cell widths: the first gives about ``TAXIS_PER_CELL`` taxis per cell over
-    the taxis' bounding box, each next one is ``LEVEL_FACTOR`` times wider, up
-    to a width that spans every valid latitude."""
-    area = max(lat_span, 1e-3) * max(lon_span, 1e-3)
-    w = max(1e-4, (TAXIS_PER_CELL * area / max(n, 1)) ** 0.5)
-    out = []
-    while w < 180:
-        out.append(w)
-        w *= LEVEL_FACTOR
-    return out
-
-
-def nearest_taxi(calls: DataFrame, taxis: DataFrame, levels=None) -> DataFrame:
+from fleetwise.session import stored
+
+TAXIS_PER_LEAF = 16
+TOP_NODES = 64
+STEPS = 12  # four bits of Z-order each: cells of 360 / 2^24 degrees at the deepest
+# float32 differences may be off by a few ulps
+_LESS, _MORE = 1 - 1e-6, 1 + 1e-6
+
+
+def _single(c) -> Column:
+    """The single-precision value the distance is computed from, as a double."""
+    return F.col(c).cast("float").cast("double")
+
+
+def _finite(*columns: str) -> Column:
+    ok = F.lit(True)
+    for c in columns:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
+    return ok
+
+
+def z_order(lon: Column, lat: Column) -> Column:
+    """Interleaved bits (2 * 24) of the position on the globe; positions off it go to its edge."""
+    def bits(x: Column, low: float, high: float) -> Column:
+        cell = F.least(F.greatest(F.floor((x - low) / (high - low) * (1 << 24)), F.lit(0)), F.lit((1 << 24) - 1))
+        return cell.cast("long")
+
+    def spread(v: Column) -> Column:
+        """One zero bit above each of the 24 bits."""
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                            (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(bits(lat, -90.0, 90.0)), 1).bitwiseOR(spread(bits(lon, -180.0, 180.0)))
+
+
+def _node(z: Column, step: int) -> Column:
+    """Name of the cell at a step: a leading 1 before its prefix, so that names of different steps differ."""
+    return F.shiftright(z, 4 * (STEPS - step)).bitwiseOR(F.lit(1 << (4 * step)))
+
+
+_BOX = ["la0", "la1", "lo0", "lo1", "c0", "c1"]
+
+
+def _nodes(places: DataFrame) -> DataFrame:
+    """The tree: node, parent, step, bounds, and whether it is a leaf.  Only nodes below split ones are kept."""
+    cos = F.abs(F.cos("lat"))
+    each = places.select("lat", "lon", F.explode(F.array(*[
+        F.struct(F.lit(s).alias("step"), _node(F.col("z"), s).alias("node")) for s in range(STEPS + 1)])).alias("at"))
+    every = each.groupBy("at.node", "at.step").agg(
+        F.count(F.lit(1)).alias("n"), F.min("lat").alias("la0"), F.max("lat").alias("la1"),
+        F.min("lon").alias("lo0"), F.max("lon").alias("lo1"), F.min(cos).alias("c0"), F.max(cos).alias("c1"))
+    every = stored(every.withColumn("parent", F.shiftright("node", 4)), "nodes")
+    split = every.where((F.col("n") > TAXIS_PER_LEAF) & (F.col("step") < STEPS)).select(F.col("node").alias("parent"))
+    below = every.join(split, "parent", "left_semi").unionByName(every.where(F.col("step") == 0))
+    return stored(below.withColumn("leaf", (F.col("n") <= TAXIS_PER_LEAF) | (F.col("step") == STEPS)), "tree")
+
+
+def _bounds() -> tuple[Column, Column]:
+    """Least and greatest possible distance of the call to a taxi of the node."""
+    la0, la1, lo0, lo1, c0, c1 = map(F.col, _BOX)
+    x, y = F.col("_lat"), F.col("_lon")
+    zero = F.lit(0.0)
+    near = F.sqrt(F.pow(F.greatest(la0 - x, x - la1, zero), F.lit(2)) + F.pow(F.greatest(lo0 - y, y - lo1, zero) * c0, F.lit(2)))
+    far = F.sqrt(F.pow(F.greatest(la1 - x, x - la0), F.lit(2)) + F.pow(F.greatest(lo1 - y, y - lo0) * c1, F.lit(2)))
+    return near * (DEG_LEN * _LESS), far * (DEG_LEN * _MORE)
+
+
+def _measured(met: DataFrame) -> DataFrame:
+    near, far = _bounds()
+    return met.select("_call", "_lat", "_lon", "node", "leaf", near.alias("_near"), far.alias("_far"))
+
+
+def _pruned(met: DataFrame) -> DataFrame:
+    """What may hold the call's nearest taxi."""
+    best = F.min("_far").over(Window.partitionBy("_call"))
+    return met.withColumn("_best", best).where(F.col("_near") <= F.col("_best")).drop("_best")
+
+
+def candidates(calls: DataFrame, places: DataFrame) -> DataFrame | None:
+    """(call, position) pairs that are left to compare: ``calls(_call, _lon, _lat)``, ``places(lon, lat, z, ...)``.
+    None without positions."""
+    tree = _nodes(places)
+    counts = {r["step"]: (r["n"], r["leaves"]) for r in tree.groupBy("step").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("leaf").alias("leaves")).collect()}
+    if not counts:
+        return None
+    # the deepest step that has, with the leaves above it, few enough nodes
+    top, above = 0, 0
+    for step in sorted(counts):
+        if above + counts[step][0] <= TOP_NODES:
+            top = step
+        above += counts[step][1]
+    start = tree.where((F.col("step") == top) | (F.col("leaf") & (F.col("step") < top))).select("node", "leaf", *_BOX).collect()
+    first = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in r.asDict().items()]) for r in start])
+    open_ = _pruned(_measured(calls.select("*", F.inline(first))))
+    for step in range(top + 1, max(counts) + 1):
+        children = tree.where(F.col("step") == step).select(F.col("parent").alias("_parent"), "node", "leaf", *_BOX)
+        down = open_.where(~F.col("leaf")).select("_call", "_lat", "_lon", F.col("node").alias("_parent")).join(children, "_parent")
+        # leaves met before count for the bound, and go when it falls below them
+        open_ = _pruned(open_.where("leaf").unionByName(_measured(down)))
+    # a position lies in one leaf: of the names of its cells at all steps, one is in the tree as a leaf
+    held = places.select("*", F.explode(F.array(*[_node(F.col("z"), s) for s in range(STEPS + 1)])).alias("node")).join(
+        tree.where("leaf").select("node"), "node")
+    return open_.select("_call", "_lat", "_lon", "node").join(held, "node").drop("node")
+
+
+def nearest_taxi(calls: DataFrame, taxis: DataFrame) -> DataFrame:
     """``calls(call_id, longitude, latitude, ...)`` x ``taxis(taxi_id, longitude,
     latitude, ...)`` -> one row per call that has a nearest taxi: the call's
-    columns, ``taxi_*`` columns and ``distance``.  Ties go to the lowest taxi id.
+    columns, ``distance``, ``taxi_id`` and ``taxi_*`` columns.  Ties go to the lowest
+    taxi id.  Calls and taxis whose coordinates are null or not finite have no
+    position.
     """
-    lat32 = F.col("latitude").cast("float").cast("double")
-    lon32 = F.col("longitude").cast("float").cast("double")
-    st = taxis.agg(F.min(F.abs(F.cos(lat32))).alias("cmin"), F.count(F.lit(1)).alias("n"),
-                   F.min(lat32).alias("la0"), F.max(lat32).alias("la1"),
-                   F.min(lon32).alias("lo0"), F.max(lon32).alias("lo1")).first()
-    if st["cmin"] is None:  # no taxi with a usable position
-        return _empty(calls, taxis)
-    scale = min(1.0, float(st["cmin"]))
-    if levels is None:
-        levels = grid_levels(st["n"], st["la1"] - st["la0"], st["lo1"] - st["lo0"])
-    checkpoint_dir(calls.sparkSession)
-    t = taxis.select(*[F.col(c).alias("taxi_" + c) for c in taxis.columns if c != "taxi_id"], "taxi_id")
-    call_cols = calls.columns
-    pending = calls
-    n_pending = calls.count()
-    answered = []
-    for w in list(levels) + [None]:
-        if n_pending == 0:
-            break
-        if w is None:
-            cand = _join_all(pending, t)
-        else:
-            ci, cj = _cells(F.col("longitude"), F.col("latitude"), w)
-            near = pending.select("*", F.explode(F.array(*[F.struct((ci + di).alias("_ci"), (cj + dj).alias("_cj"))
-                                                             for di in (-1, 0, 1) for dj in (-1, 0, 1)])).alias("_n"))
-            near = near.select(*call_cols, F.col("_n._ci").alias("_ci"), F.col("_n._cj").alias("_cj"))
-            ti, tj = _cells(F.col("taxi_longitude"), F.col("taxi_latitude"), w)
-            tl = t.select("*", ti.alias("_ci"), tj.alias("_cj"))
-            cand = near.join(tl, ["_ci", "_cj"]).drop("_ci", "_cj")
-        cand = cand.withColumn("distance", euclidean_distance(F.col("longitude"), F.col("latitude"),
-                                                              F.col("taxi_longitude"), F.col("taxi_latitude")))
-        cand = cand.where(~F.isnan("distance"))
-        best = (cand.groupBy("call_id")
-                .agg(F.min_by(F.struct("distance", "taxi_id", *[c for c in t.columns if c != "taxi_id"]),
-                              F.struct("distance", "taxi_id")).alias("_b")))
-        if w is None:
-            answered.append(best)
-            break
-        # Settled calls are materialised in the shared checkpoint folder, so the
-        # next level does not re-run this one (and survives executor loss).
-        bound = DEG_LEN * w * scale * _MARGIN
-        settled = best.where(F.col("_b.distance") < F.lit(bound)).checkpoint(eager=True)
-        answered.append(settled)
-        n_settled = settled.count()
-        if n_settled == n_pending:
-            break
-        pending = pending.join(settled.select("call_id"), "call_id", "left_anti").checkpoint(eager=True)
-        n_pending -= n_settled
-    res = answered[0]
-    for a in answered[1:]:
-        res = res.unionByName(a)
-    return calls.join(res, "call_id").select(*call_cols, "_b.*")
-
-
-def _join_all(pending: DataFrame, t: DataFrame) -> DataFrame:
-    # Last level: every taxi shares one cell.  Only calls with no taxi within
-    # the widest ring reach this point.
-    return pending.withColumn("_c", F.lit(0)).join(t.withColumn("_c", F.lit(0)), "_c").drop("_c")
-
-
-def _empty(calls: DataFrame, taxis: DataFrame) -> DataFrame:
-    t = taxis.select(*[F.col(c).alias("taxi_" + c) for c in taxis.columns if c != "taxi_id"], "taxi_id")
-    return calls.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields],
-                        F.lit(None).cast("double").alias("distance")).where(F.lit(False))
+    t = taxis.select("taxi_id", *[F.col(c).alias("taxi_" + c) for c in taxis.columns if c != "taxi_id"])
+    t = t.where(_finite("taxi_longitude", "taxi_latitude"))
+    places = (t.groupBy(_single("taxi_longitude").alias("lon"), _single("taxi_latitude").alias("lat"))
+              .agg(F.min_by(F.struct(*t.columns), "taxi_id").alias("_taxi")))
+    places = stored(places.withColumn("z", z_order(F.col("lon"), F.col("lat"))), "positions")
+    rows = stored(calls.withColumn("_call", F.monotonically_increasing_id()), "calls")
+    asked = rows.where(_finite("longitude", "latitude")).select("_call", _single("longitude").alias("_lon"), _single("latitude").alias("_lat"))
+    pairs = candidates(asked, places)
+    if pairs is None:
+        none = [F.lit(None).cast("double").alias("distance"), *[F.lit(None).cast(t.schema[c].dataType).alias(c) for c in t.columns]]
+        return calls.select("*", *none).where(F.lit(False))
+    pairs = pairs.select("_call", euclidean_distance(F.col("_lon"), F.col("_lat"), F.col("lon"), F.col("lat")).alias("distance"), "_taxi")
+    best = pairs.groupBy("_call").agg(F.min_by(F.struct("distance", "_taxi"), F.struct("distance", "_taxi.taxi_id")).alias("_b"))
+    return rows.join(best, "_call").select(*[rows[c] for c in calls.columns], "_b.distance", "_b._taxi.*")

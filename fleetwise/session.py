@@ -8,7 +8,9 @@ the shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import posixpath
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +74,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def stored(df, what: str):
+    """``df`` written as Parquet below the shared checkpoint folder and read back: cuts lineage, survives lost
+    executors, and its size is known to the planner."""
+    path = posixpath.join(checkpoint_dir(df.sparkSession), f"{what}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread_if_narrow(df):
     """Round-robin ``df`` over the cores when its source yields fewer
     partitions than there are cores (a small single-split file); CPU-heavy

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwise.functions.times import utc_day
 from fleetwise.plans.oracle_views import with_views
 from fleetwise.sources import adapters as A
 
@@ -21,15 +22,10 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, oracle: str | None = None):
-    """Register a query.  The domain is UTC: the session time zone is pinned
-    before the plan is built (time zones are bound when a frame is analysed),
-    so a caller's session in another zone gets the same results."""
+    """Register a query.  The domain is UTC: no expression goes by the session's
+    time zone, so a caller's session in another zone gets the same results."""
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -61,8 +57,8 @@ RIDE_OUT_SQL = """ride_id, is_start, start_ms, end_ms,
   CAST(passenger_cnt AS INTEGER) AS passenger_cnt, taxi_id, driver_id"""
 
 
-def ride_out(df: DataFrame) -> DataFrame:
-    return df.select("ride_id", "is_start", ms("start_time").alias("start_ms"), ms("end_time").alias("end_ms"),
+def ride_out(df: DataFrame, *more) -> DataFrame:
+    return df.select(*more, "ride_id", "is_start", ms("start_time").alias("start_ms"), ms("end_time").alias("end_ms"),
                      d("start_lon").alias("start_lon"), d("start_lat").alias("start_lat"),
                      d("end_lon").alias("end_lon"), d("end_lat").alias("end_lat"),
                      F.col("passenger_cnt").cast("int").alias("passenger_cnt"), "taxi_id", "driver_id")
@@ -225,13 +221,14 @@ def _ts_sql(ms_col: str) -> str:
     return f"strftime(make_timestamp({ms_col} * 1000), '%Y-%m-%d %H:%M:%S')"
 
 
-@register("q_ride_export", with_views(f"""
-SELECT ride_id, concat_ws(',', CAST(ride_id AS VARCHAR), CASE WHEN is_start THEN 'START' ELSE 'END' END,
+_RIDE_LINE_SQL = f"""concat_ws(',', CAST(ride_id AS VARCHAR), CASE WHEN is_start THEN 'START' ELSE 'END' END,
   CASE WHEN is_start THEN {_ts_sql('start_ms')} ELSE {_ts_sql('end_ms')} END,
   CASE WHEN is_start THEN {_ts_sql('end_ms')} ELSE {_ts_sql('start_ms')} END,
   CAST(start_lon AS VARCHAR), CAST(start_lat AS VARCHAR), CAST(end_lon AS VARCHAR), CAST(end_lat AS VARCHAR),
-  CAST(passenger_cnt AS VARCHAR), CAST(taxi_id AS VARCHAR), CAST(driver_id AS VARCHAR)) AS value
-FROM rides_v""", "rides_v"))
+  CAST(passenger_cnt AS VARCHAR), CAST(taxi_id AS VARCHAR), CAST(driver_id AS VARCHAR))"""
+
+
+@register("q_ride_export", with_views(f"SELECT ride_id, {_RIDE_LINE_SQL} AS value FROM rides_v", "rides_v"))
 def q_ride_export(spark, sf_dir):
     return text.format_ride_lines(A.rides(spark, sf_dir))
 
@@ -240,8 +237,8 @@ FARE_OUT_SQL = """ride_id, taxi_id, driver_id, start_ms, payment_type, CAST(tip
   CAST(tolls AS DOUBLE) AS tolls, CAST(total_fare AS DOUBLE) AS total_fare"""
 
 
-def fare_out(df: DataFrame) -> DataFrame:
-    return df.select("ride_id", "taxi_id", "driver_id", ms("start_time").alias("start_ms"), "payment_type",
+def fare_out(df: DataFrame, *more) -> DataFrame:
+    return df.select(*more, "ride_id", "taxi_id", "driver_id", ms("start_time").alias("start_ms"), "payment_type",
                      d("tip").alias("tip"), d("tolls").alias("tolls"), d("total_fare").alias("total_fare"))
 
 
@@ -257,16 +254,18 @@ CAR_OUT_SQL = """id, car_id, (epoch_us(date_trunc('second', event_time)) // 1000
   CAST(throttle AS DOUBLE) AS throttle, CAST(engineload AS DOUBLE) AS engineload"""
 
 
+def car_out(df: DataFrame, *more) -> DataFrame:
+    return df.select(*more, "id", "car_id", ms("event_time").alias("event_ms"),
+                     *[d(n).alias(n) for n in ("longitude", "latitude", "consumption", "speed", "throttle", "engineload")])
+
+
 @register("q_car_ingest", with_views(f"SELECT {CAR_OUT_SQL} FROM car_v", "car_v"))
 def q_car_ingest(spark, sf_dir):
     """Car log lines (23 fields, mixed separators) parsed back; the line
     format keeps whole seconds."""
     lines = spread(text.format_car_lines(A.car_events(spark, sf_dir), filler="x").select("value"))
     lines = lines.select(F.regexp_replace("value", ",x,x,", ";x; x,").alias("value"))  # mixed separators
-    c = text.parse_car_lines(lines, mode="failfast")
-    return c.select("id", "car_id", ms("event_time").alias("event_ms"),
-                    *[d(n).alias(n) for n in ("longitude", "latitude", "consumption", "speed", "throttle",
-                                              "engineload")])
+    return car_out(text.parse_car_lines(lines, mode="failfast"))
 
 
 def call_messages(spark, sf_dir) -> DataFrame:
@@ -574,7 +573,7 @@ def q_rules_engine(spark, sf_dir):
 def day_controls(spark, sf_dir) -> DataFrame:
     """Control elements: the first event of every day (value = its id)."""
     e = read_table(spark, sf_dir, "events")
-    first = e.groupBy(F.date_trunc("day", "ts").alias("day")).agg(
+    first = e.groupBy(utc_day(F.col("ts")).alias("day")).agg(
         F.min_by(F.struct("ts", "event_id"), F.struct("ts", "event_id")).alias("f"))
     return first.select(F.col("f.ts").alias("time"), F.col("f.event_id").alias("value"))
 
@@ -592,6 +591,116 @@ def q_toggle_broadcast(spark, sf_dir):
     return out.select(ms("control_time").alias("control_ms"), "control_value", "key")
 
 
+_DAY_CONTROLS_SQL = """c AS (SELECT ts AS ctime, event_id AS cvalue FROM events
+           QUALIFY row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY ts, event_id) = 1)"""
+
+
+@register("q_toggle_all", f"""
+WITH {_DAY_CONTROLS_SQL},
+n AS (SELECT user_id AS key, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS n FROM events),
+k AS (SELECT DISTINCT key, ts, n FROM n),
+a AS (SELECT c.ctime, c.cvalue, u.key, (SELECT max(n) FROM k WHERE k.key = u.key AND k.ts <= c.ctime) AS n FROM c, (SELECT DISTINCT key FROM k) u)
+SELECT epoch_us(ctime) // 1000 AS control_ms, cvalue AS control_value, key FROM a WHERE n % 2 = 1""")
+def q_toggle_all(spark, sf_dir):
+    """Every event toggles its user; the first event of a day is also a control."""
+    keyed = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("ts").alias("time"))
+    out = toggle.apply_controls(keyed, day_controls(spark, sf_dir))
+    return out.select(ms("control_time").alias("control_ms"), "control_value", "key")
+
+
+# Rules that fail on some rows, or are refused, beside good ones; and what they say in the oracle's SQL.
+FAULTY_RULES = {
+    1: ("passenger_count >= 4", "passenger_count >= 4"),
+    2: ("10 / (passenger_count - 1) > 4", "10 / nullif(passenger_count - 1, 0) > 4"),
+    3: ("cast(concat('x', taxi_id) as int) = 1 OR is_start", "TRY_CAST('x' || taxi_id AS INTEGER) = 1 OR is_start"),
+    4: ("get(array(1, 2), passenger_count) = 2", "passenger_count = 1"),
+    5: ("element_at(array(1), 5) = 1", None),
+    6: ("reflect('java.lang.System', 'nanoTime') = '1'", None),
+    7: ("ride_id % (taxi_id - taxi_id) = 0 OR taxi_id < 10", "taxi_id < 10"),
+}
+
+
+@register("q_rules_faulty", with_views(f"""
+, st AS ({STATUS_SQL} FROM rides_v QUALIFY row_number() OVER (PARTITION BY taxi_id ORDER BY event_ms DESC, is_start ASC, ride_id DESC) = 1)
+""".strip() + "\n" + "\nUNION ALL\n".join(f"SELECT CAST({i} AS BIGINT) AS rule_id, ride_id, taxi_id FROM st WHERE {c}"
+                                         for i, (_, c) in FAULTY_RULES.items() if c), "rides_v").replace(",\n, st", ",\nst"))
+def q_rules_faulty(spark, sf_dir):
+    rides, st = _latest_status(spark, sf_dir)
+    given = spark.createDataFrame([(i, c) for i, (c, _) in FAULTY_RULES.items()], "rule_id bigint, condition string")
+    matches, _ = rules_op.evaluate_rules(st, given, 0)
+    return matches.select("rule_id", "ride_id", "taxi_id")
+
+
+# --- lines with faults ----------------------------------------------------------
+
+# Fault planted in a line, by its number modulo 50: pattern and replacement.  Numbers 4 (an empty coordinate, tip or
+# speed reads as 0) leave a valid record, the others a reject.
+LINE_FAULTS = {
+    "ride": {1: ("$", ",x"), 2: ("(START|END)", "STOP"), 3: ("^([^,]*,[^,]*),[^,]*", "{1},soon"), 4: ("^([^,]*,[^,]*,[^,]*,[^,]*),[^,]*", "{1},"),
+             5: ("^(([^,]*,){8})[^,]*", "{1}"), 6: ("[^,]+$", ""), 7: ("^", "n")},
+    "fare": {1: ("$", ",x"), 3: ("^([^,]*,[^,]*,[^,]*),[^,]*", "{1},soon"), 4: ("^(([^,]*,){5})[^,]*", "{1}"), 5: ("^(([^,]*,){6})[^,]*", "{1}?"),
+             6: ("[^,]+$", "")},
+    "car": {1: (",[^,]*$", ""), 3: (",[^,]*$", ",soon"), 4: ("^(([^,]*,){9})[^,]*", "{1}"), 5: ("^(([^,]*,){12})[^,]*", "{1}1,5"), 6: ("[^,]+$", "")},
+}
+
+
+def with_faults(lines: DataFrame, number: str, what: str) -> DataFrame:
+    """``value`` lines, some of them made faulty by their number."""
+    value = F.col("value")
+    for n, (pattern, to) in LINE_FAULTS[what].items():
+        value = F.when(F.col(number).cast("bigint") % 50 == n, F.regexp_replace("value", pattern, to.replace("{1}", "$1"))).otherwise(value)
+    return lines.select(value.alias("value"))
+
+
+def _faulty_sql(number: str, what: str) -> str:
+    cases = " ".join(f"WHEN {n} THEN regexp_replace(value, '{p}', '{to.replace('{1}', chr(92) + '1')}')" for n, (p, to) in LINE_FAULTS[what].items())
+    return f"CASE CAST({number} AS BIGINT) % 50 {cases} ELSE value END"
+
+
+def _rejected(what: str) -> list[int]:
+    return [n for n in LINE_FAULTS[what] if n != 4]
+
+
+def _with_rejects_sql(good: str, number: str, what: str, view: str, line: str, rejected: str, zero: str) -> str:
+    """Valid records (the column ``zero`` is 0 where it was emptied), then the rejected lines."""
+    nr = f"CAST({number} AS BIGINT) % 50"
+    bad = ", ".join(map(str, _rejected(what)))
+    return f"""
+SELECT CAST(NULL AS VARCHAR) AS rejected, {good} FROM (SELECT * REPLACE (CASE WHEN {nr} = 4 THEN CAST(0 AS FLOAT) ELSE {zero} END AS {zero}) FROM {view})
+WHERE {nr} NOT IN ({bad})
+UNION ALL BY NAME
+SELECT {rejected} AS rejected FROM (SELECT {_faulty_sql(number, what)} AS value FROM (SELECT *, {line} AS value FROM {view}) WHERE {nr} IN ({bad}))"""
+
+
+_FARE_LINE_SQL = f"""concat_ws(',', CAST(ride_id AS VARCHAR), CAST(taxi_id AS VARCHAR), CAST(driver_id AS VARCHAR), {_ts_sql('start_ms')}, payment_type,
+  CAST(tip AS VARCHAR), CAST(tolls AS VARCHAR), CAST(total_fare AS VARCHAR))"""
+_CAR_LINE_SQL = "concat_ws(',', car_id, id, repeat('x,', 20) || 'time')"
+_HEAD_SQL = "regexp_extract(value, '^[^,]*,[^,]*')"  # the other fields are written as each engine writes single-precision numbers
+
+
+def _head(rejected) -> Column:
+    return F.when(rejected.isNotNull(), F.regexp_extract(rejected, "^[^,]*,[^,]*", 0)).alias("rejected")
+
+
+@register("q_ride_rejects", with_views(_with_rejects_sql(RIDE_OUT_SQL, "ride_id", "ride", "rides_v", _RIDE_LINE_SQL, "value", "start_lon"), "rides_v"))
+def q_ride_rejects(spark, sf_dir):
+    """Ride lines, some with faults: records and rejected lines from one pass."""
+    lines = with_faults(text.format_ride_lines(A.rides(spark, sf_dir)), "ride_id", "ride")
+    return ride_out(text.parse_ride_lines(spread(lines), mode="tag"), "rejected")
+
+
+@register("q_fare_rejects", with_views(_with_rejects_sql(FARE_OUT_SQL, "ride_id", "fare", "fares_v", _FARE_LINE_SQL, _HEAD_SQL, "tip"), "fares_v"))
+def q_fare_rejects(spark, sf_dir):
+    lines = with_faults(text.format_fare_lines(A.fares(spark, sf_dir)), "ride_id", "fare")
+    return fare_out(text.parse_fare_lines(spread(lines), mode="tag"), _head(F.col("rejected")))
+
+
+@register("q_car_rejects", with_views(_with_rejects_sql(CAR_OUT_SQL, "id", "car", "car_v", _CAR_LINE_SQL, _HEAD_SQL, "speed"), "car_v"))
+def q_car_rejects(spark, sf_dir):
+    lines = with_faults(text.format_car_lines(A.car_events(spark, sf_dir), filler="x"), "id", "car")
+    return car_out(text.parse_car_lines(spread(lines), mode="tag"), _head(F.col("rejected")))
+
+
 # --- step 6: route cells, early-firing windows -------------------------------------
 
 from fleetwise.operators import routes  # noqa: E402

@@ -12,14 +12,19 @@ what happens to invalid lines:
 
 * ``"failfast"`` - the job fails on the first invalid line (``raise_error``);
 * ``"drop"``     - invalid lines are skipped;
-* ``"split"``    - returns ``(good, rejects)``; rejects keep the raw line.
+* ``"split"``    - returns ``(good, rejects)``; rejects keep the raw line;
+* ``"tag"``      - one frame of all lines: ``is_good``, the raw line of invalid
+  ones in ``rejected``, the record of valid ones (else nulls).  ``deal`` writes
+  such a frame to two outputs in one pass and reports how many went to each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from fleetwise.functions.times import utc_clock
+
 # Fixed formats: ride and fare times "yyyy-MM-dd HH:mm:ss" (UTC); car event
 # times "yyyy-MM-dd'T'HH:mm:ssZ"; ride lines have 11 comma fields, fare lines
 # 8, car lines 23 fields separated by "," or ";" plus optional blanks.
@@ -46,7 +51,10 @@ def _num(tok: Column, typ: str, empty_zero: bool) -> Column:
 
 
 def _time(tok: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(tok, F.lit(fmt))
+    """A time by its format; one without an offset is UTC, whatever the session's zone."""
+    if fmt.endswith("Z"):
+        return F.try_to_timestamp(tok, F.lit(fmt))
+    return F.try_to_timestamp(F.concat(tok, F.lit(" +0000")), F.lit(fmt + " Z"))
 
 
 def _finish(df: DataFrame, n_fields: int, required: list[str], out_cols: list[str], mode: str, what: str):
@@ -68,6 +76,9 @@ def _finish(df: DataFrame, n_fields: int, required: list[str], out_cols: list[st
     good = df.select(F.inline(F.when(F.col("_valid"), row)))
     if mode == "drop":
         return good
+    if mode == "tag":
+        ok = F.col("_valid")
+        return df.select(ok.alias("is_good"), F.when(~ok, F.col("value")).alias("rejected"), *[F.when(ok, F.col(c)).alias(c) for c in out_cols])
     if mode == "split":
         return good, df.select(F.inline(F.when(~F.col("_valid"), F.array(F.struct("value")))))
     raise ValueError(f"unknown mode {mode!r}")
@@ -111,8 +122,8 @@ def format_ride_lines(rides: DataFrame) -> DataFrame:
     the log format expects, so an exported END line parses back to the same
     record."""
     s = F.col("is_start")
-    st = F.date_format("start_time", RIDE_TIME_FMT)
-    et = F.date_format("end_time", RIDE_TIME_FMT)
+    st = utc_clock(F.col("start_time"))
+    et = utc_clock(F.col("end_time"))
     line = F.concat_ws(",", F.col("ride_id").cast("string"), F.when(s, "START").otherwise("END"),
                        F.when(s, st).otherwise(et), F.when(s, et).otherwise(st),
                        *[F.col(c).cast("string") for c in ("start_lon", "start_lat", "end_lon", "end_lat",
@@ -140,7 +151,7 @@ def parse_fare_lines(lines: DataFrame, mode: str = "failfast"):
 
 def format_fare_lines(fares: DataFrame) -> DataFrame:
     line = F.concat_ws(",", *[F.col(c).cast("string") for c in ("ride_id", "taxi_id", "driver_id")],
-                       F.date_format("start_time", RIDE_TIME_FMT), F.col("payment_type"),
+                       utc_clock(F.col("start_time")), F.col("payment_type"),
                        *[F.col(c).cast("string") for c in ("tip", "tolls", "total_fare")])
     return fares.select("ride_id", line.alias("value"))
 
@@ -169,7 +180,7 @@ def parse_car_lines(lines: DataFrame, mode: str = "failfast"):
 def format_car_lines(cars: DataFrame, filler: str = "") -> DataFrame:
     """Car record -> 23-field line; unused positions get ``filler``."""
     src = {CAR_POS["car_id"]: F.col("car_id"), CAR_POS["id"]: F.col("id"),
-           CAR_POS["time"]: F.date_format("event_time", CAR_TIME_FMT)}
+           CAR_POS["time"]: F.concat(F.replace(utc_clock(F.col("event_time")), F.lit(" "), F.lit("T")), F.lit("+0000"))}
     for n in ("consumption", "speed", "throttle", "engineload", "longitude", "latitude"):
         src[CAR_POS[n]] = F.col(n).cast("string")
     fields = [src.get(i, F.lit(filler)) for i in range(CAR_FIELDS)]
@@ -209,6 +220,19 @@ def read_car_log(spark, path: str, mode: str = "failfast", streaming: bool = Fal
     return parse_car_lines(_read_lines(spark, path, streaming, max_files_per_trigger), mode)
 
 
+def deal(tagged: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Write a frame of mode "tag" below ``path``, valid records and invalid lines apart, in one pass over the input:
+    (good records, rejected lines as ``value``, their counts).  The counts are observed while the rows are written."""
+    spark = tagged.sparkSession
+    seen = Observation()
+    counted = tagged.observe(seen, F.count_if("is_good").alias("good"), F.count_if(~F.col("is_good")).alias("rejected"))
+    counted.write.mode("overwrite").partitionBy("is_good").parquet(path)
+    back = spark.read.schema(tagged.schema).parquet(path)
+    good = back.where("is_good").drop("is_good", "rejected")
+    rejects = back.where("NOT is_good").select(F.col("rejected").alias("value"))
+    return good, rejects, {k: int(v) for k, v in seen.get.items()}
+
+
 def write_log(lines, path: str, compression: str = "gzip") -> None:
     """Write a ``value`` column as text log files."""
     lines.select("value").write.mode("overwrite").option("compression", compression).text(path)

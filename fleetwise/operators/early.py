@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from fleetwise.operators.asof import asof_numeric
 from fleetwise.operators.scan import carry_last, running_agg, running_aggs, sessionize
-from fleetwise.session import checkpoint_dir
+from fleetwise.session import stored
 
 LONG_MIN = -9223372036854775808
 LONG_MAX = 9223372036854775807
@@ -114,31 +114,29 @@ def sessions(elements: DataFrame, gap_ms: int) -> DataFrame:
     return sessionize(elements, ["key"], F.col("time"), [F.col("seq")], gap_ms)
 
 
-def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, lists: bool = True) -> DataFrame:
-    """Firings of early-result session windows.
+FIRING = ["key", "sid", "g", "window_end", "fired_at", "n", "is_final"]
 
-    ``lists=True``: rows ``key, window_end, fired_at, n, values (list), is_final``.
-    ``lists=False``: the same firings in row form, one row per list position
-    (``... , position, value``), built without gathering any session: a
-    firing's list is a prefix of its session's order, so each firing explodes
-    ``1..n_regular`` and ``1..n_finish`` and equi-joins the elements on
-    (key, session, rank).  Output rows equal the list lengths exactly.
+
+def session_firings(timeline: DataFrame, gap_ms: int, finish: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(firings, elements) of early-result session windows: a firing says when it came (``g``, ``fired_at``) and how
+    many elements it covers (``n``, of them ``_nr`` regular and ``_nf`` finish), an element its running counts.
 
     The watermarked timeline and the ranked session elements feed several
     branches; each is written once to the shared checkpoint folder instead of
     being recomputed per branch (this also cuts the lineage for recovery).
     """
-    checkpoint_dir(timeline.sparkSession)
-    tl = with_watermark(timeline).checkpoint(eager=True)
+    tl = stored(with_watermark(timeline), "timeline")
     levels = watermark_levels(tl)
     e = tl.where((F.col("kind") == "E")
                  & (F.col("wm").isNull() | (F.col("time") + F.lit(gap_ms) - 1 > F.col("wm"))))
-    e = sessions(e, gap_ms)
+    # every scan reads its input twice, for the sizes of its keys and for its rows: what several steps made is stored
+    e = stored(sessions(e, gap_ms), "session-elements")
     fin = F.col("value") == F.lit(finish)
     # running counts of regular and finish elements and latest time, by arrival within the session
     e = running_aggs(e, ["key", "sid"], [F.col("seq")],
                      [(F.when(~fin, F.lit(1)), "_r", "count"), (F.when(fin, F.lit(1)), "_f", "count"),
-                      (F.col("time"), "_tmax", "max")]).checkpoint(eager=True)
+                      (F.col("time"), "_tmax", "max")])
+    e = stored(e, "session-counts")
     # firing checks: finish elements and session ends
     fin_checks = e.where(fin).select(
         "key", "sid", F.greatest(F.col("time"), F.coalesce(F.col("wm") + 1, F.col("time"))).alias("thr"))
@@ -147,17 +145,47 @@ def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, lists: bool
     # fired by the end of input: one position after the last
     after = (tl.agg(F.max("seq")).first()[0] or 0) + 1
     checks = checks.withColumn("g", F.coalesce(F.col("g"), F.lit(after).cast("bigint")))
-    checks = checks.groupBy("key", "sid", "g").agg(F.min("fired_at").alias("fired_at"))
+    checks = stored(checks.groupBy("key", "sid", "g").agg(F.min("fired_at").alias("fired_at")), "checks")
     # what had arrived before each check (seq < g): counts as of the last earlier element
     c = asof_numeric(checks, e, ["key", "sid"], "g", "seq", ["_r", "_f", "_tmax"], strict=True)
-    c = c.where(F.col("_r").isNotNull()).withColumn("n", F.col("_r") + F.col("_f"))
+    c = stored(c.where(F.col("_r").isNotNull()).withColumn("n", F.col("_r") + F.col("_f")), "counted")
     # emit only when the count grew since the session's previous check
     c = carry_last(c, ["key", "sid"], [F.col("g")], F.col("n"), "_prev_n", inclusive=False)
     fired = c.where(F.col("_prev_n").isNull() | (F.col("n") > F.col("_prev_n"))).select(
         "key", "sid", "g", (F.col("_tmax") + F.lit(gap_ms)).alias("window_end"), "fired_at", "n",
         F.col("_r").alias("_nr"), F.col("_f").alias("_nf"))
-    fired = fired.withColumn("is_final", F.col("window_end") <= F.col("fired_at"))
-    firing = ["key", "sid", "g", "window_end", "fired_at", "n", "is_final"]
+    fired = stored(fired.withColumn("is_final", F.col("window_end") <= F.col("fired_at")), "firings")
+    return fired, e
+
+
+def early_session_elements(timeline: DataFrame, gap_ms: int, finish: int = 5) -> DataFrame:
+    """The firings in a form linear in the input: every element of every session once, with the first firing that
+    covers it: ``key, session_start, arrival, value, rank, fired_at, window_end, n, is_final``.
+
+    A firing's list is all elements of its session whose first firing is that one or an earlier one: the regular ones
+    by arrival, then the finish ones (``rank`` counts either kind within the session).  Firings follow one another by ``n``."""
+    fired, e = session_firings(timeline, gap_ms, finish)
+    first = asof_numeric(e, fired, ["key", "sid"], "seq", "g", ["window_end", "fired_at", "n", "is_final"], forward=True, strict=True)
+    rank = F.when(F.col("value") == F.lit(finish), F.col("_f")).otherwise(F.col("_r"))
+    return first.select("key", F.col("sid").alias("session_start"), F.col("seq").alias("arrival"), "value", rank.alias("rank"),
+                        "fired_at", "window_end", "n", "is_final")
+
+
+def early_session(timeline: DataFrame, gap_ms: int, finish: int = 5, lists: bool = True) -> DataFrame:
+    """Firings of early-result session windows.
+
+    ``lists=True``: rows ``key, window_end, fired_at, n, values (list), is_final``.
+    ``lists=False``: the same firings in row form, one row per list position
+    (``... , position, value``), built without gathering any session: a
+    firing's list is a prefix of its session's order, so each firing explodes
+    ``1..n_regular`` and ``1..n_finish`` and equi-joins the elements on
+    (key, session, rank).  Output rows equal the list lengths exactly, which
+    may grow with the square of a session; ``early_session_elements`` says the
+    same in one row per element.
+    """
+    fired, e = session_firings(timeline, gap_ms, finish)
+    fin = F.col("value") == F.lit(finish)
+    firing = FIRING
 
     # one entry per list position: regular ranks 1..nr at positions 1..nr, finish
     # ranks 1..nf at positions nr+1..nr+nf; one equi-join fetches the values

@@ -66,15 +66,15 @@ def _bucketed(df: DataFrame, keys: list[str], order: list, bucket: Column | None
     biggest = counts.agg(F.max("_on")).first()[0]
     if not biggest or biggest <= target:
         return df.withColumn("_bkt", F.lit(0)), True
-    # large keys only: at most rows / target of them, so the statistics are small enough to broadcast
+    # large keys only: at most rows / target of them; the planner broadcasts them where their size allows it
     large = counts.where(F.col("_on") > target).select(*[F.col(k).alias("_s_" + k) for k in keys])
-    some = df.join(F.broadcast(large), _same_keys(df, large, {k: "_s_" + k for k in keys}), "left_semi") if keys else df
+    some = df.join(large, _same_keys(df, large, {k: "_s_" + k for k in keys}), "left_semi") if keys else df
     shares = [i / CUTS for i in range(CUTS + 1)]
     st = some.groupBy(*keys).agg(F.percentile_approx(o.cast("double"), shares, 1000).alias("_cuts"),
                                  F.count(F.lit(1)).alias("_on"))
     st = st.select(*[F.col(k).alias("_s_" + k) for k in keys], "_cuts", "_on")
     if keys:
-        j = df.join(F.broadcast(st), _same_keys(df, st, {k: "_s_" + k for k in keys}), "left")
+        j = df.join(st, _same_keys(df, st, {k: "_s_" + k for k in keys}), "left")
     else:
         cuts, n = st.first()
         j = df.withColumns({"_cuts": F.lit(cuts) if cuts else F.lit(None).cast("array<double>"), "_on": F.lit(n)})

@@ -534,6 +534,21 @@ def q_travel_time_predict(spark, sf_dir):
     return p.select("ride_id", "direction", rnd("distance", 9).alias("distance"), "predicted_min")
 
 
+@register("q_travel_time_as_of", with_views(f"""
+SELECT ride_id, CAST(bucket AS INTEGER) AS bucket, n,
+       CASE WHEN n >= 2 AND abs(sxx) >= 4.9e-323 THEN CAST(trunc(sxy / sxx * distance) AS INTEGER) ELSE -1 END AS predicted_min
+FROM (SELECT *, count(*) FILTER (NOT is_start) OVER w AS n, sum(distance * distance) FILTER (NOT is_start) OVER w AS sxx,
+             sum(distance * travel_min) FILTER (NOT is_start) OVER w AS sxy
+      FROM (SELECT *, trunc(direction / 45) AS bucket FROM (SELECT ride_id, is_start, event_ms, {_FEAT_SQL} FROM rides_v
+            WHERE {nyc_sql('start_lon', 'start_lat')} AND {nyc_sql('end_lon', 'end_lat')}))
+      WINDOW w AS (PARTITION BY bucket ORDER BY event_ms, is_start, ride_id ROWS UNBOUNDED PRECEDING))
+WHERE is_start""", "rides_v"))
+def q_travel_time_as_of(spark, sf_dir):
+    """Every ride's travel time as the model of its moment would have predicted it."""
+    p = travel_time.predict_as_of(A.rides(spark, sf_dir))
+    return p.select("ride_id", F.col("bucket").cast("int").alias("bucket"), F.col("n").cast("bigint").alias("n"), "predicted_min")
+
+
 # --- step 5: rules and control -----------------------------------------------------
 
 from fleetwise.operators import rules as rules_op, toggle  # noqa: E402
@@ -805,6 +820,83 @@ def q_early_session(spark, sf_dir):
                     F.col("position").cast("bigint").alias("position"), "value")
 
 
+LATE_TL_SQL = """late_v AS (
+  SELECT event_id*2 AS seq, 'E' AS kind, (epoch_us(ts) // 1000) - CASE WHEN event_id % 9 = 4 THEN (event_id % 13) * 3600000 ELSE 0 END AS time,
+         user_id AS key, CAST(CASE WHEN event_type = 'purchase' THEN 5 ELSE 4 END AS BIGINT) AS value FROM events
+  UNION ALL SELECT event_id*2 + 1, 'W', (epoch_us(ts) // 1000) - 3600000, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM events)"""
+
+
+def late_timeline(spark, sf_dir) -> DataFrame:
+    """The element timeline with every ninth element up to twelve hours late, behind a watermark delay of one hour:
+    some come in time, some after their window has closed."""
+    tl = A.element_timeline(spark, sf_dir, delay_ms=3_600_000)
+    event_id = F.floor(F.col("seq") / 2)
+    late = F.when((F.col("kind") == "E") & (event_id % 9 == 4), (event_id % 13) * 3_600_000).otherwise(F.lit(0))
+    return tl.withColumn("time", F.col("time") - late)
+
+
+@register("q_early_tumbling_late", f"""
+WITH {LATE_TL_SQL},
+{_TL_SQL.replace('timeline_v', 'late_v')},
+e AS (SELECT *, (time // {EARLY_SIZE_MS}) * {EARLY_SIZE_MS} AS ws, (time // {EARLY_SIZE_MS}) * {EARLY_SIZE_MS} + {EARLY_SIZE_MS} AS window_end
+      FROM t WHERE kind = 'E'),
+ok AS (SELECT * FROM e WHERE wm IS NULL OR window_end - 1 > wm),
+fin AS (SELECT key, window_end, CAST(SUM(value) AS BIGINT) AS total FROM ok GROUP BY key, window_end)
+SELECT key, window_end, COALESCE(wm, -9223372036854775808) AS fired_at,
+       CAST(SUM(value) OVER (PARTITION BY key, ws ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total, false AS is_final
+FROM ok QUALIFY (time // 1000) % 2 = 0
+UNION ALL
+SELECT key, window_end, COALESCE(lvl, 9223372036854775807) AS fired_at, total, window_end <= COALESCE(lvl, 9223372036854775807) AS is_final
+FROM (SELECT * FROM fin ASOF LEFT JOIN levels ON lvl >= window_end - 1)""")
+def q_early_tumbling_late(spark, sf_dir):
+    r = early.early_tumbling(late_timeline(spark, sf_dir), EARLY_SIZE_MS)
+    return r.select("key", "window_end", "fired_at", F.col("total").cast("bigint").alias("total"), "is_final")
+
+
+_FIRINGS_SQL = f"""e0 AS (SELECT * FROM t WHERE kind = 'E' AND (wm IS NULL OR time + {EARLY_GAP_MS} - 1 > wm)),
+e AS (SELECT *, max(CASE WHEN prev IS NULL OR time - prev > {EARLY_GAP_MS} THEN time END)
+                OVER (PARTITION BY key ORDER BY time, seq ROWS UNBOUNDED PRECEDING) AS sid
+      FROM (SELECT *, lag(time) OVER (PARTITION BY key ORDER BY time, seq) AS prev FROM e0)),
+checks AS (SELECT key, sid, greatest(time, COALESCE(wm + 1, time)) AS thr FROM e WHERE value = {FINISH}
+           UNION ALL SELECT key, sid, max(time) + {EARLY_GAP_MS} - 1 FROM e GROUP BY key, sid),
+looked AS (SELECT key, sid, lvl FROM checks ASOF LEFT JOIN levels ON lvl >= thr),
+fired AS (SELECT key, sid, COALESCE(l.gseq, 9223372036854775807) AS g,
+                 min(COALESCE(k.lvl, 9223372036854775807)) AS fired_at
+          FROM looked k LEFT JOIN levels l ON l.lvl = k.lvl GROUP BY 1, 2, 3),
+arrived AS (SELECT *, row_number() OVER w AS upto, max(time) OVER w AS tmax FROM e WINDOW w AS (PARTITION BY key, sid ORDER BY seq ROWS UNBOUNDED PRECEDING)),
+counted AS (SELECT f.key, f.sid, f.g, f.fired_at, a.upto AS n, a.tmax
+            FROM fired f ASOF JOIN arrived a ON a.key = f.key AND a.sid = f.sid AND a.seq < f.g),
+emitted AS (SELECT * FROM counted QUALIFY n > COALESCE(lag(n) OVER (PARTITION BY key, sid ORDER BY g), 0))"""
+_ELEMENTS_SQL = f"""SELECT a.key, a.sid AS session_start, a.seq AS arrival, a.value,
+       count(*) OVER (PARTITION BY a.key, a.sid, a.value = {FINISH} ORDER BY a.seq ROWS UNBOUNDED PRECEDING) AS rank,
+       m.fired_at, m.tmax + {EARLY_GAP_MS} AS window_end, m.n, m.tmax + {EARLY_GAP_MS} <= m.fired_at AS is_final
+FROM e a ASOF JOIN emitted m ON m.key = a.key AND m.sid = a.sid AND a.seq < m.g"""
+
+
+def _elements_out(df: DataFrame) -> DataFrame:
+    return df.select("key", "session_start", "arrival", "value", F.col("rank").cast("bigint").alias("rank"), "fired_at", "window_end",
+                     F.col("n").cast("bigint").alias("n"), "is_final")
+
+
+@register("q_early_session_elements", with_views(f"""
+WITH {_TL_SQL},
+{_FIRINGS_SQL}
+{_ELEMENTS_SQL}""", "timeline_v"))
+def q_early_session_elements(spark, sf_dir):
+    """Early-result session windows, one row per element: its place and the first firing that covers it."""
+    return _elements_out(early.early_session_elements(A.element_timeline(spark, sf_dir), EARLY_GAP_MS, FINISH))
+
+
+@register("q_early_session_late", f"""
+WITH {LATE_TL_SQL},
+{_TL_SQL.replace('timeline_v', 'late_v')},
+{_FIRINGS_SQL}
+{_ELEMENTS_SQL}""")
+def q_early_session_late(spark, sf_dir):
+    """As q_early_session_elements, over elements that come late: those behind the watermark by the gap are dropped."""
+    return _elements_out(early.early_session_elements(late_timeline(spark, sf_dir), EARLY_GAP_MS, FINISH))
+
+
 @register("q_finish_ordered_list", with_views(f"""
 WITH e AS (SELECT *, max(CASE WHEN prev IS NULL OR time - prev > {EARLY_GAP_MS} THEN time END)
                 OVER (PARTITION BY key ORDER BY time, seq ROWS UNBOUNDED PRECEDING) AS sid

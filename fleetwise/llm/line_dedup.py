@@ -4,12 +4,14 @@ A line's tokens (lower-case runs of letters and digits) form a set; two lines
 match if the Jaccard similarity of their sets is ``SIMILARITY`` or more, and a
 line that matches an earlier one (by doc_id, then line number) is removed.
 
-1. Tokens become codes that sort by rarity: the rank of their hash bucket in
-   a table of ``1 << RARITY_BITS`` occurrence counts over all documents (a
-   fixed size), then the rest of the hash.  Any fixed order gives right
-   results; rare tokens first make few candidates.
-2. Lines with equal sets are one class, summed with partial aggregation, so a
-   line that fills a third of the corpus is one row from each task.
+1. A line becomes the set of its tokens' 64-bit hashes, in one pass over the
+   texts.  Lines with equal sets are one class, summed with partial
+   aggregation, so a line that fills a third of the corpus is one row from
+   each task.
+2. The hashes of a class are put in order of rarity: by the rank of their
+   bucket in a table of ``1 << RARITY_BITS`` counts over all classes (a fixed
+   size), then by the rest of the hash.  Any fixed order gives right results;
+   rare tokens first make few candidates.
 3. Classes of sizes m <= n that match share at least
    ``o = ceil(s / (1 + s) * (m + n))`` tokens, so they share one among the
    first m - o + 1 codes of the one and n - o + 1 of the other (prefix
@@ -38,19 +40,15 @@ from fleetwise.llm.common import free_name, stored
 SIMILARITY = 0.8
 RARITY_BITS = 16
 BETWEEN = r"[^\p{L}\p{N}]+"
-_REST = 62 - RARITY_BITS
+_REST = 64 - RARITY_BITS
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), BETWEEN), lambda w: w != "")
-
-
-def rarity(docs: DataFrame) -> Column:
+def rarity(classes: DataFrame) -> Column:
     """The ranks of the token buckets, rarest first, as a constant array."""
     n = 1 << RARITY_BITS
-    words = docs.select(F.explode(F.split(F.lower(docs["text"]), BETWEEN)).alias("w"))
+    tokens = classes.select(F.explode("codes").alias("t"))
     # one row per bucket: 65,536 at most
-    counts = {r["b"]: r["n"] for r in words.groupBy(F.xxhash64("w").bitwiseAND(n - 1).alias("b"))
+    counts = {r["b"]: r["n"] for r in tokens.groupBy(F.col("t").bitwiseAND(n - 1).alias("b"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     order = sorted(range(n), key=lambda b: (counts.get(b, 0), b))
     rank = [0] * n
@@ -59,14 +57,18 @@ def rarity(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
 
 
-def _codes(text: Column, ranks: Column) -> Column:
-    """Sorted, distinct token codes, rarest first."""
-    def code(w):
-        h = F.xxhash64(w)
-        bucket = h.bitwiseAND((1 << RARITY_BITS) - 1).cast("int")
-        rest = F.shiftrightunsigned(h, RARITY_BITS).bitwiseAND((1 << _REST) - 1)
-        return F.shiftleft(F.get(ranks, bucket).cast("long"), _REST).bitwiseOR(rest)
-    return F.sort_array(F.array_distinct(F.transform(_words(text), code)))
+def _codes(text: Column) -> Column:
+    """Sorted, distinct hashes of the tokens."""
+    words = F.array_remove(F.split(F.lower(text), BETWEEN), "")
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+
+
+def _by_rarity(codes: Column, ranks: Column) -> Column:
+    """The hashes with their bucket's rank in front, rarest first; different hashes stay different."""
+    def ranked(h):
+        rank = F.get(ranks, h.bitwiseAND((1 << RARITY_BITS) - 1).cast("int")).cast("long")
+        return F.shiftleft(rank, _REST).bitwiseOR(F.shiftrightunsigned(h, RARITY_BITS).bitwiseAND((1 << _REST) - 1))
+    return F.sort_array(F.transform(codes, ranked))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -81,48 +83,50 @@ def _overlap(m: Column, n: Column, s: float) -> Column:
 
 
 def _candidates(classes: DataFrame, s: float) -> DataFrame:
-    """Pairs (a, b) of class keys that pass all filters."""
+    """Pairs (a, b) of class numbers that pass all filters.  A row of the join is a token, a class number, its size and
+    the token's position in one number, and the signature."""
     n = F.size("codes")
-    few = F.slice("codes", 1, (n - F.ceil(n * s - 1e-9) + 1).cast("int"))
+    few = F.slice(_by_rarity(F.col("codes"), rarity(classes)), 1, (n - F.ceil(n * s - 1e-9) + 1).cast("int"))
     bits = F.aggregate("codes", F.lit(0).cast("long"), lambda x, c: x.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int"))))
-    rows = classes.select("c", n.alias("n"), bits.alias("sig"), F.posexplode_outer(few).alias("at", "token"))
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(c, 58).cast("int"))))
+    rows = classes.select("k", n.cast("long").alias("n"), bits.alias("sig"), F.posexplode(few).alias("at", "token"))
+    rows = rows.select("token", "k", F.shiftleft("n", 32).bitwiseOR(F.col("at").cast("long")).alias("n_at"), "sig")
     x, y = (rows.select([F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
-    need = _overlap(F.col("x_n"), F.col("y_n"), s)
-    earlier = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_c") < F.col("y_c")))
-    suffices = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) >= need
-    certain = F.bit_count(F.col("x_sig").bitwiseAND(F.bitwise_not("y_sig"))) <= F.col("x_n") - need
-    back = F.bit_count(F.col("y_sig").bitwiseAND(F.bitwise_not("x_sig"))) <= F.col("y_n") - need
-    pairs = x.join(y, (F.col("x_token") == F.col("y_token")) & earlier & (F.col("x_n") >= F.col("y_n") * s - 1e-9)
-                   & suffices & certain & back)
-    return pairs.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct()
+    (x_n, x_at), (y_n, y_at) = ((F.shiftright(f"{side}_n_at", 32), F.col(f"{side}_n_at").bitwiseAND((1 << 32) - 1)) for side in "xy")
+    need = _overlap(x_n, y_n, s)
+    earlier = (x_n < y_n) | ((x_n == y_n) & (F.col("x_k") < F.col("y_k")))
+    suffices = F.least(x_n - x_at, y_n - y_at) >= need
+    certain = F.bit_count(F.col("x_sig").bitwiseAND(F.bitwise_not("y_sig"))) <= x_n - need
+    back = F.bit_count(F.col("y_sig").bitwiseAND(F.bitwise_not("x_sig"))) <= y_n - need
+    pairs = x.join(y, (F.col("x_token") == F.col("y_token")) & earlier & (x_n >= y_n * s - 1e-9) & suffices & certain & back)
+    return pairs.select(F.col("x_k").alias("a"), F.col("y_k").alias("b")).distinct()
 
 
 def matched_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, line_no, class_id (hex; equal for lines with equal sets), n_links
     (other classes it matches) and removed, of every line with a token."""
     s = similarity
-    of_line = lines(docs).select("doc_id", "line_no", _codes(F.col("line"), rarity(docs)).alias("codes"))
-    keyed = of_line.withColumn("c", F.when(F.size("codes") > 0, F.struct(
-        F.xxhash64("codes").alias("c1"), F.xxhash64(F.reverse("codes"), F.lit(1)).alias("c2"))))
+    codes = F.col("codes")
+    held = lines(docs).select("doc_id", "line_no", _codes(F.col("line")).alias("codes")).where(F.size(codes) > 0)
+    held = stored(held.select("doc_id", "line_no", F.xxhash64(codes).alias("c1"), F.xxhash64(F.reverse(codes), F.lit(1)).alias("c2"), "codes"), "lines")
     at = F.struct("doc_id", "line_no")
-    held = stored(keyed.select("doc_id", "line_no", "c", "codes"), "lines")
-    of_class = held.where("c is not null").groupBy("c").agg(F.min(at).alias("first"), F.first("codes").alias("codes"))
-    classes = stored(of_class, "line-classes")
-    # sets of up to 3 tokens match equal sets only
-    found = stored(_candidates(classes.where(F.size("codes") > 3).select("c", "codes"), s), "line-pairs")
-    named = found.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    sets = stored(classes.join(named, "c", "left_semi"), "line-sets")
-    x, y = (sets.select(F.col("c").alias(k), F.col("codes").alias(f"{k}_codes"), F.col("first").alias(f"{k}_first")) for k in "ab")
+    of_class = held.groupBy("c1", "c2").agg(F.min(at).alias("first"), F.first("codes").alias("codes"))
+    classes = stored(of_class.withColumn("k", F.monotonically_increasing_id()), "line-classes")
+    # a set of n tokens matches another one only if one token more or less is similar enough
+    open_ = classes.where(F.size(codes) >= s * (F.size(codes) + 1) - 1e-9)
+    found = stored(_candidates(open_.select("k", "codes"), s), "line-pairs")
+    named = found.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+    sets = stored(classes.join(named, "k", "left_semi"), "line-sets")
+    x, y = (sets.select(F.col("k").alias(k), F.col("codes").alias(f"{k}_codes"), F.col("first").alias(f"{k}_first")) for k in "ab")
     both = found.join(x, "a").join(y, "b").withColumn("shared", F.size(F.array_intersect("a_codes", "b_codes")))
     links = both.where(F.col("shared") >= F.lit(s) * (F.size("a_codes") + F.size("b_codes") - F.col("shared")) - 1e-9)
-    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("c"), F.col("b_first").alias("other")),
-                                          F.struct(F.col("b").alias("c"), F.col("a_first").alias("other")))).alias("e")).select("e.*")
-    near = ends.groupBy("c").agg(F.count(F.lit(1)).alias("n_links"), F.min("other").alias("other"))
-    of = stored(classes.select("c", "first").join(near, "c", "left").select(
-        "c", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.least("first", "other").alias("earliest")), "line-links")
-    rows = held.where("c is not null").select("doc_id", "line_no", "c").join(of, "c")
-    hexed = F.concat(*[F.lower(F.lpad(F.hex(F.col(f"c.{k}")), 16, "0")) for k in ("c1", "c2")])
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("k"), F.col("b_first").alias("other")),
+                                          F.struct(F.col("b").alias("k"), F.col("a_first").alias("other")))).alias("e")).select("e.*")
+    near = ends.groupBy("k").agg(F.count(F.lit(1)).alias("n_links"), F.min("other").alias("other"))
+    of = stored(classes.select("k", "c1", "c2", "first").join(near, "k", "left").select(
+        "c1", "c2", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.least("first", "other").alias("earliest")), "line-links")
+    rows = held.select("doc_id", "line_no", "c1", "c2").join(of, ["c1", "c2"])
+    hexed = F.concat(*[F.lower(F.lpad(F.hex(k), 16, "0")) for k in ("c1", "c2")])
     return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), hexed.alias("class_id"), "n_links",
                        (F.col("earliest") < at).alias("removed"))
 

@@ -104,6 +104,14 @@ def euclidean_distance(lon1, lat1, lon2, lat2) -> Column:
     return F.lit(DEG_LEN) * F.sqrt(x * x + y * y)
 
 
+def event_distance(lon, lat) -> Column:
+    """Distance from a point to the place of a ride event: where the ride starts for a START event, where it ends for
+    an END event (columns of a ride record)."""
+    at_start = F.col("is_start")
+    return euclidean_distance(lon, lat, F.when(at_start, F.col("start_lon")).otherwise(F.col("end_lon")),
+                              F.when(at_start, F.col("start_lat")).otherwise(F.col("end_lat")))
+
+
 def direction_angle(start_lon, start_lat, dest_lon, dest_lat) -> Column:
     """Integer direction from start to destination, range -1..359.
 

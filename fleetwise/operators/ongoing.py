@@ -10,10 +10,12 @@ flag per ride before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwise.operators.asof import asof_numeric
+from fleetwise.operators.scan import running_agg
+from fleetwise.session import stored
 
 BROADCAST_REQUESTS = 64  # above this many requests the join avoids the rides x requests comparison
 ONGOING_COLS = ["ride_id", "taxi_id", "driver_id", "start_time", "start_lon", "start_lat", "passenger_cnt"]
@@ -51,8 +53,8 @@ def ongoing_for_requests(open_: DataFrame, requests: DataFrame, at_ms: int,
     if n <= broadcast_limit:
         j = open_.join(F.broadcast(req), start_ms <= F.lit(at_ms) - F.col("during_ms"), "inner")
         return j.select(F.lit(at_ms).alias("at_ms"), "during_ms", *open_.columns)
-    numbered = req.withColumn("_j", F.row_number().over(Window.orderBy("during_ms")) - 1)
+    numbered = stored(running_agg(req, [], [F.col("during_ms")], F.lit(1), "_j", fn="count").withColumn("_j", F.col("_j") - 1), "requests")
     rides = open_.withColumn("_age", F.lit(at_ms) - start_ms)
     m = asof_numeric(rides, numbered.select("during_ms", "_j"), [], "_age", "during_ms", ["_j"])
-    rows = m.where(F.col("_j").isNotNull()).select(*open_.columns, F.explode(F.sequence(F.lit(0), F.col("_j"))).alias("_j"))
+    rows = m.where(F.col("_j").isNotNull()).select(*open_.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_j"))).alias("_j"))
     return rows.join(numbered, "_j").select(F.lit(at_ms).alias("at_ms"), "during_ms", *open_.columns)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwise.functions import geo
 from fleetwise.functions.times import utc_day
 from fleetwise.plans.oracle_views import with_views
 from fleetwise.sources import adapters as A
@@ -422,6 +423,19 @@ def q_nearest_taxi(spark, sf_dir):
                     rnd("distance", 9).alias("distance"))
 
 
+POINT = (-73.9857, 40.7484)  # the point of the distance query
+
+
+@register("q_event_distance", with_views(f"""
+SELECT ride_id, is_start, CAST(CAST(CASE WHEN is_start
+  THEN {dist_sql(f'CAST({POINT[0]} AS DOUBLE)', f'CAST({POINT[1]} AS DOUBLE)', 'start_lon', 'start_lat')}
+  ELSE {dist_sql(f'CAST({POINT[0]} AS DOUBLE)', f'CAST({POINT[1]} AS DOUBLE)', 'end_lon', 'end_lat')} END AS DECIMAL(38,9)) AS DOUBLE) AS distance
+FROM rides_v""", "rides_v"))
+def q_event_distance(spark, sf_dir):
+    """How far from one point every ride event is: its start for a START, its end for an END."""
+    return A.rides(spark, sf_dir).select("ride_id", "is_start", rnd(geo.event_distance(F.lit(POINT[0]), F.lit(POINT[1])), 9).alias("distance"))
+
+
 AT_MS = 1357300000000
 REQUESTS = [(5,), (30,), (60,)]
 

@@ -5,7 +5,7 @@ on taxi rides, fares, car events, trades/customers, calls and scripted
 element timelines.  Each function here maps provided rows to one domain
 record type with plain column expressions (one scan, no shuffle), so the
 domain data grows with the provided data.  The same mapping is written in SQL
-for the DuckDB oracle in ``fleetwise.plans.oracle``; both must stay in step.
+for the DuckDB oracle in ``fleetwise.plans.oracle_views``; both must stay in step.
 """
 
 from __future__ import annotations

@@ -360,3 +360,90 @@ def early_session_stream(elements: DataFrame, gap_ms: int, finish: int = 5, dela
     e = elements.withWatermark("event_time", f"{_delay_ms(delay) + gap_ms} milliseconds")
     return e.groupBy("key").transformWithState(EarlySessionProcessor(gap_ms, finish), SESSION_OUT, "Append",
                                                "EventTime")
+
+
+SESSION_ELEMENTS_OUT = ("key bigint, session_start bigint, arrival bigint, value bigint, fired_at bigint, window_end bigint, "
+                        "n bigint, is_final boolean")
+
+
+class EarlySessionElementsProcessor(_Slack, StatefulProcessor):
+    """Session windows with early results, every element once.
+
+    The same firings as :class:`EarlySessionProcessor`, told by the elements
+    that are new in them: a firing emits each element that came since the
+    session's previous one, with the firing's number of elements ``n``; its
+    whole list is the elements of this and the earlier firings.  So output and
+    state are linear in the input: an element waits in an append-only chunk
+    (one per batch and session, never rewritten) until it is emitted, and a
+    session keeps its end, its counts and the names of its waiting chunks.
+    """
+
+    def __init__(self, gap_ms: int, finish: int = 5):
+        self.gap, self.finish = gap_ms, finish
+        self.slack = gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sessions = handle.getMapState("sessions", "start bigint", "end bigint, n bigint, last bigint, chunks array<bigint>")
+        self.chunks = handle.getMapState("chunks", "chunk bigint", "elements array<struct<seq bigint, time bigint, value bigint>>")
+        self.next_chunk = handle.getValueState("next_chunk", "chunk bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        wm = self.wm(timerValues)
+        before = {k[0]: (v[0], v[1], v[2], list(v[3])) for k, v in self.sessions.iterator()}
+        sess = dict(before)
+        fresh: dict[int, list] = {}
+        for r in sorted(rows, key=lambda x: x.seq):
+            if r.time + self.gap - 1 <= wm:
+                continue
+            start, end, n, last, chunks, waiting, ends = r.time, r.time + self.gap, 1, 0, [], [(r.seq, r.time, r.value)], []
+            for s0 in [s for s, v in sess.items() if s <= end and v[0] >= start]:
+                e0, n0, l0, c0 = sess.pop(s0)
+                ends.append(e0)
+                start, end, n, last, chunks = min(start, s0), max(end, e0), n + n0, last + l0, chunks + c0
+                waiting = fresh.pop(s0, []) + waiting
+            for e0 in ends:
+                if e0 != end:
+                    self.drop_timer(e0 - 1)
+            sess[start], fresh[start] = (end, n, last, chunks), waiting
+            if end not in ends:
+                self.set_timer(end - 1)
+            if r.value == self.finish:
+                self.set_timer(r.time)
+        if fresh:
+            chunk = self.next_chunk.get()[0] if self.next_chunk.exists() else 0
+            for start, waiting in fresh.items():
+                self.chunks.updateValue((chunk,), (waiting,))
+                sess[start][3].append(chunk)
+                chunk += 1
+            self.next_chunk.update((chunk,))
+        for s in before.keys() - sess.keys():
+            self.sessions.removeKey((s,))
+        for s in fresh:
+            self.sessions.updateValue((s,), sess[s])
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        t, wm = self.fired(expiredTimerInfo), self.wm(timerValues)
+        hit = [(k[0], v) for k, v in self.sessions.iterator() if k[0] <= t <= v[0] - 1]
+        if not hit:
+            return
+        start, (end, n, last, chunks) = hit[0]
+        if n > last:
+            for chunk in chunks:
+                for seq, _, value in self.chunks.getValue((chunk,))[0]:
+                    yield Row(key=key[0], session_start=start, arrival=seq, value=value, fired_at=wm, window_end=end, n=n, is_final=end <= wm)
+                self.chunks.removeKey((chunk,))
+        if t == end - 1:
+            self.sessions.removeKey((start,))
+        else:
+            self.sessions.updateValue((start,), (end, n, n, []))
+
+    def close(self) -> None:
+        pass
+
+
+def early_session_elements_stream(elements: DataFrame, gap_ms: int, finish: int = 5, delay: str = "0 seconds") -> DataFrame:
+    """``elements(seq, time (ms), key, value, event_time)`` -> every element with the first firing of its session that covers it."""
+    e = elements.withWatermark("event_time", f"{_delay_ms(delay) + gap_ms} milliseconds")
+    return e.groupBy("key").transformWithState(EarlySessionElementsProcessor(gap_ms, finish), SESSION_ELEMENTS_OUT, "Append", "EventTime")

@@ -171,3 +171,41 @@ def test_ongoing_rides_equal_batch_over_batches_and_a_restart(spark):
     for (at, during), got in answers.items():
         open_ = ongoing.open_rides(df.unionByName(extra), at)
         assert got == {r.ride_id for r in open_.collect() if r.start_time.timestamp() * 1000 <= at - during + 0.5}
+
+
+def test_early_session_elements_tell_the_firings(spark):
+    """Random sessions with merges and finish codes: the lists put together from the elements' first firings are those
+    of the list form, over the same micro-batches, and every element comes once."""
+    base, gap = 1_600_000_000_000, 5_000
+    rnd = random.Random(12)
+    files, seq, t = [], 0, base
+    for _ in range(10):
+        part = []
+        for _ in range(12):
+            t += rnd.choice([300, 900, 2_000, 7_000])
+            part.append((seq, t - rnd.choice([0, 0, 1_500, 4_000]), rnd.randrange(3), rnd.choice([1, 2, 4, 5])))
+            seq += 1
+        files.append(part)
+    files.append([(seq, FAR_MS, 9, 1)])
+    path = tempfile.mkdtemp(prefix="elements-")
+    for i, part in enumerate(files):
+        spark.createDataFrame(part, "seq bigint, time bigint, key bigint, value bigint").withColumn("event_time", F.timestamp_millis("time")) \
+            .coalesce(1).write.parquet(f"{path}/f{i:03d}")
+    schema = "seq bigint, time bigint, key bigint, value bigint, event_time timestamp"
+    lists = run(spark, processors.early_session_stream(stream(spark, path, schema), gap, delay="6 seconds"), "lists_t").where("key < 9").collect()
+    got = run(spark, processors.early_session_elements_stream(stream(spark, path, schema), gap, delay="6 seconds"), "elements_t").where("key < 9").collect()
+    assert sorted(r.arrival for r in got) == list(range(seq))
+    firings = {}
+    for r in got:
+        firings.setdefault((r.key, r.fired_at, r.n, r.window_end, r.is_final), []).append(r)
+    # the list of a firing: its new elements and those of the session's earlier firings
+    built = []
+    for (key, fired_at, n, end, final), new in firings.items():
+        covered = [r for r in got if r.key == key and (r.fired_at, r.n) <= (fired_at, n)]
+        mine = sorted(covered, key=lambda r: -r.arrival)
+        start = min(r.session_start for r in new)
+        mine = [r for r in mine if r.session_start >= start and r.window_end <= end]
+        values = [r.value for r in sorted(mine, key=lambda r: (r.value == 5, r.arrival))]
+        built.append((key, end, n, final, tuple(values)))
+    want = [(r.key, r.window_end, r.n, r.is_final, tuple(r["values"])) for r in lists]
+    assert sorted(built) == sorted(want) and len(want) > 20 and any(len(v) > 1 for *_, v in want)

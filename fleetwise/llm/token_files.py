@@ -45,6 +45,8 @@ BLOCK = 128
 SEGMENT_IDS = 1 << 18
 PERCENTILE = 90
 MEMO_BYTES = 192 << 20  # of chunks remembered in one Python worker: less memory means more encoding
+BATCH = 1 << 18  # characters of texts taken on at once: their chunks stay in the processor's cache
+_AT_ONCE = 20_000  # chunks encoded at once
 _ENTRY = 120  # bytes of a remembered chunk besides its own and its ids'
 _HEAD = struct.Struct("<4sIII")
 
@@ -222,13 +224,12 @@ class Encoder:
 
     Chunks are remembered in two halves of ``memo_bytes`` / 2 each, the younger
     filled by what is looked up; when it is full it becomes the older one, and
-    what was not looked up since is forgotten.  The texts taken on at once
-    (``batch_size`` characters) and the chunks encoded at once follow that size.
+    what was not looked up since is forgotten.
     """
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         from tokenizers import Tokenizer
-        self.memo_bytes, self.batch_size, self.at_once = memo_bytes, max(1 << 12, memo_bytes >> 8), max(100, memo_bytes // 10_000)
+        self.memo_bytes, self.batch_size = memo_bytes, min(BATCH, max(1 << 12, memo_bytes >> 8))
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.line_end = self._ids(["\n"])[0][0]
@@ -259,8 +260,8 @@ class Encoder:
                 self.held += _ENTRY + len(k) + len(known)
         for front in ("\n", ""):
             keys = [k for k in new if (k[:1] == "\n") == bool(front)]
-            for at in range(0, len(keys), self.at_once):
-                some = keys[at:at + self.at_once]
+            for at in range(0, len(keys), _AT_ONCE):
+                some = keys[at:at + _AT_ONCE]
                 ids = np.array(self._ids(["".join(some) if front else "\n " + "\n ".join(some)])[0], "<u4")
                 cuts = np.flatnonzero(ids == self.line_end)
                 if len(cuts) != len(some):

@@ -44,9 +44,9 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def as_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the corpus, read back: doc_id, start, n_tokens, ids_crc32.
 
-    The workers of the stages before still hold memory, so the encoder gets a
-    third of what it takes by itself."""
-    return token_files.encode_and_read_back(docs, tokenizer_path(), memo_bytes=token_files.MEMO_BYTES // 3)
+    The workers of the stages before still hold memory, so the encoder gets an
+    eighth of what it takes by itself."""
+    return token_files.encode_and_read_back(docs, tokenizer_path(), memo_bytes=token_files.MEMO_BYTES // 8)
 
 
 STAGES = [

@@ -44,10 +44,9 @@ from fleetwise.llm.common import scratch
 BLOCK = 128
 SEGMENT_IDS = 1 << 18
 PERCENTILE = 90
-MEMO_BYTES = 192 << 20  # of chunks remembered in one Python worker: less memory means more encoding
-BATCH = 1 << 18  # characters of texts taken on at once: their chunks stay in the processor's cache
-_AT_ONCE = 20_000  # chunks encoded at once
-_ENTRY = 120  # bytes of a remembered chunk besides its own and its ids'
+MEMO_BYTES = 512 << 20  # of chunks remembered in one Python worker: less memory means more encoding
+BATCH = 1 << 20  # characters of texts taken on at once
+_ENTRY = 480  # bytes of a remembered chunk besides its own and its ids', as measured
 _HEAD = struct.Struct("<4sIII")
 
 SEGMENTS = "part int, seg int, start_in_part long, n_ids long, n_docs int, payload binary"
@@ -212,6 +211,19 @@ def _uneven(t: str) -> bool:
             or _OTHER_SPACE.search(t) is not None)
 
 
+class _Memo(dict):
+    """Numbers the keys in the order of their first look-up; ``new`` lists those not yet encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
 class Encoder:
     """Encodes texts, remembering chunks.
 
@@ -222,20 +234,24 @@ class Encoder:
     other white space, or with an added token such as <|endoftext|>, are
     encoded whole.
 
-    Chunks are remembered in two halves of ``memo_bytes`` / 2 each, the younger
-    filled by what is looked up; when it is full it becomes the older one, and
-    what was not looked up since is forgotten.
+    Chunks are remembered until they take ``memo_bytes``, then forgotten and
+    encoded again: the size changes memory and time, not ids.
     """
 
     def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         from tokenizers import Tokenizer
-        self.memo_bytes, self.batch_size = memo_bytes, min(BATCH, max(1 << 12, memo_bytes >> 8))
+        self.memo_bytes = memo_bytes
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.line_end = self._ids(["\n"])[0][0]
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo = _Memo()
+        self.held = 0  # bytes, about
+        self.flat = np.zeros(1 << 20, np.uint32)  # the ids of all chunks
+        self.used = 0
+        self.first, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)  # of each chunk therein
 
     def _ids(self, texts: list[str], plain: bool = True) -> list[list[int]]:
         # most texts hold no added token: there is none to look for.  Switching costs a millisecond
@@ -243,38 +259,39 @@ class Encoder:
             self.tok.encode_special_tokens = plain
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Put the ids of chunks that the younger half lacks into it.
+    def _learn(self) -> None:
+        """Encode the new chunks.
 
         A chunk holds no line end but one at its front, and a line end between two chunks is a piece and
         an id of its own: one text holds them all and its ids are cut there.  A key with a line end at
         the front is its chunk; any other stands for ' ' + key.
         """
-        new = []
-        for k in chunks:
-            known = self.older.get(k)
-            if known is None:
-                new.append(k)
-            else:
-                self.memo[k] = known
-                self.held += _ENTRY + len(k) + len(known)
+        new, self.memo.new = self.memo.new, []
+        self.held += _ENTRY * len(new) + 4 * sum(map(len, new))
+        if len(self.memo) > len(self.first):
+            grown = np.zeros(2 * len(self.memo), np.int64)
+            self.first, self.size = (np.concatenate([x, grown]) for x in (self.first, self.size))
         for front in ("\n", ""):
             keys = [k for k in new if (k[:1] == "\n") == bool(front)]
-            for at in range(0, len(keys), _AT_ONCE):
-                some = keys[at:at + _AT_ONCE]
-                ids = np.array(self._ids(["".join(some) if front else "\n " + "\n ".join(some)])[0], "<u4")
-                cuts = np.flatnonzero(ids == self.line_end)
-                if len(cuts) != len(some):
-                    raise ValueError("the tokenizer does not keep line ends apart")
-                raw = ids.tobytes()
-                begin = (4 * (cuts if front else cuts + 1)).tolist()
-                end = (4 * np.append(cuts[1:], len(ids))).tolist()
-                for k, i, j in zip(some, begin, end):
-                    self.memo[k] = raw[i:j]
-                self.held += sum(map(len, some)) + len(raw) + _ENTRY * len(some)
+            if not keys:
+                continue
+            ids = np.array(self._ids(["".join(keys) if front else "\n " + "\n ".join(keys)])[0], np.uint32)
+            cuts = np.flatnonzero(ids == self.line_end)
+            if len(cuts) != len(keys):
+                raise ValueError("the tokenizer does not keep line ends apart")
+            size = np.append(cuts[1:], len(ids)) - cuts - (not front)
+            ids = ids if front else np.delete(ids, cuts)
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+            self.flat[self.used:self.used + len(ids)] = ids
+            at = np.fromiter(map(self.memo.__getitem__, keys), np.int64, len(keys))
+            self.first[at], self.size[at] = self.used + np.cumsum(size) - size, size
+            self.used += len(ids)
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text with ``end_id`` appended."""
+        if self.held > self.memo_bytes:
+            self._forget()
         out: list = [None] * len(texts)
         added = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
         uneven = [i for i, t in enumerate(texts) if not t or _uneven(t)]
@@ -282,19 +299,21 @@ class Encoder:
             if whole:
                 for i, ids in zip(whole, self._ids([texts[i] for i in whole], plain)):
                     out[i] = np.array([*ids, end_id], np.uint32)
-        last = np.array([end_id], "<u4").tobytes()
-        even = {}
-        for i in range(len(texts)):
-            if out[i] is None:
-                # every chunk begins at a blank, or with its line end; one is put in front of the text
-                even[i] = ("\n" + texts[i]).replace("\n", " \n").split(" ")[1:]
-        if 2 * self.held > self.memo_bytes:
-            self.older, self.memo, self.held = self.memo, {}, 0
-        self._learn(list(set().union(*even.values()).difference(self.memo)))
+        even = [i for i in range(len(texts)) if out[i] is None]
         look = self.memo.__getitem__
-        for i, chunks in even.items():
-            # the id of the line end put in front is left out
-            out[i] = np.frombuffer(b"".join([*map(look, chunks), last]), "<u4")[1:]
+        at = []
+        for i in even:
+            # every chunk begins at a blank, or with its line end; one is put in front of the text
+            chunks = ("\n" + texts[i]).replace("\n", " \n").split(" ")[1:]
+            at.append(np.fromiter(map(look, chunks), np.int64, len(chunks)))
+        self._learn()
+        for i, a in zip(even, at):
+            first, size = self.first[a], self.size[a]
+            ends = np.cumsum(size)
+            ids = np.empty(ends[-1], np.uint32)
+            ids[:-1] = self.flat[(np.repeat(first - ends + size, size) + np.arange(ends[-1]))[1:]]
+            ids[-1] = end_id  # the id of the line end put in front is left out
+            out[i] = ids
         return out
 
 
@@ -327,12 +346,12 @@ def _segments(path: str, end_id: int, memo_bytes: int):
                 "payload": pa.array([pack_segment(docs, ids)], pa.binary())})
 
         def texts_of(batch):
-            """The batch's rows, some ``batch_size`` characters at a time."""
+            """The batch's rows, some ``BATCH`` characters at a time."""
             some, size = [], 0
             for d, t in zip(batch.column(0), batch.column(1)):
                 some.append((d.as_py(), t.as_py() or ""))
                 size += len(some[-1][1])
-                if size >= enc.batch_size:
+                if size >= BATCH:
                     yield some
                     some, size = [], 0
             if some:

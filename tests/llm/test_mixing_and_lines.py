@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +79,20 @@ def test_lines_against_all_pairs(spark):
     assert L.matched_lines(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("similarity", [0.7, 0.5, 0.95])
+def test_lines_at_other_similarities(spark, similarity):
+    rnd = random.Random(int(similarity * 100))
+    texts = ["\n".join(" ".join(rnd.sample("abcdefgh", rnd.randrange(1, 7))) for _ in range(8)) for _ in range(12)]
+    texts += ["a b c", "a b c d", " ".join(f"w{i}" for i in range(400)), " ".join(f"w{i}" for i in range(20, 400))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    every = [(d, n, frozenset(line.split())) for d, t in enumerate(texts) for n, line in enumerate(t.split("\n"))]
+    sets = {s for _, _, s in every}
+    like = lambda a, b: len(a & b) >= similarity * len(a | b) - 1e-9
+    want = sorted((d, n, sum(like(s, o) for o in sets if o != s), any(like(s, o) and (e, m) < (d, n) for e, m, o in every)) for d, n, s in every)
+    got = sorted((r.doc_id, r.line_no, r.n_links, r.removed) for r in L.matched_lines(docs, similarity).collect())
+    assert got == want
+
+
 def test_decontamination(spark):
     item = [f"k{i}" for i in range(20)]
     swapped = item[:3] + ["X"] + item[4:9] + ["Y"] + item[10:]

@@ -62,9 +62,12 @@ def _fire_lookup(df: DataFrame, thr: str, levels: DataFrame) -> DataFrame:
 
 
 def early_tumbling(timeline: DataFrame, size_ms: int) -> DataFrame:
-    """Rows ``key, window_end, fired_at, total, is_final``."""
-    tl = with_watermark(timeline)
-    levels = watermark_levels(tl)
+    """Rows ``key, window_end, fired_at, total, is_final``.
+
+    The watermarked timeline, its levels and the windows each feed several
+    passes of the scans; each is written once to the shared checkpoint folder."""
+    tl = stored(with_watermark(timeline), "timeline")
+    levels = stored(watermark_levels(tl), "levels")
     e = tl.where(F.col("kind") == "E")
     e = e.withColumn("ws", F.floor(F.col("time") / F.lit(size_ms)).cast("bigint") * F.lit(size_ms)) \
          .withColumn("window_end", F.col("ws") + F.lit(size_ms))
@@ -75,7 +78,7 @@ def early_tumbling(timeline: DataFrame, size_ms: int) -> DataFrame:
                                    "total", F.lit(False).alias("is_final"))
     fin = e.groupBy("key", "window_end").agg(F.sum("value").alias("total")) \
            .withColumn("thr", F.col("window_end") - 1)
-    fin = _fire_lookup(fin, "thr", levels)
+    fin = _fire_lookup(stored(fin, "windows"), "thr", levels)
     fin = fin.select("key", "window_end", "fired_at", "total",
                      (F.col("window_end") <= F.col("fired_at")).alias("is_final"))
     return early.unionByName(fin)

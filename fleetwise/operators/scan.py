@@ -42,13 +42,28 @@ def _same_keys(a: DataFrame, b: DataFrame, names: dict[str, str]) -> Column:
     return cond
 
 
-def _bucket_of(o: Column, cuts: Column, n: Column, target: int) -> Column:
+_STEP = 8  # every so many-th quantile is looked at first
+
+
+def _at_or_below(v: Column, cuts: Column, first: Column | int, step: int) -> Column:
+    """How many of up to ``_STEP`` quantiles, from ``first`` on every ``step``-th, are at or below ``v``."""
+    return sum((F.when(F.get(cuts, first + F.lit(i * step)) <= v, 1).otherwise(0) for i in range(_STEP)), F.lit(0))
+
+
+def _with_range(df: DataFrame, o: Column) -> DataFrame:
+    """Add ``_q``: how many of the ascending quantiles ``_cuts`` (null: none known) are at or below ``o``.  Compiled
+    comparisons in two steps; a higher-order function over the array is interpreted and costs several times the scan."""
+    v, cuts = o.cast("double"), F.col("_cuts")
+    df = df.withColumn("_q", _at_or_below(v, cuts, F.lit(_STEP - 1), _STEP))
+    return df.withColumn("_q", F.col("_q") * _STEP + _at_or_below(v, cuts, F.col("_q") * _STEP, 1))
+
+
+def _bucket_of(o: Column, cuts: Column, q: Column, n: Column, target: int) -> Column:
     """Bucket number of ordering value ``o`` from the quantiles ``cuts`` of a
-    key with ``n`` rows: the quantile range, then equal parts of it, so that
+    key with ``n`` rows: the quantile range ``q``, then equal parts of it, so that
     bursts and far outliers share no bucket.  Nulls come first, as in a sort."""
     parts = F.ceil(n / F.lit(float(target * CUTS)))
     v = o.cast("double")
-    q = F.size(F.filter(cuts, lambda c: c <= v))
     low, high = F.get(cuts, q - 1), F.get(cuts, q)
     part = F.when(high > low, F.floor((v - low) / (high - low) * parts)).otherwise(F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.coalesce(part, F.lit(0)), parts - 1))
@@ -78,8 +93,9 @@ def _bucketed(df: DataFrame, keys: list[str], order: list, bucket: Column | None
     else:
         cuts, n = st.first()
         j = df.withColumns({"_cuts": F.lit(cuts) if cuts else F.lit(None).cast("array<double>"), "_on": F.lit(n)})
-    bkt = F.when(F.col("_on").isNull(), F.lit(0)).otherwise(_bucket_of(o, F.col("_cuts"), F.col("_on"), target))
-    return j.withColumn("_bkt", bkt).drop("_cuts", "_on", *["_s_" + k for k in keys]), False
+    j = _with_range(j, o)
+    bkt = F.when(F.col("_on").isNull(), F.lit(0)).otherwise(_bucket_of(o, F.col("_cuts"), F.col("_q"), F.col("_on"), target))
+    return j.withColumn("_bkt", bkt).drop("_cuts", "_q", "_on", *["_s_" + k for k in keys]), False
 
 
 def _with_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:

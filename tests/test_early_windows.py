@@ -70,3 +70,14 @@ def test_finish_ordered_rows_disorder_fixture(spark):
     for r in sorted(rows, key=lambda r: (r.key, r.position)):
         lists.setdefault(r.key, []).append(r.value)
     assert lists == {0: [1, 4, 4, 4, 2, 4, 4, 4, 5], 1: [1]}
+
+
+def test_early_tumbling_makes_the_watermarks_once(spark, monkeypatch):
+    """The watermarked timeline feeds several passes; they read it from where it was written."""
+    from fleetwise.operators import early, scan
+    monkeypatch.setattr(scan, "TARGET_ROWS", 4)
+    out = early_tumbling(timeline(spark, B_SCRIPT, scale=1000), 3000)
+    assert _rows(out, ["is_final", "fired_at", "total"]) == sorted(
+        [(False, 1000, 5), (False, 3000, 4), (True, 3000, 5), (True, early.LONG_MAX, 6)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan and "parquet" in plan

@@ -1,11 +1,14 @@
 """The two-level scans equal plain per-key windows, whatever the bucketing;
 data has one hot key holding most rows."""
 
+import random
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fleetwise.operators import scan
 from fleetwise.operators.scan import carry_last, running_agg
 
 rows_st = st.lists(st.tuples(st.sampled_from([0, 0, 0, 0, 1, 2]), st.integers(0, 60),
@@ -65,3 +68,20 @@ def test_adaptive_buckets_match_window(spark, rows, target, inclusive, keyed):
     g = {r.id: (r["last"], r.tot) for r in got.collect()}
     e = {r.id: (r["last"], r.tot) for r in exp.collect()}
     assert g == e
+
+
+def test_buckets_are_compiled_and_cut_at_the_quantiles(spark, monkeypatch):
+    """The range of a value is found without an interpreted function over the array, at any place among the quantiles."""
+    rnd = random.Random(5)
+    for n_cuts in (65, 3, 1):
+        cuts = sorted(rnd.choice([rnd.uniform(-9, 9), float(rnd.randrange(-3, 3))]) for _ in range(n_cuts))
+        values = [*cuts, *(rnd.uniform(-10, 10) for _ in range(60)), -100.0, 100.0]
+        df = spark.createDataFrame([(v, cuts) for v in values], "o double, _cuts array<double>")
+        got = sorted((r.o, r._q) for r in scan._with_range(df, F.col("o")).collect())
+        assert got == sorted((v, sum(c <= v for c in cuts)) for v in values)
+    monkeypatch.setattr(scan, "TARGET_ROWS", 100)
+    df = spark.range(5000).selectExpr("id", "id % 3 AS k")
+    for keys in ([], ["k"]):
+        out = scan.running_agg(df, keys, [F.col("id")], F.col("id"), "total")
+        assert "lambda" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.agg(F.max("total")).first()[0] == (sum(range(5000)) if not keys else max(sum(range(k, 5000, 3)) for k in range(3)))

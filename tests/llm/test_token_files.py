@@ -75,3 +75,33 @@ def test_forgetting_changes_no_id():
         texts = [" ".join(random.choices(words, k=40)).replace("a ", "a\n") for _ in range(20)]
         assert [x.tolist() for x in enc.encode(texts, 2)] == [e.ids + [2] for e in tok.encode_batch(texts, add_special_tokens=False)]
         assert len(enc.memo) < (1 << 16) / T._ENTRY + 2 * 800
+
+
+def test_pieces_and_signs_are_the_library_s():
+    """Letters of all bytes, each with every sign or none, and words that are one piece only nearly; those known to be
+    one piece are not split again."""
+    from tokenizers import Tokenizer
+    tok, enc = Tokenizer.from_file(tokenizer_path()), T.Encoder(tokenizer_path())
+    random.seed(4)
+    letters = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xc0, 0x24f)]))
+    words = ["".join(random.choices(letters, k=random.randrange(1, 12))) for _ in range(2000)]
+    near = ["don't", "'s,", "'ll", "a,,", "x9", "9.", "\xaa\xb5\xba", "\xd7\xf7,", "e\u0301,", "漢字,", "\u0250a", ",", "?!", "a-b", "\U0001f600"]
+    texts = [" ".join(w + s for w in random.choices(words + near, k=30) for s in [random.choice(["", *T._SIGNS])]) or "a" for _ in range(300)]
+    texts += [t.replace(", ", ",\n") for t in texts]
+    assert [x.tolist() for x in enc.encode(texts, 2)] == [e.ids + [2] for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+    class Counting:
+        def __init__(self, pieces):
+            self.pieces, self.words = pieces, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.words += sum(t.count(enc.letters[32]) for t in texts)
+            return self.pieces.encode_batch_fast(texts, **how)
+
+    enc.pieces = Counting(enc.pieces)
+    enc.encode(["never seenbefore, wordsofletters; alone"], 2)
+    assert enc.pieces.words == 3  # the first follows the line end that is put in front
+
+
+def test_other_white_space_is_complete():
+    assert set(T._OTHER_SPACE) == {c for c in map(chr, range(0x110000)) if (c.isspace() or c in "\x1c\x1d\x1e\x1f\x85") and c not in " \n"}

@@ -93,6 +93,25 @@ def test_lines_at_other_similarities(spark, similarity):
     assert got == want
 
 
+def test_long_lines_that_differ_are_no_candidates(spark, monkeypatch):
+    """Long unlike lines that share rare tokens are pruned before the sets are fetched, and no link is lost."""
+    rnd = random.Random(5)
+    base = [rnd.sample([f"w{i}" for i in range(400)], 130) for _ in range(60)]
+    texts = [" ".join(b) for b in base] + [" ".join(b[:120] + ["extra"]) for b in base[:10]]
+    sizes, kept = {}, L.stored
+
+    def counted(df, what):
+        out = kept(df, what)
+        sizes[what] = out.count()
+        return out
+
+    monkeypatch.setattr(L, "stored", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_links, r.removed) for r in L.matched_lines(docs).collect()}
+    assert got == {i: (int(i < 10 or i >= 60), i >= 60) for i in range(70)}
+    assert sizes["line-pairs"] == 10 and sizes["line-sets"] == 20
+
+
 def test_decontamination(spark):
     item = [f"k{i}" for i in range(20)]
     swapped = item[:3] + ["X"] + item[4:9] + ["Y"] + item[10:]

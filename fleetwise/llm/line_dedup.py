@@ -17,7 +17,10 @@ line that matches an earlier one (by doc_id, then line number) is removed.
    first m - o + 1 codes of the one and n - o + 1 of the other (prefix
    filter).  Only a class's first n - ceil(s * n) + 1 codes are ever such, and
    classes are joined on these; 32 bits of each will do, since two tokens
-   taken for one only make a candidate more.  In the join, the length filter
+   taken for one only make a candidate more.  Sets that match are of like
+   sizes, so a token is joined within a band of sizes and with the next band
+   only: lines of all lengths that share a token are not compared with each
+   other.  In the join, the length filter
    (m >= s * n), the positional filter (the codes after the shared one must
    suffice) and a sketch prune candidates: 128 bits, each the parity of the
    tokens that fall on it.  Every bit in which two sketches differ stands for a
@@ -39,6 +42,8 @@ row; other columns stay as they are.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +52,9 @@ from fleetwise.llm.common import free_name, stored
 SIMILARITY = 0.8
 RARITY_BITS = 18
 MARK_BITS = 20
-BETWEEN = r"[^\p{L}\p{N}]+"
+#: Width of a band of sizes, in steps of 1 / similarity.
+BAND = 4
+TOKEN = r"[\p{L}\p{N}]+"
 #: With these, what a written DataFrame has shuffled is freed when it is written, and files are smaller.
 _WHILE_WRITTEN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
 
@@ -79,15 +86,16 @@ def rarity(held: DataFrame) -> Column:
 
 def _codes(text: Column) -> Column:
     """Sorted, distinct hashes of the tokens."""
-    words = F.array_remove(F.split(F.lower(text), BETWEEN), "")
+    words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
     return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 
 def _by_rarity(codes: Column, levels: Column) -> Column:
-    """The hashes with their bucket's level in front, rarest first; they lose their last 8 bits."""
+    """The hashes with their bucket's level in front, rarest first; they lose their last 8 bits.  None can be null, and
+    the type says so: Spark then sorts bare longs."""
     def ranked(h):
         level = F.get(levels, h.bitwiseAND((1 << RARITY_BITS) - 1).cast("int")).cast("long")
-        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+        return F.coalesce(F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8)), F.lit(0).cast("long"))
     return F.sort_array(F.transform(codes, ranked))
 
 
@@ -113,21 +121,49 @@ def _overlap(m: Column, n: Column, s: float) -> Column:
     return F.ceil(F.lit(s / (1 + s)) * (m + n) - 1e-9)
 
 
-def _candidates(classes: DataFrame, s: float) -> DataFrame:
-    """Pairs (a, b) of class numbers that pass all filters.  A row of the join is a token, a class number, its size and
-    the token's position in one number, and the sketch."""
-    rows = classes.select("k", "n", "low", "high", F.posexplode("few").alias("at", "token"))
-    rows = rows.select("token", "k", F.shiftleft("n", 32).bitwiseOR(F.col("at").cast("long")).alias("n_at"), "low", "high")
-    x, y = (rows.select([F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
-    (x_n, x_at), (y_n, y_at) = ((F.shiftright(f"{side}_n_at", 32), F.col(f"{side}_n_at").bitwiseAND((1 << 32) - 1)) for side in "xy")
+def _band(n: Column, s: float) -> Column:
+    """Band of a size; sizes that can match are in the same band or in neighbouring ones."""
+    return F.floor(F.log(n) / (BAND * math.log(1 / s) + 1e-6))
+
+
+def _prefix_rows(classes: DataFrame, s: float) -> DataFrame:
+    """A row for each prefix token of a class: token and band of sizes in one number, class number, size and the token's
+    position in one number, and the sketch."""
+    rows = classes.select("k", "n", "low", "high", _band(F.col("n"), s).alias("band"), F.posexplode("few").alias("at", "token"))
+    key = F.shiftleft(F.col("token").cast("long"), 32).bitwiseOR(F.col("band"))
+    return rows.select(key.alias("key"), "k", F.shiftleft("n", 32).bitwiseOR(F.col("at").cast("long")).alias("n_at"), "low", "high")
+
+
+def _size_at(side: str = "") -> tuple[Column, Column]:
+    return F.shiftright(f"{side}n_at", 32), F.col(f"{side}n_at").bitwiseAND((1 << 32) - 1)
+
+
+def _joined(smaller: DataFrame, larger: DataFrame, s: float, within: bool) -> DataFrame:
+    """Pairs (a, b) of class numbers that pass all filters."""
+    x, y = (rows.select([F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side, rows in (("x", smaller), ("y", larger)))
+    (x_n, x_at), (y_n, y_at) = _size_at("x_"), _size_at("y_")
     need = _overlap(x_n, y_n, s)
-    earlier = (x_n < y_n) | ((x_n == y_n) & (F.col("x_k") < F.col("y_k")))
+    on = F.col("x_key") == F.col("y_key")
+    if within:
+        on &= (x_n < y_n) | ((x_n == y_n) & (F.col("x_k") < F.col("y_k")))
     suffices = F.least(x_n - x_at, y_n - y_at) >= need
     differ = sum(F.bit_count(F.col(f"x_{half}").bitwiseXOR(F.col(f"y_{half}"))) for half in ("low", "high"))
-    pairs = x.join(y, (F.col("x_token") == F.col("y_token")) & earlier & (x_n >= y_n * s - 1e-9) & suffices & (differ <= x_n + y_n - 2 * need))
+    pairs = x.join(y, on & (x_n >= y_n * s - 1e-9) & suffices & (differ <= x_n + y_n - 2 * need))
     return pairs.select(F.col("x_k").alias("a"), F.col("y_k").alias("b")).distinct()
 
 
+def _candidates(classes: DataFrame, s: float) -> DataFrame:
+    """Pairs within a band of sizes, and pairs of one band and the next: of the smaller sizes those that reach the next
+    band, with the tokens that a pair with a set no smaller can share first, and of the larger those that are reached."""
+    rows = _prefix_rows(classes, s)
+    n, at = _size_at()
+    band = _band(n, s)
+    up = rows.where((_band(n / s * (1 + 1e-6), s) > band) & (n - at >= _overlap(n, n, s))).withColumn("key", F.col("key") + 1)
+    down = rows.where(_band(n * s * (1 - 1e-6), s) < band)
+    across = _kept(_joined(up, down, s, False), "line-pairs-across")
+    return _joined(rows, rows, s, True).union(across)
+
+
 def _sets(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """The codes of the wanted classes, from the lines."""
     word = F.shiftrightunsigned("c1", 64 - MARK_BITS)
@@ -144,9 +180,12 @@ def matched_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     held = _kept(lines(docs).select("doc_id", "line_no", _codes(F.col("line")).alias("codes")), "lines").where(n > 0)
     keyed = held.select("doc_id", "line_no", F.xxhash64(codes).alias("c1"), F.xxhash64(F.reverse(codes), F.lit(1)).alias("c2"), "codes")
     at = F.struct("doc_id", "line_no")
-    few = F.slice(_by_rarity(codes, rarity(held)), 1, (n - F.ceil(n * s - 1e-9) + 1).cast("int"))
+    # the arguments of a function with a lambda are interpreted: the sort is a step of its own, to be compiled
+    ordered = keyed.select("c1", "c2", at.alias("at"), "codes", _by_rarity(codes, rarity(held)).alias("ranked"))
+    n = F.size("ranked")
+    few = F.slice("ranked", 1, (n - F.ceil(n * s - 1e-9) + 1).cast("int"))
     brief = {"n": n.cast("long"), "low": _sketch(codes, True), "high": _sketch(codes, False), "few": F.transform(few, lambda c: F.hash(c))}
-    of_class = keyed.select("c1", "c2", at.alias("at"), *[v.alias(k) for k, v in brief.items()]).groupBy("c1", "c2").agg(
+    of_class = ordered.select("c1", "c2", "at", *[v.alias(k) for k, v in brief.items()]).groupBy("c1", "c2").agg(
         F.min("at").alias("first"), *[F.first(k).alias(k) for k in brief])
     classes = _kept(of_class.withColumn("k", F.monotonically_increasing_id()), "line-classes")
     # a set of n tokens matches another one only if one token more or less is similar enough

@@ -112,6 +112,23 @@ def test_long_lines_that_differ_are_no_candidates(spark, monkeypatch):
     assert sizes["line-pairs"] == 10 and sizes["line-sets"] == 20
 
 
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
+def test_lines_of_all_sizes_that_share_a_rare_token(spark, similarity):
+    """Such lines are joined by bands of sizes, and no link is lost within a band or between two."""
+    sizes = list(range(1, 90)) + [128, 150, 160, 200, 250, 256]
+    texts = [" ".join(["rare"] + [f"w{i}" for i in range(n - 1)]) for n in sizes] + ["w0 RARE", "w1 w2 w3 w4 rare"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    every = [(d, frozenset(t.lower().split())) for d, t in enumerate(texts)]
+    sets = {s for _, s in every}
+    like = lambda a, b: len(a & b) >= similarity * len(a | b) - 1e-9
+    want = sorted((d, sum(like(s, o) for o in sets if o != s), any(like(s, o) and e < d for e, o in every)) for d, s in every)
+    assert sorted((r.doc_id, r.n_links, r.removed) for r in L.matched_lines(docs, similarity).collect()) == want
+    classes = spark.range(1, 257).select(F.col("id").alias("k"), F.col("id").alias("n"), F.lit(0).alias("low"), F.lit(0).alias("high"),
+                                         F.array(F.lit(7)).alias("few"))
+    most = L._prefix_rows(classes, similarity).groupBy("key").count().agg(F.max("count")).first()[0]
+    assert most <= 256 * (1 - similarity ** L.BAND) + 2
+
+
 def test_decontamination(spark):
     item = [f"k{i}" for i in range(20)]
     swapped = item[:3] + ["X"] + item[4:9] + ["Y"] + item[10:]

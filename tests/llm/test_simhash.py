@@ -58,6 +58,34 @@ def test_hot_keys_lose_no_component(spark, monkeypatch, hot, distance):
     assert [fps.index(found.get(x, x)) for x in fps] == groups(fps, distance)
 
 
+def under_broadcasts(plan):
+    """Lines of a plan's text below its broadcasts."""
+    out, at = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        at = None if at is not None and depth <= at else at
+        if at is not None:
+            out.append(line)
+        elif "BroadcastExchange" in line:
+            at = depth
+    return out
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_turned_keys_are_not_broadcast(spark):
+    # each of the 300 fingerprints has 4 keys, and 17 forms of each; the planner sizes these by the keys
+    rng = np.random.default_rng(7)
+    fps = sorted({int(x) for x in rng.integers(0, 2 ** 62, 300)} | {int(1 << a) for a in range(62)})
+    links = S.linked(spark.createDataFrame([(x,) for x in fps], "fp long"), 3)
+    plan = final_plan(links)
+    assert "Generate explode" in plan and not [x for x in under_broadcasts(plan) if "Generate" in x]
+    assert {(r.a, r.b) for r in links.collect()} == {(a, b) for b in fps for a in fps if a < b and (a ^ b).bit_count() <= 3}
+
+
 def test_one_document_of_each_group_stays(spark):
     t = " ".join(f"w{i}" for i in range(50))
     rows = [(2, t, "s"), (1, t, None), (1, t, "s"), (None, t, "s"), (7, "quite another text here", "s"), (9, None, "s"), (8, "", "s")]

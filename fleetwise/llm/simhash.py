@@ -140,11 +140,14 @@ def _through_points(near: DataFrame, distance: int) -> DataFrame:
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     ball = [0] + ([1 << i for i in range(64)] if outer >= 1 else []) + (
         [1 << i | 1 << j for i in range(64) for j in range(i)] if outer >= 2 else [])
+    # Spark sizes rows as if they were not exploded: left alone it would put all of ``near`` into one task and broadcast the
+    # points of one side of a join.  So the partitions are stated and a window stands for the join; a point has at most as
+    # many fingerprints as the ball has points.
+    near = near.repartition(int(near.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     around = near.select("fp", F.explode(F.lit([signed(v) for v in ball])).alias("z")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("z").cast("long")).alias("point"), (F.bit_count("z") <= inner).alias("close"))
-    first = around.groupBy("point").agg(F.min(F.when(F.col("close"), F.col("fp"))).alias("a"),
-                                        F.count(F.lit(1)).alias("n")).where("a is not null and n > 1").select("point", "a")
-    return around.join(first, "point").where("fp <> a").select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b"))
+    led = around.withColumn("a", F.min(F.when(F.col("close"), F.col("fp"))).over(W.partitionBy("point")))
+    return led.where("a is not null and fp <> a").select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b"))
 
 
 def _rooted(fps: DataFrame, distance: int) -> DataFrame:

@@ -86,6 +86,25 @@ def test_turned_keys_are_not_broadcast(spark):
     assert {(r.a, r.b) for r in links.collect()} == {(a, b) for b in fps for a in fps if a < b and (a ^ b).bit_count() <= 3}
 
 
+def test_exploded_points_are_not_broadcast(spark, monkeypatch):
+    # 80 fingerprints around one have 2,081 points each; the planner sizes them by the 80 rows before the explode
+    monkeypatch.setattr(S, "HOT", 8)
+    rng = np.random.default_rng(5)
+    fps = sorted({int(1 << a | 1 << b | 1 << c) for a, b, c in rng.integers(0, 62, (80, 3))})
+    links = S.linked(spark.createDataFrame([(x,) for x in fps], "fp long"), 3)
+    found = {r.node: r.component for r in components(links).collect()}
+    assert [fps.index(found.get(x, x)) for x in fps] == groups(fps)
+    plan = final_plan(links)
+    assert "Generate explode" in plan and not [x for x in under_broadcasts(plan) if "Generate" in x]
+
+
+def test_points_are_spread_over_all_partitions(spark):
+    fps = [1 << i for i in range(62)]
+    links = S._through_points(spark.createDataFrame([(x,) for x in fps], "fp long").coalesce(1).distinct(), 3)
+    assert "REPARTITION_BY_NUM" in final_plan(links)
+    assert {(r.a, r.b) for r in links.collect()} >= {(1, x) for x in fps[1:]}
+
+
 def test_one_document_of_each_group_stays(spark):
     t = " ".join(f"w{i}" for i in range(50))
     rows = [(2, t, "s"), (1, t, None), (1, t, "s"), (None, t, "s"), (7, "quite another text here", "s"), (9, None, "s"), (8, "", "s")]
